@@ -84,3 +84,90 @@ QUERIES = {
     "hotel_top3": q_hotel_top3,
     "hotelday_publish": q_hotelday_publish,
 }
+
+
+# --- import log: latest import, date window -------------------------------------
+
+from waymark.functions import timefn  # noqa: E402
+from waymark.operators import flights, latest  # noqa: E402
+
+REF_DATE = "2024-01-10"
+EVENT_COLUMNS = ("event_id", "user_id", "event_type", "ts", "value")
+
+
+def _events(spark: SparkSession, base: str) -> DataFrame:
+    return read_table(spark, base, "events")
+
+
+def q_latest_flights(spark: SparkSession, base: str) -> DataFrame:
+    ev = _events(spark, base).select(*EVENT_COLUMNS).withColumn("day", F.to_date("ts"))
+    return latest.latest_per_key(ev, ["day", "user_id", "event_type"], ts="ts")
+
+
+LATEST_FLIGHTS_SQL = """
+SELECT f.event_id, f.user_id, f.event_type, f.day, f.ts, f.value
+FROM (SELECT event_id, user_id, event_type, to_date(ts) AS day, ts, value FROM events
+      WHERE ts >= TIMESTAMP_NTZ'{ref} 00:00:00'
+        AND ts < TIMESTAMP_NTZ'{ref} 00:00:00' + INTERVAL {days} DAYS) f
+JOIN (SELECT to_date(ts) AS day, user_id, event_type, max(ts) AS last_import
+      FROM events
+      WHERE ts >= TIMESTAMP_NTZ'{ref} 00:00:00'
+        AND ts < TIMESTAMP_NTZ'{ref} 00:00:00' + INTERVAL {days} DAYS
+      GROUP BY to_date(ts), user_id, event_type) sel
+  ON f.user_id = sel.user_id AND f.event_type = sel.event_type AND f.day = sel.day
+WHERE f.ts = sel.last_import
+"""
+
+
+def q_latest_flights_sql(spark: SparkSession, base: str) -> DataFrame:
+    _events(spark, base).createOrReplaceTempView("events")
+    return spark.sql(LATEST_FLIGHTS_SQL.format(ref=REF_DATE, days=4))
+
+
+def q_latest_hotels(spark: SparkSession, base: str) -> DataFrame:
+    ev = _events(spark, base).select(*EVENT_COLUMNS)
+    return latest.latest_per_key(ev, ["user_id", "event_type"], ts="ts")
+
+
+def q_date_window(spark: SparkSession, base: str) -> DataFrame:
+    return latest.date_window(_events(spark, base), "ts", REF_DATE, 4)
+
+
+# --- flights: arrival time, dedupe, first item ----------------------------------
+
+def _flight_like(spark: SparkSession, base: str) -> DataFrame:
+    return _events(spark, base).select(
+        "event_id", "ts", timefn.clock_of_ts("ts").alias("departure_time"),
+        F.floor("value").cast("int").alias("duration"))
+
+
+def q_arrival_time(spark: SparkSession, base: str) -> DataFrame:
+    return flights.arrival_time(_flight_like(spark, base), clock="departure_time",
+                                duration="duration", departure_ts="ts")
+
+
+def q_arrival_time_compat(spark: SparkSession, base: str) -> DataFrame:
+    return flights.arrival_time_compat(_flight_like(spark, base), clock="departure_time",
+                                       duration="duration").drop("ts")
+
+
+def q_flight_dedup(spark: SparkSession, base: str) -> DataFrame:
+    li = read_table(spark, base, "lineitem").select("l_suppkey", "l_returnflag", "l_linestatus")
+    return flights.flight_dedup(li)
+
+
+def q_best_item(spark: SparkSession, base: str) -> DataFrame:
+    ev = _events(spark, base).select(*EVENT_COLUMNS)
+    return flights.first_per_key(ev, ["user_id"], ["ts", "event_id"])
+
+
+QUERIES.update({
+    "latest_flights": q_latest_flights,
+    "latest_flights_sql": q_latest_flights_sql,
+    "latest_hotels": q_latest_hotels,
+    "date_window": q_date_window,
+    "arrival_time": q_arrival_time,
+    "arrival_time_compat": q_arrival_time_compat,
+    "flight_dedup": q_flight_dedup,
+    "best_item": q_best_item,
+})
