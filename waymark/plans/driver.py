@@ -171,3 +171,97 @@ QUERIES.update({
     "flight_dedup": q_flight_dedup,
     "best_item": q_best_item,
 })
+
+
+# --- payloads and topic records ----------------------------------------------------
+
+from waymark.constants import BEST_BUCKET, ORIGIN_CITY  # noqa: E402
+from waymark.sources import payloads, topics  # noqa: E402
+
+HOTEL_ITEM_FROM_LINEITEM = {
+    "city_trans": "CAST(l_suppkey AS STRING)",
+    "hotel_name": "CAST(l_partkey AS STRING)",
+    "min_total_price": "l_extendedprice",
+    "currencycode": "l_returnflag",
+    "longitude": "l_discount",
+    "latitude": "l_tax",
+    "review_score": "l_quantity",
+}
+
+
+def hotel_responses(spark: SparkSession, base: str) -> DataFrame:
+    """One response page per (city, month, order): bounded by an order's line count."""
+    li = read_table(spark, base, "lineitem").withColumn(
+        "checkin_date", F.trunc(F.to_date("l_shipdate"), "month"))
+    items = {k: F.expr(v) for k, v in HOTEL_ITEM_FROM_LINEITEM.items()}
+    return payloads.hotel_payload_of(li, ["l_suppkey", "checkin_date", "l_orderkey"], items) \
+                   .drop("l_suppkey", "l_orderkey")
+
+
+def q_hotel_payload_parse(spark: SparkSession, base: str) -> DataFrame:
+    return payloads.parse_hotel_payload(hotel_responses(spark, base))
+
+
+def flight_responses(spark: SparkSession, base: str) -> DataFrame:
+    """One search response per event: purchases carry the chosen bucket, every event
+    with ``event_id % 10 == 0`` has an empty item list, error events have no itineraries."""
+    ev = _events(spark, base)
+    leg = F.struct(
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("departure"),
+        F.floor("value").cast("int").alias("durationInMinutes"),
+        F.pmod("user_id", F.lit(3)).cast("int").alias("stopCount"),
+        F.struct(F.array(F.struct(F.col("event_type").alias("name"))).alias("marketing")).alias("carriers"))
+    item = F.struct(F.struct(F.col("value").alias("raw")).alias("price"), F.array(leg).alias("legs"))
+    items = F.when(F.col("event_id") % 10 == 0, F.filter(F.array(item), lambda x: F.lit(False))) \
+             .otherwise(F.array(item))
+    bucket = F.struct(F.when(F.col("event_type") == "purchase", F.lit(BEST_BUCKET))
+                      .otherwise(F.lit("Cheapest")).alias("id"), items.alias("items"))
+    body = F.when(F.col("event_type") == "error",
+                  F.to_json(F.struct(F.lit("rate limited").alias("message")))) \
+            .otherwise(F.to_json(F.struct(F.struct(F.array(bucket).alias("buckets")).alias("itineraries"))))
+    return ev.select(F.to_date("ts").alias("date"), F.lit(ORIGIN_CITY).alias("origin"),
+                     F.col("user_id").cast("string").alias("destination"),
+                     F.col("ts").alias("import_date"), body.alias("payload"))
+
+
+def q_flight_payload_parse(spark: SparkSession, base: str) -> DataFrame:
+    return payloads.parse_flight_payload(flight_responses(spark, base))
+
+
+def q_payload_rejects(spark: SparkSession, base: str) -> DataFrame:
+    return payloads.flight_payload_rejects(flight_responses(spark, base))
+
+
+def _event_records(spark: SparkSession, base: str, value: str) -> DataFrame:
+    ev = _events(spark, base)
+    return ev.select(F.col("event_id").cast("string").alias("key"), F.col(value).alias("value"),
+                     F.col("ts").alias("timestamp"))
+
+
+def q_topic_encode(spark: SparkSession, base: str) -> DataFrame:
+    return topics.encode_records(_events(spark, base), key="event_id")
+
+
+def q_topic_decode(spark: SparkSession, base: str) -> DataFrame:
+    return topics.decode_records(_event_records(spark, base, "props"), "k BIGINT", keep=["key"])
+
+
+def q_topic_roundtrip(spark: SparkSession, base: str) -> DataFrame:
+    ev = _events(spark, base)
+    records = topics.encode_records(ev, key="event_id")
+    return topics.decode_records(records, ev.schema, timestamp=None)
+
+
+def q_topic_counts(spark: SparkSession, base: str) -> DataFrame:
+    return topics.record_counts(_events(spark, base).withColumnRenamed("event_type", "topic"))
+
+
+QUERIES.update({
+    "hotel_payload_parse": q_hotel_payload_parse,
+    "flight_payload_parse": q_flight_payload_parse,
+    "payload_rejects": q_payload_rejects,
+    "topic_encode": q_topic_encode,
+    "topic_decode": q_topic_decode,
+    "topic_roundtrip": q_topic_roundtrip,
+    "topic_counts": q_topic_counts,
+})
