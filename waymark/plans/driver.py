@@ -265,3 +265,123 @@ QUERIES.update({
     "topic_roundtrip": q_topic_roundtrip,
     "topic_counts": q_topic_counts,
 })
+
+
+# --- catalogue, sets, reports -------------------------------------------------------
+
+from waymark.operators import catalog, reports, sets  # noqa: E402
+
+SELECTED_COUNTRY = "NATION_1"
+SELECTED_DAY = "1995-01-20"
+HOME_NATION = "NATION_0"
+
+
+def _capitals(spark: SparkSession, base: str) -> DataFrame:
+    """Capital catalogue: one row per nation with its region as the country."""
+    nation = read_table(spark, base, "nation")
+    region = read_table(spark, base, "region")
+    return nation.join(region, nation.n_regionkey == region.r_regionkey, "inner").select(
+        "n_nationkey", F.col("n_name").alias("capital"), F.col("r_name").alias("country"))
+
+
+def q_request_plan(spark: SparkSession, base: str) -> DataFrame:
+    return catalog.request_plan(_capitals(spark, base), REF_DATE, n_days=3, offset=1)
+
+
+def q_filter_by_country(spark: SparkSession, base: str) -> DataFrame:
+    supplier = read_table(spark, base, "supplier").withColumnRenamed("s_nationkey", "city")
+    nations = read_table(spark, base, "nation")
+    return catalog.filter_by_country(supplier, nations, SELECTED_COUNTRY,
+                                     capital_col="n_nationkey", catalog_country_col="n_name")
+
+
+def q_filter_by_day(spark: SparkSession, base: str) -> DataFrame:
+    orders = read_table(spark, base, "orders")
+    return catalog.filter_by_day(orders, SELECTED_DAY, columns=("date", "checkin_date", "o_orderdate"))
+
+
+def q_catalog_options(spark: SparkSession, base: str) -> DataFrame:
+    nations = read_table(spark, base, "nation")
+    return catalog.catalog_options(nations.withColumnRenamed("n_name", "country"), "country",
+                                   "2024-01-11", n_days=4)
+
+
+def q_union_by_name(spark: SparkSession, base: str) -> DataFrame:
+    return sets.union_by_name(read_table(spark, base, "orders"), read_table(spark, base, "lineitem"))
+
+
+def _points(spark: SparkSession, base: str) -> DataFrame:
+    return sets.map_points({
+        "monument": (read_table(spark, base, "customer"), "c_name", "c_acctbal", "c_nationkey"),
+        "hotel": (read_table(spark, base, "supplier"), "s_name", "s_acctbal", "s_nationkey"),
+    })
+
+
+def q_map_points(spark: SparkSession, base: str) -> DataFrame:
+    return _points(spark, base)
+
+
+def q_geo_midpoint(spark: SparkSession, base: str) -> DataFrame:
+    ev = _events(spark, base).select("event_type", F.col("value").alias("lon"),
+                                     F.col("user_id").cast("double").alias("lat"))
+    return reports.geo_midpoint(ev, ["event_type"])
+
+
+def q_price_extremes(spark: SparkSession, base: str) -> DataFrame:
+    li = read_table(spark, base, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return reports.price_flags(li, "l_extendedprice", rounded=False)
+
+
+def q_price_board(spark: SparkSession, base: str) -> DataFrame:
+    ev = _events(spark, base).select(
+        F.col("event_type").alias("destination"), F.to_date("ts").alias("date"),
+        timefn.clock_of_ts("ts").alias("time"),
+        F.pmod("user_id", F.lit(3)).cast("int").alias("n_connections"),
+        F.col("value").alias("price"))
+    return reports.price_flags(ev, "price", group=["destination"], rounded=True)
+
+
+def q_monument_list(spark: SparkSession, base: str) -> DataFrame:
+    part = read_table(spark, base, "part").select("p_brand", "p_name", "p_partkey")
+    return reports.numbered(part, ["p_brand"], ["p_name", "p_partkey"])
+
+
+def q_trip_report(spark: SparkSession, base: str) -> DataFrame:
+    nation = read_table(spark, base, "nation")
+    plan = nation.select(F.col("n_nationkey").alias("nationkey"), F.col("n_name").alias("country"))
+    customer = read_table(spark, base, "customer")
+    orders = read_table(spark, base, "orders")
+    supplier = read_table(spark, base, "supplier")
+    # flight side: each nation's latest order (order date, then key), as text
+    joined = orders.join(customer, orders.o_custkey == customer.c_custkey, "inner")
+    last = joined.groupBy(F.col("c_nationkey").alias("nationkey")).agg(
+        F.max_by(F.struct("o_orderkey", "o_orderdate", "o_totalprice"),
+                 F.struct("o_orderdate", "o_orderkey")).alias("o"))
+    flights = last.select("nationkey", F.format_string(
+        "order %d on %s for %.2f", F.col("o.o_orderkey"),
+        F.date_format("o.o_orderdate", "yyyy-MM-dd"), F.col("o.o_totalprice")).alias("flight"))
+    # hotel side: three suppliers with the highest balance
+    hotels = reports.top_slots(
+        supplier.withColumnRenamed("s_nationkey", "nationkey"), ["nationkey"],
+        F.format_string("%s (%.2f)", F.col("s_name"), F.col("s_acctbal")),
+        [F.col("s_acctbal").desc(), F.col("s_suppkey")])
+    # monument side: how many customers the nation has
+    monuments = customer.groupBy(F.col("c_nationkey").alias("nationkey")).agg(
+        F.format_string("%d monuments", F.count(F.lit(1))).alias("monuments"))
+    return reports.trip_report(plan, ["nationkey"], "country", HOME_NATION,
+                               flights=flights, hotels=hotels, monuments=monuments)
+
+
+QUERIES.update({
+    "request_plan": q_request_plan,
+    "filter_by_country": q_filter_by_country,
+    "filter_by_day": q_filter_by_day,
+    "catalog_options": q_catalog_options,
+    "union_by_name": q_union_by_name,
+    "map_points": q_map_points,
+    "geo_midpoint": q_geo_midpoint,
+    "price_extremes": q_price_extremes,
+    "price_board": q_price_board,
+    "monument_list": q_monument_list,
+    "trip_report": q_trip_report,
+})
