@@ -385,3 +385,75 @@ QUERIES.update({
     "monument_list": q_monument_list,
     "trip_report": q_trip_report,
 })
+
+
+# --- tables, files, casts, streams ---------------------------------------------------
+
+from waymark.session import scratch_path  # noqa: E402
+from waymark.sources import delimited, sinks  # noqa: E402
+from waymark.streaming import history  # noqa: E402
+
+
+def q_key_check(spark: SparkSession, base: str) -> DataFrame:
+    li = read_table(spark, base, "lineitem")
+    return sinks.key_violations(li, ["l_orderkey", "l_linenumber"])
+
+
+def q_typed_cast(spark: SparkSession, base: str) -> DataFrame:
+    o = read_table(spark, base, "orders")
+    return o.select(
+        "o_orderkey",
+        F.floor("o_totalprice").cast("int").alias("total_int"),
+        F.to_date("o_orderdate").alias("order_date"),
+        F.substring_index("o_orderpriority", "-", 1).try_cast("int").alias("priority"))
+
+
+def q_date_format(spark: SparkSession, base: str) -> DataFrame:
+    o = read_table(spark, base, "orders")
+    return o.select("o_orderkey", timefn.to_iso_date_text("o_orderdate").alias("order_day"),
+                    F.date_format("o_orderdate", "yyyy-MM").alias("order_month"))
+
+
+def q_table_scan(spark: SparkSession, base: str) -> DataFrame:
+    return read_table(spark, base, "orders")
+
+
+def q_table_overwrite(spark: SparkSession, base: str) -> DataFrame:
+    """Write the whole table, then replace it with one status: the scan sees only the second write."""
+    orders = read_table(spark, base, "orders")
+    path = scratch_path(spark, "orders-table")
+    sinks.overwrite_table(sinks.conform(orders, orders.schema), path)
+    sinks.overwrite_table(orders.filter(F.col("o_orderstatus") == "F"), path)
+    return spark.read.parquet(path)
+
+
+def q_csv_reference_load(spark: SparkSession, base: str) -> DataFrame:
+    """Supplier catalogue written as ';' / decimal-comma text, read back typed."""
+    supplier = read_table(spark, base, "supplier")
+    path = scratch_path(spark, "supplier-csv")
+    delimited.write_delimited(supplier, path)
+    return delimited.read_delimited(spark, path, supplier.schema)
+
+
+def q_stream_latest(spark: SparkSession, base: str) -> DataFrame:
+    """Events arrive as four files in time order; a stream appends them to a history
+    table (one micro-batch per file); latest import per key is read from the history."""
+    ev = _events(spark, base).select(*EVENT_COLUMNS)
+    source = scratch_path(spark, "events-arrivals")
+    ev.repartitionByRange(4, "ts").write.parquet(source)
+    sink, ckpt = scratch_path(spark, "events-history"), scratch_path(spark, "events-history-ckpt")
+    query = history.start_history(history.file_stream(spark, source, ev.schema, max_files_per_trigger=1),
+                                  sink, ckpt)
+    query.awaitTermination()
+    return latest.latest_per_key(spark.read.parquet(sink), ["user_id", "event_type"], ts="ts")
+
+
+QUERIES.update({
+    "key_check": q_key_check,
+    "typed_cast": q_typed_cast,
+    "date_format": q_date_format,
+    "table_scan": q_table_scan,
+    "table_overwrite": q_table_overwrite,
+    "csv_reference_load": q_csv_reference_load,
+    "stream_latest": q_stream_latest,
+})
