@@ -38,7 +38,7 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], ts: str = "import_date",
         raise ValueError(f"unknown method {method!r}")
     last = clean.groupBy(*keys).agg(F.max(ts).alias(ts))
     side, _ = bounded_broadcast(last, broadcast_max_bytes)
-    return clean.join(side, [*keys, ts], "left_semi")
+    return clean.join(side, [*keys, ts], "left_semi").select(*df.columns)
 
 
 def date_window(df: DataFrame, column: str, start: str | _dt.date | Column,

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,10 +54,18 @@ FLIGHT_PAYLOAD = T.StructType([
 ])
 
 REJECT_REASON = "reject_reason"
+CORRUPT = "_corrupt_record"
 
 
 def _parsed(df: DataFrame, payload: str, schema: T.StructType) -> DataFrame:
-    return df.withColumn("_payload", F.from_json(F.col(payload), schema, {"mode": "PERMISSIVE"}))
+    """``_payload`` struct; text that is not JSON lands in ``_payload._corrupt_record``."""
+    with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
+    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    return df.withColumn("_payload", F.from_json(F.col(payload), with_corrupt, opts))
+
+
+def _unparsable() -> Column:
+    return F.col("_payload").isNull() | F.col(f"_payload.{CORRUPT}").isNotNull()
 
 
 def _carry(df: DataFrame, payload: str) -> list[str]:
@@ -76,7 +84,7 @@ def parse_hotel_payload(responses: DataFrame, payload: str = "payload") -> DataF
 def hotel_payload_rejects(responses: DataFrame, payload: str = "payload") -> DataFrame:
     """Responses that are not JSON or have no ``result`` array."""
     p = _parsed(responses, payload, HOTEL_PAYLOAD)
-    reason = (F.when(F.col("_payload").isNull(), F.lit("unparsable payload"))
+    reason = (F.when(_unparsable(), F.lit("unparsable payload"))
                .when(F.col("_payload.result").isNull(), F.lit("missing result")))
     return (p.withColumn(REJECT_REASON, reason).filter(F.col(REJECT_REASON).isNotNull())
              .drop("_payload"))
@@ -96,7 +104,7 @@ def _best_buckets(responses: DataFrame, payload: str, bucket_id: str) -> tuple[D
 
 def _flight_reason():
     """Why a response gives no flight (NULL: it gives one, or has no chosen bucket)."""
-    return (F.when(F.col("_payload").isNull(), F.lit("unparsable payload"))
+    return (F.when(_unparsable(), F.lit("unparsable payload"))
              .when(F.col("_payload.itineraries.buckets").isNull(), F.lit("missing itineraries"))
              .when(F.col("_b").isNull(), F.lit(None))  # no chosen bucket: not an error
              .when(F.col("_item").isNull(), F.lit("bucket without items"))

@@ -51,9 +51,14 @@ def decode_records(records: DataFrame, schema: T.StructType | str, value: str =
 
 def undecodable_records(records: DataFrame, schema: T.StructType | str,
                         value: str = "value") -> DataFrame:
-    """Records whose value is not a JSON object of the schema."""
-    parsed = F.from_json(F.col(value).cast("string"), schema, JSON_READ_OPTIONS)
-    return records.filter(F.col(value).isNotNull() & parsed.isNull())
+    """Records whose value is not JSON (kept whole, for a quarantine table)."""
+    spark = records.sparkSession
+    struct = spark.createDataFrame([], schema).schema if isinstance(schema, str) else schema
+    probe = T.StructType(struct.fields + [T.StructField("_corrupt_record", T.StringType())])
+    opts = dict(JSON_READ_OPTIONS, columnNameOfCorruptRecord="_corrupt_record")
+    parsed = F.from_json(F.col(value).cast("string"), probe, opts)
+    return records.filter(F.col(value).isNotNull()
+                          & (parsed.isNull() | parsed["_corrupt_record"].isNotNull()))
 
 
 def record_counts(df: DataFrame, topic: str = "topic") -> DataFrame:
