@@ -145,3 +145,26 @@ def test_publish_renames(spark):
     assert out.columns == ["checkin_date", "city", "name", "price", "longitude", "latitude",
                            "rating", "import_date"]
     assert out.count() == 3
+
+
+def test_salted_path_on_hot_group(spark):
+    """Range table over budget + a hot group: salted join and two-stage rank give the same rows."""
+    import random
+    rnd = random.Random(11)
+    rows = [("Hot", f"h{i}", float(rnd.randint(40, 90)), "EUR", float(rnd.randint(1, 9)))
+            for i in range(600)]
+    rows += [(f"C{i % 9}", f"c{i}", float(rnd.randint(40, 90)), "EUR", float(rnd.randint(1, 9)))
+             for i in range(90)]
+    rows += [("Flat", f"f{i}", 50.0 + i, "EUR", 7.0) for i in range(30)]  # all-NULL scores
+    df = offers(spark, rows)
+    expect = sorted(hotels.hotel_top3(df).collect())
+    spark.conf.set("waymark.skew.rowsPerTask", "50")
+    try:
+        scored = hotels.hotel_score(df, broadcast_max_bytes=0)
+        assert "_salt" in scored.columns
+        assert scored.filter("city_trans = 'Hot'").select("_salt").distinct().count() > 1
+        got = sorted(hotels.hotel_top_k(scored).collect())
+    finally:
+        spark.conf.unset("waymark.skew.rowsPerTask")
+    assert got == expect
+    assert sum(1 for r in got if r.city_trans == "Flat") == 30

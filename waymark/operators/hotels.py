@@ -24,12 +24,12 @@ from pyspark.sql import functions as F
 
 from waymark.constants import CURRENCY, PRICE_MAX_POINTS, REVIEW_MAX_POINTS, TOP_K
 from waymark.functions.scoring import nan_to_null, price_points, review_points
-from waymark.plans.strategy import bounded_broadcast
+from waymark.plans.strategy import SALT, bounded_broadcast, salted_join
 
 HOTEL_KEYS = ("city_trans", "checkin_date")
 
 RANGE_COLUMNS = ("max_price", "min_price", "max_review", "min_review",
-                 "diff_price", "diff_review", "n_rated")
+                 "diff_price", "diff_review", "n_rated", "n_offers")
 
 
 def _prepare(offers: DataFrame, keys: Sequence[str], price: str, review: str,
@@ -52,7 +52,8 @@ def hotel_range(offers: DataFrame, keys: Sequence[str] = HOTEL_KEYS,
     return (df.groupBy(*keys)
             .agg(F.max(p).alias("max_price"), F.min(p).alias("min_price"),
                  F.max(r).alias("max_review"), F.min(r).alias("min_review"),
-                 F.count(F.when(p.isNotNull() & r.isNotNull(), F.lit(1))).alias("n_rated"))
+                 F.count(F.when(p.isNotNull() & r.isNotNull(), F.lit(1))).alias("n_rated"),
+                 F.count(F.lit(1)).alias("n_offers"))
             .withColumn("diff_price", F.col("max_price") - F.col("min_price"))
             .withColumn("diff_review", F.col("max_review") - F.col("min_review")))
 
@@ -63,13 +64,20 @@ def hotel_score(offers: DataFrame, keys: Sequence[str] = HOTEL_KEYS,
                 ranges: DataFrame | None = None,
                 price_max: int = PRICE_MAX_POINTS, review_max: int = REVIEW_MAX_POINTS,
                 broadcast_max_bytes: int | None = None) -> DataFrame:
-    """Every offer of the currency with price, review and total points."""
+    """Every offer of the currency with price, review and total points.
+
+    Under the broadcast budget the range table is broadcast and offers never
+    shuffle. Above it, the join is a salted shuffle join: groups with more than
+    ``waymark.skew.rowsPerTask`` offers are split over several tasks, and the
+    output carries the ``_salt`` bucket (which ``hotel_top_k`` ranks within first).
+    """
     keys = list(keys)
     df = _prepare(offers, keys, price, review, currency_col, currency)
     if ranges is None:
         ranges = hotel_range(offers, keys, price, review, currency_col, currency)
-    side, _ = bounded_broadcast(ranges, broadcast_max_bytes)
-    return (df.join(side, keys, "inner")
+    side, fits = bounded_broadcast(ranges, broadcast_max_bytes, name="hotel-ranges")
+    joined = df.join(side, keys, "inner") if fits else salted_join(df, side, keys, "n_offers")
+    return (joined
             .withColumn("price_points", price_points(price, "min_price", "diff_price", price_max))
             .withColumn("review_points", review_points(review, "min_review", "diff_review", review_max))
             .withColumn("total_points", F.col("price_points") + F.col("review_points")))
@@ -80,7 +88,9 @@ def hotel_top_k(scored: DataFrame, keys: Sequence[str] = HOTEL_KEYS, k: int = TO
     """Rows with ``rank() <= k`` per group by score descending, NULL scores last, ties kept.
 
     ``scored`` must carry ``n_rated``, ``diff_price`` and ``diff_review`` (as
-    ``hotel_score`` output does).
+    ``hotel_score`` output does). If it carries a ``_salt`` bucket (salted join),
+    rows are first ranked inside their bucket, where they already sit, and only
+    each bucket's top ``k`` (with ties) goes on to the group-wide rank.
     """
     keys = list(keys)
     s = F.col(score)
@@ -89,7 +99,12 @@ def hotel_top_k(scored: DataFrame, keys: Sequence[str] = HOTEL_KEYS, k: int = TO
                       F.col("n_rated")).otherwise(F.lit(0)).cast("bigint")
     # NULL scores rank right after the scored rows; keep them only if that rank <= k
     candidates = scored.filter(s.isNotNull() | (n_scored < k))
-    bucket = F.when(s.isNull(), F.pmod(F.xxhash64(*[F.col(c) for c in scored.columns]),
+    if SALT in scored.columns:
+        in_bucket = Window.partitionBy(*keys, SALT).orderBy(s.desc_nulls_last())
+        candidates = (candidates.withColumn("_rank", F.rank().over(in_bucket))
+                                .filter((F.col("_rank") <= k) | s.isNull())
+                                .drop("_rank", SALT))
+    bucket = F.when(s.isNull(), F.pmod(F.xxhash64(*[F.col(c) for c in candidates.columns]),
                                        F.lit(spread))).otherwise(F.lit(-1))
     candidates = candidates.withColumn("_spread", bucket)
     w = Window.partitionBy(*keys, "_spread").orderBy(s.desc_nulls_last())

@@ -1,9 +1,10 @@
 """Join-side sizing.
 
-A side is broadcast only after its size has been proven: it is materialised
-once with a reliable ``checkpoint()`` (into ``spark.checkpoint.dir``, which also
-cuts lineage so a lost executor does not recompute the aggregate), its rows are
-counted up to a bound, and only a side under the bound gets the broadcast hint.
+A side is broadcast only after its size has been proven: it is written once as
+a parquet table under ``spark.checkpoint.dir`` (shared storage on a cluster;
+this also cuts lineage, so a lost executor never recomputes the aggregate), its
+exact row count is read from the file footers, and only a side whose rows times
+the row width fit the budget gets the broadcast hint.
 A larger side is returned unhinted, so the planner shuffles both sides (sort
 merge join, with AQE's skew-join splitting for hot keys).
 """
@@ -16,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from waymark.session import scratch_path
+
 DEFAULT_BROADCAST_BYTES = 10 * 1024 * 1024
 
 _SIZE_UNITS = {"": 1, "b": 1, "k": 1024, "kb": 1024, "m": 1024 ** 2, "mb": 1024 ** 2,
@@ -58,17 +61,68 @@ def row_bytes(schema: T.StructType) -> int:
     return 16 + sum(_type_bytes(f.dataType) + 8 for f in schema.fields)
 
 
-def bounded_broadcast(df: DataFrame, max_bytes: int | None = None) -> tuple[DataFrame, bool]:
+def materialize(df: DataFrame, name: str = "side") -> DataFrame:
+    """Write ``df`` once as parquet under the shared checkpoint root and read it back."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def bounded_broadcast(df: DataFrame, max_bytes: int | None = None,
+                      name: str = "side") -> tuple[DataFrame, bool]:
     """Materialise ``df`` and hint it for broadcast only if it fits ``max_bytes``.
 
-    Returns ``(side, broadcast?)``. The side is always the checkpointed copy, so
-    the caller never recomputes it.
+    Returns ``(side, broadcast?)``. The side is always the materialised copy, so
+    the caller never recomputes it; the row count costs only footer reads.
     """
     spark = df.sparkSession
     budget = broadcast_budget(spark) if max_bytes is None else max_bytes
-    side = df.checkpoint(eager=True)
+    side = materialize(df, name)
     if budget <= 0:
         return side, False
-    max_rows = max(budget // row_bytes(df.schema), 0)
-    fits = side.limit(max_rows + 1).count() <= max_rows
+    fits = side.count() * row_bytes(df.schema) <= budget
     return (F.broadcast(side) if fits else side), fits
+
+
+DEFAULT_ROWS_PER_TASK = 1_000_000
+SALT = "_salt"
+
+
+def rows_per_task(spark: SparkSession) -> int:
+    """Target rows of one key per task before the key counts as hot (``waymark.skew.rowsPerTask``)."""
+    return int(spark.conf.get("waymark.skew.rowsPerTask", str(DEFAULT_ROWS_PER_TASK)))
+
+
+def salted_join(big: DataFrame, per_key: DataFrame, keys: list[str], count_col: str,
+                how: str = "inner", hot_rows: int | None = None,
+                max_salt: int = 4096) -> DataFrame:
+    """Shuffle join of ``big`` with a one-row-per-key table whose ``count_col`` holds the
+    number of ``big`` rows of the key; hot keys are split over salt buckets.
+
+    A key with more than ``hot_rows`` rows gets ``ceil(n / hot_rows)`` buckets;
+    its rows pick a bucket by a hash of their content, and its ``per_key`` row is
+    repeated once per bucket, so the hot key is joined by that many tasks. The
+    hot-key list has at most ``rows(big) / hot_rows`` entries; it is broadcast
+    only after that size is checked (if it does not fit, the bar is raised until
+    it does). The result carries the bucket in ``_salt``
+    (always 0 for other keys), and is hash-partitioned on ``keys + [_salt]``.
+    """
+    spark = big.sparkSession
+    hot_rows = hot_rows or rows_per_task(spark)
+    budget = broadcast_budget(spark)
+    while True:  # raise the bar until the hot-key list provably fits in memory
+        n_salt = F.least(F.ceil(F.col(count_col) / F.lit(hot_rows)), F.lit(max_salt)).cast("int")
+        hot = per_key.filter(F.col(count_col) > hot_rows).select(*keys, n_salt.alias("_n_salt"))
+        hot_side, fits = bounded_broadcast(hot, max(budget, 1), name="hot-keys")
+        if fits:
+            break
+        hot_rows *= 4
+    buckets = F.coalesce(F.col("_n_salt"), F.lit(1))
+    salted_big = (big.join(hot_side, keys, "left")
+                     .withColumn(SALT, F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), buckets).cast("int"))
+                     .drop("_n_salt"))
+    salted_keys = (per_key.join(hot_side, keys, "left")
+                          .withColumn(SALT, F.explode(F.sequence(F.lit(0), buckets - 1)))
+                          .drop("_n_salt"))
+    return salted_big.join(salted_keys, [*keys, SALT], how)
