@@ -100,3 +100,13 @@ def test_top_slots_and_trip(spark):
     assert trips["Spain"].flight == reports.NO_FLIGHTS and trips["Spain"].hotel_1 == reports.NO_HOTELS
     assert (trips["France"].hotel_1, trips["France"].hotel_2, trips["France"].hotel_3) == ("B", "A", None)
     assert trips["Italy"].monuments == reports.NO_MONUMENTS
+
+
+def test_country_aliases_opt_in(spark):
+    from waymark.constants import COUNTRY_ALIASES
+    c = spark.createDataFrame([("United Kingdom", "London", "LHR", -9)], CAP_COLS)
+    mon = spark.createDataFrame([("Stonehenge", "England"), ("Castle", "Scotland"), ("X", "France")],
+                                "name string, country string")
+    assert catalog.filter_by_country(mon, c, "United Kingdom").count() == 0
+    got = catalog.filter_by_country(mon, c, "United Kingdom", aliases=COUNTRY_ALIASES)
+    assert sorted(r.name for r in got.collect()) == ["Castle", "Stonehenge"]

@@ -84,3 +84,22 @@ def test_partition_overwrite_idempotent(spark):
 def test_key_violations(spark):
     df = spark.createDataFrame([(1, 1), (1, 1), (1, 2)], "a int, b int")
     assert [(r.a, r.b, r.n_rows) for r in sinks.key_violations(df, ["a", "b"]).collect()] == [(1, 1, 2)]
+
+
+def test_catalogue_loaders(spark):
+    path = scratch_path(spark, "catalogue")
+    os.makedirs(f"{path}/cap", exist_ok=True)
+    os.makedirs(f"{path}/mon", exist_ok=True)
+    with open(f"{path}/cap/c.csv", "w", encoding="utf-8") as fh:
+        fh.write("﻿country;capital;airport_code;dest_id_booking\r\nAustria;Vienna;VIE;-100\r\n"
+                 "Portugal;Lisbon;LIS;-200\r\n")
+    with open(f"{path}/mon/m.csv", "w", encoding="utf-8") as fh:
+        fh.write("﻿ID;name;Region;country;Geographic Area;Continent;latitude;longitude;"
+                 "Latitude 2;Longitude 2;Latitude 3;Longitude 3\r\n"
+                 "7;Torre;Lisboa ;Portugal;South Europe;Europe;38,6916;-9,216;;;;\r\n")
+    caps = delimited.read_capitals(spark, f"{path}/cap").collect()
+    assert [(r.country, r.capital, r.dest_id_booking) for r in caps] == [
+        ("Austria", "Vienna", -100), ("Portugal", "Lisbon", -200)]
+    mons = delimited.read_monuments(spark, f"{path}/mon").collect()
+    assert [(r.name, r.country, r.longitude, r.latitude) for r in mons] == [
+        ("Torre", "Portugal", -9.216, 38.6916)]

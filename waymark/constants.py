@@ -19,4 +19,8 @@ ORIGIN_CITY = "Vienna"         # every flight departs here
 HOME_COUNTRY = "Austria"       # trips to this country need no flight
 CSV_SEPARATOR = ";"            # catalogue files are ';' separated
 CSV_DECIMAL = ","              # catalogue files use a decimal comma
+# country names used by the monument catalogue for a catalogue country (opt-in, quirk Q13)
+COUNTRY_ALIASES = {
+    "United Kingdom": ["England", "Scotland", "Wales", "North Ireland"],
+}
 # ---------------------------------------------------------------------------

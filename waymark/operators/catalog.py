@@ -44,12 +44,15 @@ def catalog_options(catalog: DataFrame, country_col: str, start: str | _dt.date
 def filter_by_country(data: DataFrame, capitals: DataFrame, country: str, *,
                       capital_col: str = "capital", catalog_country_col: str = "country",
                       destination_col: str = "destination", country_col: str = "country",
-                      city_col: str = "city") -> DataFrame:
+                      city_col: str = "city",
+                      aliases: dict[str, list[str]] | None = None) -> DataFrame:
     """Rows for one country.
 
     Precedence: a ``destination`` column matches the country's capitals, else a
     ``country`` column matches the name, else a ``city`` column matches the
-    capitals. A table with none of them is returned unchanged.
+    capitals. A table with none of them is returned unchanged. ``aliases``
+    (e.g. ``constants.COUNTRY_ALIASES``, off by default) lets a ``country``
+    column also match the other names a catalogue uses for the same country.
     """
     def in_capitals(col: str) -> DataFrame:
         chosen = capitals.filter(F.col(catalog_country_col) == F.lit(country)).select(
@@ -59,7 +62,8 @@ def filter_by_country(data: DataFrame, capitals: DataFrame, country: str, *,
     if destination_col in data.columns:
         return in_capitals(destination_col)
     if country_col in data.columns:
-        return data.filter(F.col(country_col) == F.lit(country))
+        names = [country, *((aliases or {}).get(country, []))]
+        return data.filter(F.col(country_col).isin(names))
     if city_col in data.columns:
         return in_capitals(city_col)
     return data

@@ -123,8 +123,9 @@ def trip_report(plan: DataFrame, keys: Sequence[str], country_col: str, home_cou
     """Flight + up to ``k`` hotels + monuments for every row of the plan.
 
     ``flights`` is ``keys + flight`` (one row per key), ``hotels`` is ``top_slots``
-    output, ``monuments`` is ``keys + monuments``. A missing side becomes a
-    message; the home country needs no flight.
+    output, ``monuments`` is ``keys + monuments`` (or the plan already carries a
+    ``monuments`` column). A missing side becomes a message; the home country
+    needs no flight.
     """
     keys = list(keys)
     out = plan
@@ -139,5 +140,5 @@ def trip_report(plan: DataFrame, keys: Sequence[str], country_col: str, home_cou
     for i in range(2, k + 1):
         if hotels is None:
             out = out.withColumn(f"hotel_{i}", F.lit(None).cast("string"))
-    mon = F.col("monuments") if monuments is not None else F.lit(None).cast("string")
+    mon = F.col("monuments") if "monuments" in out.columns else F.lit(None).cast("string")
     return out.withColumn("monuments", F.coalesce(mon, F.lit(NO_MONUMENTS)))

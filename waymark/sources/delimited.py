@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from waymark import schemas
 from waymark.constants import CSV_DECIMAL, CSV_SEPARATOR
 
 _NUMERIC = (T.DoubleType, T.FloatType, T.DecimalType)
@@ -71,3 +72,13 @@ def write_delimited(df: DataFrame, path: str, sep: str = CSV_SEPARATOR, decimal:
             c = F.replace(c.cast("string"), F.lit("."), F.lit(decimal))
         cols.append(c.alias(f.name))
     df.select(*cols).write.mode(mode).option("header", "true").option("sep", sep).csv(path)
+
+
+def read_capitals(spark: SparkSession, path: str) -> DataFrame:
+    """Capital catalogue: country, capital, airport code, hotel-site destination id."""
+    return read_delimited(spark, path, schemas.CAPITAL_FILE)
+
+
+def read_monuments(spark: SparkSession, path: str) -> DataFrame:
+    """Monument catalogue, the loaded subset: name, country, longitude, latitude."""
+    return read_delimited(spark, path, schemas.MONUMENT_FILE, columns=schemas.MONUMENT.fieldNames())
