@@ -3,7 +3,7 @@
 A side is broadcast only after its size has been proven: it is written once as
 a parquet table under ``spark.checkpoint.dir`` (shared storage on a cluster;
 this also cuts lineage, so a lost executor never recomputes the aggregate), its
-exact row count is read from the file footers, and only a side whose rows times
+exact row count is observed while it is written, and only a side whose rows times
 the row width fit the budget gets the broadcast hint.
 A larger side is returned unhinted, so the planner shuffles both sides (sort
 merge join, with AQE's skew-join splitting for hot keys).
@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,33 +40,37 @@ def broadcast_budget(spark: SparkSession) -> int:
     return _parse_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB"))
 
 
-def _type_bytes(dt: T.DataType) -> int:
-    if isinstance(dt, (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType)):
-        return 8
-    if isinstance(dt, (T.IntegerType, T.FloatType, T.DateType)):
-        return 4
-    if isinstance(dt, (T.ShortType, T.ByteType, T.BooleanType)):
-        return 2
-    if isinstance(dt, T.DecimalType):
-        return 16
-    if isinstance(dt, T.StringType):
+def _var_bytes(dt: T.DataType) -> int:
+    """Allowance for the variable-length part of a value (0 for fixed-width types)."""
+    if isinstance(dt, (T.StringType, T.BinaryType)):
         return 32
+    if isinstance(dt, T.DecimalType):
+        return 0 if dt.precision <= 18 else 16
     if isinstance(dt, T.StructType):
-        return sum(_type_bytes(f.dataType) for f in dt.fields)
-    return 64
+        return 8 * len(dt.fields) + sum(_var_bytes(f.dataType) for f in dt.fields)
+    if isinstance(dt, (T.ArrayType, T.MapType)):
+        return 128
+    return 0
 
 
 def row_bytes(schema: T.StructType) -> int:
-    """Rough in-memory row width (fixed part + string allowance + row header)."""
-    return 16 + sum(_type_bytes(f.dataType) + 8 for f in schema.fields)
+    """In-memory width of one row in a broadcast hash relation.
+
+    UnsafeRow layout (null bitset + one 8-byte slot per field + variable-length
+    data) plus 16 bytes of hash-table entry.
+    """
+    n = len(schema.fields)
+    return 8 * ((n + 63) // 64) + 8 * n + sum(_var_bytes(f.dataType) for f in schema.fields) + 16
 
 
-def materialize(df: DataFrame, name: str = "side") -> DataFrame:
-    """Write ``df`` once as parquet under the shared checkpoint root and read it back."""
+def materialize(df: DataFrame, name: str = "side") -> tuple[DataFrame, int]:
+    """Write ``df`` once as parquet under the shared checkpoint root; return it read back
+    and its exact row count (observed during the write, no extra pass)."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    seen = Observation(f"rows_{name}")
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path), int(seen.get["rows"])
 
 
 def bounded_broadcast(df: DataFrame, max_bytes: int | None = None,
@@ -74,14 +78,12 @@ def bounded_broadcast(df: DataFrame, max_bytes: int | None = None,
     """Materialise ``df`` and hint it for broadcast only if it fits ``max_bytes``.
 
     Returns ``(side, broadcast?)``. The side is always the materialised copy, so
-    the caller never recomputes it; the row count costs only footer reads.
+    the caller never recomputes it.
     """
     spark = df.sparkSession
     budget = broadcast_budget(spark) if max_bytes is None else max_bytes
-    side = materialize(df, name)
-    if budget <= 0:
-        return side, False
-    fits = side.count() * row_bytes(df.schema) <= budget
+    side, rows = materialize(df, name)
+    fits = budget > 0 and rows * row_bytes(df.schema) <= budget
     return (F.broadcast(side) if fits else side), fits
 
 
