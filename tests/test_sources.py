@@ -103,3 +103,15 @@ def test_catalogue_loaders(spark):
     mons = delimited.read_monuments(spark, f"{path}/mon").collect()
     assert [(r.name, r.country, r.longitude, r.latitude) for r in mons] == [
         ("Torre", "Portugal", -9.216, 38.6916)]
+
+
+def test_connector_options():
+    import pytest
+    from waymark.sources.tables import jdbc_options
+    o = jdbc_options("jdbc:postgresql://db:5432/x", "flight", user="u", password="p",
+                     partition_column="f_id", lower_bound=0, upper_bound=1000, num_partitions=8)
+    assert o["partitionColumn"] == "f_id" and o["numPartitions"] == "8" and o["dbtable"] == "flight"
+    with pytest.raises(ValueError):
+        jdbc_options("jdbc:x", "t", partition_column="id")
+    k = topics.kafka_source_options("broker:9092", "hotels")
+    assert k["subscribe"] == "hotels" and k["startingOffsets"] == "earliest"

@@ -34,3 +34,34 @@ def scan_columns(df: DataFrame, *columns: str) -> DataFrame:
 def sql_table(spark: SparkSession, text: str) -> DataFrame:
     """Result of SQL text over registered views, as a DataFrame."""
     return spark.sql(text)
+
+
+def jdbc_options(url: str, table: str, *, user: str | None = None, password: str | None = None,
+                 driver: str | None = None, partition_column: str | None = None,
+                 lower_bound: int | str | None = None, upper_bound: int | str | None = None,
+                 num_partitions: int | None = None, fetch_size: int = 10_000) -> dict[str, str]:
+    """Options for a relational table (S5 against a database; credentials come from the caller).
+
+    With ``partition_column`` and bounds the read is split into ``num_partitions``
+    parallel range queries instead of one connection pulling the whole table.
+    """
+    opts = {"url": url, "dbtable": table, "fetchsize": str(fetch_size)}
+    for key, value in (("user", user), ("password", password), ("driver", driver)):
+        if value is not None:
+            opts[key] = value
+    if partition_column is not None:
+        if lower_bound is None or upper_bound is None or not num_partitions:
+            raise ValueError("a partitioned read needs lower_bound, upper_bound and num_partitions")
+        opts.update(partitionColumn=partition_column, lowerBound=str(lower_bound),
+                    upperBound=str(upper_bound), numPartitions=str(num_partitions))
+    return opts
+
+
+def read_jdbc(spark: SparkSession, options: dict[str, str]) -> DataFrame:
+    """Table from a database through Spark's JDBC source (the driver jar must be on the classpath)."""
+    return spark.read.format("jdbc").options(**options).load()
+
+
+def write_jdbc(df: DataFrame, options: dict[str, str], mode: str = "append") -> None:
+    """Write through Spark's JDBC sink (append keeps history; see ``sinks`` for parquet tables)."""
+    df.write.format("jdbc").options(**options).mode(mode).save()
