@@ -110,3 +110,17 @@ def test_country_aliases_opt_in(spark):
     assert catalog.filter_by_country(mon, c, "United Kingdom").count() == 0
     got = catalog.filter_by_country(mon, c, "United Kingdom", aliases=COUNTRY_ALIASES)
     assert sorted(r.name for r in got.collect()) == ["Castle", "Stonehenge"]
+
+
+def test_price_flags_salted_path_same(spark):
+    rows = [("Hot", float(i % 97)) for i in range(500)] + [(f"D{i % 7}", float(i)) for i in range(70)]
+    df = spark.createDataFrame(rows, "dest string, price double")
+    a = sorted(reports.price_flags(df, "price", ["dest"]).collect())
+    spark.conf.set("waymark.broadcast.maxBytes", "1")
+    spark.conf.set("waymark.skew.rowsPerTask", "50")
+    try:
+        b = sorted(reports.price_flags(df, "price", ["dest"]).collect())
+    finally:
+        spark.conf.unset("waymark.broadcast.maxBytes")
+        spark.conf.unset("waymark.skew.rowsPerTask")
+    assert a == b and len(a) == 570

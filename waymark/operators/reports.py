@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.constants import TOP_K
-from waymark.plans.strategy import bounded_broadcast, broadcast_budget, row_bytes
+from waymark.plans.strategy import SALT, bounded_broadcast, broadcast_budget, row_bytes, salted_join
 
 FLAG_MAX, FLAG_MIN, FLAG_OTHER = "max", "min", "other"
 
@@ -33,10 +33,15 @@ def price_flags(df: DataFrame, price: str, group: Sequence[str] | None = None,
     flagged.
     """
     if group:
+        group = list(group)
         ext = df.groupBy(*group).agg(F.round(F.max(price), digits).alias("_mx"),
-                                     F.round(F.min(price), digits).alias("_mn"))
-        side, _ = bounded_broadcast(ext)
-        out = df.join(side, list(group), "left")
+                                     F.round(F.min(price), digits).alias("_mn"),
+                                     F.count(F.lit(1)).alias("_rows"))
+        side, fits = bounded_broadcast(ext, name="price-extremes")
+        if fits:
+            out = df.join(side, group, "left")
+        else:  # many groups: shuffle join, hot groups split over salt buckets
+            out = salted_join(df, side, group, "_rows", how="left").drop(SALT)
         mx, mn = F.col("_mx"), F.col("_mn")
     else:
         out = df
@@ -45,7 +50,7 @@ def price_flags(df: DataFrame, price: str, group: Sequence[str] | None = None,
     p = F.round(F.col(price), digits) if rounded else F.col(price)
     flag = F.when(p == mx, F.lit(FLAG_MAX)).when(p == mn, F.lit(FLAG_MIN)).otherwise(F.lit(FLAG_OTHER))
     out = out.withColumn(flag_col, flag)
-    return out.drop("_mx", "_mn") if group else out
+    return out.drop("_mx", "_mn", "_rows") if group else out
 
 
 def geo_midpoint(points: DataFrame, group: Sequence[str], lon: str = "lon", lat: str = "lat") -> DataFrame:
