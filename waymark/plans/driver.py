@@ -203,8 +203,8 @@ def q_hotel_payload_parse(spark: SparkSession, base: str) -> DataFrame:
 
 
 def flight_responses(spark: SparkSession, base: str) -> DataFrame:
-    """One search response per event: purchases carry the chosen bucket, every event
-    with ``event_id % 10 == 0`` has an empty item list, error events have no itineraries."""
+    """One search response per event: purchases carry the chosen bucket, a search whose
+    price is under 5 found no bookable items (empty list), error events have no itineraries."""
     ev = _events(spark, base)
     leg = F.struct(
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("departure"),
@@ -212,7 +212,7 @@ def flight_responses(spark: SparkSession, base: str) -> DataFrame:
         F.pmod("user_id", F.lit(3)).cast("int").alias("stopCount"),
         F.struct(F.array(F.struct(F.col("event_type").alias("name"))).alias("marketing")).alias("carriers"))
     item = F.struct(F.struct(F.col("value").alias("raw")).alias("price"), F.array(leg).alias("legs"))
-    items = F.when(F.col("event_id") % 10 == 0, F.filter(F.array(item), lambda x: F.lit(False))) \
+    items = F.when(F.col("value") < 5, F.filter(F.array(item), lambda x: F.lit(False))) \
              .otherwise(F.array(item))
     bucket = F.struct(F.when(F.col("event_type") == "purchase", F.lit(BEST_BUCKET))
                       .otherwise(F.lit("Cheapest")).alias("id"), items.alias("items"))
