@@ -116,3 +116,16 @@ def test_dedup(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "a")], "x int, y string")
     assert flights.flight_dedup(df).count() == 2
     assert flights.flight_dedup(df, ["y"]).count() == 1
+
+
+def test_arrival_property(spark):
+    """Arrival clock equals departure + duration modulo 24 h (checked against datetime)."""
+    import datetime as dt
+    import random
+    rnd = random.Random(9)
+    cases = [(f"{rnd.randint(0, 23):02}:{rnd.randint(0, 59):02}:{rnd.randint(0, 59):02}",
+              rnd.randint(0, 5000)) for _ in range(500)]
+    df = spark.createDataFrame(cases, "time string, duration int")
+    for r in flights.arrival_time(df).collect():
+        dep = dt.datetime.strptime("2024-01-01 " + r.time, "%Y-%m-%d %H:%M:%S").replace(second=0)
+        assert r.arrival_time == (dep + dt.timedelta(minutes=r.duration)).strftime("%H:%M:00")

@@ -168,3 +168,23 @@ def test_salted_path_on_hot_group(spark):
         spark.conf.unset("waymark.skew.rowsPerTask")
     assert got == expect
     assert sum(1 for r in got if r.city_trans == "Flat") == 30
+
+
+def test_score_properties(spark):
+    """Scores lie in [0, 100]; with a positive price range the cheapest offers get 70 price points."""
+    import random
+    rnd = random.Random(5)
+    rows = [(f"C{rnd.randint(0, 6)}", f"H{i}", float(rnd.randint(30, 200)), "EUR",
+             float(rnd.randint(1, 10))) for i in range(400)]
+    scored = hotels.hotel_score(offers(spark, rows)).collect()
+    for r in scored:
+        if r.total_points is not None:
+            assert -1e-9 <= r.total_points <= 100 + 1e-9
+        if r.price_points is not None and r.price_per_day == r.min_price:
+            assert r.price_points == pytest.approx(70)
+    by_city = {}
+    for r in scored:
+        by_city.setdefault(r.city_trans, []).append(r)
+    for group in by_city.values():
+        if group[0].diff_price:
+            assert {r.price_per_day for r in group if r.price_points == pytest.approx(70)} == {group[0].min_price}
