@@ -83,3 +83,21 @@ def test_decode_flights_adds_arrival(spark):
 def test_ntz_cast_for_watermark(spark):
     df = spark.sql("SELECT TIMESTAMP_NTZ'2024-01-01 00:00:00' AS ts")
     assert dict(history.ntz_to_timestamp(df, ["ts"]).dtypes)["ts"] == "timestamp"
+
+
+def test_flight_stream_from_text_records(spark):
+    """Flight records arriving as JSON lines (a topic stand-in) stream into the flight table."""
+    import json
+    import os
+    src, sink, ckpt = (scratch_path(spark, n) for n in ("fl-src", "fl-sink", "fl-ckpt"))
+    os.makedirs(src, exist_ok=True)
+    recs = [{"time": f"{h:02}:30:00", "duration": 95, "company": "Air", "price": 100.0 + h,
+             "n_connections": 0, "date": "2024-01-10", "import_date": "2024-01-09T08:00:00",
+             "origin": "Vienna", "destination": "Paris"} for h in (8, 22)]
+    with open(os.path.join(src, "a.json"), "w") as fh:
+        fh.write("\n".join(json.dumps(r) for r in recs))
+    stream = spark.readStream.format("text").load(src)
+    pipeline.start_flight_stream(stream, sink, ckpt).awaitTermination()
+    got = sorted((r.time, r.arrival_time, str(r.arrival_ts)) for r in spark.read.parquet(sink).collect())
+    assert got == [("08:30:00", "10:05:00", "2024-01-10 10:05:00"),
+                   ("22:30:00", "00:05:00", "2024-01-11 00:05:00")]
