@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.constants import TOP_K
-from waymark.plans.strategy import SALT, bounded_broadcast, broadcast_budget, row_bytes, salted_join
+from waymark.plans.strategy import SALT, bounded_broadcast, materialize, salted_join
 
 FLAG_MAX, FLAG_MIN, FLAG_OTHER = "max", "min", "other"
 
@@ -68,12 +68,14 @@ def numbered(df: DataFrame, group: Sequence[str], order: Sequence[str | Column],
     group is numbered by a single task.
 
     ``method="range"`` (default): range-partition on (group, order) so a large
-    group spans many partitions, number rows inside each (group, partition)
-    piece, then add the count of the group's rows in earlier partitions. The
-    piece table has at most ``partitions + groups - 1`` rows; it is broadcast
-    only when that bound (from a distinct count of the group columns) fits the
-    broadcast budget, else it is shuffle-joined on (group, partition), which a
-    hot group cannot skew because its pieces sit in different partitions.
+    group spans many partitions and number rows inside each (group, partition)
+    piece. The pieces are written once under the checkpoint root: the range
+    bounds come from a sample, so pinning them guarantees that the piece sizes
+    and the local numbers come from the same split, even if a stage reruns.
+    The group's offset in a piece is the sum of the sizes of its earlier pieces;
+    the offset table (at most ``partitions + groups - 1`` rows) is broadcast
+    when its measured size fits the budget, else shuffle-joined on
+    (group, partition), which no hot group can skew.
     """
     group = list(group)
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
@@ -82,19 +84,16 @@ def numbered(df: DataFrame, group: Sequence[str], order: Sequence[str | Column],
         return df.withColumn(idx_col, F.row_number().over(w).cast("bigint"))
     if method != "range":
         raise ValueError(f"unknown method {method!r}")
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *[F.col(g) for g in group], *order_cols) \
                .withColumn("_part", F.spark_partition_id())
     local_w = Window.partitionBy(*group, "_part").orderBy(*order_cols)
-    local = ranged.withColumn("_local", F.row_number().over(local_w))
+    local, _ = materialize(ranged.withColumn("_local", F.row_number().over(local_w)), "numbered")
     pieces = local.groupBy(*group, "_part").agg(F.max("_local").alias("_n"))
     before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = pieces.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    max_pieces = n + df.select(*group).distinct().count()
-    if max_pieces * row_bytes(offsets.schema) <= broadcast_budget(spark):
-        offsets = F.broadcast(offsets)
-    return (local.join(offsets, [*group, "_part"], "inner")
+    side, _ = bounded_broadcast(offsets, name="numbered-offsets")
+    return (local.join(side, [*group, "_part"], "inner")
                  .withColumn(idx_col, (F.col("_offset") + F.col("_local")).cast("bigint"))
                  .drop("_part", "_local", "_offset"))
 
