@@ -84,9 +84,10 @@ def numbered(df: DataFrame, group: Sequence[str], order: Sequence[str | Column],
         return df.withColumn(idx_col, F.row_number().over(w).cast("bigint"))
     if method != "range":
         raise ValueError(f"unknown method {method!r}")
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *[F.col(g) for g in group], *order_cols) \
-               .withColumn("_part", F.spark_partition_id())
+    range_cols = [*[F.col(g) for g in group], *order_cols]
+    # without an explicit count AQE may merge adjacent ranges, which keeps them contiguous
+    ranged = (df.repartitionByRange(partitions, *range_cols) if partitions
+              else df.repartitionByRange(*range_cols)).withColumn("_part", F.spark_partition_id())
     local_w = Window.partitionBy(*group, "_part").orderBy(*order_cols)
     local, _ = materialize(ranged.withColumn("_local", F.row_number().over(local_w)), "numbered")
     pieces = local.groupBy(*group, "_part").agg(F.max("_local").alias("_n"))
