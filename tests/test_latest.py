@@ -44,3 +44,23 @@ def test_date_window_timestamps_pushed(spark):
     text = out._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts," in text
     assert all(dt.datetime(2024, 1, 10) <= r.ts < dt.datetime(2024, 1, 14) for r in out.collect())
+
+
+def test_date_window_prunes_partitions(spark):
+    from waymark.session import scratch_path
+    from waymark.sources import sinks
+    path = scratch_path(spark, "flight-history")
+    rows = [(dt.date(2024, 1, d), "Paris", float(d)) for d in range(5, 20)]
+    sinks.append_table(spark.createDataFrame(rows, "date date, destination string, price double"),
+                       path, partition_by=["date"])
+    out = latest.date_window(spark.read.parquet(path), "date", "2024-01-10", 4)
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in text
+    assert sorted(r.date.day for r in out.collect()) == [10, 11, 12, 13]
+
+
+def test_views_and_sql_text(spark):
+    from waymark.sources.tables import register_views, sql_table
+    register_views(spark, "/root/testdata/sf0.001", ["region", "nation"])
+    got = sql_table(spark, "SELECT count(*) AS n FROM nation JOIN region ON n_regionkey = r_regionkey")
+    assert got.first().n == 25

@@ -101,3 +101,8 @@ def day_sequence(start: str | _dt.date | Column, n_days: int, offset: int = 0) -
 def to_iso_date_text(d: str | Column) -> Column:
     """``yyyy-MM-dd`` text of a date or timestamp."""
     return F.date_format(_col(d), "yyyy-MM-dd")
+
+
+def today() -> Column:
+    """Today's date, for the edge of a scheduled run only (F11); operators take the date as a parameter."""
+    return F.current_date()
