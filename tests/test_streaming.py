@@ -101,3 +101,25 @@ def test_flight_stream_from_text_records(spark):
     got = sorted((r.time, r.arrival_time, str(r.arrival_ts)) for r in spark.read.parquet(sink).collect())
     assert got == [("08:30:00", "10:05:00", "2024-01-10 10:05:00"),
                    ("22:30:00", "00:05:00", "2024-01-11 00:05:00")]
+
+
+def test_latest_per_day_with_watermark(spark):
+    """Closed days are emitted once and equal the batch result; the open day stays in state."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    src, sink, ckpt = (scratch_path(spark, n) for n in ("wm-src", "wm-sink", "wm-ckpt"))
+    base = dt.datetime(2024, 1, 1)
+    rows = [(i % 5, "view", base + dt.timedelta(hours=3 * i), float(i)) for i in range(24)]  # 3 days
+    data = spark.createDataFrame(rows, COLS)
+    data.repartitionByRange(3, "ts").write.parquet(src)
+    stream = history.file_stream(spark, src, data.schema, max_files_per_trigger=1)
+    q = (history.latest_per_day_state(stream, ["user_id", "event_type"], "ts", delay="1 hour")
+         .writeStream.format("parquet").outputMode("append").option("path", sink)
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.read.parquet(sink)
+    days = sorted({r.day for r in got.collect()})
+    assert dt.date(2024, 1, 3) not in days and dt.date(2024, 1, 1) in days
+    from pyspark.sql import functions as F
+    expect = latest.latest_per_key(data.withColumn("day", F.to_date("ts")),
+                                   ["day", "user_id", "event_type"], ts="ts").filter(F.col("day").isin(days))
+    assert sorted(got.select(*expect.columns).collect()) == sorted(expect.collect())

@@ -69,6 +69,26 @@ def latest_state(stream: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
                  .select(*keys, "_row.*"))
 
 
+def latest_per_day_state(stream: DataFrame, keys: Sequence[str], ts: str,
+                         delay: str = "1 hour", day_col: str = "day") -> DataFrame:
+    """Latest row per (event day, key) with bounded state; run it in ``append`` mode.
+
+    A watermark on ``ts`` (a ``timestamp`` column; see ``ntz_to_timestamp``)
+    closes a day once events ``delay`` past its end have been seen: that day's
+    rows are emitted once, final, and its state is dropped. Events later than
+    the watermark are ignored, as Structured Streaming does for late data.
+    """
+    keys = list(keys)
+    rest = [c for c in stream.columns if c not in keys]
+    clean = stream
+    for c in [*keys, ts]:
+        clean = clean.filter(F.col(c).isNotNull())
+    return (clean.withWatermark(ts, delay)
+                 .groupBy(F.window(ts, "1 day").alias("_w"), *keys)
+                 .agg(F.max_by(F.struct(*[F.col(c) for c in rest]), F.col(ts)).alias("_row"))
+                 .select(F.to_date(F.col("_w.start")).alias(day_col), *keys, "_row.*"))
+
+
 def ntz_to_timestamp(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Watermarks need ``timestamp`` (not ``timestamp_ntz``) event-time columns."""
     return df.withColumns({c: F.col(c).cast("timestamp") for c in columns})
