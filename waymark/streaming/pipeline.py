@@ -40,6 +40,8 @@ def decode_flights(records: DataFrame) -> DataFrame:
 def score_hotel_batch(batch: DataFrame, batch_id: int, sink_path: str,
                       per_import: bool = False) -> None:
     """Rank one consumed batch (R3) and write it as that batch's partition."""
+    if batch.isEmpty():  # nothing consumed this round: leave the table as it is
+        return
     top = hotel_top3(batch, per_import="import_date" if per_import else None)
     out = hotelday_publish(top).withColumn("batch_id", F.lit(batch_id))
     overwrite_partitions(out, sink_path, ["batch_id"])
