@@ -58,3 +58,18 @@ def test_records_to_tables(spark):
           "destination": "Paris"}
     f = trips.flights_from_records(spark.createDataFrame([(json.dumps(fl),)], "value string")).first()
     assert f.arrival_time == "00:05:00" and f.arrival_ts == dt.datetime(2024, 1, 11, 0, 5)
+
+
+def test_trip_monuments_with_aliases(spark):
+    from waymark.constants import COUNTRY_ALIASES
+    capitals = spark.createDataFrame([("United Kingdom", "London", "LHR", -9)], schemas.CAPITAL)
+    monuments = spark.createDataFrame([("Stonehenge", "England", -1.83, 51.18),
+                                       ("Castle", "Scotland", -3.2, 55.95)], schemas.MONUMENT)
+    empty_h = spark.createDataFrame([], schemas.HOTELDAY)
+    empty_f = spark.createDataFrame([], schemas.FLIGHT)
+    t, lines = trips.trip_tables(capitals, monuments, empty_h, empty_f, D0, n_days=1)
+    assert t.first().monuments == reports.NO_MONUMENTS
+    t, lines = trips.trip_tables(capitals, monuments, empty_h, empty_f, D0, n_days=1,
+                                 aliases=COUNTRY_ALIASES)
+    assert t.first().monuments == "2 monuments"
+    assert sorted((r.country, r.line) for r in lines.collect()) == [("United Kingdom", 1), ("United Kingdom", 2)]

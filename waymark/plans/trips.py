@@ -21,26 +21,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymark.constants import DAYS_AHEAD, HOME_COUNTRY, STAY_NIGHTS, TOP_K
-from waymark.functions.scoring import price_per_night
-from waymark.operators import catalog, flights, hotels, latest, reports
-from waymark.sources.topics import decode_records
 from waymark import schemas
+from waymark.operators import catalog, flights, hotels, latest, reports
+from waymark.streaming.pipeline import decode_flights, decode_hotels
 
 
 def hotels_from_records(records: DataFrame, nights: int = STAY_NIGHTS, k: int = TOP_K) -> DataFrame:
     """Hotel topic records → scored top-k → the ``hotelday`` table's rows."""
-    offers = decode_records(records, schemas.HOTEL_OFFER, timestamp=None)
-    offers = offers.withColumn("price_per_day", price_per_night("min_total_price", nights))
-    return hotels.hotelday_publish(hotels.hotel_top3(offers, k=k))
+    return hotels.hotelday_publish(hotels.hotel_top3(decode_hotels(records, nights), k=k))
 
 
 def flights_from_records(records: DataFrame) -> DataFrame:
     """Flight topic records → typed flights with arrival time (the ``flight`` table's rows)."""
-    f = decode_records(records, schemas.FLIGHT_OFFER, timestamp=None)
-    departure = F.to_timestamp(F.concat_ws(" ", F.col("date").cast("string"), F.col("time")))
-    out = flights.arrival_time(f.withColumn("_dep", departure), clock="time", duration="duration",
-                               departure_ts="_dep")
-    return out.select(*schemas.FLIGHT.fieldNames())
+    return decode_flights(records).select(*schemas.FLIGHT.fieldNames())
 
 
 def current_flights(flight_history: DataFrame, start: str | _dt.date | Column,
