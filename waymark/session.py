@@ -47,8 +47,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not root:
         root = tempfile.mkdtemp(prefix="waymark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    try:  # classic sessions also get it as the RDD checkpoint dir (no SparkContext under Connect)
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(root)
+    except Exception:  # noqa: BLE001
+        pass
     return root
 
 
