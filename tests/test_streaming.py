@@ -1,5 +1,7 @@
 import datetime as dt
+import time
 
+from pyspark.sql import functions as F
 
 from waymark.operators import latest
 from waymark.session import scratch_path
@@ -110,7 +112,10 @@ def test_latest_per_day_with_watermark(spark):
     base = dt.datetime(2024, 1, 1)
     rows = [(i % 5, "view", base + dt.timedelta(hours=3 * i), float(i)) for i in range(24)]  # 3 days
     data = spark.createDataFrame(rows, COLS)
-    data.repartitionByRange(3, "ts").write.parquet(src)
+    for d in (1, 2, 3):  # one file per day, written in event-time order (the source reads oldest first)
+        day = data.filter(F.dayofmonth("ts") == d).coalesce(1)
+        day.write.mode("append").parquet(src)
+        time.sleep(1.1)
     stream = history.file_stream(spark, src, data.schema, max_files_per_trigger=1)
     q = (history.latest_per_day_state(stream, ["user_id", "event_type"], "ts", delay="1 hour")
          .writeStream.format("parquet").outputMode("append").option("path", sink)
@@ -118,8 +123,7 @@ def test_latest_per_day_with_watermark(spark):
     q.awaitTermination()
     got = spark.read.parquet(sink)
     days = sorted({r.day for r in got.collect()})
-    assert dt.date(2024, 1, 3) not in days and dt.date(2024, 1, 1) in days
-    from pyspark.sql import functions as F
+    assert days == [dt.date(2024, 1, 1), dt.date(2024, 1, 2)]
     expect = latest.latest_per_key(data.withColumn("day", F.to_date("ts")),
                                    ["day", "user_id", "event_type"], ts="ts").filter(F.col("day").isin(days))
     assert sorted(got.select(*expect.columns).collect()) == sorted(expect.collect())
