@@ -6,11 +6,13 @@ Plan shape (see ``explain``):
   group is combined map-side before it shuffles.
 * ``hotel_score`` joins every offer with its group's range. The range table is
   materialised and broadcast only under a proven size bound
-  (``plans.strategy.bounded_broadcast``); otherwise both sides shuffle.
+  (``plans.strategy.bounded_broadcast``); above it the join is a salted
+  shuffle join that splits hot groups over several tasks.
 * ``hotel_top_k`` ranks with ``rank() <= k``, which Catalyst turns into a
   ``WindowGroupLimit`` applied *before* the exchange: only candidate rows leave
-  the map side. Rows whose score is NULL never compete (their rank is fixed by
-  the group's count of scored rows, known from the range table), and they are
+  the map side (on the salted path, rows are first ranked inside their salt
+  bucket). Rows whose score is NULL never compete (their rank is fixed by the
+  group's count of scored rows, known from the range table), and they are
   spread over ``spread`` window partitions so a group made entirely of NULL
   scores cannot pile up in one task.
 """
