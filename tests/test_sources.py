@@ -115,3 +115,17 @@ def test_connector_options():
         jdbc_options("jdbc:x", "t", partition_column="id")
     k = topics.kafka_source_options("broker:9092", "hotels")
     assert k["subscribe"] == "hotels" and k["startingOffsets"] == "earliest"
+
+
+def test_decode_prefers_payload_import_time(spark):
+    import json
+    rec = {"city_trans": "Paris", "hotel_name": "A", "min_total_price": 700.0, "currencycode": "EUR",
+           "longitude": 2.3, "latitude": 48.8, "review_score": 8.0, "checkin_date": "2024-01-10",
+           "import_date": "2024-01-09T08:00:00"}
+    recs = spark.createDataFrame([(json.dumps(rec), dt.datetime(2024, 1, 9, 9, 30))],
+                                 "value string, timestamp timestamp")
+    out = topics.decode_records(recs, schemas.HOTEL_OFFER)
+    assert out.columns == schemas.HOTEL_OFFER.fieldNames()
+    assert out.first().import_date == dt.datetime(2024, 1, 9, 8, 0)
+    plain = topics.decode_records(recs, "k BIGINT")
+    assert plain.columns == ["k", "import_date"]

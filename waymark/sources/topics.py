@@ -45,8 +45,12 @@ def decode_records(records: DataFrame, schema: T.StructType | str, value: str =
     """JSON ``value`` → typed columns (S4, F14); the record time becomes the import time (P5)."""
     parsed = F.from_json(F.col(value).cast("string"), schema, JSON_READ_OPTIONS)
     keep = [c for c in (keep or []) if c in records.columns]
-    out = records.select(*keep, parsed.alias("_v"), *([F.col(timestamp).alias(import_col)] if timestamp else []))
-    return out.select(*keep, "_v.*", *([import_col] if timestamp else []))
+    fields = (records.sparkSession.createDataFrame([], schema).columns
+              if isinstance(schema, str) else schema.fieldNames())
+    # the record time is the import time only when the payload does not carry one
+    stamp = [F.col(timestamp).alias(import_col)] if timestamp and import_col not in fields else []
+    out = records.select(*keep, parsed.alias("_v"), *stamp)
+    return out.select(*keep, "_v.*", *([import_col] if stamp else []))
 
 
 def undecodable_records(records: DataFrame, schema: T.StructType | str,
