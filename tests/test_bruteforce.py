@@ -85,3 +85,26 @@ def test_latest_matches_brute_force(spark):
     for method in ("join", "window"):
         got = sorted(r.id for r in latest.latest_per_key(df, ["k", "j"], ts="ts", method=method).collect())
         assert got == expect
+
+
+def test_first_per_key_matches_brute_force(spark):
+    from waymark.operators import flights
+    rnd = random.Random(8)
+    rows = [(rnd.choice(["x", "y", "z", None]), rnd.choice([None, 1.0, 2.0, 3.0]),
+             rnd.choice([None, "a", "b"]), i) for i in range(300)]
+    rows += [("allnull", None, None, 1000), ("allnull", None, "c", 1001)]
+    df = spark.createDataFrame(rows, "k string, p double, t string, id int")
+
+    def key(v):  # ascending, NULLs last
+        return (v is None, v)
+    expect = {}
+    for k, p, t, i in rows:
+        cur = expect.get(k)
+        cand = (key(p), key(t), key(i))
+        if cur is None or cand < cur[0]:
+            expect[k] = (cand, i)
+    got = {r.k: r.id for r in flights.first_per_key(df, ["k"], ["p", "t", "id"]).collect()}
+    assert got == {k: v[1] for k, v in expect.items()}
+    salted = {r.k: r.id for r in flights.first_per_key(df, ["k"], ["p", "t", "id"],
+                                                        broadcast_max_bytes=0).collect()}
+    assert salted == got

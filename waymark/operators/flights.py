@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.functions.timefn import (add_minutes, arrival_clock, arrival_clock_compat,
                                       minutes_to_hours)
+from waymark.plans.strategy import bounded_broadcast
 
 
 def arrival_time(df: DataFrame, clock: str = "time", duration: str = "duration",
@@ -32,13 +33,23 @@ def flight_dedup(df: DataFrame, subset: Sequence[str] | None = None) -> DataFram
     return df.dropDuplicates(list(subset)) if subset else df.dropDuplicates()
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """First row per key under an explicit order (T3), as a ``min_by`` aggregate.
+def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                  broadcast_max_bytes: int | None = None) -> DataFrame:
+    """First row per key in ascending ``order``, NULLs last (T3); ``order`` should make it unique.
 
-    An aggregate (not a window) so a hot key is reduced map-side; ``order``
-    should make the choice unique (append a row id as last tie-breaker).
+    No full sort of the table: a hash aggregate finds each key's smallest
+    leading order value, a semi join (NULL-safe, size-checked broadcast) keeps
+    only the rows tied on it, and ``row_number() <= 1`` over those candidates
+    (limited before its exchange) settles the rest of the order.
     """
-    keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    pick = F.min_by(F.struct(*[F.col(c) for c in rest]), F.struct(*[F.col(c) for c in order]))
-    return df.groupBy(*keys).agg(pick.alias("_first")).select(*keys, "_first.*")
+    keys, order = list(keys), list(order)
+    lead = order[0]
+    best = df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]) \
+             .agg(F.min(lead).alias("_lead"))
+    side, _ = bounded_broadcast(best, broadcast_max_bytes, name="first-lead")
+    cond = [F.col(k).eqNullSafe(side[f"_k{i}"]) for i, k in enumerate(keys)]
+    cond.append(F.col(lead).eqNullSafe(side["_lead"]))
+    candidates = df.join(side, cond, "left_semi")
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    return (candidates.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= 1)
+                      .drop("_n").select(*keys, *[c for c in df.columns if c not in keys]))
