@@ -129,3 +129,10 @@ def test_arrival_property(spark):
     for r in flights.arrival_time(df).collect():
         dep = dt.datetime.strptime("2024-01-01 " + r.time, "%Y-%m-%d %H:%M:%S").replace(second=0)
         assert r.arrival_time == (dep + dt.timedelta(minutes=r.duration)).strftime("%H:%M:00")
+
+
+def test_first_per_key_descending(spark):
+    df = spark.createDataFrame([(1, 3, "c"), (1, None, "n"), (1, 2, "b"), (2, None, "x")],
+                               "k int, o int, v string")
+    got = {r.k: r.v for r in flights.first_per_key(df, ["k"], ["o"], descending=True).collect()}
+    assert got == {1: "c", 2: "x"}

@@ -352,15 +352,15 @@ def q_trip_report(spark: SparkSession, base: str) -> DataFrame:
     orders = read_table(spark, base, "orders")
     supplier = read_table(spark, base, "supplier")
     # flight side: each nation's latest order (order date, then key), as text
-    joined = orders.join(customer, orders.o_custkey == customer.c_custkey, "inner")
-    last = joined.groupBy(F.col("c_nationkey").alias("nationkey")).agg(
-        F.max_by(F.struct("o_orderkey", "o_orderdate", "o_totalprice"),
-                 F.struct("o_orderdate", "o_orderkey")).alias("o"))
-    flights = last.select("nationkey", F.format_string(
-        "order %d on %s for %.2f", F.col("o.o_orderkey"),
-        F.date_format("o.o_orderdate", "yyyy-MM-dd"), F.col("o.o_totalprice")).alias("flight"))
+    joined = orders.join(customer, orders.o_custkey == customer.c_custkey, "inner").select(
+        F.col("c_nationkey").alias("nationkey"), "o_orderkey", "o_orderdate", "o_totalprice")
+    last = flights.first_per_key(joined, ["nationkey"], ["o_orderdate", "o_orderkey"],
+                                 descending=True)
+    flight_side = last.select("nationkey", F.format_string(
+        "order %d on %s for %.2f", F.col("o_orderkey"),
+        F.date_format("o_orderdate", "yyyy-MM-dd"), F.col("o_totalprice")).alias("flight"))
     # hotel side: three suppliers with the highest balance
-    hotels = reports.top_slots(
+    hotel_side = reports.top_slots(
         supplier.withColumnRenamed("s_nationkey", "nationkey"), ["nationkey"],
         F.format_string("%s (%.2f)", F.col("s_name"), F.col("s_acctbal")),
         [F.col("s_acctbal").desc(), F.col("s_suppkey")])
@@ -368,7 +368,7 @@ def q_trip_report(spark: SparkSession, base: str) -> DataFrame:
     monuments = customer.groupBy(F.col("c_nationkey").alias("nationkey")).agg(
         F.format_string("%d monuments", F.count(F.lit(1))).alias("monuments"))
     return reports.trip_report(plan, ["nationkey"], "country", HOME_NATION,
-                               flights=flights, hotels=hotels, monuments=monuments)
+                               flights=flight_side, hotels=hotel_side, monuments=monuments)
 
 
 QUERIES.update({
