@@ -1,3 +1,4 @@
+"""Fixtures are in-memory rows with declared schemas (S8: ``spark.createDataFrame(rows, schema)``)."""
 import os
 import sys
 

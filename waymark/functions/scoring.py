@@ -24,7 +24,7 @@ def nan_to_null(c: str | Column) -> Column:
 
 
 def price_per_night(total: str | Column, nights: int) -> Column:
-    """Total stay price divided by the number of nights."""
+    """Total stay price divided by the number of nights (F7; a column expression, not a row lambda: X1)."""
     return _col(total) / F.lit(nights)
 
 
@@ -34,10 +34,10 @@ def safe_range(x: str | Column) -> Column:
 
 
 def price_points(price, min_price, diff_price, max_points: int = PRICE_MAX_POINTS) -> Column:
-    """Cheapest offer gets ``max_points``, the dearest 0; NULL when the range is 0."""
+    """Cheapest offer gets ``max_points``, the dearest 0; NULL when the range is 0."""
     return F.lit(max_points) - (_col(price) - _col(min_price)) * max_points / safe_range(diff_price)
 
 
 def review_points(review, min_review, diff_review, max_points: int = REVIEW_MAX_POINTS) -> Column:
-    """Best review gets ``max_points``, the worst 0; NULL when the range is 0."""
+    """Best review gets ``max_points``, the worst 0; NULL when the range is 0."""
     return (_col(review) - _col(min_review)) * max_points / safe_range(diff_review)

@@ -14,8 +14,9 @@ from waymark.plans.strategy import bounded_broadcast
 
 def arrival_time(df: DataFrame, clock: str = "time", duration: str = "duration",
                  departure_ts: str | None = None) -> DataFrame:
-    """Adds ``arrival_time`` (``HH:mm:00``), ``duration_hours`` and, when the full
-    departure timestamp is known, ``arrival_ts``."""
+    """Adds ``arrival_time`` (``HH:mm:00``, F2 F5), ``duration_hours`` (F8) and, when the
+    full departure timestamp is known, ``arrival_ts``. Plain columns on the same row, so
+    no positional zip (J6) and no row function (X2, X3) is needed."""
     out = df.withColumn("arrival_time", arrival_clock(clock, duration)) \
             .withColumn("duration_hours", minutes_to_hours(duration))
     if departure_ts is not None:

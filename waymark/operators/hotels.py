@@ -36,7 +36,7 @@ RANGE_COLUMNS = ("max_price", "min_price", "max_review", "min_review",
 
 def _prepare(offers: DataFrame, keys: Sequence[str], price: str, review: str,
              currency_col: str | None, currency: str | None) -> DataFrame:
-    """Currency filter (pushed to the scan), NULL keys out, NaN → NULL."""
+    """Currency filter (P6, pushed to the scan), NULL keys out, NaN → NULL."""
     df = offers
     if currency_col is not None and currency is not None:
         df = df.filter(F.col(currency_col) == F.lit(currency))
@@ -48,7 +48,7 @@ def _prepare(offers: DataFrame, keys: Sequence[str], price: str, review: str,
 def hotel_range(offers: DataFrame, keys: Sequence[str] = HOTEL_KEYS,
                 price: str = "price_per_day", review: str = "review_score",
                 currency_col: str | None = "currencycode", currency: str | None = CURRENCY) -> DataFrame:
-    """Min / max price and review per group, their widths and the count of fully rated offers."""
+    """Min / max price and review per group (A1), their widths (A2) and offer counts."""
     df = _prepare(offers, keys, price, review, currency_col, currency)
     p, r = F.col(price), F.col(review)
     return (df.groupBy(*keys)
@@ -66,7 +66,7 @@ def hotel_score(offers: DataFrame, keys: Sequence[str] = HOTEL_KEYS,
                 ranges: DataFrame | None = None,
                 price_max: int = PRICE_MAX_POINTS, review_max: int = REVIEW_MAX_POINTS,
                 broadcast_max_bytes: int | None = None) -> DataFrame:
-    """Every offer of the currency with price, review and total points.
+    """Every offer of the currency with price, review and total points.
 
     Under the broadcast budget the range table is broadcast and offers never
     shuffle. Above it, the join is a salted shuffle join: groups with more than
@@ -87,7 +87,8 @@ def hotel_score(offers: DataFrame, keys: Sequence[str] = HOTEL_KEYS,
 
 def hotel_top_k(scored: DataFrame, keys: Sequence[str] = HOTEL_KEYS, k: int = TOP_K,
                 score: str = "total_points", spread: int = 64) -> DataFrame:
-    """Rows with ``rank() <= k`` per group by score descending, NULL scores last, ties kept.
+    """Rows with ``rank() <= k`` per group by score descending, NULL scores last, ties kept
+    (W1, T1, T2, P10).
 
     ``scored`` must carry ``n_rated``, ``diff_price`` and ``diff_review`` (as
     ``hotel_score`` output does). If it carries a ``_salt`` bucket (salted join),
@@ -141,6 +142,6 @@ HOTELDAY_RENAMES = {
 
 
 def hotelday_publish(top: DataFrame, renames: dict[str, str] | None = None) -> DataFrame:
-    """Rename and project the scored hotels to the published table's columns."""
+    """Rename (P2) and project (P1) the scored hotels to the published table's columns (K3)."""
     renames = HOTELDAY_RENAMES if renames is None else renames
     return top.select(*[F.col(src).alias(dst) for src, dst in renames.items()])

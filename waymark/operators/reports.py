@@ -28,6 +28,8 @@ def price_flags(df: DataFrame, price: str, group: Sequence[str] | None = None,
                 rounded: bool = True, digits: int = 2, flag_col: str = "price_flag") -> DataFrame:
     """Flag each row's price as the (rounded) maximum, minimum or other.
 
+    The flag is a label column (X4) for the price board (V1).
+
     ``rounded=False`` reproduces the original comparison of the raw price with
     the rounded extreme (quirk Q17), under which an unrounded maximum is never
     flagged.
@@ -54,7 +56,7 @@ def price_flags(df: DataFrame, price: str, group: Sequence[str] | None = None,
 
 
 def geo_midpoint(points: DataFrame, group: Sequence[str], lon: str = "lon", lat: str = "lat") -> DataFrame:
-    """Bounding-box centre per group: ``(max + min) / 2`` of longitude and latitude."""
+    """Bounding-box centre per group: ``(max + min) / 2`` of longitude and latitude."""
     return points.groupBy(*group).agg(
         ((F.max(lon) + F.min(lon)) / 2).alias("lon_mid"),
         ((F.max(lat) + F.min(lat)) / 2).alias("lat_mid"))
@@ -125,7 +127,7 @@ NO_MONUMENTS = "no monuments available"
 def trip_report(plan: DataFrame, keys: Sequence[str], country_col: str, home_country: str,
                 flights: DataFrame | None = None, hotels: DataFrame | None = None,
                 monuments: DataFrame | None = None, k: int = TOP_K) -> DataFrame:
-    """Flight + up to ``k`` hotels + monuments for every row of the plan.
+    """Flight + up to ``k`` hotels + monuments for every row of the plan.
 
     ``flights`` is ``keys + flight`` (one row per key), ``hotels`` is ``top_slots``
     output, ``monuments`` is ``keys + monuments`` (or the plan already carries a

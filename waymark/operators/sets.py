@@ -14,7 +14,7 @@ def union_by_name(*frames: DataFrame) -> DataFrame:
 
 
 def map_points(layers: dict[str, tuple[DataFrame, str, str, str]], layer_col: str = "layer") -> DataFrame:
-    """One point table from several layers.
+    """One point table from several layers.
 
     ``layers`` maps a layer name to ``(frame, name_col, lon_col, lat_col)``; every
     layer is projected to ``(name, lon, lat, layer)`` — always longitude first —
