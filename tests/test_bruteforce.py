@@ -63,11 +63,13 @@ def test_top3_matches_brute_force(spark, seed):
     got = {r.hotel_name: r["rank"] for r in hotels.hotel_top3(df).collect()}
     assert got == expect
     spark.conf.set("waymark.skew.rowsPerTask", "20")
-    try:
+    try:  # hot-group path, broadcast and salted
+        levels = {r.hotel_name: r["rank"] for r in hotels.hotel_top3(df).collect()}
         salted = {r.hotel_name: r["rank"] for r in hotels.hotel_top3(df, broadcast_max_bytes=0).collect()}
+        unknown = {r.hotel_name: r["rank"] for r in hotels.hotel_top_k(hotels.hotel_score(df)).collect()}
     finally:
         spark.conf.unset("waymark.skew.rowsPerTask")
-    assert salted == expect
+    assert levels == expect and salted == expect and unknown == expect
 
 
 def test_latest_matches_brute_force(spark):

@@ -133,11 +133,34 @@ def test_rank_property(spark):
         assert (better < 3) == (r.hotel_name in kept)
 
 
-def test_plan_limits_before_exchange(spark):
+def test_plan_shapes(spark):
+    """No hot group: one window limited before its exchange. Hot group: the result is a scan
+    of the written candidates joined with the broadcast score levels."""
     df = hotels.hotel_top3(offers(spark, GOLDEN))
     text = plan_text(df)
     assert "WindowGroupLimit" in text and "BroadcastHashJoin" in text
     assert "PythonUDF" not in text and "BatchEvalPython" not in text
+    spark.conf.set("waymark.skew.rowsPerTask", "2")
+    try:
+        text = plan_text(hotels.hotel_top3(offers(spark, GOLDEN)))
+    finally:
+        spark.conf.unset("waymark.skew.rowsPerTask")
+    # the only window left runs over the aggregated score levels (at most k per group)
+    assert "BroadcastHashJoin" in text and "HashAggregate" in text
+
+
+def test_copies_do_not_meet_in_one_task(spark):
+    """A third of a hot group is one offer copied: the copies stay in their input pieces."""
+    rows = [("Hot", "copy", 40.0, "EUR", 9.0)] * 400 + \
+           [("Hot", f"o{i}", 50.0 + i % 30, "EUR", float(i % 9)) for i in range(800)]
+    df = offers(spark, rows).repartition(8)
+    spark.conf.set("waymark.skew.rowsPerTask", "100")
+    try:
+        top = hotels.hotel_top3(df).collect()
+    finally:
+        spark.conf.unset("waymark.skew.rowsPerTask")
+    assert len(top) == 400 and {r.hotel_name for r in top} == {"copy"}
+    assert {r["rank"] for r in top} == {1}
 
 
 def test_publish_renames(spark):

@@ -47,6 +47,9 @@ def main() -> None:
              .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
              .config("spark.sql.shuffle.partitions", "16")
              .config("spark.sql.adaptive.coalescePartitions.enabled", "false")
+             # measure the planned partitioning, not AQE packing tiny partitions together
+             .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+             .config("spark.sql.adaptive.localShuffleReader.enabled", "false")
              .config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", logdir)
              .config("spark.eventLog.compress", "false").config("spark.eventLog.rolling.enabled", "false")
              .getOrCreate())
@@ -73,6 +76,7 @@ def main() -> None:
     stats: dict[str, dict[str, int]] = {}
     group_of_job: dict[int, str] = {}
     stage_group: dict[int, str] = {}
+    per_stage: dict[tuple[str, int], list[int]] = {}
     lines = (line for path in logs for line in open(path))
     for line in lines:
         ev = json.loads(line)
@@ -91,8 +95,12 @@ def main() -> None:
             s = stats.setdefault(g, {"shuffled_rows": 0, "max_task_shuffle_read": 0})
             s["shuffled_rows"] += w
             s["max_task_shuffle_read"] = max(s["max_task_shuffle_read"], r)
+            if os.environ.get("PROBE_STAGES"):
+                per_stage.setdefault((g, ev["Stage ID"]), []).append(r)
     for name in runs:
         print(json.dumps({"plan": name, "result_rows": counts[name], **stats.get(name, {})}))
+    for (g, sid), reads in sorted(per_stage.items()):
+        print(g, sid, "tasks", len(reads), "max read", max(reads), "total read", sum(reads))
 
 
 if __name__ == "__main__":

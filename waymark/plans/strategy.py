@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,14 +63,31 @@ def row_bytes(schema: T.StructType) -> int:
     return 8 * ((n + 63) // 64) + 8 * n + sum(_var_bytes(f.dataType) for f in schema.fields) + 16
 
 
-def materialize(df: DataFrame, name: str = "side") -> tuple[DataFrame, int]:
-    """Write ``df`` once as parquet under the shared checkpoint root; return it read back
-    and its exact row count (observed during the write, no extra pass)."""
+def materialize_with_stats(df: DataFrame, name: str = "side",
+                           **stats: Column) -> tuple[DataFrame, dict[str, object]]:
+    """Write ``df`` once as parquet under the shared checkpoint root and read it back.
+
+    Returns the read-back frame and aggregate ``stats`` observed during the same
+    write (always including ``rows``), so measuring costs no extra pass.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    seen = Observation(f"rows_{name}")
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path), int(seen.get["rows"])
+    seen = Observation(f"stats_{name}")
+    exprs = [F.count(F.lit(1)).alias("rows")] + [c.alias(k) for k, c in stats.items()]
+    df.observe(seen, *exprs).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path), dict(seen.get)
+
+
+def materialize(df: DataFrame, name: str = "side") -> tuple[DataFrame, int]:
+    """``materialize_with_stats`` returning just the exact row count."""
+    side, stats = materialize_with_stats(df, name)
+    return side, int(stats["rows"])
+
+
+def fits_budget(rows: int, schema: T.StructType, max_bytes: int | None, spark: SparkSession) -> bool:
+    """Whether ``rows`` rows of ``schema`` fit the broadcast budget."""
+    budget = broadcast_budget(spark) if max_bytes is None else max_bytes
+    return budget > 0 and rows * row_bytes(schema) <= budget
 
 
 def bounded_broadcast(df: DataFrame, max_bytes: int | None = None,
@@ -80,10 +97,8 @@ def bounded_broadcast(df: DataFrame, max_bytes: int | None = None,
     Returns ``(side, broadcast?)``. The side is always the materialised copy, so
     the caller never recomputes it.
     """
-    spark = df.sparkSession
-    budget = broadcast_budget(spark) if max_bytes is None else max_bytes
     side, rows = materialize(df, name)
-    fits = budget > 0 and rows * row_bytes(df.schema) <= budget
+    fits = fits_budget(rows, df.schema, max_bytes, df.sparkSession)
     return (F.broadcast(side) if fits else side), fits
 
 
