@@ -136,3 +136,12 @@ def test_first_per_key_descending(spark):
                                "k int, o int, v string")
     got = {r.k: r.v for r in flights.first_per_key(df, ["k"], ["o"], descending=True).collect()}
     assert got == {1: "c", 2: "x"}
+
+
+def test_hotel_pages_are_bounded(spark):
+    rows = spark.createDataFrame([("Paris", "A", 10.0)] * 130, "city string, name string, p double")
+    pages = payloads.hotel_payload_of(rows, ["city"], {"city_trans": "city", "hotel_name": "name",
+                                                       "min_total_price": "p"}, page_size=50)
+    sizes = sorted(len(json.loads(r.payload)["result"]) for r in pages.collect())
+    assert sum(sizes) == 130 and max(sizes) <= 50
+    assert payloads.parse_hotel_payload(pages).count() == 130

@@ -144,11 +144,17 @@ def with_request_columns(df: DataFrame, constants: dict[str, object]) -> DataFra
     return df.withColumns({k: F.lit(v) for k, v in constants.items()})
 
 
-def hotel_payload_of(rows: DataFrame, page: Sequence[str], item_cols: dict[str, object]) -> DataFrame:
-    """Assemble hotel responses from rows: one JSON ``{"result": [...]}`` per ``page`` key.
+def hotel_payload_of(rows: DataFrame, page: Sequence[str], item_cols: dict[str, object],
+                     page_size: int = 50) -> DataFrame:
+    """Assemble hotel responses from rows: one JSON ``{"result": [...]}`` per page.
 
-    ``page`` must be a bounded group (a response page), never a whole city.
+    A page is the ``page`` key plus a slice of at most ``page_size`` consecutive
+    row ids, so no page holds more than ``page_size`` items, even when many rows
+    are copies under one key.
     """
     item = F.struct(*[(F.col(v) if isinstance(v, str) else v).alias(k) for k, v in item_cols.items()])
-    return (rows.groupBy(*page)
-                .agg(F.to_json(F.struct(F.collect_list(item).alias("result"))).alias("payload")))
+    slice_ = F.floor(F.monotonically_increasing_id() / F.lit(page_size)).alias("_slice")
+    return (rows.select(*page, item.alias("_item"), slice_)
+                .groupBy(*page, "_slice")
+                .agg(F.to_json(F.struct(F.collect_list("_item").alias("result"))).alias("payload"))
+                .drop("_slice"))
