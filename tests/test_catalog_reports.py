@@ -81,9 +81,15 @@ def test_numbered_range_equals_window_on_skew(spark):
     rows = [("hot", f"n{rnd.randint(0, 300):03d}", i) for i in range(3000)]
     rows += [(f"g{i % 40}", f"n{rnd.randint(0, 9)}", 10000 + i) for i in range(400)]
     df = spark.createDataFrame(rows, "g string, name string, id int")
-    a = sorted(reports.numbered(df, ["g"], ["name", "id"], partitions=16).collect())
+    a = sorted(reports.numbered(df, ["g"], ["name", "id"], method="range", partitions=16).collect())
     b = sorted(reports.numbered(df, ["g"], ["name", "id"], method="window").collect())
-    assert a == b
+    c = sorted(reports.numbered(df, ["g"], ["name", "id"], method="range").collect())
+    spark.conf.set("waymark.skew.rowsPerTask", "500")
+    try:  # auto picks the range path: the hot group has 3,000 rows
+        d = sorted(reports.numbered(df, ["g"], ["name", "id"]).collect())
+    finally:
+        spark.conf.unset("waymark.skew.rowsPerTask")
+    assert a == b == c == d
     hot = sorted(r.idx for r in a if r.g == "hot")
     assert hot == list(range(1, 3001))
 

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.constants import TOP_K
-from waymark.plans.strategy import SALT, bounded_broadcast, materialize, salted_join
+from waymark.plans.strategy import SALT, bounded_broadcast, materialize, rows_per_task, salted_join
 
 FLAG_MAX, FLAG_MIN, FLAG_OTHER = "max", "min", "other"
 
@@ -63,13 +63,17 @@ def geo_midpoint(points: DataFrame, group: Sequence[str], lon: str = "lon", lat:
 
 
 def numbered(df: DataFrame, group: Sequence[str], order: Sequence[str | Column],
-             idx_col: str = "idx", method: str = "range", partitions: int | None = None) -> DataFrame:
+             idx_col: str = "idx", method: str = "auto", partitions: int | None = None) -> DataFrame:
     """Number rows 1..n inside each group in a total order.
 
+    ``method="auto"`` (default): measure the largest group (a partial + final
+    count over the group columns only) and use ``window`` if no group exceeds
+    ``waymark.skew.rowsPerTask``, else ``range``.
+
     ``method="window"``: ``row_number()`` over the group — one exchange, but each
     group is numbered by a single task.
 
-    ``method="range"`` (default): range-partition on (group, order) so a large
+    ``method="range"``: range-partition on (group, order) so a large
     group spans many partitions and number rows inside each (group, partition)
     piece. The pieces are written once under the checkpoint root: the range
     bounds come from a sample, so pinning them guarantees that the piece sizes
@@ -81,6 +85,10 @@ def numbered(df: DataFrame, group: Sequence[str], order: Sequence[str | Column],
     """
     group = list(group)
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    if method == "auto":
+        sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+        largest = sizes.agg(F.max("_n")).first()[0] or 0  # one number to the driver
+        method = "window" if largest <= rows_per_task(df.sparkSession) else "range"
     if method == "window":
         w = Window.partitionBy(*group).orderBy(*order_cols)
         return df.withColumn(idx_col, F.row_number().over(w).cast("bigint"))
