@@ -452,3 +452,61 @@ QUERIES.update({
     "csv_reference_load": q_csv_reference_load,
     "stream_latest": q_stream_latest,
 })
+
+
+# --- the travel assembly end to end (capitals, monuments, hotel and flight histories) ----
+
+from waymark.plans import trips  # noqa: E402
+
+TRIP_START = "1996-03-01"
+TRIP_DAYS = 4
+
+
+def _travel_inputs(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Catalogues and histories in the travel schemas, derived from the driver tables:
+    capital = nation (id as text), monument = customer, hotel offer = line item at its
+    supplier's nation, flight = order to its customer's nation."""
+    nation, customer = read_table(spark, base, "nation"), read_table(spark, base, "customer")
+    capitals = nation.select(F.col("n_name").alias("country"),
+                             F.col("n_nationkey").cast("string").alias("capital"))
+    monuments = customer.join(nation, customer.c_nationkey == nation.n_nationkey, "inner").select(
+        F.col("c_name").alias("name"), F.col("n_name").alias("country"),
+        F.col("c_acctbal").alias("longitude"), F.col("c_nationkey").cast("double").alias("latitude"))
+    li, supplier = read_table(spark, base, "lineitem"), read_table(spark, base, "supplier")
+    hotelday = li.join(supplier, li.l_suppkey == supplier.s_suppkey, "inner").select(
+        F.to_date("l_shipdate").alias("checkin_date"), F.col("s_nationkey").cast("string").alias("city"),
+        F.col("l_partkey").cast("string").alias("name"), F.col("l_extendedprice").alias("price"),
+        F.col("l_discount").alias("longitude"), F.col("l_tax").alias("latitude"),
+        F.col("l_quantity").alias("rating"),
+        F.timestamp_add("HOUR", F.col("l_linenumber"), F.col("l_shipdate")).alias("import_date"))
+    orders = read_table(spark, base, "orders")
+    flight = orders.join(customer, orders.o_custkey == customer.c_custkey, "inner").select(
+        F.to_date("o_orderdate").alias("date"),
+        F.format_string("%02d:%02d:00", F.pmod("o_orderkey", F.lit(24)), F.pmod("o_custkey", F.lit(60))).alias("time"),
+        (F.lit(60) + F.pmod("o_orderkey", F.lit(300))).cast("int").alias("duration"),
+        F.col("o_orderpriority").alias("company"), F.col("o_totalprice").alias("price"),
+        F.pmod("o_custkey", F.lit(3)).cast("int").alias("n_connections"),
+        F.lit(ORIGIN_CITY).alias("origin"), F.col("c_nationkey").cast("string").alias("destination"),
+        F.timestamp_add("HOUR", F.pmod("o_orderkey", F.lit(5)), F.col("o_orderdate")).alias("import_date"))
+    flight = flights.arrival_time(flight, clock="time", duration="duration")
+    return capitals, monuments, hotelday, flight
+
+
+def q_trip_days(spark: SparkSession, base: str) -> DataFrame:
+    capitals, monuments, hotelday, flight = _travel_inputs(spark, base)
+    report, _ = trips.trip_tables(capitals, monuments, hotelday, flight, TRIP_START,
+                                  n_days=TRIP_DAYS, home_country=HOME_NATION)
+    return report
+
+
+def q_trip_monument_lines(spark: SparkSession, base: str) -> DataFrame:
+    capitals, monuments, hotelday, flight = _travel_inputs(spark, base)
+    _, lines = trips.trip_tables(capitals, monuments, hotelday, flight, TRIP_START,
+                                 n_days=TRIP_DAYS, home_country=HOME_NATION)
+    return lines
+
+
+QUERIES.update({
+    "trip_days": q_trip_days,
+    "trip_monument_lines": q_trip_monument_lines,
+})
