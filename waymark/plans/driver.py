@@ -462,24 +462,30 @@ TRIP_START = "1996-03-01"
 TRIP_DAYS = 4
 
 
-def _travel_inputs(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+def _travel_inputs(spark: SparkSession, base: str, start: str = TRIP_START,
+                   days: int = TRIP_DAYS) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Catalogues and histories in the travel schemas, derived from the driver tables:
     capital = nation (id as text), monument = customer, hotel offer = line item at its
-    supplier's nation, flight = order to its customer's nation."""
+    supplier's nation, flight = order to its customer's nation.
+
+    The look-ahead window is applied to the raw timestamps here (``date(ts)`` in
+    the window is ``ts`` in the same whole days), so it reaches the parquet scans;
+    a history stored partitioned by date gets the same from partition pruning."""
     nation, customer = read_table(spark, base, "nation"), read_table(spark, base, "customer")
     capitals = nation.select(F.col("n_name").alias("country"),
                              F.col("n_nationkey").cast("string").alias("capital"))
     monuments = customer.join(nation, customer.c_nationkey == nation.n_nationkey, "inner").select(
         F.col("c_name").alias("name"), F.col("n_name").alias("country"),
         F.col("c_acctbal").alias("longitude"), F.col("c_nationkey").cast("double").alias("latitude"))
-    li, supplier = read_table(spark, base, "lineitem"), read_table(spark, base, "supplier")
+    li = latest.date_window(read_table(spark, base, "lineitem"), "l_shipdate", start, days)
+    supplier = read_table(spark, base, "supplier")
     hotelday = li.join(supplier, li.l_suppkey == supplier.s_suppkey, "inner").select(
         F.to_date("l_shipdate").alias("checkin_date"), F.col("s_nationkey").cast("string").alias("city"),
         F.col("l_partkey").cast("string").alias("name"), F.col("l_extendedprice").alias("price"),
         F.col("l_discount").alias("longitude"), F.col("l_tax").alias("latitude"),
         F.col("l_quantity").alias("rating"),
         F.timestamp_add("HOUR", F.col("l_linenumber"), F.col("l_shipdate")).alias("import_date"))
-    orders = read_table(spark, base, "orders")
+    orders = latest.date_window(read_table(spark, base, "orders"), "o_orderdate", start, days)
     flight = orders.join(customer, orders.o_custkey == customer.c_custkey, "inner").select(
         F.to_date("o_orderdate").alias("date"),
         F.format_string("%02d:%02d:00", F.pmod("o_orderkey", F.lit(24)), F.pmod("o_custkey", F.lit(60))).alias("time"),
