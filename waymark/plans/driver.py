@@ -506,10 +506,8 @@ def q_trip_days(spark: SparkSession, base: str) -> DataFrame:
 
 
 def q_trip_monument_lines(spark: SparkSession, base: str) -> DataFrame:
-    capitals, monuments, hotelday, flight = _travel_inputs(spark, base)
-    _, lines = trips.trip_tables(capitals, monuments, hotelday, flight, TRIP_START,
-                                 n_days=TRIP_DAYS, home_country=HOME_NATION)
-    return lines
+    _, monuments, _, _ = _travel_inputs(spark, base)
+    return trips.monument_lines(monuments)
 
 
 QUERIES.update({

@@ -63,6 +63,22 @@ def _hotel_text() -> Column:
                            F.coalesce(F.col("rating").cast("string"), F.lit("none")))
 
 
+def _monuments_by_country(monuments: DataFrame, aliases: dict[str, list[str]] | None) -> DataFrame:
+    if not aliases:
+        return monuments
+    # monuments filed under another name count for the catalogue country
+    reverse = {alias: name for name, names in aliases.items() for alias in names}
+    mapping = F.create_map(*[F.lit(x) for pair in reverse.items() for x in pair])
+    return monuments.withColumn("country", F.coalesce(mapping[F.col("country")], F.col("country")))
+
+
+def monument_lines(monuments: DataFrame, aliases: dict[str, list[str]] | None = None) -> DataFrame:
+    """Each country's monuments numbered 1..n by name (W2), one row per monument."""
+    mons = _monuments_by_country(monuments, aliases)
+    return reports.numbered(mons.select("country", "name", "longitude", "latitude"),
+                            ["country"], ["name"], idx_col="line")
+
+
 def trip_tables(capitals: DataFrame, monuments: DataFrame, hotelday: DataFrame, flight: DataFrame,
                 start: str | _dt.date, n_days: int = DAYS_AHEAD, home_country: str = HOME_COUNTRY,
                 aliases: dict[str, list[str]] | None = None, k: int = TOP_K
@@ -81,17 +97,10 @@ def trip_tables(capitals: DataFrame, monuments: DataFrame, hotelday: DataFrame,
     ht = current_hotels(hotelday, start, n_days).select(
         F.col("city").alias("capital"), F.col("checkin_date").alias("day"), "name", "price", "rating")
     hotel_side = reports.top_slots(ht, ["capital", "day"], _hotel_text(), ["price", "name"], k=k)
-    country_of = F.col("country")
-    if aliases:  # monuments filed under another name count for the catalogue country
-        reverse = {alias: name for name, names in aliases.items() for alias in names}
-        mapping = F.create_map(*[F.lit(x) for pair in reverse.items() for x in pair])
-        country_of = F.coalesce(mapping[F.col("country")], F.col("country"))
-    mons = monuments.withColumn("country", country_of)
+    mons = _monuments_by_country(monuments, aliases)
     mon_side = mons.groupBy("country").agg(
         F.format_string("%d monuments", F.count(F.lit(1))).alias("monuments"))
     trips = reports.trip_report(
         plan.join(mon_side, ["country"], "left"), ["capital", "day"], "country", home_country,
         flights=flight_side, hotels=hotel_side, k=k)
-    lines = reports.numbered(mons.select("country", "name", "longitude", "latitude"),
-                             ["country"], ["name"], idx_col="line")
-    return trips, lines
+    return trips, monument_lines(monuments, aliases)
