@@ -500,9 +500,8 @@ def _travel_inputs(spark: SparkSession, base: str, start: str = TRIP_START,
 
 def q_trip_days(spark: SparkSession, base: str) -> DataFrame:
     capitals, monuments, hotelday, flight = _travel_inputs(spark, base)
-    report, _ = trips.trip_tables(capitals, monuments, hotelday, flight, TRIP_START,
-                                  n_days=TRIP_DAYS, home_country=HOME_NATION)
-    return report
+    return trips.trip_report_table(capitals, monuments, hotelday, flight, TRIP_START,
+                                   n_days=TRIP_DAYS, home_country=HOME_NATION)
 
 
 def q_trip_monument_lines(spark: SparkSession, base: str) -> DataFrame:

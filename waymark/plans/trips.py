@@ -79,11 +79,11 @@ def monument_lines(monuments: DataFrame, aliases: dict[str, list[str]] | None =
                             ["country"], ["name"], idx_col="line")
 
 
-def trip_tables(capitals: DataFrame, monuments: DataFrame, hotelday: DataFrame, flight: DataFrame,
-                start: str | _dt.date, n_days: int = DAYS_AHEAD, home_country: str = HOME_COUNTRY,
-                aliases: dict[str, list[str]] | None = None, k: int = TOP_K
-                ) -> tuple[DataFrame, DataFrame]:
-    """``(trips, monument_lines)`` for every catalogue country and each of ``n_days`` days.
+def trip_report_table(capitals: DataFrame, monuments: DataFrame, hotelday: DataFrame,
+                      flight: DataFrame, start: str | _dt.date, n_days: int = DAYS_AHEAD,
+                      home_country: str = HOME_COUNTRY, aliases: dict[str, list[str]] | None = None,
+                      k: int = TOP_K) -> DataFrame:
+    """One trip row for every catalogue country and each of ``n_days`` days.
 
     ``hotelday`` / ``flight`` are histories (latest import and date window are
     applied here). The flight shown is the cheapest of the latest import (then
@@ -100,7 +100,16 @@ def trip_tables(capitals: DataFrame, monuments: DataFrame, hotelday: DataFrame,
     mons = _monuments_by_country(monuments, aliases)
     mon_side = mons.groupBy("country").agg(
         F.format_string("%d monuments", F.count(F.lit(1))).alias("monuments"))
-    trips = reports.trip_report(
+    return reports.trip_report(
         plan.join(mon_side, ["country"], "left"), ["capital", "day"], "country", home_country,
         flights=flight_side, hotels=hotel_side, k=k)
-    return trips, monument_lines(monuments, aliases)
+
+
+def trip_tables(capitals: DataFrame, monuments: DataFrame, hotelday: DataFrame, flight: DataFrame,
+                start: str | _dt.date, n_days: int = DAYS_AHEAD, home_country: str = HOME_COUNTRY,
+                aliases: dict[str, list[str]] | None = None, k: int = TOP_K
+                ) -> tuple[DataFrame, DataFrame]:
+    """``(trips, monument_lines)``: the report and each country's numbered monuments."""
+    report = trip_report_table(capitals, monuments, hotelday, flight, start, n_days,
+                               home_country, aliases, k)
+    return report, monument_lines(monuments, aliases)
