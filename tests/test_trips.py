@@ -73,3 +73,39 @@ def test_trip_monuments_with_aliases(spark):
                                  aliases=COUNTRY_ALIASES)
     assert t.first().monuments == "2 monuments"
     assert sorted((r.country, r.line) for r in lines.collect()) == [("United Kingdom", 1), ("United Kingdom", 2)]
+
+
+def test_readme_flow(spark):
+    """The README's flow, with record frames standing in for the two topics."""
+    import os
+    from waymark.session import scratch_path
+    from waymark.sources import delimited, sinks
+    root = scratch_path(spark, "flow")
+    os.makedirs(f"{root}/cap")
+    os.makedirs(f"{root}/mon")
+    with open(f"{root}/cap/c.csv", "w", encoding="utf-8") as fh:
+        fh.write("﻿country;capital;airport_code;dest_id_booking\r\nFrance;Paris;CDG;-2\r\n")
+    with open(f"{root}/mon/m.csv", "w", encoding="utf-8") as fh:
+        fh.write("﻿ID;name;Region;country;Geographic Area;Continent;latitude;longitude;"
+                 "Latitude 2;Longitude 2;Latitude 3;Longitude 3\r\n"
+                 "1;Louvre;Paris;France;West Europe;Europe;48,86;2,33;;;;\r\n")
+    capitals = delimited.read_capitals(spark, f"{root}/cap")
+    monuments = delimited.read_monuments(spark, f"{root}/mon")
+    hotel = [{"city_trans": "Paris", "hotel_name": h, "min_total_price": p * 7, "currencycode": "EUR",
+              "longitude": 2.3, "latitude": 48.8, "review_score": r, "checkin_date": "2024-01-11",
+              "import_date": "2024-01-10T08:00:00"} for h, p, r in (("A", 100, 8), ("B", 50, 6))]
+    fl = {"time": "10:30:00", "duration": 95, "company": "Air", "price": 99.0, "n_connections": 0,
+          "date": "2024-01-11", "import_date": "2024-01-10T08:00:00", "origin": "Vienna",
+          "destination": "Paris"}
+    hotel_rec = spark.createDataFrame([(json.dumps(x),) for x in hotel], "value string")
+    flight_rec = spark.createDataFrame([(json.dumps(fl),)], "value string")
+    sinks.append_table(trips.hotels_from_records(hotel_rec), f"{root}/hotelday", ["checkin_date"])
+    sinks.append_table(trips.flights_from_records(flight_rec), f"{root}/flight", ["date"])
+    report = trips.trip_report_table(capitals, monuments, spark.read.parquet(f"{root}/hotelday"),
+                                     spark.read.parquet(f"{root}/flight"), start="2024-01-11", n_days=2)
+    rows = {r.day: r for r in report.collect()}
+    first = rows[dt.date(2024, 1, 11)]
+    assert first.flight.startswith("Vienna -> Paris, 2024-01-11 at 10:30:00 -> 12:05:00")
+    assert first.hotel_1.startswith("B, 50.00") and first.hotel_2.startswith("A, 100.00")
+    assert first.monuments == "1 monuments"
+    assert rows[dt.date(2024, 1, 12)].hotel_1 == reports.NO_HOTELS
