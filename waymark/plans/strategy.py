@@ -113,7 +113,7 @@ def rows_per_task(spark: SparkSession) -> int:
 
 def salted_join(big: DataFrame, per_key: DataFrame, keys: list[str], count_col: str,
                 how: str = "inner", hot_rows: int | None = None,
-                max_salt: int = 4096) -> DataFrame:
+                max_salt: int = 1 << 16) -> DataFrame:
     """Shuffle join of ``big`` with a one-row-per-key table whose ``count_col`` holds the
     number of ``big`` rows of the key; hot keys are split over salt buckets.
 
