@@ -112,22 +112,42 @@ def _flight_reason():
              .when(F.col("_carrier").isNull(), F.lit("leg without carrier")))
 
 
+def _leg_parts(bucket: Column) -> tuple[Column, Column, Column]:
+    item = F.get(bucket["items"], 0)
+    leg = F.get(item["legs"], 0)
+    return item, leg, F.get(leg["carriers"]["marketing"], 0)
+
+
+def _flight_of(bucket: Column) -> Column:
+    item, leg, carrier = _leg_parts(bucket)
+    return F.struct(clock_of_iso(leg["departure"]).alias("time"),
+                    leg["durationInMinutes"].alias("duration"),
+                    carrier["name"].alias("company"),
+                    item["price"]["raw"].alias("price"),
+                    leg["stopCount"].alias("n_connections"))
+
+
+def _complete(bucket: Column, bucket_id: str) -> Column:
+    item, leg, carrier = _leg_parts(bucket)
+    return (bucket["id"] == F.lit(bucket_id)) & item.isNotNull() & leg.isNotNull() & carrier.isNotNull()
+
+
 def parse_flight_payload(responses: DataFrame, payload: str = "payload",
                          bucket_id: str = BEST_BUCKET, dedupe: bool = True) -> DataFrame:
     """The chosen bucket's first item, first leg, first carrier → one flight row (S3).
 
     Uses ``get`` (NULL when out of range) instead of ``[0]``, which raises on an
     empty array under ANSI mode; responses missing a part are in the rejects.
+    Duplicates are removed inside each response (``array_distinct`` before the
+    explode), as the original does per response: no shuffle.
     """
-    b, carry = _best_buckets(responses, payload, bucket_id)
-    rows = (b.filter(_flight_reason().isNull() & F.col("_b").isNotNull())
-             .select(clock_of_iso(F.col("_leg.departure")).alias("time"),
-                     F.col("_leg.durationInMinutes").alias("duration"),
-                     F.col("_carrier.name").alias("company"),
-                     F.col("_item.price.raw").alias("price"),
-                     F.col("_leg.stopCount").alias("n_connections"),
-                     *carry))
-    return rows.dropDuplicates() if dedupe else rows
+    p = _parsed(responses, payload, FLIGHT_PAYLOAD)
+    carry = _carry(p, payload)
+    chosen = F.filter("_payload.itineraries.buckets", lambda b: _complete(b, bucket_id))
+    found = F.transform(chosen, _flight_of)
+    if dedupe:
+        found = F.array_distinct(found)
+    return p.select(F.explode(found).alias("_f"), *carry).select("_f.*", *carry)
 
 
 def flight_payload_rejects(responses: DataFrame, payload: str = "payload",
