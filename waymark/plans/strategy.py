@@ -75,7 +75,7 @@ def materialize_with_stats(df: DataFrame, name: str = "side",
     seen = Observation(f"stats_{name}")
     exprs = [F.count(F.lit(1)).alias("rows")] + [c.alias(k) for k, c in stats.items()]
     df.observe(seen, *exprs).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path), dict(seen.get)
+    return spark.read.schema(df.schema).parquet(path), dict(seen.get)  # known schema: no inference
 
 
 def materialize(df: DataFrame, name: str = "side") -> tuple[DataFrame, int]:
