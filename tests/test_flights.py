@@ -145,3 +145,12 @@ def test_hotel_pages_are_bounded(spark):
     sizes = sorted(len(json.loads(r.payload)["result"]) for r in pages.collect())
     assert sum(sizes) == 130 and max(sizes) <= 50
     assert payloads.parse_hotel_payload(pages).count() == 130
+
+
+def test_plans_without_shuffle_or_sort_aggregate(spark):
+    from conftest import plan_text
+    df = _responses(spark, [_resp(_best([ITEM]), _best([ITEM]))])
+    assert "Exchange" not in plan_text(payloads.parse_flight_payload(df))  # dedupe inside the response
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    text = plan_text(flights.first_per_key(ev, ["user_id"], ["ts", "event_id"]))
+    assert "SortAggregate" not in text and "WindowGroupLimit" in text
