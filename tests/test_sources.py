@@ -129,3 +129,17 @@ def test_decode_prefers_payload_import_time(spark):
     assert out.first().import_date == dt.datetime(2024, 1, 9, 8, 0)
     plain = topics.decode_records(recs, "k BIGINT")
     assert plain.columns == ["k", "import_date"]
+
+
+def test_small_helpers(spark):
+    from waymark.functions.timefn import today
+    from waymark.sources.payloads import with_request_columns
+    from waymark.sources.tables import scan_columns
+    df = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    pruned = scan_columns(df, "o_orderkey", "o_orderdate")
+    assert pruned.columns == ["o_orderkey", "o_orderdate"]
+    assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in \
+        pruned._jdf.queryExecution().executedPlan().toString()
+    req = with_request_columns(spark.range(2), {"origin": "Vienna", "destination": "Paris"})
+    assert {(r.origin, r.destination) for r in req.collect()} == {("Vienna", "Paris")}
+    assert spark.range(1).select(today().alias("d")).first().d == dt.date.today()
