@@ -110,3 +110,16 @@ def test_first_per_key_matches_brute_force(spark):
     salted = {r.k: r.id for r in flights.first_per_key(df, ["k"], ["p", "t", "id"],
                                                         broadcast_max_bytes=0).collect()}
     assert salted == got
+
+
+def test_empty_inputs(spark):
+    from waymark.operators import flights, reports
+    empty = spark.createDataFrame([], COLS)
+    assert hotels.hotel_top3(empty).count() == 0
+    assert hotels.hotel_top3(empty, broadcast_max_bytes=0).count() == 0
+    ev = spark.createDataFrame([], "k string, ts timestamp, v int")
+    assert latest.latest_per_key(ev, ["k"], ts="ts").count() == 0
+    assert flights.first_per_key(ev, ["k"], ["ts"]).count() == 0
+    assert reports.numbered(ev, ["k"], ["ts"]).count() == 0
+    assert reports.numbered(ev, ["k"], ["ts"], method="range").count() == 0
+    assert reports.price_flags(ev.withColumn("p", ev.v * 1.0), "p", ["k"]).count() == 0
