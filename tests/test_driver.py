@@ -48,6 +48,7 @@ def test_query_matches_oracle(spark, duck, name):
     text = plan_text(df)
     for slow in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas"):
         assert slow not in text, f"{name} runs Python in its plan"
+    assert "ExistingRDD" not in text, f"{name} scans an RDD"
     for pairs in ("CartesianProduct", "BroadcastNestedLoopJoin"):
         assert pairs not in text, f"{name} pairs every row with every row"
 
