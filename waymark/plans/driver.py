@@ -43,10 +43,12 @@ def lineitem_offers(spark: SparkSession, base: str) -> DataFrame:
 # --- hotels -------------------------------------------------------------------
 
 def q_hotel_range(spark: SparkSession, base: str) -> DataFrame:
+    """Min/max price per night and quantity per (supplier, ship month) of returned items."""
     return hotels.hotel_range(lineitem_offers(spark, base), **OFFER_ARGS)
 
 
 def q_price_per_night(spark: SparkSession, base: str) -> DataFrame:
+    """Extended price over four nights, every line item."""
     li = read_table(spark, base, "lineitem")
     return li.select("l_orderkey", "l_linenumber", "l_extendedprice",
                      price_per_night("l_extendedprice", PRICE_DIVISOR_NIGHTS).alias("price_per_night"))
@@ -57,11 +59,13 @@ SCORED_COLUMNS = ("l_orderkey", "l_partkey", "l_linenumber", "l_suppkey", "ship_
 
 
 def q_hotel_score(spark: SparkSession, base: str) -> DataFrame:
+    """Price and review points of every scored line item."""
     scored = hotels.hotel_score(lineitem_offers(spark, base), **OFFER_ARGS)
     return scored.select(*SCORED_COLUMNS)
 
 
 def q_hotel_top3(spark: SparkSession, base: str) -> DataFrame:
+    """The three best-scored items per (supplier, ship month), ties kept."""
     top = hotels.hotel_top3(lineitem_offers(spark, base), **OFFER_ARGS)
     return top.select(*SCORED_COLUMNS, "rank")
 
@@ -77,6 +81,7 @@ HOTELDAY_FROM_LINEITEM = {
 
 
 def q_hotelday_publish(spark: SparkSession, base: str) -> DataFrame:
+    """The top three renamed to the published hotel-day columns."""
     top = hotels.hotel_top3(lineitem_offers(spark, base), **OFFER_ARGS)
     return hotels.hotelday_publish(top, HOTELDAY_FROM_LINEITEM)
 
@@ -102,6 +107,7 @@ def _events(spark: SparkSession, base: str) -> DataFrame:
 
 
 def q_latest_flights(spark: SparkSession, base: str) -> DataFrame:
+    """Events of each (day, user, type) at its latest time."""
     ev = _events(spark, base).select(*EVENT_COLUMNS).withColumn("day", F.to_date("ts"))
     return latest.latest_per_key(ev, ["day", "user_id", "event_type"], ts="ts")
 
@@ -122,16 +128,19 @@ WHERE f.ts = sel.last_import
 
 
 def q_latest_flights_sql(spark: SparkSession, base: str) -> DataFrame:
+    """The same as SQL text over a view, for the four days from the reference date."""
     _events(spark, base).createOrReplaceTempView("events")
     return spark.sql(LATEST_FLIGHTS_SQL.format(ref=REF_DATE, days=4))
 
 
 def q_latest_hotels(spark: SparkSession, base: str) -> DataFrame:
+    """Events of each (user, type) at its latest time."""
     ev = _events(spark, base).select(*EVENT_COLUMNS)
     return latest.latest_per_key(ev, ["user_id", "event_type"], ts="ts")
 
 
 def q_date_window(spark: SparkSession, base: str) -> DataFrame:
+    """Events in the four days from the reference date."""
     return latest.date_window(_events(spark, base), "ts", REF_DATE, 4)
 
 
@@ -144,21 +153,25 @@ def _flight_like(spark: SparkSession, base: str) -> DataFrame:
 
 
 def q_arrival_time(spark: SparkSession, base: str) -> DataFrame:
+    """Event time as departure plus floor(value) minutes: clock, full time, hours."""
     return flights.arrival_time(_flight_like(spark, base), clock="departure_time",
                                 duration="duration", departure_ts="ts")
 
 
 def q_arrival_time_compat(spark: SparkSession, base: str) -> DataFrame:
+    """The same departure and duration under the original carry rule."""
     return flights.arrival_time_compat(_flight_like(spark, base), clock="departure_time",
                                        duration="duration").drop("ts")
 
 
 def q_flight_dedup(spark: SparkSession, base: str) -> DataFrame:
+    """Distinct (supplier, return flag, line status)."""
     li = read_table(spark, base, "lineitem").select("l_suppkey", "l_returnflag", "l_linestatus")
     return flights.flight_dedup(li)
 
 
 def q_best_item(spark: SparkSession, base: str) -> DataFrame:
+    """Each user's first event by (time, id)."""
     ev = _events(spark, base).select(*EVENT_COLUMNS)
     return flights.first_per_key(ev, ["user_id"], ["ts", "event_id"])
 
@@ -199,6 +212,7 @@ def hotel_responses(spark: SparkSession, base: str) -> DataFrame:
 
 
 def q_hotel_payload_parse(spark: SparkSession, base: str) -> DataFrame:
+    """Line items packed into hotel responses and parsed back to rows."""
     return payloads.parse_hotel_payload(hotel_responses(spark, base))
 
 
@@ -225,10 +239,12 @@ def flight_responses(spark: SparkSession, base: str) -> DataFrame:
 
 
 def q_flight_payload_parse(spark: SparkSession, base: str) -> DataFrame:
+    """Flights parsed from the event responses' chosen bucket."""
     return payloads.parse_flight_payload(flight_responses(spark, base))
 
 
 def q_payload_rejects(spark: SparkSession, base: str) -> DataFrame:
+    """Event responses that give no flight, with the reason."""
     return payloads.flight_payload_rejects(flight_responses(spark, base))
 
 
@@ -239,20 +255,24 @@ def _event_records(spark: SparkSession, base: str, value: str) -> DataFrame:
 
 
 def q_topic_encode(spark: SparkSession, base: str) -> DataFrame:
+    """Every event as a keyed JSON record."""
     return topics.encode_records(_events(spark, base), key="event_id")
 
 
 def q_topic_decode(spark: SparkSession, base: str) -> DataFrame:
+    """The events' JSON property decoded with a declared schema; record time as import time."""
     return topics.decode_records(_event_records(spark, base, "props"), "k BIGINT", keep=["key"])
 
 
 def q_topic_roundtrip(spark: SparkSession, base: str) -> DataFrame:
+    """Events encoded to records and decoded back to the same rows."""
     ev = _events(spark, base)
     records = topics.encode_records(ev, key="event_id")
     return topics.decode_records(records, ev.schema, timestamp=None)
 
 
 def q_topic_counts(spark: SparkSession, base: str) -> DataFrame:
+    """Records per event type."""
     return topics.record_counts(_events(spark, base).withColumnRenamed("event_type", "topic"))
 
 
@@ -284,10 +304,13 @@ def _capitals(spark: SparkSession, base: str) -> DataFrame:
 
 
 def q_request_plan(spark: SparkSession, base: str) -> DataFrame:
+    """Every capital (nation) with its country (region), for the three days after the
+    reference date (J5 F12)."""
     return catalog.request_plan(_capitals(spark, base), REF_DATE, n_days=3, offset=1)
 
 
 def q_filter_by_country(spark: SparkSession, base: str) -> DataFrame:
+    """Suppliers located in the capital of one country."""
     supplier = read_table(spark, base, "supplier").withColumnRenamed("s_nationkey", "city")
     nations = read_table(spark, base, "nation")
     return catalog.filter_by_country(supplier, nations, SELECTED_COUNTRY,
@@ -295,17 +318,20 @@ def q_filter_by_country(spark: SparkSession, base: str) -> DataFrame:
 
 
 def q_filter_by_day(spark: SparkSession, base: str) -> DataFrame:
+    """Orders of one day."""
     orders = read_table(spark, base, "orders")
     return catalog.filter_by_day(orders, SELECTED_DAY, columns=("date", "checkin_date", "o_orderdate"))
 
 
 def q_catalog_options(spark: SparkSession, base: str) -> DataFrame:
+    """Each country name with each of the next four days."""
     nations = read_table(spark, base, "nation")
     return catalog.catalog_options(nations.withColumnRenamed("n_name", "country"), "country",
                                    "2024-01-11", n_days=4)
 
 
 def q_union_by_name(spark: SparkSession, base: str) -> DataFrame:
+    """Orders and line items in one table by column name."""
     return sets.union_by_name(read_table(spark, base, "orders"), read_table(spark, base, "lineitem"))
 
 
@@ -317,21 +343,25 @@ def _points(spark: SparkSession, base: str) -> DataFrame:
 
 
 def q_map_points(spark: SparkSession, base: str) -> DataFrame:
+    """Customers and suppliers as one point table with a layer column."""
     return _points(spark, base)
 
 
 def q_geo_midpoint(spark: SparkSession, base: str) -> DataFrame:
+    """Bounding-box centre per event type."""
     ev = _events(spark, base).select("event_type", F.col("value").alias("lon"),
                                      F.col("user_id").cast("double").alias("lat"))
     return reports.geo_midpoint(ev, ["event_type"])
 
 
 def q_price_extremes(spark: SparkSession, base: str) -> DataFrame:
+    """Every line item's price flagged against the table's rounded max/min, raw form."""
     li = read_table(spark, base, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
     return reports.price_flags(li, "l_extendedprice", rounded=False)
 
 
 def q_price_board(spark: SparkSession, base: str) -> DataFrame:
+    """Every event as a board row flagged against its type's rounded max/min (V1)."""
     ev = _events(spark, base).select(
         F.col("event_type").alias("destination"), F.to_date("ts").alias("date"),
         timefn.clock_of_ts("ts").alias("time"),
@@ -341,11 +371,13 @@ def q_price_board(spark: SparkSession, base: str) -> DataFrame:
 
 
 def q_monument_list(spark: SparkSession, base: str) -> DataFrame:
+    """Parts numbered per brand by (name, key)."""
     part = read_table(spark, base, "part").select("p_brand", "p_name", "p_partkey")
     return reports.numbered(part, ["p_brand"], ["p_name", "p_partkey"])
 
 
 def q_trip_report(spark: SparkSession, base: str) -> DataFrame:
+    """Per nation: latest order, three richest suppliers, customer count."""
     nation = read_table(spark, base, "nation")
     plan = nation.select(F.col("n_nationkey").alias("nationkey"), F.col("n_name").alias("country"))
     customer = read_table(spark, base, "customer")
@@ -390,11 +422,13 @@ QUERIES.update({
 
 
 def q_key_check(spark: SparkSession, base: str) -> DataFrame:
+    """(order key, line number) pairs that occur more than once (K4)."""
     li = read_table(spark, base, "lineitem")
     return sinks.key_violations(li, ["l_orderkey", "l_linenumber"])
 
 
 def q_typed_cast(spark: SparkSession, base: str) -> DataFrame:
+    """Order price as int (floor), order date as date, priority level via try_cast."""
     o = read_table(spark, base, "orders")
     return o.select(
         "o_orderkey",
@@ -404,12 +438,14 @@ def q_typed_cast(spark: SparkSession, base: str) -> DataFrame:
 
 
 def q_date_format(spark: SparkSession, base: str) -> DataFrame:
+    """Order date as yyyy-MM-dd and yyyy-MM text."""
     o = read_table(spark, base, "orders")
     return o.select("o_orderkey", timefn.to_iso_date_text("o_orderdate").alias("order_day"),
                     F.date_format("o_orderdate", "yyyy-MM").alias("order_month"))
 
 
 def q_table_scan(spark: SparkSession, base: str) -> DataFrame:
+    """A full table scan."""
     return read_table(spark, base, "orders")
 
 
@@ -488,7 +524,8 @@ def _travel_inputs(spark: SparkSession, base: str, start: str = TRIP_START,
     orders = latest.date_window(read_table(spark, base, "orders"), "o_orderdate", start, days)
     flight = orders.join(customer, orders.o_custkey == customer.c_custkey, "inner").select(
         F.to_date("o_orderdate").alias("date"),
-        F.format_string("%02d:%02d:00", F.pmod("o_orderkey", F.lit(24)), F.pmod("o_custkey", F.lit(60))).alias("time"),
+        F.format_string("%02d:%02d:00", F.pmod("o_orderkey", F.lit(24)),
+                        F.pmod("o_custkey", F.lit(60))).alias("time"),
         (F.lit(60) + F.pmod("o_orderkey", F.lit(300))).cast("int").alias("duration"),
         F.col("o_orderpriority").alias("company"), F.col("o_totalprice").alias("price"),
         F.pmod("o_custkey", F.lit(3)).cast("int").alias("n_connections"),
@@ -499,12 +536,14 @@ def _travel_inputs(spark: SparkSession, base: str, start: str = TRIP_START,
 
 
 def q_trip_days(spark: SparkSession, base: str) -> DataFrame:
+    """The travel assembly: per country and day, flight, hotel slots and monuments."""
     capitals, monuments, hotelday, flight = _travel_inputs(spark, base)
     return trips.trip_report_table(capitals, monuments, hotelday, flight, TRIP_START,
                                    n_days=TRIP_DAYS, home_country=HOME_NATION)
 
 
 def q_trip_monument_lines(spark: SparkSession, base: str) -> DataFrame:
+    """Each country's monuments numbered by name."""
     _, monuments, _, _ = _travel_inputs(spark, base)
     return trips.monument_lines(monuments)
 
