@@ -64,3 +64,27 @@ def test_views_and_sql_text(spark):
     register_views(spark, "/root/testdata/sf0.001", ["region", "nation"])
     got = sql_table(spark, "SELECT count(*) AS n FROM nation JOIN region ON n_regionkey = r_regionkey")
     assert got.first().n == 25
+
+
+def test_hot_key_semi_join_is_split_by_aqe(spark):
+    """Copies sharing one (key, time) on the shuffle path: AQE splits the skewed partition."""
+    from pyspark.sql import functions as F
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        ev = spark.range(100000).select(
+            F.when(F.col("id") < 35000, F.lit(0)).otherwise(F.col("id") % 500).alias("k"),
+            F.when(F.col("id") < 35000, F.lit(5)).otherwise(F.col("id") % 7).alias("ts"), "id")
+        df = latest.latest_per_key(ev, ["k"], ts="ts", broadcast_max_bytes=0)
+        rows = df.collect()
+        final = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    assert sum(1 for r in rows if r.k == 0) == 35000
+    assert "SortMergeJoin(skew=true)" in final and "LeftSemi" in final
