@@ -78,7 +78,7 @@ def test_hot_key_semi_join_is_split_by_aqe(spark):
         spark.conf.set(k, v)
     try:
         ev = spark.range(100000).select(
-            F.when(F.col("id") < 35000, F.lit(0)).otherwise(F.col("id") % 500).alias("k"),
+            F.when(F.col("id") < 35000, F.lit(0)).otherwise(F.col("id") % 500 + 1).alias("k"),
             F.when(F.col("id") < 35000, F.lit(5)).otherwise(F.col("id") % 7).alias("ts"), "id")
         df = latest.latest_per_key(ev, ["k"], ts="ts", broadcast_max_bytes=0)
         rows = df.collect()
