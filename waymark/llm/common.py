@@ -42,8 +42,11 @@ def land_with(df: DataFrame, name: str, **stats: Column) -> tuple[DataFrame, dic
 
 
 def ascii_lower(col: Column) -> Column:
-    """``col`` with A-Z lower-cased and every other character left as it is."""
-    return F.translate(col, UPPER, LOWER)
+    """``col`` with A-Z lower-cased and every other character left as it is.
+
+    ``lower`` does that for texts of ASCII alone, at a fraction of what ``translate`` costs.
+    """
+    return F.when(F.octet_length(col) == F.length(col), F.lower(col)).otherwise(F.translate(col, UPPER, LOWER))
 
 
 def text_hash(col: Column) -> Column:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from waymark.llm import secret_scan
+from waymark.llm import line_dedup, secret_scan
 from waymark.llm.common import read_table
 
 
@@ -15,8 +16,35 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_summary(secret_scan.scan_secrets(read_table(spark, sf_dir, "documents")))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that three documents hold, dropped from all but the last of them."""
+    out = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
+    "op7_line_dedup": op7_line_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_line_dedup": r"""
+        WITH lines AS (
+            SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
+        ), keyed AS (
+            SELECT doc_id, pos, ls[pos] AS line,
+                   translate(regexp_replace(ls[pos], '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+            FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS pos FROM lines)
+        ), repeated AS (
+            SELECT k, max(doc_id) AS keeper FROM keyed WHERE length(k) >= 20
+            GROUP BY k HAVING count(DISTINCT doc_id) >= 3
+        )
+        SELECT x.doc_id, count(*) AS n_lines,
+               count(*) FILTER (WHERE r.k IS NOT NULL AND x.doc_id <> r.keeper) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos)
+                               FILTER (WHERE r.k IS NULL OR x.doc_id = r.keeper), '')) AS kept_sha256
+        FROM keyed x LEFT JOIN repeated r ON x.k = r.k
+        GROUP BY x.doc_id
+    """,
+}
