@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm import line_dedup, secret_scan
+from waymark.llm import line_dedup, secret_scan, tool_calls
 from waymark.llm.common import read_table
 
 
@@ -16,6 +16,23 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_summary(secret_scan.scan_secrets(read_table(spark, sf_dir, "documents")))
 
 
+#: What the two calls that chat turns stand for take.
+TURN_SCHEMAS = {
+    "configure": {"turn": {"type": "integer", "required": True},
+                  "text": {"type": "string", "required": True, "min_length": 1}},
+    "reply": {"turn": {"type": "integer", "required": True},
+              "text": {"type": "string", "required": True, "min_length": 1}, "after": {"type": "string"}},
+}
+
+
+def op6_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn of ``conversations`` as a call or a result: linked, ordered, validated, canonical."""
+    calls, results = tool_calls.turns_as_calls(read_table(spark, sf_dir, "conversations"))
+    out = tool_calls.link_tool_calls(calls, results, TURN_SCHEMAS)
+    return out.select("conv_id", "call_id", "turn", "name", "canonical", F.array_join("errors", ",").alias("errors"),
+                      "level", "refs", "dangling", "copies", "result_turn", "content", "result_copies", "status")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that three documents hold, dropped from all but the last of them."""
     out = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"))
@@ -24,10 +41,46 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
+    "op6_tool_call_linking": op6_tool_call_linking,
     "op7_line_dedup": op7_line_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op6_tool_call_linking": r"""
+        WITH RECURSIVE calls AS (
+            SELECT conv_id, turn, 'call_' || turn AS call_id,
+                   CASE WHEN role = 'system' THEN 'configure' ELSE 'reply' END AS name, text,
+                   CASE WHEN role = 'system' OR turn = 0 THEN NULL WHEN turn = 1 THEN 'call_0'
+                        ELSE 'call_' || (turn - 2) END AS needs, count(*) AS copies
+            FROM conversations WHERE role IS DISTINCT FROM 'assistant' GROUP BY ALL
+        ), results AS (
+            SELECT conv_id, turn AS result_turn, 'call_' || (turn - 1) AS call_id, text AS content,
+                   count(*) AS result_copies
+            FROM conversations WHERE role = 'assistant' GROUP BY ALL
+        ), levels AS (
+            SELECT conv_id, call_id, 0 AS level FROM calls c
+            WHERE needs IS NULL OR NOT EXISTS (SELECT 1 FROM calls d WHERE d.conv_id = c.conv_id AND d.call_id = c.needs)
+            UNION ALL
+            SELECT c.conv_id, c.call_id, l.level + 1 FROM calls c JOIN levels l
+            ON c.conv_id = l.conv_id AND c.needs = l.call_id
+        )
+        SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.call_id, r.call_id) AS call_id, c.turn, c.name,
+               CASE WHEN c.call_id IS NULL THEN NULL
+                    WHEN c.needs IS NULL THEN CAST(json_object('text', c.text, 'turn', c.turn) AS VARCHAR)
+                    ELSE CAST(json_object('after', '$' || c.needs, 'text', c.text, 'turn', c.turn) AS VARCHAR)
+               END AS canonical,
+               CASE WHEN c.call_id IS NULL THEN NULL WHEN c.text = '' THEN 'short:text' ELSE '' END AS errors,
+               l.level,
+               CASE WHEN c.call_id IS NULL THEN NULL WHEN c.needs IS NULL THEN 0 ELSE 1 END::BIGINT AS refs,
+               CASE WHEN c.call_id IS NULL THEN NULL WHEN c.needs IS NULL OR d.call_id IS NOT NULL THEN 0 ELSE 1
+               END::BIGINT AS dangling,
+               c.copies, r.result_turn, r.content, r.result_copies,
+               CASE WHEN c.call_id IS NULL THEN 'no_call' WHEN r.call_id IS NULL THEN 'no_result' ELSE 'linked'
+               END AS status
+        FROM calls c LEFT JOIN levels l ON l.conv_id = c.conv_id AND l.call_id = c.call_id
+        LEFT JOIN (SELECT conv_id, call_id FROM calls) d ON d.conv_id = c.conv_id AND d.call_id = c.needs
+        FULL JOIN results r ON r.conv_id = c.conv_id AND r.call_id = c.call_id
+    """,
     "op7_line_dedup": r"""
         WITH lines AS (
             SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
