@@ -54,6 +54,14 @@ def text_hash(col: Column) -> Column:
     return F.xxhash64(F.coalesce(col, F.lit("")))
 
 
+def doc_key(id_col: str, text_col: str) -> Column:
+    """``doc``: what tells documents apart, as a struct of id and text hash.
+
+    Rows may share an id, and ids may be null: a struct joins on null fields as on others.
+    """
+    return F.struct(F.col(id_col).alias("id"), text_hash(F.col(text_col)).alias("th")).alias("doc")
+
+
 def parts_for(rows: int, per_part: int, least: int = 1) -> int:
     """How many partitions hold ``rows`` rows at ``per_part`` each."""
     return max(least, math.ceil(rows / per_part))

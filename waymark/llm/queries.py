@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm import line_dedup, secret_scan, tool_calls
+from waymark.llm import license_scan, line_dedup, secret_scan, tool_calls
 from waymark.llm.common import read_table
 
 
@@ -39,10 +39,19 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices in every document."""
+    out = license_scan.scan_licenses(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_base", "first_word", "last_word",
+                      F.array_join("base_labels", ",").alias("base_labels"),
+                      F.array_join("labels", ",").alias("labels"), "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op6_tool_call_linking": op6_tool_call_linking,
     "op7_line_dedup": op7_line_dedup,
+    "op9_license_scan": op9_license_scan,
 }
 
 ORACLE_SQL: dict[str, str] = {
