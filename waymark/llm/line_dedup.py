@@ -50,8 +50,9 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ranged = (lines.repartitionByRange(n, "h1", "h2", "id")
               .sortWithinPartitions("h1", "h2", "id", "pos"))
     firsts = ranged.groupBy("h1", "h2", "id").agg(F.count(F.lit(1)).alias("n"))  # streams the sorted ranges
-    repeated = (firsts.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("docs"), F.max("id").alias("keeper"))
-                .filter(F.col("docs") >= min_docs).select("h1", "h2", "keeper"))
+    # landed, so that the join's two sides are plain shuffles and a hot line can be split in it
+    repeated = land(firsts.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("docs"), F.max("id").alias("keeper"))
+                    .filter(F.col("docs") >= min_docs).select("h1", "h2", "keeper"), "repeated_lines")
     lost = (lines.join(repeated, ["h1", "h2"])
             .filter(~F.col("id").eqNullSafe(F.col("keeper")))
             .select("id", "th", "n_lines", "pos"))
