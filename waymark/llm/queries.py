@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm import license_scan, line_dedup, secret_scan, tool_calls
+from waymark.llm import jaccard_join, license_scan, line_dedup, secret_scan, tool_calls
 from waymark.llm.common import read_table
 
 
@@ -47,14 +47,46 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.array_join("labels", ",").alias("labels"), "score")
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 4-word shingle sets are at least 0.85 similar."""
+    return jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op6_tool_call_linking": op6_tool_call_linking,
     "op7_line_dedup": op7_line_dedup,
     "op9_license_scan": op9_license_scan,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op10_jaccard_join": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws
+            FROM documents
+        ), sets AS (
+            SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(ws) - 2),
+                     lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] || ' ' || ws[i + 3])) END AS s
+            FROM words
+        ), tokens AS MATERIALIZED (
+            SELECT doc_id, len(s) AS n, unnest(s) AS t FROM sets
+        ), links AS MATERIALIZED (
+            SELECT a.doc_id AS x, b.doc_id AS y
+            FROM tokens a JOIN tokens b ON a.t = b.t AND a.doc_id <> b.doc_id AND 100 * b.n >= 85 * a.n
+                 AND 100 * a.n >= 85 * b.n
+            GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 85 * (any_value(a.n) + any_value(b.n) - count(*))
+        ), reach AS (
+            SELECT doc_id AS x, doc_id AS y FROM sets
+            UNION
+            SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x
+        )
+        SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, c.component_id
+        FROM sets s JOIN (SELECT x, min(y) AS component_id FROM reach GROUP BY x) c ON c.x = s.doc_id
+    """,
     "op6_tool_call_linking": r"""
         WITH RECURSIVE calls AS (
             SELECT conv_id, turn, 'call_' || turn AS call_id,
