@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from waymark.llm.bytehash import PrefixHash, mix
 from waymark.llm.common import blocks, doc_key, land, land_with, parts_for, text_hash, utf8
 from waymark.llm.components import connected_components
+from waymark.llm.groups import grouped
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -195,31 +196,11 @@ class TokenGroups:
             yield from ((x, first) for x, _ in group if x != first)
 
 
-def _grouped(batches, key: str):
-    """Tables of whole groups, from batches sorted by ``key``."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        keys = batch.column(batch.schema.get_field_index(key))
-        at = 0
-        cuts = [i for i in range(1, len(keys)) if keys[i] != keys[i - 1]] if len(keys) else []
-        if held and len(keys) and held[-1].column(held[-1].schema.get_field_index(key))[-1] != keys[0]:
-            yield pa.Table.from_batches(held)
-            held = []
-        for cut in cuts:
-            held.append(batch.slice(at, cut - at))
-            yield pa.Table.from_batches(held)
-            held, at = [], cut
-        if len(keys):
-            held.append(batch.slice(at))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _open_groups(delivered: DataFrame, percent: int, width: int, n_parts: int) -> DataFrame:
     """Edges ``(a, b)`` found within each group of ``(grp, cls, comp, text)``."""
 
     def open_all(batches):
-        for table in _grouped(batches, "grp"):
+        for table in grouped(batches, "grp"):
             names, comps = table.column("cls").to_pylist(), table.column("comp").to_pylist()
             sets = list(shingle_sets(table.column("text").combine_chunks(), width))
             matrix, seen = TokenGroups(percent), set()

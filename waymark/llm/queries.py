@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm import jaccard_join, license_scan, line_dedup, secret_scan, tool_calls
+from waymark.llm import embed_dedup, jaccard_join, license_scan, line_dedup, secret_scan, tool_calls
 from waymark.llm.common import read_table
 
 
@@ -39,6 +39,11 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors linked at a cosine of 0.9, their components and the ones that stay."""
+    return embed_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and notices in every document."""
     out = license_scan.scan_licenses(read_table(spark, sf_dir, "documents"))
@@ -56,11 +61,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op6_tool_call_linking": op6_tool_call_linking,
     "op7_line_dedup": op7_line_dedup,
+    "op8_embedding_dedup": op8_embedding_dedup,
     "op9_license_scan": op9_license_scan,
     "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op8_embedding_dedup": r"""
+        WITH RECURSIVE links AS MATERIALIZED (
+            SELECT a.vec_id AS x, b.vec_id AS y FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id
+            WHERE list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) >= 0.9
+        ), reach AS (
+            SELECT vec_id AS x, vec_id AS y FROM embeddings
+            UNION
+            SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x
+        )
+        SELECT c.x AS vec_id, coalesce(n.n_links, 0) AS n_links, c.component_id, c.x = c.component_id AS kept
+        FROM (SELECT x, min(y) AS component_id FROM reach GROUP BY x) c
+        LEFT JOIN (SELECT x, count(*) AS n_links FROM links GROUP BY x) n ON n.x = c.x
+    """,
     "op10_jaccard_join": r"""
         WITH RECURSIVE words AS (
             SELECT doc_id, list_filter(regexp_split_to_array(
