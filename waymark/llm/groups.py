@@ -27,3 +27,23 @@ def grouped(batches, key: str) -> Iterator[pa.Table]:
         held.append(batch.slice(at))
     if held:
         yield pa.Table.from_batches(held)
+
+
+def whole_groups(batches, key: str, least: int) -> Iterator[pa.Table]:
+    """Tables of ``least`` rows or more (but the last) that hold whole runs of equal ``key`` values."""
+    held: list[pa.RecordBatch] = []
+    rows = 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows < least:
+            continue
+        table = pa.Table.from_batches(held)
+        keys = table.column(key).to_numpy()
+        changes = np.flatnonzero(keys[1:] != keys[:-1])
+        if len(changes):
+            cut = int(changes[-1]) + 1
+            yield table.slice(0, cut)
+            held, rows = table.slice(cut).to_batches(), len(keys) - cut
+    if rows:
+        yield pa.Table.from_batches(held)

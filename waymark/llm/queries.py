@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm import embed_dedup, jaccard_join, license_scan, line_dedup, secret_scan, tool_calls
+from waymark.llm import embed_dedup, jaccard_join, license_scan, line_dedup, secret_scan, suffix_dedup, tool_calls
 from waymark.llm.common import read_table
 
 
@@ -16,6 +16,14 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_summary(secret_scan.scan_secrets(read_table(spark, sf_dir, "documents")))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes under 400-byte strings that stand at more than one place, removed from every document."""
+    out = suffix_dedup.dedup_substrings(read_table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 #: What the two calls that chat turns stand for take.
 TURN_SCHEMAS = {
     "configure": {"turn": {"type": "integer", "required": True},
@@ -59,6 +67,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op6_tool_call_linking": op6_tool_call_linking,
     "op7_line_dedup": op7_line_dedup,
     "op8_embedding_dedup": op8_embedding_dedup,
