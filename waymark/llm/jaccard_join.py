@@ -34,50 +34,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.bytehash import PrefixHash, mix
-from waymark.llm.common import blocks, doc_key, land, land_with, parts_for, text_hash, utf8
+from waymark.llm.bytehash import mix
+from waymark.llm.common import doc_key, land, land_with, parts_for, text_hash
 from waymark.llm.components import connected_components
 from waymark.llm.groups import grouped
+from waymark.llm.words import column_words
 
+# fixed: what separates words
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_PIECE = 8 << 20  # bytes hashed at once
-
-
-def _word_hashes(flat: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each word and the number of words of each row."""
-    if not len(flat):
-        return np.zeros(0, np.uint64), np.zeros(len(off) - 1, np.int64)
-    flat = _LOWER[flat]
-    solid = ~_SPACE[flat]
-    cut = np.zeros(len(flat) + 1, bool)
-    cut[off] = True  # words end at row ends
-    starts = solid.copy()
-    starts[1:] &= ~solid[:-1] | cut[1:-1]
-    ends = solid.copy()
-    ends[:-1] &= ~solid[1:] | cut[1:-1]
-    starts, ends = np.flatnonzero(starts), np.flatnonzero(ends) + 1
-    rows = np.searchsorted(off, starts, "right") - 1
-    hashes = mix(PrefixHash(flat).of(starts, ends) + (ends - starts).astype(np.uint64))
-    return hashes, np.bincount(rows, minlength=len(off) - 1)
-
-
-def _long_text(flat: np.ndarray) -> np.ndarray:
-    """Word hashes of one long text, piece by piece, cut at white space."""
-    out, at = [], 0
-    while at < len(flat):
-        end = min(at + _PIECE, len(flat))
-        while end < len(flat):
-            gaps = np.flatnonzero(_SPACE[flat[max(at, end - 65536):end]])
-            if len(gaps):
-                end = max(at, end - 65536) + int(gaps[-1]) + 1
-                break
-            end = min(end + 65536, len(flat))
-        out.append(_word_hashes(flat[at:end], np.array([0, end - at]))[0])
-        at = end
-    return np.concatenate(out)
 
 
 def _row_shingles(words: np.ndarray, width: int) -> np.ndarray:
@@ -94,14 +59,9 @@ def _row_shingles(words: np.ndarray, width: int) -> np.ndarray:
 
 def shingle_sets(col: pa.Array, width: int) -> Iterator[np.ndarray]:
     """Sorted distinct shingle hashes of each text of a column, in row order."""
-    for first, end in blocks(col):
-        flat, off = utf8(col.slice(first, end - first))
-        if end - first == 1 and len(flat) > _PIECE:
-            yield _row_shingles(_long_text(flat), width)
-            continue
-        hashes, counts = _word_hashes(flat, off)
+    for _, _, hashes, counts in column_words(col, _SPACE):
         at = np.concatenate([[0], np.cumsum(counts)])
-        for i in range(end - first):
+        for i in range(len(counts)):
             yield _row_shingles(hashes[at[i]:at[i + 1]], width)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm import embed_dedup, jaccard_join, license_scan, line_dedup, secret_scan, suffix_dedup, tool_calls
+from waymark.llm import decontaminate, embed_dedup, jaccard_join, license_scan, line_dedup, secret_scan, suffix_dedup, tool_calls
 from waymark.llm.common import read_table
 
 
@@ -24,6 +24,15 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document under ten-word passages of ``benchmark``."""
+    out = decontaminate.scan_contamination(read_table(spark, sf_dir, "documents"),
+                                           read_table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                      (F.col("n_hit") > 0).alias("contaminated"))
+
+
 #: What the two calls that chat turns stand for take.
 TURN_SCHEMAS = {
     "configure": {"turn": {"type": "integer", "required": True},
@@ -68,6 +77,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op4_decontamination": op4_decontamination,
     "op6_tool_call_linking": op6_tool_call_linking,
     "op7_line_dedup": op7_line_dedup,
     "op8_embedding_dedup": op8_embedding_dedup,
@@ -76,6 +86,39 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_decontamination": r"""
+        WITH doc_words AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS ws
+            FROM documents
+        ), item_words AS (
+            SELECT item_id, list_filter(regexp_split_to_array(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS ws
+            FROM benchmark
+        ), windows AS (
+            SELECT DISTINCT item_id, least(len(ws), 10) AS n, array_to_string(ws[i:i + 9], ' ') AS w
+            FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 8, 2))) AS i
+                  FROM item_words WHERE len(ws) > 0)
+        ), grams AS (
+            SELECT doc_id, i, n, array_to_string(ws[i:i + n - 1], ' ') AS w
+            FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i
+                  FROM doc_words, (SELECT DISTINCT n FROM windows))
+        ), found AS (
+            SELECT g.doc_id, g.i, g.n, x.item_id FROM grams g JOIN windows x ON x.n = g.n AND x.w = g.w
+        ), hits AS (
+            SELECT doc_id, count(DISTINCT p) AS n_hit
+            FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY doc_id
+        ), items AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS s
+            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM found) GROUP BY doc_id
+        )
+        SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+               coalesce(n_items, 0) AS n_items, sha256(coalesce(s, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM doc_words d LEFT JOIN hits h ON h.doc_id = d.doc_id LEFT JOIN items i ON i.doc_id = d.doc_id
+    """,
     "op8_embedding_dedup": r"""
         WITH RECURSIVE links AS MATERIALIZED (
             SELECT a.vec_id AS x, b.vec_id AS y FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id
