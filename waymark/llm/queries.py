@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm import decontaminate, embed_dedup, jaccard_join, license_scan, line_dedup, secret_scan, suffix_dedup, tool_calls
+from waymark.llm import bin_packing, decontaminate, embed_dedup, jaccard_join, license_scan, line_dedup, secret_scan, suffix_dedup, tool_calls
 from waymark.llm.common import read_table
 
 
@@ -24,6 +24,12 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token pieces packed into sequences of 2048."""
+    out = bin_packing.pack_documents(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document under ten-word passages of ``benchmark``."""
     out = decontaminate.scan_contamination(read_table(spark, sf_dir, "documents"),
@@ -77,6 +83,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op4_decontamination": op4_decontamination,
     "op6_tool_call_linking": op6_tool_call_linking,
     "op7_line_dedup": op7_line_dedup,
