@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm import bin_packing, decontaminate, embed_dedup, jaccard_join, license_scan, line_dedup, secret_scan, suffix_dedup, tool_calls
+from waymark.llm import bin_packing, decontaminate, embed_dedup, jaccard_join, license_scan, line_dedup, secret_scan, suffix_dedup, tool_calls, toxicity
 from waymark.llm.common import read_table
 
 
@@ -39,6 +39,16 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("n_hit") > 0).alias("contaminated"))
 
 
+#: The label columns in chain order; the last one flags.
+TOXICITY_CHAIN = ("quality", "toxic")
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by the classifier chain."""
+    out = toxicity.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), TOXICITY_CHAIN)
+    return out.select("doc_id", "p_quality", "p_toxic", F.col("flagged").alias("toxic"))
+
+
 #: What the two calls that chat turns stand for take.
 TURN_SCHEMAS = {
     "configure": {"turn": {"type": "integer", "required": True},
@@ -85,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_decontamination": op4_decontamination,
+    "op5_toxicity": op5_toxicity,
     "op6_tool_call_linking": op6_tool_call_linking,
     "op7_line_dedup": op7_line_dedup,
     "op8_embedding_dedup": op8_embedding_dedup,
