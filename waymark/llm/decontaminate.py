@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import land
+from waymark.llm.common import doc_key, land
 from waymark.llm.words import column_words
 
 # fixed: ASCII characters that are no letter or digit separate words
@@ -268,3 +268,13 @@ def scan_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     """Index built and searched: one row per row of ``docs``."""
     return find_items(build_index(docs, id_col, text_col), benchmark, item_col, item_text_col,
                       **options).withColumnRenamed("id", id_col)
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                      item_col: str = "item_id", item_text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` without an exact benchmark window."""
+    keyed = docs.select(doc_key(id_col, text_col), F.col(text_col).alias("text"))
+    hit = (scan_contamination(keyed, benchmark, "doc", "text", item_col, item_text_col, **options)
+           .filter(F.col("n_hit") > 0).select("doc").distinct())
+    rows = docs.select(F.struct("*").alias("row"), doc_key(id_col, text_col))
+    return rows.join(land(hit, "contaminated"), "doc", "left_anti").select("row.*")

@@ -187,13 +187,9 @@ def _block(col: str, n: Column) -> Column:
     return F.pmod(F.xxhash64(F.lit(3), col), n)
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, percent: int = 85,
-                       width: int = 4, bands: int = 45, rows: int = 5, block: int = 256) -> DataFrame:
-    """``(id, n_shingles, component_id)`` of every row.
-
-    Rows link when 100 * intersection >= ``percent`` * union of their ``width``-word shingles;
-    ``block`` is how many classes one task compares at most with as many others.
-    """
+def _components(docs: DataFrame, id_col: str, text_col: str, percent: int, width: int, bands: int, rows: int,
+                block: int) -> DataFrame:
+    """``(id, th, n_shingles, component, component_id)`` of every row; ``component`` is null for empty sets."""
     key = doc_key(id_col, text_col)
     plain = docs.select(F.col(id_col).alias("id"), text_hash(F.col(text_col)).alias("th"),
                         F.col(text_col).alias("text"))
@@ -241,10 +237,35 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         more = land(_open_groups(_with_text(dealt, classes, texts), percent, width, n_parts), "links")
         found = land(connected_components(edges.unionByName(more)), "components")
 
-    named = sets.select("id", "n_shingles", "cls").join(found.withColumnRenamed("node", "cls"), "cls", "left")
+    named = sets.select("id", "th", "n_shingles", "cls").join(found.withColumnRenamed("node", "cls"), "cls", "left")
     named = named.withColumn("component", F.coalesce("component", "cls"))
     low = land(named.filter(F.col("component").isNotNull()).groupBy("component")
                .agg(F.min("id").alias("component_id")), "component_ids")
     return (named.join(low, "component", "left")
-            .select(F.col("id").alias(id_col), "n_shingles",
+            .select("id", "th", "n_shingles", "component",
                     F.when(F.col("cls").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id")))
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, percent: int = 85,
+                       width: int = 4, bands: int = 45, rows: int = 5, block: int = 256) -> DataFrame:
+    """``(id, n_shingles, component_id)`` of every row.
+
+    Rows link when 100 * intersection >= ``percent`` * union of their ``width``-word shingles;
+    ``block`` is how many classes one task compares at most with as many others.
+    """
+    return _components(docs, id_col, text_col, percent, width, bands, rows, block).select(
+        F.col("id").alias(id_col), "n_shingles", "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, percent: int = 85, width: int = 4,
+             bands: int = 45, rows: int = 5, block: int = 256) -> DataFrame:
+    """The rows of ``docs`` that stay: of each component the one with the smallest id (a null id comes last),
+    and every row without words. Rows equal in id and text are one document."""
+    found = _components(docs, id_col, text_col, percent, width, bands, rows, block)
+    doc = F.struct("id", "th").alias("doc")
+    first = (found.filter(F.col("component").isNotNull()).groupBy("component")
+             .agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "th")).alias("first")))
+    stay = (first.select(F.struct("first.id", "first.th").alias("doc"))
+            .unionByName(found.filter(F.col("component").isNull()).select(doc)).distinct())
+    return (docs.select(F.struct("*").alias("row"), doc_key(id_col, text_col)).join(stay, "doc")
+            .dropDuplicates(["doc"]).select("row.*"))

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import ascii_lower, land, text_hash
+from waymark.llm.common import ascii_lower, doc_key, land, text_hash
 
 BLANKS = " \t\n\x0b\f\r"  # fixed: what is stripped at both ends of a line
 
@@ -75,22 +75,19 @@ def _kept(lines: Column, keep: Column) -> Column:
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, n_lines, n_dropped, kept_text)`` and the untouched text column, one row per row of ``docs``."""
-    rows = docs.select(F.col(id_col).alias("id"), text_hash(F.col(text_col)).alias("th"),
-                       F.col(text_col).alias("text"))
-    b = bitmaps.select(F.col("id").alias("b_id"), F.col("th").alias("b_th"), "keep")
-    lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
-    return (rows.join(b, F.col("id").eqNullSafe(F.col("b_id")) & (F.col("th") == F.col("b_th")), "left")
-            .select("id", "text", lines.alias("lines"), "keep")
-            .select("id", "text", F.size("lines").cast("long").alias("n_lines"),
+    """``(row, n_lines, n_dropped, kept_text)``: every input row as a struct, and its lines that stay."""
+    rows = docs.select(F.struct("*").alias("row"), doc_key(id_col, text_col))
+    lines = F.split(F.coalesce(F.col("row")[text_col], F.lit("")), "\n", -1)
+    return (rows.join(bitmaps.select(F.struct("id", "th").alias("doc"), "keep"), "doc", "left")
+            .select("row", lines.alias("lines"), "keep")
+            .select("row", F.size("lines").cast("long").alias("n_lines"),
                     _kept(F.col("lines"), F.col("keep")).alias("kept"))
-            .select(F.col("id").alias(id_col), F.col("text").alias(text_col), "n_lines",
-                    (F.col("n_lines") - F.size("kept")).alias("n_dropped"),
+            .select("row", "n_lines", (F.col("n_lines") - F.size("kept")).alias("n_dropped"),
                     F.array_join("kept", "\n").alias("kept_text")))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, min_chars: int = 20,
                 min_docs: int = 3) -> DataFrame:
-    """Bitmaps made and applied: ``(id, text, n_lines, n_dropped, kept_text)``."""
+    """Bitmaps made and applied: ``(row, n_lines, n_dropped, kept_text)``."""
     return apply_bitmaps(docs, keep_bitmaps(docs, id_col, text_col, min_chars=min_chars, min_docs=min_docs),
                          id_col, text_col)
