@@ -34,16 +34,19 @@ from pyspark.sql import functions as F
 
 from waymark.llm.common import land
 from waymark.llm.license_scan import words_of
+from waymark.session import scratch_path
 
 PREFIXES = (4, 5, 6, 7)  # characters
 
 
 def _tokenised(docs: DataFrame, kept: str, text: Column) -> DataFrame:
     """``kept``, ``tokens`` and ``size``: distinct words and, once per word, the prefixes of longer ones."""
-    starts = [F.transform(F.filter("words", lambda w, k=k: F.length(w) > k),
-                          lambda w, k=k: F.concat(F.substring(w, 1, k), F.lit("*"))) for k in PREFIXES]
+    def starts(k: int) -> Column:
+        return F.transform(F.filter("words", lambda w: F.length(w) > k),
+                           lambda w: F.concat(F.substring(w, 1, k), F.lit("*")))
+
     return (docs.select(kept, F.array_distinct(words_of(text)).alias("words"))
-            .select(kept, F.concat("words", *starts).alias("tokens"), F.log1p(F.size("words")).alias("size")))
+            .select(kept, F.concat("words", *map(starts, PREFIXES)).alias("tokens"), F.log1p(F.size("words")).alias("size")))
 
 
 @dataclass
@@ -88,9 +91,13 @@ def _fitted(rows: DataFrame, k: int, label: str, seen: dict, reg: float) -> Logi
         return None
     if seen["ones"] in (0, seen["n"]):
         return float(seen["ones"] > 0)
-    return (LogisticRegression(featuresCol="x", labelCol="label", regParam=reg, maxIter=60, standardization=False,
-                               aggregationDepth=2)
-            .fit(_features(rows.filter(F.col(label).isNotNull()).withColumn("label", F.col(label).cast("double")), k)))
+    labelled = rows.filter(F.col(label).isNotNull()).withColumn("label", F.col(label).cast("double"))
+    model = LogisticRegression(featuresCol="x", labelCol="label", regParam=reg, maxIter=60, standardization=False,
+                               aggregationDepth=2).fit(_features(labelled, k))
+    # a fitted model drags its training summary, and with it the session, into every task; a saved one does not
+    path = scratch_path(rows.sparkSession, "chain_model")
+    model.save(path)
+    return LogisticRegressionModel.load(path)
 
 
 def _telling_words(known: DataFrame, names: Sequence[str], min_docs: int, min_z: float, most: int) -> list[str]:
@@ -112,7 +119,7 @@ def _telling_words(known: DataFrame, names: Sequence[str], min_docs: int, min_z:
 
 def fit_chain(docs: DataFrame, labels: DataFrame, categories: Sequence[str], id_col: str = "doc_id",
               text_col: str = "text", *, max_labelled: int = 10_000, max_words: int = 4096, min_docs: int = 3,
-              min_z: float = 4.5, folds: int = 3, reg: float = 0.0001, threshold: float = 0.5) -> ToxicityChain:
+              min_z: float = 5.0, folds: int = 3, reg: float = 0.001, threshold: float = 0.4) -> ToxicityChain:
     """Chain fitted to 0/1 label columns of ``labels``; the last category is the one that flags."""
     chain = ToxicityChain(tuple(categories), threshold=threshold)
     names = [f"y{k}" for k in range(len(categories))]
