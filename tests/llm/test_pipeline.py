@@ -1,0 +1,119 @@
+"""The corpus pipeline, each stage held against brute force on its own input."""
+
+import json
+import random
+import subprocess
+import sys
+from pathlib import Path
+
+import pytest
+from cases import counted, sentence, texts, words
+from test_dedup import _lines, _similar
+from test_packing import _check_packed, _pieces
+from test_scans import _contamination
+
+import corpus_pipeline
+from waymark.llm import toxicity
+from waymark.llm.queries import TOXICITY_CHAIN
+
+ROOT = Path(__file__).resolve().parents[2]
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    rng, where = random.Random(9), tmp_path_factory.mktemp("corpus")
+    passage = sentence(rng, 30)
+    rows = [(i, t) for i, t in texts() if i is not None]
+    rows += [(700, "before " + passage), (701, sentence(rng, 20) + " " + passage.upper())]
+    labels = []
+    for k in range(300):
+        rude = k % 7 == 0
+        rows.append((1000 + k, sentence(rng, rng.randrange(30, 60)) + " grunkle snozz" * rude))
+        if k % 2:
+            labels.append((1000 + k, k % 3 > 0, rude))
+    docs = spark.createDataFrame([(i, t, "en", None, len(t) if t is not None else None) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    docs.repartition(2).write.parquet(f"{where}/documents.parquet")
+    spark.createDataFrame([(i, int(q), int(t)) for i, q, t in labels], "doc_id long, quality int, toxic int").write.parquet(
+        f"{where}/labels.parquet")
+    spark.createDataFrame([(1, passage)], "item_id long, text string").write.parquet(f"{where}/benchmark.parquet")
+    return str(where), passage
+
+
+def _rows(docs):
+    return [(r.doc_id, r.text) for r in docs.collect()]
+
+
+def test_stages_in_order(spark, tables):
+    where, passage = tables
+    assert [f for _, f in corpus_pipeline.STAGES] == [
+        corpus_pipeline.drop_toxic, corpus_pipeline.drop_repeated_lines, corpus_pipeline.keep_one_of_each_group,
+        corpus_pipeline.drop_benchmark_documents, corpus_pipeline.pack]
+    docs = spark.read.parquet(f"{where}/documents.parquet")
+    columns, before = docs.columns, _rows(docs)
+
+    docs = corpus_pipeline.land(corpus_pipeline.drop_toxic(spark, docs, where), "t1")
+    kept = _rows(docs)
+    assert docs.columns == columns
+    assert counted(kept) == counted((i, t) for i, t in before if "grunkle" not in words(t))  # rude ones, seen or not
+    before = kept
+
+    docs = corpus_pipeline.land(corpus_pipeline.drop_repeated_lines(spark, docs, where), "t2")
+    expected = [(i, kept if gone else t) for (i, t), (_, _, gone, kept) in zip(before, _lines(before), strict=True)]
+    assert docs.columns == columns and counted(_rows(docs)) == counted(expected)
+    assert any(gone for _, _, gone, _ in _lines(before))
+    assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in docs.collect())
+    before = _rows(docs)
+
+    docs = corpus_pipeline.land(corpus_pipeline.keep_one_of_each_group(spark, docs, where), "t3")
+    _, root, sets = _similar(before)
+    first = {}
+    for row, r, s in zip(before, root, sets, strict=True):
+        if s:
+            first[r] = min(first.get(r, row), row)
+    alone = {row for row, s in zip(before, sets, strict=True) if not s}
+    kept = _rows(docs)
+    assert docs.columns == columns and {i for i, _ in kept} == {i for i, _ in [*first.values(), *alone]}
+    assert len(kept) == len(first) + len(alone)
+    before = kept
+
+    docs = corpus_pipeline.land(corpus_pipeline.drop_benchmark_documents(spark, docs, where), "t4")
+    clean = [(i, t) for (i, t), (_, _, hit, _) in zip(before, _contamination(before, [(1, passage)]), strict=True) if not hit]
+    assert docs.columns == columns and counted(_rows(docs)) == counted(clean) and len(clean) == len(before) - 2
+
+    out = corpus_pipeline.pack(spark, docs, where).collect()
+    assert counted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in out) == counted(_pieces(clean, 2048))
+    _check_packed(out, 2048)
+
+
+def test_run_is_the_stages(spark, tables):
+    where, _ = tables
+    out = corpus_pipeline.run(spark, where).collect()
+    assert out and {"doc_id", "sequence_id", "offset"} <= set(out[0].asDict()) and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_empty_tables(spark, tables, tmp_path):
+    where, _ = tables
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{where}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+    assert toxicity.fit_chain(spark.read.parquet(f"{tmp_path}/documents.parquet"),
+                              spark.read.parquet(f"{tmp_path}/labels.parquet"), TOXICITY_CHAIN).models == [None, None]
+
+
+def test_the_rest_stands_without_these_folders():
+    """With the subpackage and the pipeline out of reach the entry still imports and has the other queries."""
+    code = f"""
+import sys
+class Gone:
+    def find_spec(self, name, path=None, target=None):
+        if name == "corpus_pipeline" or name.startswith("waymark.llm"):
+            raise ModuleNotFoundError(name, name=name)
+sys.meta_path.insert(0, Gone())
+sys.path.insert(0, {str(ROOT)!r})
+import __spark_entry__ as e, json
+print(json.dumps(sorted(e.queries())))
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True)
+    names = json.loads(out.stdout.splitlines()[-1])
+    assert names and not any(n.startswith("op") and n[2:3].isdigit() or n == "pipeline" for n in names)
