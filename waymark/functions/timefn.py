@@ -30,17 +30,23 @@ def clock_of_ts(ts: str | Column) -> Column:
 
 
 def clock_hour(clock: str | Column) -> Column:
-    """Hour of an ``HH:mm:ss`` text (F2)."""
-    return F.substring(_col(clock), 1, 2).cast("int")
+    """Hour of an ``HH:mm:ss`` text; NULL if it is none (F2)."""
+    return F.substring(_col(clock), 1, 2).try_cast("int")
 
 
 def clock_minute(clock: str | Column) -> Column:
-    """Minute of an ``HH:mm:ss`` text (F2)."""
-    return F.substring(_col(clock), 4, 2).cast("int")
+    """Minute of an ``HH:mm:ss`` text; NULL if it is none (F2)."""
+    return F.substring(_col(clock), 4, 2).try_cast("int")
 
 
 def _hh_mm_00(hours: Column, minutes: Column) -> Column:
-    return F.format_string("%02d:%02d:00", hours, minutes)
+    return F.when(hours.isNotNull() & minutes.isNotNull(), F.format_string("%02d:%02d:00", hours, minutes))
+
+
+def departure_ts(date: str | Column, clock: str | Column) -> Column:
+    """Timestamp of a date and an ``HH:mm:ss`` text; NULL unless both are there and valid."""
+    text = F.concat(_col(date).cast("string"), F.lit(" "), _col(clock))
+    return F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss"))
 
 
 def arrival_clock(clock: str | Column, minutes: str | Column) -> Column:

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from waymark.functions.timefn import (add_minutes, arrival_clock, arrival_clock_compat,
                                       minutes_to_hours)
-from waymark.plans.strategy import bounded_broadcast
 
 
 def arrival_time(df: DataFrame, clock: str = "time", duration: str = "duration",
@@ -35,25 +34,16 @@ def flight_dedup(df: DataFrame, subset: Sequence[str] | None = None) -> DataFram
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                  descending: bool = False, broadcast_max_bytes: int | None = None) -> DataFrame:
+                  descending: bool = False) -> DataFrame:
     """First row per key in ``order`` (ascending, or ``descending``), NULLs last.
 
-    ``order`` should make the choice unique. No full sort of the table: a hash
-    aggregate finds each key's best leading order value, a semi join
-    (NULL-safe, size-checked broadcast) keeps only the rows tied on it, and
-    ``row_number() <= 1`` over those candidates (limited before its exchange)
-    settles the rest of the order.
+    The columns not named in ``order`` settle ties, so the choice is unique up to equal
+    rows. The input is read once: ``row_number() <= 1`` is limited before its exchange, so
+    at most one row per key and input partition shuffles, whatever the key's size.
     """
     keys, order = list(keys), list(order)
-    lead = order[0]
-    pick = F.max if descending else F.min
-    best = df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]) \
-             .agg(pick(lead).alias("_lead"))
-    side, _ = bounded_broadcast(best, broadcast_max_bytes, name="first-lead")
-    cond = [F.col(k).eqNullSafe(side[f"_k{i}"]) for i, k in enumerate(keys)]
-    cond.append(F.col(lead).eqNullSafe(side["_lead"]))
-    candidates = df.join(side, cond, "left_semi")
     direction = (lambda c: F.col(c).desc_nulls_last()) if descending else (lambda c: F.col(c).asc_nulls_last())
-    w = Window.partitionBy(*keys).orderBy(*[direction(c) for c in order])
-    return (candidates.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= 1)
-                      .drop("_n").select(*keys, *[c for c in df.columns if c not in keys]))
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    w = Window.partitionBy(*keys).orderBy(*[direction(c) for c in [*order, *rest]])
+    return (df.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= 1)
+              .drop("_n").select(*keys, *[c for c in df.columns if c not in keys]))

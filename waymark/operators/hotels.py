@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from waymark.constants import CURRENCY, PRICE_MAX_POINTS, REVIEW_MAX_POINTS, TOP_K
 from waymark.functions.scoring import nan_to_null, price_points, review_points
-from waymark.plans.strategy import (SALT, bounded_broadcast, fits_budget, materialize,
+from waymark.plans.strategy import (bounded_broadcast, fits_budget, materialize,
                                      materialize_with_stats, rows_per_task, salted_join)
 
 HOTEL_KEYS = ("city_trans", "checkin_date")
@@ -70,7 +70,7 @@ def _measured_ranges(offers: DataFrame, keys: list[str], price: str, review: str
         ranges = hotel_range(offers, keys, price, review, currency_col, currency)
     side, stats = materialize_with_stats(ranges, "hotel-ranges", max_group=F.max("n_offers"))
     n_groups, max_group = int(stats["rows"]), int(stats["max_group"] or 0)
-    fits = fits_budget(n_groups, ranges.schema, broadcast_max_bytes, offers.sparkSession)
+    fits = fits_budget(stats["bytes"], broadcast_max_bytes, offers.sparkSession)
     return (F.broadcast(side) if fits else side), fits, n_groups, max_group
 
 
@@ -118,18 +118,19 @@ def hotel_top_k(scored: DataFrame, keys: Sequence[str] = HOTEL_KEYS, k: int = TO
     sizes are unknown) no task ever sees a whole group:
 
     1. each (group, input partition) piece keeps its own top ``k`` with ties —
-       limited before the exchange — so copies of one offer stay spread over
-       the partitions they came from; the candidates are written once;
+       limited before the exchange — so copies of one offer stay spread over the
+       partitions they came from (on the salted path: over their salt buckets); the
+       candidates are written once;
     2. candidates collapse to distinct score levels with their multiplicities
        (partial + final hash aggregate); a level's rank is 1 + the rows above it,
        and at most ``k`` levels per group can matter;
-    3. candidates join their level (broadcast under the bound ``k`` × groups,
+    3. candidates join their level (broadcast if the measured size fits,
        else a shuffle join salted by multiplicity) and take its rank. A NULL
        score ranks right after the group's scored rows, known from the range table.
     """
     keys = list(keys)
     s = F.col(score)
-    base = scored.drop(SALT) if SALT in scored.columns else scored
+    base = scored
     cols = base.columns
     spark = scored.sparkSession
     if group_stats is not None and group_stats[1] <= rows_per_task(spark):
@@ -152,13 +153,9 @@ def hotel_top_k(scored: DataFrame, keys: Sequence[str] = HOTEL_KEYS, k: int = TO
                         .withColumn("_lv", F.row_number().over(by_score)).filter(F.col("_lv") <= k)
                         .withColumn("_rank", F.coalesce(F.sum("_mult").over(above), F.lit(0)) + 1)
                         .filter(F.col("_rank") <= k).drop("_lv"))
-    if group_stats is not None:  # at most k levels per group: the bound is known up front
-        fits = fits_budget(k * group_stats[0], levels.schema, None, spark)
-        side = F.broadcast(levels) if fits else levels
-    else:
-        side, fits = bounded_broadcast(levels, name="top-k-levels")
+    side, fits = bounded_broadcast(levels, name="top-k-levels")
     joined = (candidates.join(side, [*keys, score], "left") if fits
-              else salted_join(candidates, side, [*keys, score], "_mult", how="left").drop(SALT))
+              else salted_join(candidates, side, [*keys, score], "_mult", how="left"))
     return (joined.filter(F.col("_rank").isNotNull() | s.isNull())
                   .withColumn("rank", F.coalesce(F.col("_rank"), n_scored + 1).cast("bigint"))
                   .select(*cols, "rank"))
@@ -189,6 +186,7 @@ HOTELDAY_RENAMES = {
     "latitude": "latitude",
     "review_score": "rating",
     "import_date": "import_date",
+    "rank": "rank",
 }
 
 

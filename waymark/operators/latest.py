@@ -9,8 +9,9 @@ key's rows hash across many partitions when the aggregate is too large to
 broadcast; under the size bound the aggregate is broadcast and nothing but the
 aggregate shuffles.
 
-Window form: ``max() over (partition by keys)`` then filter: one exchange, best
-for many small groups, but a whole key lands in one task.
+Window form: ``rank() = 1`` by import time, limited before its exchange, so only each
+input partition's latest rows shuffle. It reads its input once: the form for inputs that
+are more than a bare table scan.
 """
 
 from __future__ import annotations
@@ -32,8 +33,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], ts: str = "import_date",
     for c in [*keys, ts]:
         clean = clean.filter(F.col(c).isNotNull())
     if method == "window":
-        last = F.max(ts).over(Window.partitionBy(*keys))
-        return clean.withColumn("_last", last).filter(F.col(ts) == F.col("_last")).drop("_last")
+        newest = F.rank().over(Window.partitionBy(*keys).orderBy(F.col(ts).desc()))
+        return clean.withColumn("_newest", newest).filter(F.col("_newest") == 1).drop("_newest")
     if method != "join":
         raise ValueError(f"unknown method {method!r}")
     last = clean.groupBy(*keys).agg(F.max(ts).alias(ts))

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.constants import TOP_K
-from waymark.plans.strategy import SALT, bounded_broadcast, materialize, rows_per_task, salted_join
+from waymark.plans.strategy import bounded_broadcast, materialize, rows_per_task, salted_join
 
 FLAG_MAX, FLAG_MIN, FLAG_OTHER = "max", "min", "other"
 
@@ -43,7 +43,7 @@ def price_flags(df: DataFrame, price: str, group: Sequence[str] | None = None,
         if fits:
             out = df.join(side, group, "left")
         else:  # many groups: shuffle join, hot groups split over salt buckets
-            out = salted_join(df, side, group, "_rows", how="left").drop(SALT)
+            out = salted_join(df, side, group, "_rows", how="left")
         mx, mn = F.col("_mx"), F.col("_mn")
     else:
         out = df
@@ -66,6 +66,9 @@ def numbered(df: DataFrame, group: Sequence[str], order: Sequence[str | Column],
              idx_col: str = "idx", method: str = "auto", partitions: int | None = None) -> DataFrame:
     """Number rows 1..n inside each group in a total order.
 
+    The columns not named in ``order`` settle ties, so every method gives equal rows
+    equal numbers.
+
     ``method="auto"`` (default): measure the largest group (a partial + final
     count over the group columns only) and use ``window`` if no group exceeds
     ``waymark.skew.rowsPerTask``, else ``range``.
@@ -84,7 +87,9 @@ def numbered(df: DataFrame, group: Sequence[str], order: Sequence[str | Column],
     (group, partition), which no hot group can skew.
     """
     group = list(group)
+    named = {*group, *[c for c in order if isinstance(c, str)]}
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    order_cols += [F.col(c) for c in df.columns if c not in named]
     if method == "auto":
         sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
         largest = sizes.agg(F.max("_n")).first()[0] or 0  # one number to the driver
@@ -125,11 +130,11 @@ def top_slots(rows: DataFrame, keys: Sequence[str], text: str | Column,
         F.max(F.when(F.col("_slot") == i, F.col("_text"))).alias(f"{prefix}{i}") for i in range(1, k + 1)])
 
 
-# trip texts (our wording; the original only displays them)
-NO_FLIGHT_NEEDED = "no flight needed (home country)"
-NO_FLIGHTS = "no flights available"
-NO_HOTELS = "no hotels available"
-NO_MONUMENTS = "no monuments available"
+# what a trip row says where a side is missing
+NO_FLIGHT_NEEDED = "at home"
+NO_FLIGHTS = "no flight"
+NO_HOTELS = "no hotel"
+NO_MONUMENTS = "no monument"
 
 
 def trip_report(plan: DataFrame, keys: Sequence[str], country_col: str, home_country: str,

@@ -3,8 +3,8 @@
 A side is broadcast only after its size has been proven: it is written once as
 a parquet table under ``spark.checkpoint.dir`` (shared storage on a cluster;
 this also cuts lineage, so a lost executor never recomputes the aggregate), its
-exact row count is observed while it is written, and only a side whose rows times
-the row width fit the budget gets the broadcast hint.
+row count and the lengths of its values are observed while it is written, and only a
+side whose measured size fits the budget gets the broadcast hint.
 A larger side is returned unhinted, so the planner shuffles both sides (sort
 merge join, with AQE's skew-join splitting for hot keys).
 """
@@ -40,27 +40,24 @@ def broadcast_budget(spark: SparkSession) -> int:
     return _parse_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB"))
 
 
-def _var_bytes(dt: T.DataType) -> int:
-    """Allowance for the variable-length part of a value (0 for fixed-width types)."""
-    if isinstance(dt, (T.StringType, T.BinaryType)):
-        return 32
-    if isinstance(dt, T.DecimalType):
-        return 0 if dt.precision <= 18 else 16
-    if isinstance(dt, T.StructType):
-        return 8 * len(dt.fields) + sum(_var_bytes(f.dataType) for f in dt.fields)
-    if isinstance(dt, (T.ArrayType, T.MapType)):
-        return 128
-    return 0
+def _text_bytes(col: Column, dtype: T.DataType) -> Column | None:
+    """Bytes of a value's variable-length part (None for fixed-width types)."""
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
+        return F.octet_length(col)
+    if isinstance(dtype, T.DecimalType):
+        return None if dtype.precision <= 18 else F.lit(16)
+    if isinstance(dtype, (T.StructType, T.ArrayType, T.MapType)):
+        # its JSON text, four times over: a generous stand-in for words of eight bytes
+        return F.octet_length(F.to_json(F.struct(col))) * 4
+    return None
 
 
-def row_bytes(schema: T.StructType) -> int:
-    """In-memory width of one row in a broadcast hash relation.
-
-    UnsafeRow layout (null bitset + one 8-byte slot per field + variable-length
-    data) plus 16 bytes of hash-table entry.
-    """
+def fixed_row_bytes(schema: T.StructType) -> int:
+    """Fixed part of one row in a broadcast hash relation: null bits and one 8-byte slot per
+    field, padding of each variable-length value, and 16 bytes of hash-table entry."""
     n = len(schema.fields)
-    return 8 * ((n + 63) // 64) + 8 * n + sum(_var_bytes(f.dataType) for f in schema.fields) + 16
+    padded = sum(_text_bytes(F.lit(None), f.dataType) is not None for f in schema.fields)
+    return 8 * ((n + 63) // 64) + 8 * n + 8 * padded + 16
 
 
 def materialize_with_stats(df: DataFrame, name: str = "side",
@@ -68,14 +65,23 @@ def materialize_with_stats(df: DataFrame, name: str = "side",
     """Write ``df`` once as parquet under the shared checkpoint root and read it back.
 
     Returns the read-back frame and aggregate ``stats`` observed during the same
-    write (always including ``rows``), so measuring costs no extra pass.
+    write, so measuring costs no extra pass. Always included: ``rows``, and ``bytes``, the
+    table's size as a broadcast relation from the measured lengths of its values.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     seen = Observation(f"stats_{name}")
-    exprs = [F.count(F.lit(1)).alias("rows")] + [c.alias(k) for k, c in stats.items()]
+    lengths = [_text_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields]
+    text = F.lit(0)
+    for length in lengths:
+        if length is not None:
+            text = text + F.coalesce(length, F.lit(0))
+    exprs = [F.count(F.lit(1)).alias("rows"), F.sum(text.cast("long")).alias("text_bytes")]
+    exprs += [c.alias(k) for k, c in stats.items()]
     df.observe(seen, *exprs).write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path), dict(seen.get)  # known schema: no inference
+    found = dict(seen.get)
+    found["bytes"] = int(found["rows"]) * fixed_row_bytes(df.schema) + int(found.pop("text_bytes") or 0)
+    return spark.read.schema(df.schema).parquet(path), found  # known schema: no inference
 
 
 def materialize(df: DataFrame, name: str = "side") -> tuple[DataFrame, int]:
@@ -84,26 +90,27 @@ def materialize(df: DataFrame, name: str = "side") -> tuple[DataFrame, int]:
     return side, int(stats["rows"])
 
 
-def fits_budget(rows: int, schema: T.StructType, max_bytes: int | None, spark: SparkSession) -> bool:
-    """Whether ``rows`` rows of ``schema`` fit the broadcast budget."""
+def fits_budget(n_bytes: int, max_bytes: int | None, spark: SparkSession) -> bool:
+    """Whether a measured size fits the broadcast budget."""
     budget = broadcast_budget(spark) if max_bytes is None else max_bytes
-    return budget > 0 and rows * row_bytes(schema) <= budget
+    return budget > 0 and n_bytes <= budget
 
 
 def bounded_broadcast(df: DataFrame, max_bytes: int | None = None,
                       name: str = "side") -> tuple[DataFrame, bool]:
-    """Materialise ``df`` and hint it for broadcast only if it fits ``max_bytes``.
+    """Materialise ``df`` and hint it for broadcast only if its measured size fits ``max_bytes``.
 
     Returns ``(side, broadcast?)``. The side is always the materialised copy, so
     the caller never recomputes it.
     """
-    side, rows = materialize(df, name)
-    fits = fits_budget(rows, df.schema, max_bytes, df.sparkSession)
+    side, stats = materialize_with_stats(df, name)
+    fits = fits_budget(stats["bytes"], max_bytes, df.sparkSession)
     return (F.broadcast(side) if fits else side), fits
 
 
 DEFAULT_ROWS_PER_TASK = 1_000_000
-SALT = "_salt"
+#: Slots that keys hash to when the hot ones are marked: bounds what ``salted_join`` broadcasts.
+HOT_SLOTS = 1 << 16
 
 
 def rows_per_task(spark: SparkSession) -> int:
@@ -112,34 +119,27 @@ def rows_per_task(spark: SparkSession) -> int:
 
 
 def salted_join(big: DataFrame, per_key: DataFrame, keys: list[str], count_col: str,
-                how: str = "inner", hot_rows: int | None = None,
-                max_salt: int = 1 << 16) -> DataFrame:
+                how: str = "inner", hot_rows: int | None = None) -> DataFrame:
     """Shuffle join of ``big`` with a one-row-per-key table whose ``count_col`` holds the
     number of ``big`` rows of the key; hot keys are split over salt buckets.
 
-    A key with more than ``hot_rows`` rows gets ``ceil(n / hot_rows)`` buckets;
-    its rows pick a bucket by a hash of their content, and its ``per_key`` row is
-    repeated once per bucket, so the hot key is joined by that many tasks. The
-    hot-key list has at most ``rows(big) / hot_rows`` entries; it is broadcast
-    only after that size is checked (if it does not fit, the bar is raised until
-    it does). The result carries the bucket in ``_salt``
-    (always 0 for other keys), and is hash-partitioned on ``keys + [_salt]``.
+    Keys hash to ``HOT_SLOTS`` slots. A slot with a key of more than ``hot_rows`` rows gets
+    ``ceil(n / hot_rows)`` buckets; all rows of its keys pick a bucket by their number in the input
+    partition, so copies of a row spread as well as others, and the keys' ``per_key`` rows are
+    repeated once per bucket. Only the hot slots are broadcast: at most ``HOT_SLOTS``
+    rows of two integers, however many keys are hot, and whatever the session's broadcast
+    threshold. The columns are those of a plain join.
     """
-    spark = big.sparkSession
-    hot_rows = hot_rows or rows_per_task(spark)
-    budget = broadcast_budget(spark)
-    while True:  # raise the bar until the hot-key list provably fits in memory
-        n_salt = F.least(F.ceil(F.col(count_col) / F.lit(hot_rows)), F.lit(max_salt)).cast("int")
-        hot = per_key.filter(F.col(count_col) > hot_rows).select(*keys, n_salt.alias("_n_salt"))
-        hot_side, fits = bounded_broadcast(hot, max(budget, 1), name="hot-keys")
-        if fits:
-            break
-        hot_rows *= 4
-    buckets = F.coalesce(F.col("_n_salt"), F.lit(1))
-    salted_big = (big.join(hot_side, keys, "left")
-                     .withColumn(SALT, F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), buckets).cast("int"))
-                     .drop("_n_salt"))
-    salted_keys = (per_key.join(hot_side, keys, "left")
-                          .withColumn(SALT, F.explode(F.sequence(F.lit(0), buckets - 1)))
-                          .drop("_n_salt"))
-    return salted_big.join(salted_keys, [*keys, SALT], how)
+    hot_rows = hot_rows or rows_per_task(big.sparkSession)
+    slot = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(HOT_SLOTS)).cast("int")
+    hot = (per_key.filter(F.col(count_col) > hot_rows)
+           .groupBy(slot.alias("_slot")).agg(F.ceil(F.max(count_col) / F.lit(hot_rows)).cast("int").alias("_buckets")))
+    hot = F.broadcast(materialize(hot, "hot-slots")[0])
+    buckets = F.coalesce(F.col("_buckets"), F.lit(1))
+    salted_big = (big.withColumn("_slot", slot).join(hot, "_slot", "left")
+                     .withColumn("_salt", F.pmod(F.monotonically_increasing_id(), buckets).cast("int"))
+                     .drop("_slot", "_buckets"))
+    salted_keys = (per_key.withColumn("_slot", slot).join(hot, "_slot", "left")
+                          .withColumn("_salt", F.explode(F.sequence(F.lit(0), buckets - 1)))
+                          .drop("_slot", "_buckets"))
+    return salted_big.join(salted_keys, [*keys, "_salt"], how).drop("_salt")

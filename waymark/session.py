@@ -9,10 +9,14 @@ bare local test session) do we set one ourselves.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
+from pyspark.sql.utils import is_remote
 
 _LOCAL_DEFAULTS = {
     "spark.ui.enabled": "false",
@@ -42,20 +46,48 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint root, setting a private one only if unset."""
+    """Return the shared checkpoint root; a private one is set only if unset, and only for a local master.
+
+    On a cluster an unset ``spark.checkpoint.dir`` is an error: a folder of this machine's
+    own would be invisible to the executors.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="waymark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    try:  # classic sessions also get it as the RDD checkpoint dir (no SparkContext under Connect)
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(root)
-    except Exception:  # noqa: BLE001
-        pass
+    if not is_remote() and spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(root)  # the RDD checkpoint folder, too
     return root
 
 
+_open_scopes: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared checkpoint root."""
     root = ensure_checkpoint_dir(spark)
-    return os.path.join(root, "waymark", f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(root, "waymark", f"{name}-{uuid.uuid4().hex[:12]}")
+    for scope in _open_scopes:
+        scope.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Removes, on leaving, every scratch table made inside.
+
+    Results that read such tables must be written (or collected) before the scope ends.
+    """
+    made: list[str] = []
+    _open_scopes.append(made)
+    try:
+        yield
+    finally:
+        _open_scopes.remove(made)
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in made:
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(conf).delete(where, True)
