@@ -143,3 +143,30 @@ def test_small_helpers(spark):
     req = with_request_columns(spark.range(2), {"origin": "Vienna", "destination": "Paris"})
     assert {(r.origin, r.destination) for r in req.collect()} == {("Vienna", "Paris")}
     assert spark.range(1).select(today().alias("d")).first().d == dt.date.today()
+
+
+def test_csv_header_and_short_rows(spark):
+    """Columns are not taken by position alone, and rows with another number of fields are reported."""
+    import os
+
+    import pytest as _pytest
+
+    from waymark import schemas
+    from waymark.session import scratch_path
+    from waymark.sources import delimited
+
+    def file(text):
+        path = scratch_path(spark, "csv")
+        os.makedirs(path)
+        with open(f"{path}/c.csv", "w", encoding="utf-8") as out:
+            out.write(text)
+        return path
+
+    good = file("country;capital;airport_code;dest_id_booking\nFrance;Paris;CDG;-2\nSpain;Madrid\nItaly;Rome;FCO;x\n")
+    rows = delimited.read_capitals(spark, good).collect()
+    assert [r.country for r in rows] == ["France", "Spain", "Italy"]
+    rejects = delimited.conversion_rejects(spark, good, schemas.CAPITAL_FILE).collect()
+    assert sorted(r.country for r in rejects) == ["Italy", "Spain"]
+    swapped = file("capital;country;airport_code;dest_id_booking\nParis;France;CDG;-2\n")
+    with _pytest.raises(Exception, match="(?i)header"):
+        delimited.read_capitals(spark, swapped).collect()

@@ -127,3 +127,43 @@ def test_latest_per_day_with_watermark(spark):
     expect = latest.latest_per_key(data.withColumn("day", F.to_date("ts")),
                                    ["day", "user_id", "event_type"], ts="ts").filter(F.col("day").isin(days))
     assert sorted(got.select(*expect.columns).collect()) == sorted(expect.collect())
+
+
+def test_flight_and_quarantine_streams(spark):
+    """One bad record stops no stream: it lands in the quarantine table, the others by travel date."""
+    import json
+    import os
+
+    from waymark.session import scratch_path
+    from waymark.streaming import pipeline
+    fl = {"time": "10:30:00", "duration": 15, "company": "Air", "price": 99.0, "n_connections": 0, "date": "2024-01-10",
+          "import_date": "2024-01-09T08:00:00", "origin": "Vienna", "destination": "Paris"}
+    rows = [fl, fl | {"date": "2024-01-11"}, fl | {"time": "n/a"}, fl | {"duration": "long"}, "{", None]
+    source = scratch_path(spark, "records")
+    table = spark.createDataFrame([(r if r is None or isinstance(r, str) else json.dumps(r),) for r in rows], "value string")
+    table.repartition(2).write.parquet(source)
+    sink, aside = scratch_path(spark, "flight"), scratch_path(spark, "aside")
+    for _ in range(2):  # started again from its checkpoint, a stream adds nothing
+        records = spark.readStream.schema(table.schema).parquet(source)
+        pipeline.start_flight_stream(records, sink, sink + "-ckpt").awaitTermination()
+        pipeline.start_reject_stream(records, "flight", aside, aside + "-ckpt").awaitTermination()
+    good, bad = spark.read.parquet(sink), spark.read.parquet(aside)
+    assert good.count() == 3 and good.filter("arrival_time IS NULL").count() == 1
+    assert sorted(r.reject_reason for r in bad.collect()) == ["no value", "undecodable", "undecodable"]
+    assert {d for d in os.listdir(sink) if d.startswith("date=")} == {"date=2024-01-10", "date=2024-01-11"}
+
+
+def test_batches_of_two_checkpoints_stay_apart(spark):
+    """Batch 0 of a new checkpoint does not replace batch 0 of an older one; a replay replaces itself."""
+    import datetime as dt
+
+    from waymark.session import scratch_path
+    from waymark.streaming import pipeline
+    cols = ("city_trans string, hotel_name string, price_per_day double, currencycode string, longitude double, "
+            "latitude double, review_score double, checkin_date date, import_date timestamp")
+    batch = spark.createDataFrame([("Paris", n, p, "EUR", 2.3, 48.8, r, dt.date(2024, 1, 10), dt.datetime(2024, 1, 9, 8))
+                                   for n, p, r in (("A", 10.0, 5.0), ("B", 20.0, 6.0))], cols)
+    sink = scratch_path(spark, "hotel")
+    for run in ("one", "two", "two"):
+        pipeline.score_hotel_batch(batch, 0, sink, run=run)
+    assert spark.read.parquet(sink).count() == 4

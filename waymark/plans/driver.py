@@ -16,8 +16,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from waymark.constants import BEST_BUCKET, ORIGIN_CITY, PRICE_DIVISOR_NIGHTS
+from waymark import schemas
+from waymark.constants import BEST_BUCKET, CURRENCY, ORIGIN_CITY, PRICE_DIVISOR_NIGHTS
 from waymark.functions import timefn
 from waymark.functions.scoring import price_per_night
 from waymark.operators import catalog, flights, hotels, latest, reports, sets
@@ -113,17 +115,13 @@ def q_latest_flights(spark: SparkSession, base: str) -> DataFrame:
 
 
 LATEST_FLIGHTS_SQL = """
-SELECT f.event_id, f.user_id, f.event_type, f.day, f.ts, f.value
-FROM (SELECT event_id, user_id, event_type, to_date(ts) AS day, ts, value FROM events
-      WHERE ts >= TIMESTAMP_NTZ'{ref} 00:00:00'
-        AND ts < TIMESTAMP_NTZ'{ref} 00:00:00' + INTERVAL {days} DAYS) f
-JOIN (SELECT to_date(ts) AS day, user_id, event_type, max(ts) AS last_import
+SELECT event_id, user_id, event_type, day, ts, value
+FROM (SELECT event_id, user_id, event_type, to_date(ts) AS day, ts, value,
+             rank() OVER (PARTITION BY to_date(ts), user_id, event_type ORDER BY ts DESC) AS age
       FROM events
       WHERE ts >= TIMESTAMP_NTZ'{ref} 00:00:00'
-        AND ts < TIMESTAMP_NTZ'{ref} 00:00:00' + INTERVAL {days} DAYS
-      GROUP BY to_date(ts), user_id, event_type) sel
-  ON f.user_id = sel.user_id AND f.event_type = sel.event_type AND f.day = sel.day
-WHERE f.ts = sel.last_import
+        AND ts < TIMESTAMP_NTZ'{ref} 00:00:00' + INTERVAL {days} DAYS)
+WHERE age = 1
 """
 
 
@@ -203,12 +201,11 @@ HOTEL_ITEM_FROM_LINEITEM = {
 
 
 def hotel_responses(spark: SparkSession, base: str) -> DataFrame:
-    """One response page per (city, month, order): bounded by an order's line count."""
+    """Response pages of a (city, month)'s offers, up to fifty on a page."""
     li = read_table(spark, base, "lineitem").withColumn(
         "checkin_date", F.trunc(F.to_date("l_shipdate"), "month"))
     items = {k: F.expr(v) for k, v in HOTEL_ITEM_FROM_LINEITEM.items()}
-    return payloads.hotel_payload_of(li, ["l_suppkey", "checkin_date", "l_orderkey"], items) \
-                   .drop("l_suppkey", "l_orderkey")
+    return payloads.hotel_payload_of(li, ["l_suppkey", "checkin_date"], items).drop("l_suppkey")
 
 
 def q_hotel_payload_parse(spark: SparkSession, base: str) -> DataFrame:
@@ -360,14 +357,20 @@ def q_price_extremes(spark: SparkSession, base: str) -> DataFrame:
     return reports.price_flags(li, "l_extendedprice", rounded=False)
 
 
+BOARD_DAYS = 14
+
+
 def q_price_board(spark: SparkSession, base: str) -> DataFrame:
-    """Every event as a board row flagged against its type's rounded max/min (V1)."""
-    ev = _events(spark, base).select(
-        F.col("event_type").alias("destination"), F.to_date("ts").alias("date"),
+    """The board of the days from the reference date: each type's latest import of a user and day,
+    flagged against the type's rounded max/min (V1)."""
+    window = latest.date_window(_events(spark, base), "ts", REF_DATE, BOARD_DAYS)
+    board = window.select(
+        F.col("event_type").alias("destination"), F.to_date("ts").alias("date"), "user_id",
         timefn.clock_of_ts("ts").alias("time"),
         F.pmod("user_id", F.lit(3)).cast("int").alias("n_connections"),
-        F.col("value").alias("price"))
-    return reports.price_flags(ev, "price", group=["destination"], rounded=True)
+        F.col("value").alias("price"), F.col("ts").alias("import_date"))
+    newest = latest.latest_per_key(board, ["date", "user_id", "destination"], method="window")
+    return reports.price_flags(newest.drop("import_date"), "price", group=["destination"], rounded=True)
 
 
 def q_monument_list(spark: SparkSession, base: str) -> DataFrame:
@@ -450,11 +453,11 @@ def q_table_scan(spark: SparkSession, base: str) -> DataFrame:
 
 
 def q_table_overwrite(spark: SparkSession, base: str) -> DataFrame:
-    """Write the whole table, then replace it with one status: the scan sees only the second write."""
+    """Write the whole table, then the whole table with one column changed: the scan sees only the second write."""
     orders = read_table(spark, base, "orders")
     path = scratch_path(spark, "orders-table")
     sinks.overwrite_table(sinks.conform(orders, orders.schema), path)
-    sinks.overwrite_table(orders.filter(F.col("o_orderstatus") == "F"), path)
+    sinks.overwrite_table(orders.withColumn("o_orderstatus", F.lower("o_orderstatus")), path)
     return spark.read.parquet(path)
 
 
@@ -467,11 +470,11 @@ def q_csv_reference_load(spark: SparkSession, base: str) -> DataFrame:
 
 
 def q_stream_latest(spark: SparkSession, base: str) -> DataFrame:
-    """Events arrive as four files in time order; a stream appends them to a history
-    table (one micro-batch per file); latest import per key is read from the history."""
+    """Events arrive as files in time order, as many as the table is large; a stream appends them to a
+    history table (one micro-batch per file); latest import per key is read from the history."""
     ev = _events(spark, base).select(*EVENT_COLUMNS)
     source = scratch_path(spark, "events-arrivals")
-    ev.repartitionByRange(4, "ts").write.parquet(source)
+    ev.repartitionByRange("ts").write.parquet(source)
     sink, ckpt = scratch_path(spark, "events-history"), scratch_path(spark, "events-history-ckpt")
     query = history.start_history(history.file_stream(spark, source, ev.schema, max_files_per_trigger=1),
                                   sink, ckpt)
@@ -493,6 +496,8 @@ QUERIES.update({
 # --- the travel assembly end to end (capitals, monuments, hotel and flight histories) ----
 
 from waymark.plans import trips  # noqa: E402
+from waymark.plans.strategy import materialize  # noqa: E402
+from waymark.streaming.pipeline import FLIGHT_REQUIRED  # noqa: E402
 
 TRIP_START = "1996-03-01"
 TRIP_DAYS = 4
@@ -520,7 +525,8 @@ def _travel_inputs(spark: SparkSession, base: str, start: str = TRIP_START,
         F.col("l_partkey").cast("string").alias("name"), F.col("l_extendedprice").alias("price"),
         F.col("l_discount").alias("longitude"), F.col("l_tax").alias("latitude"),
         F.col("l_quantity").alias("rating"),
-        F.timestamp_add("HOUR", F.col("l_linenumber"), F.col("l_shipdate")).alias("import_date"))
+        F.timestamp_add("HOUR", F.col("l_linenumber"), F.col("l_shipdate")).alias("import_date"),
+        F.lit(None).cast("bigint").alias("rank"))  # not scored: slots go by price
     orders = latest.date_window(read_table(spark, base, "orders"), "o_orderdate", start, days)
     flight = orders.join(customer, orders.o_custkey == customer.c_custkey, "inner").select(
         F.to_date("o_orderdate").alias("date"),
@@ -552,3 +558,109 @@ QUERIES.update({
     "trip_days": q_trip_days,
     "trip_monument_lines": q_trip_monument_lines,
 })
+
+
+# --- the consumer path: records → decode → land → latest import → score → publish → trip ----
+
+E2E_START = "1996-03-01"
+E2E_DAYS = 62
+
+
+def hotel_records(spark: SparkSession, base: str) -> DataFrame:
+    """Hotel topic records: a line item is an offer of its supplier's nation for the first of its ship
+    month, imported at 08:00 or 09:00 that day by its line number; returned ones are priced in EUR."""
+    li, supplier = read_table(spark, base, "lineitem"), read_table(spark, base, "supplier")
+    month = F.trunc(F.to_date("l_shipdate"), "month")
+    offers = li.join(supplier, li.l_suppkey == supplier.s_suppkey).select(
+        F.col("s_nationkey").cast("string").alias("city_trans"), F.col("l_partkey").cast("string").alias("hotel_name"),
+        F.col("l_extendedprice").alias("min_total_price"),
+        F.when(F.col("l_returnflag") == "R", CURRENCY).otherwise("USD").alias("currencycode"),
+        F.col("l_discount").alias("longitude"), F.col("l_tax").alias("latitude"),
+        F.col("l_quantity").cast("double").alias("review_score"), month.alias("checkin_date"),
+        F.timestamp_add("HOUR", (F.lit(8) + F.pmod("l_linenumber", F.lit(2))).cast("int"),
+                        month.cast("timestamp")).alias("import_date"))
+    return topics.encode_records(offers)
+
+
+def flight_records(spark: SparkSession, base: str) -> DataFrame:
+    """Flight topic records: an order flies from the origin to its customer's nation on its order date,
+    imported at one of five hours."""
+    orders, customer = read_table(spark, base, "orders"), read_table(spark, base, "customer")
+    day = F.to_date("o_orderdate")
+    rows = orders.join(customer, orders.o_custkey == customer.c_custkey).select(
+        F.format_string("%02d:%02d:00", F.pmod("o_orderkey", F.lit(24)), F.pmod("o_custkey", F.lit(60))).alias("time"),
+        (F.lit(60) + F.pmod("o_orderkey", F.lit(300))).cast("int").alias("duration"),
+        F.col("o_orderpriority").alias("company"), F.col("o_totalprice").alias("price"),
+        F.pmod("o_custkey", F.lit(3)).cast("int").alias("n_connections"), day.alias("date"),
+        F.timestamp_add("HOUR", F.pmod("o_orderkey", F.lit(5)).cast("int"), day.cast("timestamp")).alias("import_date"),
+        F.lit(ORIGIN_CITY).alias("origin"), F.col("c_nationkey").cast("string").alias("destination"))
+    return topics.encode_records(rows)
+
+
+def q_trip_end_to_end(spark: SparkSession, base: str) -> DataFrame:
+    """Both topics consumed, scored and landed, then the trips of two months: rank 1 is the first hotel."""
+    nation = read_table(spark, base, "nation")
+    capitals = nation.select(F.col("n_name").alias("country"), F.col("n_nationkey").cast("string").alias("capital"))
+    customer = read_table(spark, base, "customer")
+    monuments = customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
+        F.col("c_name").alias("name"), F.col("n_name").alias("country"))
+    hotelday = materialize(trips.best_of_latest(hotel_records(spark, base)), "hotelday")[0]
+    flight = materialize(trips.flights_from_records(flight_records(spark, base)), "flight")[0]
+    return trips.trip_report_table(capitals, monuments, hotelday, flight, E2E_START, n_days=E2E_DAYS,
+                                   home_country=HOME_NATION)
+
+
+def q_import_scores(spark: SparkSession, base: str) -> DataFrame:
+    """Every import of a city and month scored on its own, as the consumer loop does batch by batch."""
+    out = trips.hotels_from_records(hotel_records(spark, base))
+    return out.select("checkin_date", "city", "name", "price", "rating", F.col("import_date").cast("timestamp_ntz")
+                      .alias("import_date"), "rank")
+
+
+def _mixed_records(spark: SparkSession, base: str) -> DataFrame:
+    """Flight records of which some are bad: error events are cut short, views name a price that is no
+    number, clicks lack a duration, and purchases of user 0 have no value at all."""
+    ev = _events(spark, base)
+    body = F.struct(timefn.clock_of_ts("ts").alias("time"),
+                    F.when(F.col("event_type") != "click", F.floor("value").cast("int")).alias("duration"),
+                    F.lit("Air").alias("company"),
+                    F.when(F.col("event_type") == "view", F.lit("cheap")).otherwise(F.col("value").cast("string"))
+                    .alias("price"),
+                    F.lit(0).alias("n_connections"), F.to_date("ts").alias("date"), F.col("ts").alias("import_date"),
+                    F.lit(ORIGIN_CITY).alias("origin"), F.col("user_id").cast("string").alias("destination"))
+    # numbers unquoted, as a producer writes them
+    text = F.regexp_replace(F.to_json(body, topics.JSON_WRITE_OPTIONS), r'"price":"([0-9.E-]+)"', r'"price":$1')
+    value = (F.when((F.col("event_type") == "purchase") & (F.col("user_id") == 0), F.lit(None))
+             .when(F.col("event_type") == "error", F.expr("substring(text, 1, length(text) - 5)"))
+             .otherwise(F.col("text")))
+    return ev.withColumn("text", text).select(F.col("event_id").cast("string").alias("key"), value.alias("value"))
+
+
+def q_record_rejects(spark: SparkSession, base: str) -> DataFrame:
+    """What becomes of each record: the flight it gives, or why it is set aside."""
+    good, bad = topics.split_records(_mixed_records(spark, base), schemas.FLIGHT_OFFER,
+                                     required=FLIGHT_REQUIRED, keep=["key"])
+    return good.select("key", F.lit("flight").alias("outcome")).unionByName(
+        bad.select("key", F.col("reject_reason").alias("outcome")))
+
+
+def q_typed_table(spark: SparkSession, base: str) -> DataFrame:
+    """A table created with declared types, filled, read by its path after it is dropped (K4 K5)."""
+    orders = read_table(spark, base, "orders")
+    wanted = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_totalprice", T.DecimalType(18, 2)),
+                           T.StructField("o_orderstatus", T.StringType())])
+    path = scratch_path(spark, "typed-table")
+    name = "typed_" + path.rsplit("-", 1)[-1]
+    sinks.create_table(spark, name, wanted, path)
+    sinks.conform(orders, wanted).write.insertInto(name)
+    kind = spark.table(name).schema
+    sinks.drop_tables(spark, [name])
+    return spark.read.schema(kind).parquet(path).withColumn("o_totalprice", F.col("o_totalprice").cast("double"))
+
+
+QUERIES.update({
+    "trip_end_to_end": q_trip_end_to_end,
+    "import_scores": q_import_scores,
+    "record_rejects": q_record_rejects,
+    "typed_table": q_typed_table,
+})

@@ -23,12 +23,29 @@ from pyspark.sql import functions as F
 from waymark.constants import DAYS_AHEAD, HOME_COUNTRY, STAY_NIGHTS, TOP_K
 from waymark import schemas
 from waymark.operators import catalog, flights, hotels, latest, reports
+from waymark.plans.strategy import materialize
 from waymark.streaming.pipeline import decode_flights, decode_hotels
 
 
-def hotels_from_records(records: DataFrame, nights: int = STAY_NIGHTS, k: int = TOP_K) -> DataFrame:
-    """Hotel topic records → scored top-k → the ``hotelday`` table's rows."""
-    return hotels.hotelday_publish(hotels.hotel_top3(decode_hotels(records, nights), k=k))
+def hotels_from_records(records: DataFrame, nights: int = STAY_NIGHTS, k: int = TOP_K,
+                        per_import: bool = True) -> DataFrame:
+    """Hotel topic records → scored top-k → the ``hotelday`` table's rows.
+
+    Offers compete within one import of a city and day, so an older import never crowds out a newer one.
+    """
+    offers = decode_hotels(records, nights)
+    return hotels.hotelday_publish(hotels.hotel_top3(offers, k=k, per_import="import_date" if per_import else None))
+
+
+def best_of_latest(records: DataFrame, nights: int = STAY_NIGHTS, k: int = TOP_K) -> DataFrame:
+    """Hotel topic records → landed offers → latest import per city and day → scored top-k as ``hotelday``.
+
+    The decoded offers are landed once, so every later step sees the same records whatever
+    arrives in the topic meanwhile.
+    """
+    offers, _ = materialize(decode_hotels(records, nights), "offers")
+    newest = latest.latest_per_key(offers, ["checkin_date", "city_trans"], ts="import_date", method="window")
+    return hotels.hotelday_publish(hotels.hotel_top3(newest, k=k))
 
 
 def flights_from_records(records: DataFrame) -> DataFrame:
@@ -40,27 +57,24 @@ def current_flights(flight_history: DataFrame, start: str | _dt.date | Column,
                     days: int = DAYS_AHEAD) -> DataFrame:
     """Latest import per (date, origin, destination) for travel dates in the window."""
     window = latest.date_window(flight_history, "date", start, days)
-    return latest.latest_per_key(window, ["date", "origin", "destination"], ts="import_date")
+    return latest.latest_per_key(window, ["date", "origin", "destination"], ts="import_date", method="window")
 
 
 def current_hotels(hotel_history: DataFrame, start: str | _dt.date | Column,
                    days: int = DAYS_AHEAD) -> DataFrame:
     """Latest import per (check-in, city) for check-in dates in the window."""
     window = latest.date_window(hotel_history, "checkin_date", start, days)
-    return latest.latest_per_key(window, ["checkin_date", "city"], ts="import_date")
+    return latest.latest_per_key(window, ["checkin_date", "city"], ts="import_date", method="window")
 
 
 def _flight_text() -> Column:
-    return F.format_string(
-        "%s -> %s, %s at %s -> %s, %d min (%d changes), %s for %.2f EUR",
-        F.col("origin"), F.col("destination"), F.col("date").cast("string"), F.col("time"),
-        F.col("arrival_time"), F.col("duration"), F.col("n_connections"), F.col("company"),
-        F.col("price"))
+    return F.format_string("%.2f EUR with %s, %s to %s, leaves %s, lands %s, stops: %d",
+                           "price", "company", "origin", "destination", "time", "arrival_time", "n_connections")
 
 
 def _hotel_text() -> Column:
-    return F.format_string("%s, %.2f EUR / night, rating %s", F.col("name"), F.col("price"),
-                           F.coalesce(F.col("rating").cast("string"), F.lit("none")))
+    rated = F.when(F.col("rating").isNotNull(), F.format_string(" (%.1f)", "rating")).otherwise("")
+    return F.concat(F.format_string("%.2f a night: %s", "price", "name"), rated)
 
 
 def _monuments_by_country(monuments: DataFrame, aliases: dict[str, list[str]] | None) -> DataFrame:
@@ -87,7 +101,8 @@ def trip_report_table(capitals: DataFrame, monuments: DataFrame, hotelday: DataF
 
     ``hotelday`` / ``flight`` are histories (latest import and date window are
     applied here). The flight shown is the cheapest of the latest import (then
-    earliest departure); hotels are ordered by price, then name.
+    earliest departure); hotels stand in their scored rank (then price, then name), a hotel that was
+    landed twice once.
     """
     plan = catalog.request_plan(capitals.select("country", "capital"), start, n_days, offset=0)
     fl = current_flights(flight, start, n_days)
@@ -95,8 +110,9 @@ def trip_report_table(capitals: DataFrame, monuments: DataFrame, hotelday: DataF
     flight_side = best.select(F.col("destination").alias("capital"), F.col("date").alias("day"),
                               _flight_text().alias("flight"))
     ht = current_hotels(hotelday, start, n_days).select(
-        F.col("city").alias("capital"), F.col("checkin_date").alias("day"), "name", "price", "rating")
-    hotel_side = reports.top_slots(ht, ["capital", "day"], _hotel_text(), ["price", "name"], k=k)
+        F.col("city").alias("capital"), F.col("checkin_date").alias("day"), "name", "price", "rating", "rank").distinct()
+    hotel_side = reports.top_slots(ht, ["capital", "day"], _hotel_text(),
+                                   [F.col("rank").asc_nulls_last(), "price", "name"], k=k)
     mons = _monuments_by_country(monuments, aliases)
     mon_side = mons.groupBy("country").agg(
         F.format_string("%d monuments", F.count(F.lit(1))).alias("monuments"))

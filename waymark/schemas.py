@@ -30,7 +30,7 @@ FLIGHT_OFFER = _s(("time", S), ("duration", I), ("company", S), ("price", D), ("
                   ("date", DATE), ("import_date", TS), ("origin", S), ("destination", S))
 
 HOTELDAY = _s(("checkin_date", DATE), ("city", S), ("name", S), ("price", D), ("longitude", D),
-              ("latitude", D), ("rating", D), ("import_date", TS))
+              ("latitude", D), ("rating", D), ("import_date", TS), ("rank", L))
 
 FLIGHT = _s(("date", DATE), ("time", S), ("arrival_time", S), ("arrival_ts", TS), ("duration", I),
             ("origin", S), ("destination", S), ("company", S), ("price", D), ("n_connections", I),

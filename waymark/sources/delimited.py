@@ -1,7 +1,6 @@
 """Delimited catalogue files (S1, F19): ``;`` separated, decimal comma, optional BOM.
 
-The file is read with an all-string schema (every column by position, header
-skipped), then each column is converted to its declared type with
+The file is read with an all-string schema whose names the header must have, then each column is converted to its declared type with
 ``try_cast``, numbers after turning the decimal comma into a point. A value
 that is present but does not convert is reported by ``conversion_rejects``
 instead of failing the job.
@@ -16,6 +15,7 @@ from pyspark.sql import types as T
 from waymark import schemas
 from waymark.constants import CSV_DECIMAL, CSV_SEPARATOR
 
+CORRUPT = "_corrupt_record"
 _NUMERIC = (T.DoubleType, T.FloatType, T.DecimalType)
 
 
@@ -35,9 +35,15 @@ def _convert(raw: Column, dtype: T.DataType, decimal: str) -> Column:
 
 def read_raw(spark: SparkSession, path: str, schema: T.StructType, sep: str = CSV_SEPARATOR,
              header: bool = True, encoding: str = "UTF-8") -> DataFrame:
-    """All columns of ``schema`` (in file order) as strings."""
-    return (spark.read.schema(_as_strings(schema))
+    """All columns of ``schema`` (in file order) as strings, and ``_corrupt_record``: a row with
+    another number of fields, whole.
+
+    The header must name the schema's columns in order; another header fails the read.
+    """
+    strings = _as_strings(schema).add(CORRUPT, T.StringType())
+    return (spark.read.schema(strings).option("enforceSchema", "false")
             .option("header", str(header).lower()).option("sep", sep)
+            .option("columnNameOfCorruptRecord", CORRUPT)
             .option("encoding", encoding).option("mode", "PERMISSIVE").csv(path))
 
 
@@ -53,12 +59,12 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType,
 def conversion_rejects(spark: SparkSession, path: str, schema: T.StructType,
                        sep: str = CSV_SEPARATOR, decimal: str = CSV_DECIMAL,
                        header: bool = True) -> DataFrame:
-    """Raw rows where a non-empty value did not convert to its declared type."""
+    """Raw rows with another number of fields, or where a non-empty value did not convert to its type."""
     raw = read_raw(spark, path, schema, sep, header)
-    bad = F.lit(False)
+    bad = F.col(CORRUPT).isNotNull()
     for f in schema.fields:
         present = F.trim(F.col(f.name)) != F.lit("")
-        bad = bad | (present & _convert(F.col(f.name), f.dataType, decimal).isNull())
+        bad = bad | F.coalesce(present & _convert(F.col(f.name), f.dataType, decimal).isNull(), F.lit(False))
     return raw.filter(bad)
 
 

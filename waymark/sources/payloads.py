@@ -165,16 +165,18 @@ def with_request_columns(df: DataFrame, constants: dict[str, object]) -> DataFra
 
 
 def hotel_payload_of(rows: DataFrame, page: Sequence[str], item_cols: dict[str, object],
-                     page_size: int = 50) -> DataFrame:
-    """Assemble hotel responses from rows: one JSON ``{"result": [...]}`` per page.
+                     page_size: int = 50, gather: int = 100_000) -> DataFrame:
+    """Assemble hotel responses from rows: one JSON ``{"result": [...]}`` per page of at most
+    ``page_size`` items.
 
-    A page is the ``page`` key plus a slice of at most ``page_size`` consecutive
-    row ids, so no page holds more than ``page_size`` items, even when many rows
-    are copies under one key.
+    Rows of one ``page`` key are gathered per slice of ``gather`` consecutive row ids, so no
+    list outgrows a slice, even when all rows are copies under one key; a slice's list is cut into pages.
     """
     item = F.struct(*[(F.col(v) if isinstance(v, str) else v).alias(k) for k, v in item_cols.items()])
-    slice_ = F.floor(F.monotonically_increasing_id() / F.lit(page_size)).alias("_slice")
+    slice_ = F.floor(F.monotonically_increasing_id() / F.lit(gather)).alias("_slice")
+    pages = F.transform(F.sequence(F.lit(0), F.floor((F.size("_items") - 1) / page_size).cast("int")),
+                        lambda i: F.slice("_items", i * page_size + 1, F.lit(page_size)))
     return (rows.select(*page, item.alias("_item"), slice_)
-                .groupBy(*page, "_slice")
-                .agg(F.to_json(F.struct(F.collect_list("_item").alias("result"))).alias("payload"))
-                .drop("_slice"))
+                .groupBy(*page, "_slice").agg(F.collect_list("_item").alias("_items"))
+                .select(*page, F.explode(pages).alias("result"))
+                .select(*page, F.to_json(F.struct("result")).alias("payload")))

@@ -53,16 +53,47 @@ def decode_records(records: DataFrame, schema: T.StructType | str, value: str =
     return out.select(*keep, "_v.*", *([import_col] if stamp else []))
 
 
+CORRUPT = "_corrupt_record"
+
+
+def _struct(records: DataFrame, schema: T.StructType | str) -> T.StructType:
+    return records.sparkSession.createDataFrame([], schema).schema if isinstance(schema, str) else schema
+
+
+def _probed(records: DataFrame, schema: T.StructType | str, value: str, required: list[str] | None) -> DataFrame:
+    """``_v`` (the decoded struct) and ``reject_reason`` (NULL for a good record) beside the record's columns."""
+    struct = _struct(records, schema)
+    probe = T.StructType(struct.fields + [T.StructField(CORRUPT, T.StringType())])
+    opts = dict(JSON_READ_OPTIONS, columnNameOfCorruptRecord=CORRUPT)
+    text = F.col(value).cast("string")
+    out = records.withColumn("_v", F.from_json(text, probe, opts))
+    reason = (F.when(text.isNull(), F.lit("no value"))
+              .when(F.col("_v").isNull() | F.col(f"_v.{CORRUPT}").isNotNull(), F.lit("undecodable")))
+    for name in required or []:
+        reason = reason.when(F.col(f"_v.{name}").isNull(), F.lit(f"missing {name}"))
+    return out.withColumn("reject_reason", reason)
+
+
+def split_records(records: DataFrame, schema: T.StructType | str, value: str = "value",
+                  required: list[str] | None = None, keep: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(decoded, rejects)``: every record is in exactly one of the two.
+
+    A reject is a whole record plus ``reject_reason``: no value, a value that is not JSON or
+    does not fit the schema, or a NULL in a ``required`` field.
+    """
+    struct = _struct(records, schema)
+    probed = _probed(records, struct, value, required)
+    good = probed.filter(F.col("reject_reason").isNull()).select(
+        *[c for c in (keep or []) if c in records.columns], *[F.col(f"_v.`{f}`").alias(f) for f in struct.fieldNames()])
+    bad = probed.filter(F.col("reject_reason").isNotNull()).select(*records.columns, "reject_reason")
+    return good, bad
+
+
 def undecodable_records(records: DataFrame, schema: T.StructType | str,
                         value: str = "value") -> DataFrame:
-    """Records whose value is not JSON (kept whole, for a quarantine table)."""
-    spark = records.sparkSession
-    struct = spark.createDataFrame([], schema).schema if isinstance(schema, str) else schema
-    probe = T.StructType(struct.fields + [T.StructField("_corrupt_record", T.StringType())])
-    opts = dict(JSON_READ_OPTIONS, columnNameOfCorruptRecord="_corrupt_record")
-    parsed = F.from_json(F.col(value).cast("string"), probe, opts)
-    return records.filter(F.col(value).isNotNull()
-                          & (parsed.isNull() | parsed["_corrupt_record"].isNotNull()))
+    """Records whose value is there but is not JSON or does not fit the schema (kept whole)."""
+    return (_probed(records, schema, value, None).filter(F.col("reject_reason") == "undecodable")
+            .select(*records.columns))
 
 
 def record_counts(df: DataFrame, topic: str = "topic") -> DataFrame:
@@ -72,9 +103,13 @@ def record_counts(df: DataFrame, topic: str = "topic") -> DataFrame:
 
 def kafka_source_options(bootstrap: str, topic: str, starting: str = "earliest",
                          **extra: str) -> dict[str, str]:
-    """Options for ``spark.read/readStream.format('kafka')`` (offsets from earliest)."""
-    opts = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic, "startingOffsets": starting,
-            "failOnDataLoss": "false"}
+    """Options for ``spark.read/readStream.format('kafka')`` (offsets from earliest).
+
+    Lost offsets fail the query, as is Spark's default; ``failOnDataLoss="false"`` opts out.
+    A batch read that is used more than once should pass ``endingOffsets`` (or land its decoded
+    records first): "latest" is looked up anew by every job.
+    """
+    opts = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic, "startingOffsets": starting}
     opts.update(extra)
     return opts
 
