@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import land, land_with, parts_for
+from waymark.llm.common import land, land_with, parts_for, ship
 from waymark.llm.tokens import column_tokenizer
 
 PIECE_SCHEMA = "piece int, start long, length long, ids_crc32 long"
@@ -35,6 +35,7 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``(id, piece, start, length, ids_crc32[, ids])`` of every piece of every row."""
     import public_tokenizers
 
+    ship(docs.sparkSession)
     vocab_path = vocab_path or public_tokenizers.path("word_bpe_49k.json")
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
@@ -238,6 +239,7 @@ def pack_pieces(pieces: DataFrame, *, capacity: int = 2048, shard_size: int = 81
     ``spare``: bins with more free tokens than this are taken apart and their pieces evolved again with
     those of other shards, ``passes`` - 1 times at most.
     """
+    ship(pieces.sparkSession)
     rows, seen = land_with(pieces, "pieces", n=F.count(F.when(F.col("length") < capacity, 1)))
     # a landed table's rows keep their numbers; the number also spreads equal rows
     rows = land(rows.withColumn("uid", F.monotonically_increasing_id()), "numbered_pieces")

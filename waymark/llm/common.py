@@ -9,17 +9,23 @@ cuts lineage in storage every executor sees, so a lost executor costs one task.
 from __future__ import annotations
 
 import math
+import tempfile
+import weakref
+import zipfile
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import is_remote
 
 from waymark.session import scratch_path
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
+_shipped: weakref.WeakSet = weakref.WeakSet()  # sessions that have the package
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +33,27 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Let the executors' Python import this package, however the driver came by it.
+
+    The package's files go out as one archive through Spark's own file distribution, once per
+    session; where the package is on the executors' path already, that changes nothing.
+    Called before a Python function is handed to Spark.
+    """
+    home = Path(__file__).resolve().parents[1]
+    if spark in _shipped or not home.is_dir():  # already an archive: sent by whoever put it there
+        return
+    _shipped.add(spark)
+    archive = Path(tempfile.mkdtemp(prefix="waymark-ship-")) / "waymark-package.zip"  # on the driver only
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(home.rglob("*.py")):
+            out.write(file, file.relative_to(home.parent))
+    if is_remote():
+        spark.addArtifacts(str(archive), pyfile=True)
+    else:
+        spark.sparkContext.addPyFile(str(archive))
+
+
 def land(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once under the shared folder and read it back with its known schema."""
     path = scratch_path(df.sparkSession, name)

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import doc_key, land
+from waymark.llm.common import doc_key, land, ship
 from waymark.llm.words import column_words
 
 # fixed: ASCII characters that are no letter or digit separate words
@@ -49,6 +49,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     ``postings``: little-endian 32-bit steps between positions. The row with a null term has a
     shard's documents: ``ids`` in order, and their numbers of words as ``postings``.
     """
+    ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
 
@@ -196,6 +197,7 @@ def find_items(index: DataFrame, benchmark: DataFrame, item_col: str = "item_id"
     ``spans``: word ranges under exact windows; ``items``: items with such a window; ``near_items``:
     items with a window whose ``near_terms`` rarest words stand within ``slop`` words.
     """
+    ship(index.sparkSession)
     windows = item_windows(benchmark, item_col, text_col, width)
     terms = windows.select(F.explode("terms").alias("term")).distinct()
     hits = land(index.filter(F.col("term").isNotNull()).join(terms, "term").select("shard", "term", "n", "postings"),

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymark.llm.bytehash import mix
-from waymark.llm.common import land, land_with, parts_for
+from waymark.llm.common import land, land_with, parts_for, ship
 from waymark.llm.components import connected_components
 from waymark.llm.groups import grouped
 
@@ -72,6 +72,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
                     recall: float = 0.9995, bucket: int = 64, block: int = 1024, seed: int = 11) -> DataFrame:
     """``(id, n_links, component_id, kept)`` of every row of ``vectors``."""
     spark = vectors.sparkSession
+    ship(spark)
     rows = vectors.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"))
     kind = np.float32 if "float" in rows.schema["vec"].dataType.simpleString() else np.float64
     rows = rows.withColumn("vec", F.col("vec").cast("array<float>" if kind is np.float32 else "array<double>"))

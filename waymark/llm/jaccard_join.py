@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymark.llm.bytehash import mix
-from waymark.llm.common import doc_key, land, land_with, parts_for, text_hash
+from waymark.llm.common import doc_key, land, land_with, parts_for, ship, text_hash
 from waymark.llm.components import connected_components
 from waymark.llm.groups import grouped
 from waymark.llm.words import column_words
@@ -190,6 +190,7 @@ def _block(col: str, n: Column) -> Column:
 def _components(docs: DataFrame, id_col: str, text_col: str, percent: int, width: int, bands: int, rows: int,
                 block: int) -> DataFrame:
     """``(id, th, n_shingles, component, component_id)`` of every row; ``component`` is null for empty sets."""
+    ship(docs.sparkSession)
     key = doc_key(id_col, text_col)
     plain = docs.select(F.col(id_col).alias("id"), text_hash(F.col(text_col)).alias("th"),
                         F.col(text_col).alias("text"))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import utf8
+from waymark.llm.common import ship, utf8
 
 KINDS = ("assign", "access", "hex", "random")
 SPAN_SCHEMA = "array<struct<kind:string,start:int,end:int,ratio:double>>"
@@ -126,6 +126,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     import public_tokenizers
 
+    ship(docs.sparkSession)
     vocab_path = vocab_path or public_tokenizers.path("byte_bpe_50k.tiktoken")
     pattern = pattern or public_tokenizers.PATTERN
     candidate = f"[A-Za-z0-9+/_=-]{{{min_chars},}}"

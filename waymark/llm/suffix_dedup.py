@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymark.llm.bytehash import BASES, PrefixHash, mix
-from waymark.llm.common import blocks, doc_key, land, land_with, parts_for, text_hash, utf8
+from waymark.llm.common import blocks, doc_key, land, land_with, parts_for, ship, text_hash, utf8
 from waymark.llm.groups import whole_groups
 
 PIECE = 4 << 20
@@ -211,6 +211,7 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     gram: int = 128, max_group: int = 2048) -> DataFrame:
     """``(doc, start, end)``: byte ranges that cover the repeated ``width``-byte strings of each document."""
     spark = docs.sparkSession
+    ship(spark)
     plain = docs.select(F.col(id_col).alias("id"), text_hash(F.col(text_col)).alias("th"),
                         F.col(text_col).alias("text"))
     id_type = plain.schema["id"].dataType.simpleString()
@@ -319,6 +320,7 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def remove_ranges(docs: DataFrame, ranges: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, n_bytes, spans, kept)``: maximal removed runs and the remaining bytes of every row."""
+    ship(docs.sparkSession)
     per_doc = ranges.groupBy("doc").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
     texts = docs.select(doc_key(id_col, text_col), F.col(text_col).alias("text"))
     joined = texts.join(per_doc, "doc", "left").select("doc.id", "text", "starts", "ends")
