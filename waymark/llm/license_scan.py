@@ -102,17 +102,17 @@ def template_places(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                             F.posexplode(words_of(F.col(text_col))).alias("pos", "word"))
                 .filter(F.col("word").isin(vocab)), "license_words")
 
-    n_docs = docs.agg(F.count(F.lit(1)).alias("n"))
+    n_docs = docs.select(F.count(F.lit(1))).scalar()
     df = hits.select("doc", "word").distinct().groupBy("word").agg(F.count(F.lit(1)).alias("df"))
     places = spark.createDataFrame([(label, w, i) for label, (notice, _) in templates.items()
                                     for i, w in enumerate(notice.split())], "label string, word string, at int")
     phrases = spark.createDataFrame([(label, w, f" {notice} ".split(f" {key} ")[0].count(" ") + i, len(key.split()))
                                      for label, (notice, key) in templates.items() for i, w in enumerate(key.split())],
                                     "label string, word string, key_at int, key_words int")
-    idf = F.log((F.col("n") + 1) / (F.coalesce("df", F.lit(0)) + 1)) + 1e-6
+    idf = F.log((n_docs + 1) / (F.coalesce("df", F.lit(0)) + 1)) + 1e-6
     # at most a few words a template: bounded by the fixed list
     rank = F.row_number().over(Window.partitionBy("label").orderBy(F.desc("idf"), "at"))
-    index = land(places.join(df, "word", "left").crossJoin(n_docs).withColumn("idf", idf)
+    index = land(places.join(df, "word", "left").withColumn("idf", idf)
                  .withColumn("rank", rank).filter(F.col("rank") <= index_words)
                  .withColumn("of", F.sum("idf").over(Window.partitionBy("label")))
                  .select("label", "word", "at", "idf", "of"), "license_index")
