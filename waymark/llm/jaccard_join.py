@@ -204,10 +204,12 @@ def _components(docs: DataFrame, id_col: str, text_col: str, percent: int, width
     shared = land(in_band.join(leaders, "sig"), "shared_bands")
 
     # every class in the group of the smallest class it shares a band with, and that class in its own
-    first = shared.groupBy("cls").agg(F.min("leader").alias("leader"))
+    first = land(shared.groupBy("cls").agg(F.min("leader").alias("leader")), "first_leaders")
+    # landed, so that both sides of the join are plain shuffles and a large group's can be split
+    sizes = land(first.groupBy("leader").agg(F.count(F.lit(1)).alias("n")), "group_sizes")
     subs = F.ceil(F.col("n") / block).cast("int")
     homes, seen = land_with(
-        first.join(first.groupBy("leader").agg(F.count(F.lit(1)).alias("n")), "leader")
+        first.join(sizes, "leader")
         .select("cls", "leader", subs.alias("subs"), F.xxhash64("leader", _block("cls", subs)).alias("grp")),
         "homes", n=F.count(F.lit(1)))
     own = (homes.select("leader", "subs").distinct()
