@@ -36,6 +36,14 @@ def test_forgetting_changes_nothing(monkeypatch):
         assert next(iter(small.encode(pa.array([t], pa.string())))).tolist() == plain.encode(t or "", add_special_tokens=False).ids
 
 
+def test_long_texts_in_parts(monkeypatch):
+    monkeypatch.setattr(tokens, "_PART", 50)
+    monkeypatch.setattr(tokens, "_LONG", 120)
+    plain, cached = Tokenizer.from_file(VOCAB), tokens.ColumnTokenizer(VOCAB)
+    for t in ["don't we'll  " * 30 + "x" * 200 + " é end " * 20, "日本 <|endoftext|> é " * 40, "y" * 500, " " * 300]:
+        assert [x.tolist() for x in cached.encode(pa.array([t]))] == [plain.encode(t, add_special_tokens=False).ids]
+
+
 def _pieces(rows, capacity):
     plain, out = Tokenizer.from_file(VOCAB), []
     for i, t in rows:

@@ -107,7 +107,7 @@ def utf8(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return flat, off - off[0]
 
 
-def blocks(col: pa.Array, most: int = 4 << 20):
+def blocks(col: pa.Array, most: int = 1 << 20):
     """Cut the rows of a string column into slices of about ``most`` bytes: yields (first row, end row)."""
     lengths = pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     total, first = 0, 0

@@ -34,6 +34,7 @@ from waymark.llm.words import column_words
 _SEPARATES = np.zeros(256, bool)
 _SEPARATES[[*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]] = True
 _SEPARATES[65:91] = False  # lower-cased before
+SHARD_BYTES = 4 << 20
 _AT = np.uint64(32)  # a posting's key: term number above, position below
 
 
@@ -56,7 +57,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     def index(batches):
         shard = TaskContext.get().partitionId() << 32  # the same in every attempt
         for batch in batches:
-            for first, end, words, counts in column_words(batch.column(1), _SEPARATES):
+            for first, end, words, counts in column_words(batch.column(1), _SEPARATES, SHARD_BYTES):
                 by = np.argsort(words, kind="stable")
                 terms = words[by]
                 heads = np.flatnonzero(np.concatenate([[True], terms[1:] != terms[:-1]])) if len(terms) else by

@@ -38,7 +38,7 @@ from waymark.llm.bytehash import BASES, PrefixHash, mix
 from waymark.llm.common import blocks, doc_key, land, land_with, parts_for, ship, text_hash, utf8
 from waymark.llm.groups import whole_groups
 
-PIECE = 4 << 20
+PIECE = 1 << 20
 _POS = np.uint64((1 << 23) - 1)  # positions within a piece
 
 

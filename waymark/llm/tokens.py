@@ -21,6 +21,7 @@ from waymark.llm.common import blocks, utf8
 _SPACE, _LETTER, _NUMBER, _OTHER, _FOREIGN = range(5)
 _PLAIN = 0x180  # Latin letters up to here are their own composed form
 _CACHE = 1 << 19  # pieces remembered
+_PART, _LONG = 1 << 20, 4 << 20  # bytes of the parts of a long text, and of texts that are long
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray]:
@@ -42,6 +43,17 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
 _KIND, _LOWER = _tables()
 
 
+def _cut(raw: bytes) -> Iterator[str]:
+    """A long text in parts cut at spaces, which no piece and no special token spans."""
+    at = 0
+    while at < len(raw):
+        end = len(raw) if len(raw) - at <= _PART else raw.rfind(b" ", at, at + _PART) + 1
+        if end <= at:  # no space: on to the next one
+            end = raw.find(b" ", at + _PART) + 1 or len(raw)
+        yield raw[at:end].decode()
+        at = end
+
+
 class ColumnTokenizer:
     """Encodes string columns; lives as long as the worker, and so does what it has seen."""
 
@@ -122,28 +134,34 @@ class ColumnTokenizer:
         for first, end in blocks(col):
             part = col.slice(first, end - first)
             flat, off = utf8(part)
-            if not len(flat):
-                yield from (np.zeros(0, np.uint32) for _ in range(end - first))
-                continue
-            points_before = np.concatenate([[0], np.cumsum((flat & 0xC0) != 0x80)])
-            off_points = points_before[off]
-            text = flat.tobytes().decode()
-            points = np.minimum(np.frombuffer(text.encode("utf-32-le"), np.uint32), _PLAIN)
-            foreign = _KIND[points] == _FOREIGN
-            foreign[:-1] |= (points[:-1] == 60) & (points[1:] == 124)  # "<|" may begin a special token
-            foreign = np.concatenate([[0], np.cumsum(foreign)])[off_points]
-            plain = np.diff(foreign) == 0
-            keep = np.repeat(plain, np.diff(off_points))
-            if not keep.all():
-                points = points[keep]
-                text = "".join(text[a:b] for a, b, ok in zip(off_points[:-1], off_points[1:], plain, strict=True) if ok)
-            own = np.concatenate([[0], np.cumsum(np.diff(off_points)[plain])])
-            ids, counts = self._plain(text, points, own) if len(points) else (np.zeros(0, np.uint32),
-                                                                             np.zeros(int(plain.sum()), np.int64))
-            at = iter(np.split(ids, np.cumsum(counts)[:-1]) if len(counts) else [])
-            for i in range(end - first):
-                yield next(at) if plain[i] else np.array(
-                    self.tokenizer.encode(part[i].as_py(), add_special_tokens=False).ids, np.uint32)
+            if end - first == 1 and len(flat) > _LONG:
+                ids = [next(self._block(pa.array([t]), *utf8(pa.array([t])))) for t in _cut(flat.tobytes())]
+                yield np.concatenate(ids)
+            else:
+                yield from self._block(part, flat, off)
+
+    def _block(self, part: pa.Array, flat: np.ndarray, off: np.ndarray) -> Iterator[np.ndarray]:
+        n = len(part)
+        if not len(flat):
+            yield from (np.zeros(0, np.uint32) for _ in range(n))
+            return
+        off_points = np.concatenate([[0], np.cumsum((flat & 0xC0) != 0x80)])[off]
+        text = flat.tobytes().decode()
+        points = np.minimum(np.frombuffer(text.encode("utf-32-le"), np.uint32), _PLAIN)
+        foreign = _KIND[points] == _FOREIGN
+        foreign[:-1] |= (points[:-1] == 60) & (points[1:] == 124)  # "<|" may begin a special token
+        plain = np.diff(np.concatenate([[0], np.cumsum(foreign)])[off_points]) == 0
+        keep = np.repeat(plain, np.diff(off_points))
+        if not keep.all():
+            points = points[keep]
+            text = "".join(text[a:b] for a, b, ok in zip(off_points[:-1], off_points[1:], plain, strict=True) if ok)
+        own = np.concatenate([[0], np.cumsum(np.diff(off_points)[plain])])
+        ids, counts = (self._plain(text, points, own) if len(points)
+                       else (np.zeros(0, np.uint32), np.zeros(int(plain.sum()), np.int64)))
+        at = iter(np.split(ids, np.cumsum(counts)[:-1]) if len(counts) else [])
+        for i in range(n):
+            yield next(at) if plain[i] else np.array(
+                self.tokenizer.encode(part[i].as_py(), add_special_tokens=False).ids, np.uint32)
 
 
 _tokenizers: dict[str, ColumnTokenizer] = {}

@@ -16,7 +16,7 @@ from waymark.llm.common import blocks, utf8
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_PIECE = 8 << 20  # bytes of one text hashed at once
+_PIECE = 4 << 20  # bytes of one text hashed at once
 _STEP = 1 << 16
 
 
@@ -53,9 +53,9 @@ def _one_long(flat: np.ndarray, separates: np.ndarray) -> np.ndarray:
     return np.concatenate(out)
 
 
-def column_words(col: pa.Array, separates: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """``(first row, end row, word hashes, words per row)`` of blocks of a text column."""
-    for first, end in blocks(col):
+def column_words(col: pa.Array, separates: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """``(first row, end row, word hashes, words per row)`` of blocks of about ``most`` bytes of a text column."""
+    for first, end in blocks(col, most):
         flat, off = utf8(col.slice(first, end - first))
         if end - first == 1 and len(flat) > _PIECE:
             hashes = _one_long(flat, separates)
