@@ -25,7 +25,7 @@ from waymark.functions.scoring import price_per_night
 from waymark.operators import catalog, flights, hotels, latest, reports, sets
 from waymark.session import scratch_path
 from waymark.sources import delimited, payloads, sinks, topics
-from waymark.sources.tables import read_table
+from waymark.sources.tables import read_table, register_views, scan_columns, sql_table
 from waymark.streaming import history
 
 OFFER_KEYS = ("l_suppkey", "ship_month")
@@ -127,8 +127,8 @@ WHERE age = 1
 
 def q_latest_flights_sql(spark: SparkSession, base: str) -> DataFrame:
     """The same as SQL text over a view, for the four days from the reference date."""
-    _events(spark, base).createOrReplaceTempView("events")
-    return spark.sql(LATEST_FLIGHTS_SQL.format(ref=REF_DATE, days=4))
+    register_views(spark, base, ["events"])
+    return sql_table(spark, LATEST_FLIGHTS_SQL.format(ref=REF_DATE, days=4))
 
 
 def q_latest_hotels(spark: SparkSession, base: str) -> DataFrame:
@@ -323,7 +323,7 @@ def q_filter_by_day(spark: SparkSession, base: str) -> DataFrame:
 def q_catalog_options(spark: SparkSession, base: str) -> DataFrame:
     """Each country name with each of the next four days."""
     nations = read_table(spark, base, "nation")
-    return catalog.catalog_options(nations.withColumnRenamed("n_name", "country"), "country",
+    return catalog.catalog_options(scan_columns(nations, "n_name").withColumnRenamed("n_name", "country"), "country",
                                    "2024-01-11", n_days=4)
 
 
