@@ -1,6 +1,6 @@
 """Benchmark decontamination with a distributed positional inverted index.
 
-The index is cut by documents: a shard holds the words of a few megabytes of them, and one
+The index is cut by documents: a shard holds half a million words of them or a little more, and one
 row per (shard, term) stores the term's postings, its word positions in the shard. A
 benchmark item's windows of ``width`` words are looked up rarest term first: the rarest
 term of a window, by its postings over the whole corpus, says which shards the window is sent to.
@@ -34,7 +34,7 @@ from waymark.llm.words import column_words
 _SEPARATES = np.zeros(256, bool)
 _SEPARATES[[*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]] = True
 _SEPARATES[65:91] = False  # lower-cased before
-SHARD_BYTES = 4 << 20
+SHARD_WORDS = 500_000
 _AT = np.uint64(32)  # a posting's key: term number above, position below
 
 
@@ -44,6 +44,19 @@ def _deltas(positions: np.ndarray, heads: np.ndarray) -> np.ndarray:
     return out.astype(np.int32)
 
 
+def _shards(col: pa.Array):
+    """``(first row, end row, word hashes, words per row)`` of runs of rows with ``SHARD_WORDS`` words or more."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    start = end = 0
+    for _, end, words, counts in column_words(col, _SEPARATES):
+        held.append((words, counts))
+        if sum(len(w) for w, _ in held) >= SHARD_WORDS:
+            yield start, end, *map(np.concatenate, zip(*held, strict=True))
+            held, start = [], end
+    if held:
+        yield start, end, *map(np.concatenate, zip(*held, strict=True))
+
+
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Landed ``(shard, term, n, postings, ids)``.
 
@@ -57,7 +70,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     def index(batches):
         shard = TaskContext.get().partitionId() << 32  # the same in every attempt
         for batch in batches:
-            for first, end, words, counts in column_words(batch.column(1), _SEPARATES, SHARD_BYTES):
+            for first, end, words, counts in _shards(batch.column(1)):
                 by = np.argsort(words, kind="stable")
                 terms = words[by]
                 heads = np.flatnonzero(np.concatenate([[True], terms[1:] != terms[:-1]])) if len(terms) else by
