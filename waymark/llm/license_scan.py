@@ -17,9 +17,9 @@ results; an empty table gives an empty result; only the id and text columns are
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from waymark.llm.common import ascii_lower, doc_key, land
@@ -88,6 +88,11 @@ def base_places(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                         F.array_max(every).cast("long").alias("last_word"), labels.alias("base_labels"))
 
 
+def _literal_rows(spark: SparkSession, rows: Sequence[Mapping[str, object]]) -> DataFrame:
+    """A small fixed table, from literals."""
+    return spark.range(1).select(F.inline(F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in r.items()]) for r in rows])))
+
+
 def template_places(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
                     templates: Mapping[str, tuple[str, str]] = TEMPLATES, index_words: int = 4, file_words: int = 16,
                     min_share: float = 0.5) -> DataFrame:
@@ -104,11 +109,12 @@ def template_places(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     n_docs = docs.select(F.count(F.lit(1))).scalar()
     df = hits.select("doc", "word").distinct().groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-    places = spark.createDataFrame([(label, w, i) for label, (notice, _) in templates.items()
-                                    for i, w in enumerate(notice.split())], "label string, word string, at int")
-    phrases = spark.createDataFrame([(label, w, f" {notice} ".split(f" {key} ")[0].count(" ") + i, len(key.split()))
-                                     for label, (notice, key) in templates.items() for i, w in enumerate(key.split())],
-                                    "label string, word string, key_at int, key_words int")
+    places = _literal_rows(spark, [{"label": label, "word": w, "at": i} for label, (notice, _) in templates.items()
+                                   for i, w in enumerate(notice.split())])
+    phrases = _literal_rows(spark, [
+        {"label": label, "word": w, "key_at": f" {notice} ".split(f" {key} ")[0].count(" ") + i,
+         "key_words": len(key.split())}
+        for label, (notice, key) in templates.items() for i, w in enumerate(key.split())])
     idf = F.log((n_docs + 1) / (F.coalesce("df", F.lit(0)) + 1)) + 1e-6
     # at most a few words a template: bounded by the fixed list
     rank = F.row_number().over(Window.partitionBy("label").orderBy(F.desc("idf"), "at"))
