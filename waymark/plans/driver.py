@@ -497,7 +497,7 @@ QUERIES.update({
 
 from waymark.plans import trips  # noqa: E402
 from waymark.plans.strategy import materialize  # noqa: E402
-from waymark.streaming.pipeline import FLIGHT_REQUIRED  # noqa: E402
+from waymark.streaming.pipeline import FLIGHT_REQUIRED, start_flight_stream  # noqa: E402
 
 TRIP_START = "1996-03-01"
 TRIP_DAYS = 4
@@ -582,11 +582,11 @@ def hotel_records(spark: SparkSession, base: str) -> DataFrame:
     return topics.encode_records(offers)
 
 
-def flight_records(spark: SparkSession, base: str) -> DataFrame:
-    """Flight topic records: an order flies from the origin to its customer's nation on its order date,
-    imported at one of five hours."""
+def flight_records(spark: SparkSession, base: str, monthly: bool = False) -> DataFrame:
+    """Flight topic records: an order flies from the origin to its customer's nation on its order date
+    (``monthly``: on the first of its month), imported at one of five hours."""
     orders, customer = read_table(spark, base, "orders"), read_table(spark, base, "customer")
-    day = F.to_date("o_orderdate")
+    day = F.trunc(F.to_date("o_orderdate"), "month") if monthly else F.to_date("o_orderdate")
     rows = orders.join(customer, orders.o_custkey == customer.c_custkey).select(
         F.format_string("%02d:%02d:00", F.pmod("o_orderkey", F.lit(24)), F.pmod("o_custkey", F.lit(60))).alias("time"),
         (F.lit(60) + F.pmod("o_orderkey", F.lit(300))).cast("int").alias("duration"),
@@ -617,6 +617,16 @@ def q_import_scores(spark: SparkSession, base: str) -> DataFrame:
                       .alias("import_date"), "rank")
 
 
+def q_flight_stream(spark: SparkSession, base: str) -> DataFrame:
+    """The flight topic consumed as a stream into a table partitioned by travel date (R2)."""
+    source, sink, ckpt = (scratch_path(spark, f"flight-{x}") for x in ("records", "table", "table-ckpt"))
+    flight_records(spark, base, monthly=True).write.parquet(source)
+    start_flight_stream(history.file_stream(spark, source, "value string"), sink, ckpt).awaitTermination()
+    return spark.read.parquet(sink).select(
+        F.to_date("date").alias("date"), "time", "arrival_time", F.col("arrival_ts").cast("timestamp_ntz")
+        .alias("arrival_ts"), "duration", "origin", "destination", "company", "price", "n_connections")
+
+
 def _mixed_records(spark: SparkSession, base: str) -> DataFrame:
     """Flight records of which some are bad: error events are cut short, views name a price that is no
     number, clicks lack a duration, and purchases of user 0 have no value at all."""
@@ -661,6 +671,7 @@ def q_typed_table(spark: SparkSession, base: str) -> DataFrame:
 QUERIES.update({
     "trip_end_to_end": q_trip_end_to_end,
     "import_scores": q_import_scores,
+    "flight_stream": q_flight_stream,
     "record_rejects": q_record_rejects,
     "typed_table": q_typed_table,
 })
