@@ -141,7 +141,7 @@ def test_odd_texts_and_labels(spark):
     rows = docs + [(i, t) for i, t in texts() if i is None or i >= 400] + [(900, None), (901, ""), (901, ""), (None, "grunkle")]
     odd = labels + [(0, None, 1), (None, 1, 1), (7777, 1, 1), (1, 1, None), (1, 1, None)]
     out = toxicity.classify(documents(spark, rows), _labels(spark, odd), ("spam", "rude")).collect()
-    assert len(out) == len(rows) and all(0 <= r.p_rude <= 1 and r.flagged == (r.p_rude >= 0.4) for r in out)
+    assert len(out) == len(rows) and all(0 <= r.p_rude <= 1 and r.flagged == (r.p_rude >= 0.2) for r in out)
     assert not any(r.flagged for r in out if r.doc_id in (900, 901))
 
 

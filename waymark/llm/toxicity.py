@@ -119,7 +119,7 @@ def _telling_words(known: DataFrame, names: Sequence[str], min_docs: int, min_z:
 
 def fit_chain(docs: DataFrame, labels: DataFrame, categories: Sequence[str], id_col: str = "doc_id",
               text_col: str = "text", *, max_labelled: int = 10_000, max_words: int = 4096, min_docs: int = 3,
-              min_z: float = 5.0, folds: int = 3, reg: float = 0.001, threshold: float = 0.4) -> ToxicityChain:
+              min_z: float = 5.0, folds: int = 3, reg: float = 0.001, threshold: float = 0.2) -> ToxicityChain:
     """Chain fitted to 0/1 label columns of ``labels``; the last category is the one that flags."""
     chain = ToxicityChain(tuple(categories), threshold=threshold)
     names = [f"y{k}" for k in range(len(categories))]
