@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymark.llm.common import land, land_with
@@ -43,60 +43,70 @@ def _earliest(rows: DataFrame, cols: tuple[str, ...]) -> DataFrame:
     return out.withColumn("is_first", F.struct(*rest).eqNullSafe(F.col("first"))).drop("first")
 
 
-def _typed(args: Column, param: str, kind: str) -> Column:
-    """Whether the argument holds a value of the declared JSON type."""
-    value = F.try_variant_get(args, f"$.{param}", "variant")
-    name = F.schema_of_variant(value)
-    return {"number": name.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$"), "array": name.startswith("ARRAY"),
-            "object": name.startswith("OBJECT")}.get(kind, name == JSON_TYPES.get(kind, ""))
+def _type_fits(found: Column, kind: str) -> Column:
+    """Whether a VARIANT's type name is of the declared JSON type."""
+    return {"number": found.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$"), "array": found.startswith("ARRAY"),
+            "object": found.startswith("OBJECT")}.get(kind, found == JSON_TYPES.get(kind, ""))
 
 
-def argument_errors(name: Column, args: Column, text: Column, schemas: Mapping[str, Mapping[str, Mapping]]) -> Column:
-    """Sorted array of what is wrong with a call's arguments (empty: valid).
+def with_errors(calls: DataFrame, schemas: Mapping[str, Mapping[str, Mapping]]) -> DataFrame:
+    """``calls`` (with ``args``, the parsed arguments) plus ``errors``: what is wrong, sorted (empty: valid).
 
     ``schemas``: tool → parameter → ``{"type": ..., "required": bool, "min_length": int}``.
     """
-    is_object = F.coalesce(F.schema_of_variant(args).startswith("OBJECT"), F.lit(False))
+    params = sorted({p for rules in schemas.values() for p in rules})
+    # each parameter is looked up once; the checks below read its type's name and its length
+    looked = {f"_type{k}": F.schema_of_variant(F.try_variant_get("args", f"$.{p}", "variant"))
+              for k, p in enumerate(params)}
+    looked |= {f"_length{k}": F.length(F.try_variant_get("args", f"$.{p}", "string")) for k, p in enumerate(params)
+               if any(rules.get(p, {}).get("min_length") for rules in schemas.values())}
+    looked |= {"_object": F.coalesce(F.schema_of_variant("args").startswith("OBJECT"), F.lit(False)),
+               "_names": F.json_object_keys("arguments")}
+    is_object = F.col("_object")
     found = [F.when(~is_object, F.lit("bad_json")),
-             F.when(~F.coalesce(name.isin(*schemas), F.lit(False)), F.lit("unknown_tool"))]
-    for tool, params in schemas.items():
-        mine = is_object & (name == tool)
-        for param, rule in params.items():
-            there = F.coalesce(F.try_variant_get(args, f"$.{param}", "variant").isNotNull(), F.lit(False))
+             F.when(~F.coalesce(F.col("name").isin(*schemas), F.lit(False)), F.lit("unknown_tool"))]
+    for tool, rules in schemas.items():
+        mine = is_object & (F.col("name") == tool)
+        for param, rule in rules.items():
+            k = params.index(param)
+            kind = F.col(f"_type{k}")
             if rule.get("required"):
-                found.append(F.when(mine & ~there, F.lit(f"missing:{param}")))
-            found.append(F.when(mine & there & ~F.coalesce(_typed(args, param, rule["type"]), F.lit(False)),
-                                F.lit(f"type:{param}")))
+                found.append(F.when(mine & kind.isNull(), F.lit(f"missing:{param}")))
+            found.append(F.when(mine & kind.isNotNull() & ~_type_fits(kind, rule["type"]), F.lit(f"type:{param}")))
             if rule.get("min_length"):
-                short = F.length(F.try_variant_get(args, f"$.{param}", "string")) < rule["min_length"]
-                found.append(F.when(mine & there & short, F.lit(f"short:{param}")))
-        known = F.array(*[F.lit(p) for p in params]) if params else F.array().cast("array<string>")
-        extra = F.size(F.array_except(F.json_object_keys(text), known)) > 0
-        found.append(F.when(mine & extra, F.lit("unknown_parameter")))
-    return F.array_sort(F.array_compact(F.array(*found)))
+                found.append(F.when(mine & (F.col(f"_length{k}") < rule["min_length"]), F.lit(f"short:{param}")))
+        known = F.array(*[F.lit(p) for p in rules]) if rules else F.array().cast("array<string>")
+        found.append(F.when(mine & (F.size(F.array_except("_names", known)) > 0), F.lit("unknown_parameter")))
+    return (calls.withColumns(looked).withColumn("errors", F.array_sort(F.array_compact(F.array(*found))))
+            .drop(*looked))
 
 
-def topological_levels(spark: SparkSession, calls: DataFrame, edges: DataFrame, max_rounds: int = 10_000) -> DataFrame:
+def topological_levels(calls: DataFrame, edges: DataFrame, max_rounds: int = 10_000) -> DataFrame:
     """``(conv_id, call_id, level)``: 0 without references, else one more than the deepest referred call.
 
     Peels one level a round, as many rounds as the longest chain of references; each round
-    joins only the references that still wait. Calls in or behind a cycle are left out.
+    is one job over the references that still wait. Calls in or behind a cycle are left out.
     """
+    key = ["conv_id", "call_id"]
     waiting, n = land_with(edges.distinct(), "refs", n=F.count(F.lit(1)))
-    done = calls.join(waiting.select("conv_id", "call_id").distinct(), ["conv_id", "call_id"], "left_anti")
-    done = land(done.select("conv_id", "call_id").distinct().withColumn("level", F.lit(0)), "level")
-    levels, level = done, 0
-    while n["n"] and level < max_rounds:
-        level += 1
+    rounds = [waiting]  # the references that wait before each round
+    done = calls.select(*key).join(waiting, key, "left_anti")
+    while n["n"] and len(rounds) <= max_rounds:
         met = done.select("conv_id", F.col("call_id").alias("needs"))
         rest, left = land_with(waiting.join(met, ["conv_id", "needs"], "left_anti"), "refs", n=F.count(F.lit(1)))
         if left["n"] == n["n"]:
             break
-        done = (waiting.select("conv_id", "call_id").distinct()
-                .join(rest.select("conv_id", "call_id").distinct(), ["conv_id", "call_id"], "left_anti"))
-        done = land(done.withColumn("level", F.lit(level)), "level")
-        levels, waiting, n = levels.unionByName(done), rest, left
-    return levels
+        done = waiting.select(*key).join(rest, key, "left_anti")  # all they refer to is done
+        rounds.append(rest)
+        waiting, n = rest, left
+    # a call waits through as many rounds as its level
+    waited = None
+    for k, w in enumerate(rounds, 1):
+        at = w.select(*key, F.lit(k).alias("level"))
+        waited = at if waited is None else waited.unionByName(at)
+    levels = waited.groupBy(*key).agg(F.max("level").alias("level"))
+    levels = calls.select(*key).join(levels, key, "left").withColumn("level", F.coalesce("level", F.lit(0)))
+    return levels.join(waiting.select(*key).distinct(), key, "left_anti") if n["n"] else levels
 
 
 def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Mapping[str, Mapping]]) -> DataFrame:
@@ -104,8 +114,8 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: Mapping[str,
 
     ``calls``: conv_id, turn, call_id, name, arguments; ``results``: conv_id, turn, call_id, content.
     """
-    spark = calls.sparkSession
-    c = land(_earliest(calls, CALL_COLS), "calls")
+    parsed = _earliest(calls, CALL_COLS).withColumn("args", F.try_parse_json("arguments"))
+    c = land(with_errors(parsed, schemas).withColumn("canonical", F.to_json("args")).drop("args"), "calls")
     linkable = c.filter("is_first").select("conv_id", "call_id")
     values = F.map_values(F.from_json("arguments", "map<string,string>"))
     refs = (c.filter("is_first")
@@ -113,14 +123,12 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: Mapping[str,
                     .alias("needs"))
             .withColumn("needs", F.expr("substring(needs, 2)")))
     known = refs.join(linkable.select("conv_id", F.col("call_id").alias("needs")), ["conv_id", "needs"], "left_semi")
-    levels = topological_levels(spark, linkable, known.select("conv_id", "call_id", "needs"))
+    levels = topological_levels(linkable, known.select("conv_id", "call_id", "needs"))
     per_call = (refs.join(known.withColumn("found", F.lit(1)), ["conv_id", "call_id", "needs"], "left")
                 .groupBy("conv_id", "call_id").agg(F.count(F.lit(1)).alias("refs"), F.count("found").alias("found")))
     zero = F.lit(0).cast("long")
     left = (c.join(levels, ["conv_id", "call_id"], "left").join(per_call, ["conv_id", "call_id"], "left")
-            .withColumn("args", F.try_parse_json("arguments"))
-            .select("conv_id", "call_id", "turn", "name", F.to_json("args").alias("canonical"),
-                    argument_errors(F.col("name"), F.col("args"), F.col("arguments"), schemas).alias("errors"),
+            .select("conv_id", "call_id", "turn", "name", "canonical", "errors",
                     F.when(F.col("is_first"), F.col("level")).alias("level"),
                     F.coalesce("refs", zero).alias("refs"),
                     (F.coalesce("refs", zero) - F.coalesce("found", zero)).alias("dangling"),
