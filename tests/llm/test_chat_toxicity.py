@@ -60,6 +60,27 @@ def test_order(spark):
     assert (by["d"].refs, by["d"].dangling, by["b"].refs, by["b"].dangling) == (2, 1, 2, 0)
 
 
+def test_levels_of_long_chains_trees_and_cycles(spark):
+    rng = random.Random(4)
+    edges = [(1, f"c{k}", f"c{k - 1}") for k in range(1, 130)]  # one long chain
+    edges += [(2, f"t{k}", f"t{rng.randrange(k)}") for k in range(1, 80) for _ in range(rng.randrange(1, 4))]
+    edges += [(3, "a", "b"), (3, "b", "c"), (3, "c", "a"), (3, "d", "a"), (3, "e", "d"), (3, "e", "root"), (3, "f", "root")]
+    calls = sorted({(c, x) for c, a, b in edges for x in (a, b)})
+    needs = {}
+    for c, a, b in edges:
+        needs.setdefault((c, a), set()).add((c, b))
+    level = {x: 0 for x in calls if x not in needs}
+    while True:
+        new = {x: 1 + max(level[y] for y in ys) for x, ys in needs.items() if x not in level and all(y in level for y in ys)}
+        if not new:
+            break
+        level.update(new)
+    out = tool_calls.topological_levels(spark.createDataFrame(calls, "conv_id long, call_id string"),
+                                        spark.createDataFrame(edges, "conv_id long, call_id string, needs string"))
+    assert {(r.conv_id, r.call_id): r.level for r in out.collect()} == level and level[1, "c129"] == 129
+    assert (3, "e") not in level and level[3, "f"] == 1
+
+
 def test_validation_and_canonical_json(spark):
     by = {(r.conv_id, r.turn): r for r in _link(spark) if r.turn is not None}
     assert by[1, 0].errors == [] and by[1, 0].canonical == '{"n":3,"opts":{"b":[1,2],"z":1},"q":"hello"}'

@@ -81,32 +81,59 @@ def with_errors(calls: DataFrame, schemas: Mapping[str, Mapping[str, Mapping]])
             .drop(*looked))
 
 
-def topological_levels(calls: DataFrame, edges: DataFrame, max_rounds: int = 10_000) -> DataFrame:
+def _chains(singles: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Where the chains of calls with one reference lead: ``(conv_id, call_id, to, dist)`` and, apart, the ones
+    that lead into a cycle. ``singles``: (conv_id, call_id, needs).
+
+    Pointers double in every round, so the rounds grow with the logarithm of the longest chain.
+    """
+    step, n = land_with(singles.select("conv_id", "call_id", F.col("needs").alias("to"), F.lit(1).alias("dist"),
+                                       F.lit(True).alias("moving")), "chain", n=F.count(F.lit(1)))
+    moving = n["n"]
+    for _ in range(n["n"].bit_length() + 1):
+        if not moving:
+            break
+        on = step.select("conv_id", F.col("call_id").alias("to"), F.col("to").alias("next"), F.col("dist").alias("more"))
+        step, left = land_with(
+            step.join(on, ["conv_id", "to"], "left")
+            .select("conv_id", "call_id", F.coalesce("next", "to").alias("to"),
+                    (F.col("dist") + F.coalesce("more", F.lit(0))).alias("dist"), F.col("next").isNotNull().alias("moving")),
+            "chain", moving=F.count(F.when(F.col("moving"), 1)))
+        moving = left["moving"]
+    return step.filter(~F.col("moving")).drop("moving"), step.filter("moving").select("conv_id", "call_id")
+
+
+def topological_levels(calls: DataFrame, edges: DataFrame) -> DataFrame:
     """``(conv_id, call_id, level)``: 0 without references, else one more than the deepest referred call.
 
-    Peels one level a round, as many rounds as the longest chain of references; each round
-    is one job over the references that still wait. Calls in or behind a cycle are left out.
+    Chains of calls with one reference each are followed at once (``_chains``) to where they end: a
+    call without references, or one with several. Only the latter are peeled round by round.
+    Calls in or behind a cycle are left out.
     """
     key = ["conv_id", "call_id"]
-    waiting, n = land_with(edges.distinct(), "refs", n=F.count(F.lit(1)))
-    rounds = [waiting]  # the references that wait before each round
-    done = calls.select(*key).join(waiting, key, "left_anti")
-    while n["n"] and len(rounds) <= max_rounds:
-        met = done.select("conv_id", F.col("call_id").alias("needs"))
-        rest, left = land_with(waiting.join(met, ["conv_id", "needs"], "left_anti"), "refs", n=F.count(F.lit(1)))
+    edges = land(edges.distinct(), "refs")
+    counts = land(edges.groupBy(*key).agg(F.count(F.lit(1)).alias("n")), "ref_counts")
+    ends, _ = _chains(edges.join(counts.filter("n = 1").select(*key), key, "left_semi"))
+    ends = ends.withColumnRenamed("dist", "behind")
+    levels = calls.select(*key).join(counts, key, "left_anti").withColumn("level", F.lit(0))
+    # each reference of a call with several, taken to the end of its chain
+    waiting, n = land_with(
+        edges.join(counts.filter("n > 1"), key).withColumnRenamed("needs", "ref")
+        .join(ends.withColumnRenamed("call_id", "ref"), ["conv_id", "ref"], "left")
+        .select(*key, "n", F.coalesce("to", "ref").alias("to"), (F.coalesce("behind", F.lit(0)) + 1).alias("more")),
+        "several", n=F.count(F.lit(1)))
+    while n["n"]:
+        known = levels.select("conv_id", F.col("call_id").alias("to"), "level")
+        new = land(waiting.join(known, ["conv_id", "to"]).groupBy(*key, "n")
+                   .agg(F.count(F.lit(1)).alias("met"), F.max(F.col("level") + F.col("more")).alias("level"))
+                   .filter(F.col("met") == F.col("n")).select(*key, "level"), "levels")
+        rest, left = land_with(waiting.join(new, key, "left_anti"), "several", n=F.count(F.lit(1)))
         if left["n"] == n["n"]:
             break
-        done = waiting.select(*key).join(rest, key, "left_anti")  # all they refer to is done
-        rounds.append(rest)
-        waiting, n = rest, left
-    # a call waits through as many rounds as its level
-    waited = None
-    for k, w in enumerate(rounds, 1):
-        at = w.select(*key, F.lit(k).alias("level"))
-        waited = at if waited is None else waited.unionByName(at)
-    levels = waited.groupBy(*key).agg(F.max("level").alias("level"))
-    levels = calls.select(*key).join(levels, key, "left").withColumn("level", F.coalesce("level", F.lit(0)))
-    return levels.join(waiting.select(*key).distinct(), key, "left_anti") if n["n"] else levels
+        levels, waiting, n = levels.unionByName(new), rest, left
+    along = (ends.join(levels.withColumnRenamed("call_id", "to"), ["conv_id", "to"])
+             .select(*key, (F.col("level") + F.col("behind")).alias("level")))
+    return levels.unionByName(along)
 
 
 def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Mapping[str, Mapping]]) -> DataFrame:
