@@ -86,6 +86,29 @@ def test_stages_in_order(spark, tables):
     _check_packed(out, 2048)
 
 
+def test_near_copies_by_five_words(spark):
+    """Of pairs at 0.8 or more of their five-word shingles one stays, also below 0.85 of four words."""
+    rng = random.Random(12)
+    rows = []
+    for k, edits in enumerate((1, 3, 4, 5, 6, 9)):
+        base = [f"w{rng.randrange(5000)}" for _ in range(235)]
+        copy = list(base)
+        for j in range(edits):
+            copy[20 + 24 * j] = f"edit{k}x{j}"
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(copy))]
+
+    def share(a, b, width):
+        a, b = ({tuple(w[i:i + width]) for i in range(len(w) - width + 1)} for w in (a.split(), b.split()))
+        return len(a & b) / len(a | b)
+
+    pairs = [(rows[i], rows[i + 1]) for i in range(0, len(rows), 2)]
+    gone = {b[0] for a, b in pairs if share(a[1], b[1], 5) >= 0.8}
+    assert any(b[0] in gone and share(a[1], b[1], 4) < 0.85 for a, b in pairs) and len(gone) < len(pairs)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.keep_one_of_each_group(spark, docs, "").collect()
+    assert sorted(r.doc_id for r in kept) == [i for i, _ in rows if i not in gone]
+
+
 def test_run_is_the_stages(spark, tables):
     where, _ = tables
     out = corpus_pipeline.run(spark, where).collect()
