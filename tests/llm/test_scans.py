@@ -41,6 +41,30 @@ def test_secret_scan(spark):
     assert [s.split(":")[0] for s in found[100].spans.split(",")] == ["assign", "random"]
 
 
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyz0123456789",
+                                     "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"],
+                         ids=["lower", "base36", "upper36", "base32"])
+def test_single_case_random_keys(spark, letters):
+    """Keys of one case are reported wherever the vocabulary is inefficient on them."""
+    import public_tokenizers
+    rng = random.Random(13)
+    keys = ["".join(rng.choice(letters) for _ in range(rng.randrange(24, 41))) for _ in range(200)]
+    count = secret_scan._encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).encode_ordinary
+    out = secret_scan.scan_secrets(documents(spark, [(k, f"see {key} here") for k, key in enumerate(keys)])).collect()
+    found = {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind == "random"] for r in out}
+    wanted = {k for k, key in enumerate(keys) if len(key) / len(count(key)) < 2}
+    assert len(wanted) > 180
+    assert {k for k, v in found.items() if v} == wanted
+    assert all(found[k] == [(4, 4 + len(keys[k]))] for k in wanted)
+
+
+def test_joined_words_are_no_secret(spark):
+    names = ["HAVE_BROKEN_PTHREAD_SIGMASK", "internationalizationStrategyName", "rotate_half_x2_path_2_4",
+             "TLS_AES_128_GCM_SHA256_RESPONSE", "some_long_identifier_name"]
+    out = secret_scan.secret_summary(secret_scan.scan_secrets(documents(spark, list(enumerate(names))))).collect()
+    assert all(r.n_random == 0 for r in out)
+
+
 def test_base_spans_by_hand():
     assert secret_scan.base_spans("token=abcdefghijkl") == [("assign", 0, 18)]
     assert secret_scan.base_spans("token=abcdefghijk") == []

@@ -4,7 +4,8 @@ A trained vocabulary covers natural text with few, long tokens; a random key has
 such tokens and needs one for every one or two characters. So a long run of key
 characters whose characters-per-token ratio under a public byte-level vocabulary is
 low is reported, unless it is a digest of a known length or an identifier (UUID,
-number, words joined by case or punctuation). Three fixed patterns (assignments,
+number, words joined by case or punctuation that the vocabulary covers with few tokens
+word by word). Three fixed patterns (assignments,
 access keys, hex runs) are reported beside it.
 
 Work per row only: no shuffle. A batch is screened on its raw bytes first, so Python's
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import base64
 import re
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +43,7 @@ _KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"api_key", b"apikey")
 DIGEST_LENGTHS = (32, 40, 48, 56, 64, 96, 128)
 _UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\Z")
 _HEX_ONLY = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)\Z")
+_LETTER = re.compile(r"[A-Za-z]")
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
@@ -55,19 +58,18 @@ _KEY_BYTES = _table(bytes(c for c in range(128) if chr(c).isalnum()) + b"+/_=-")
 _LOWER_BYTES = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-def is_digest_or_identifier(text: str, word: float = 3.0) -> bool:
-    """Digests of a known length, UUIDs, numbers, and words joined by case, digits or punctuation.
+def is_digest_or_number(text: str) -> bool:
+    """Digests of a known length, UUIDs, and runs without a letter."""
+    return bool(_HEX_ONLY.match(text) and len(text) in DIGEST_LENGTHS or _UUID.match(text)
+                or not _LETTER.search(text))
 
-    Joined words: the letter parts are ``word`` characters long on average.
-    """
-    if _HEX_ONLY.match(text) and len(text) in DIGEST_LENGTHS or _UUID.match(text):
-        return True
-    parts = _PARTS.findall(text)
-    letters = [p for p in parts if not p.isdigit()]
-    if not letters:
-        return True
-    numbers = len(parts) - len(letters)
-    return sum(map(len, letters)) >= word * len(letters) and numbers <= len(letters)
+
+def is_joined_words(text: str, tokens: Callable[[str], int], word: float = 2.5) -> bool:
+    """Words joined by case, digits or punctuation: the letter parts, each by itself, take one token
+    for ``word`` characters or more, as they stand or in lower case (few vocabularies have capitals)."""
+    parts = [p for p in _PARTS.findall(text) if not p.isdigit()]
+    return sum(map(len, parts)) >= word * sum(
+        min(tokens(p), tokens(p.lower())) if p[0].isupper() else tokens(p) for p in parts)
 
 
 def _runs(mask: np.ndarray, off: np.ndarray, least: int) -> np.ndarray:
@@ -133,6 +135,10 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def scan(batches):
         runs = re.compile(candidate)
+
+        def tokens(run: str) -> int:
+            return len(_encoder(vocab_path, pattern).encode_ordinary(run))
+
         for batch in batches:
             texts = batch.column(1)
             flat, off = utf8(texts)
@@ -145,9 +151,9 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 text = data[off[row]:off[row + 1]].decode()
                 spans = [(k, s, e, None) for k, s, e in base_spans(text)]
                 for m in runs.finditer(text):
-                    if not is_digest_or_identifier(m.group()):
-                        ratio = len(m.group()) / len(_encoder(vocab_path, pattern).encode_ordinary(m.group()))
-                        if ratio < max_ratio:
+                    if not is_digest_or_number(m.group()):
+                        ratio = len(m.group()) / tokens(m.group())
+                        if ratio < max_ratio and not is_joined_words(m.group(), tokens):
                             spans.append(("random", m.start(), m.end(), ratio))
                 found[row] = sorted(spans, key=lambda x: (x[1], KINDS.index(x[0])))
             spans = [[dict(zip(("kind", "start", "end", "ratio"), x, strict=True)) for x in found.get(i, ())]
