@@ -109,6 +109,15 @@ def test_license_scan(spark):
     assert all(0 <= r.score <= 1 and set(r.base_labels) <= set(r.labels) for r in out)
 
 
+def test_every_notice_of_one_document(spark):
+    """A document that holds all notices has all labels, whichever of them other documents make common."""
+    whole = "\n\n".join(notice for notice, _ in license_scan.TEMPLATES.values())
+    rows = texts() + [(210, whole)] + [(220 + k, notice) for k, (notice, _) in enumerate(license_scan.TEMPLATES.values())
+                                       for _ in range(k % 3)]
+    out = {r.doc_id: r for r in license_scan.scan_licenses(documents(spark, rows)).collect()}
+    assert set(license_scan.TEMPLATES) <= set(out[210].labels) and out[210].score == 1
+
+
 def test_license_scan_of_nothing(spark):
     assert license_scan.scan_licenses(documents(spark, texts()).limit(0)).collect() == []
 

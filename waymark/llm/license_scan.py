@@ -2,7 +2,7 @@
 
 Templates are short license notices. Their words' document frequencies are counted over
 the whole corpus; each template keeps its highest-IDF words in an index
-``word → (template, position)``. A file looks up its own highest-IDF index words; their
+``word → (template, position)``. A file looks up every index word it holds; their
 postings, shifted by the template position, vote for one place of the template in the
 file, and a place with enough distinct words is accepted once the template's mandatory
 key phrase stands there word by word. Fixed base phrases are counted beside it.
@@ -94,12 +94,11 @@ def _literal_rows(spark: SparkSession, rows: Sequence[Mapping[str, object]]) ->
 
 
 def template_places(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
-                    templates: Mapping[str, tuple[str, str]] = TEMPLATES, index_words: int = 4, file_words: int = 16,
-                    min_share: float = 0.5) -> DataFrame:
+                    templates: Mapping[str, tuple[str, str]] = TEMPLATES, index_words: int = 4, min_share: float = 0.5) -> DataFrame:
     """``(doc, label, start, share)``: verified places of templates, ``start`` in words.
 
-    ``index_words``: words kept per template; ``file_words``: words a file looks up; ``min_share``:
-    the part of a template's index words (by IDF) that must vote for the place.
+    ``index_words``: words kept per template; ``min_share``: the part of a template's index words (by IDF)
+    that must vote for the place. A file looks up all index words it holds: the list bounds them.
     """
     spark = docs.sparkSession
     vocab = sorted({w for notice, _ in templates.values() for w in notice.split()})
@@ -123,13 +122,7 @@ def template_places(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                  .withColumn("of", F.sum("idf").over(Window.partitionBy("label")))
                  .select("label", "word", "at", "idf", "of"), "license_index")
 
-    rare = hits.join(F.broadcast(index.select("word", "idf").distinct()), "word")
-    looked_up = (rare.groupBy("doc")  # distinct index words: bounded by the list
-                 .agg(F.collect_set(F.struct(F.col("idf"), F.col("word"))).alias("words"))
-                 .select("doc", F.slice(F.sort_array("words", asc=False), 1, file_words)["word"].alias("words"))
-                 .select("doc", F.explode("words").alias("word")))
-    votes = (rare.select("doc", "pos", "word").join(looked_up, ["doc", "word"])
-             .join(F.broadcast(index), "word")
+    votes = (hits.join(F.broadcast(index), "word")
              .select("doc", "label", (F.col("pos") - F.col("at")).alias("start"), "at", "idf", "of").distinct()
              .groupBy("doc", "label", "start").agg((F.sum("idf") / F.max("of")).alias("share"))
              .filter(F.col("share") >= min_share))
