@@ -9,6 +9,7 @@ import pytest
 from cases import LOWER, counted, documents, roots, texts
 
 from waymark.llm import embed_dedup, jaccard_join, line_dedup, suffix_dedup
+from waymark.llm.common import blocks
 from waymark.llm.components import connected_components
 
 
@@ -58,6 +59,25 @@ def test_long_text_in_pieces(spark, monkeypatch):
     assert _removed(out) == counted(_substrings(rows))
 
 
+def test_long_text_after_empty_rows(spark):
+    """An empty text directly before one that comes in pieces keeps its own row."""
+    import pyarrow as pa
+    rng = random.Random(4)
+    part = "".join(rng.choice("abcdefgh ") for _ in range(3000))
+    body = "".join(rng.choices("ijklmnop ", k=2 << 20))
+    long = part + body[:1 << 20] + part[:1700] + body[1 << 20:]
+    column = pa.array(["", None, long, None, "", part])
+    assert list(blocks(column, suffix_dedup.PIECE)) == [(0, 2), (2, 3), (3, 6)]
+    assert {first for first, before, _, _ in suffix_dedup._pieces(column, 400) if before} == {2}
+    rows = [(1, ""), (2, None), (3, long), (4, None), (5, ""), (6, part)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    out = {r.doc_id: r for r in suffix_dedup.dedup_substrings(docs).collect()}
+    assert [(s.start, s.end) for s in out[3].spans] == [(0, 3000), (3000 + (1 << 20), 4700 + (1 << 20))]
+    assert out[3].n_bytes == len(long) and bytes(out[3].kept).decode() == body
+    assert [(s.start, s.end) for s in out[6].spans] == [(0, 3000)] and bytes(out[6].kept) == b""
+    assert all(out[i].spans == [] and out[i].n_bytes == 0 for i in (1, 2, 4, 5))
+
+
 def test_suffix_sorter_orders_like_bytes():
     rng = np.random.default_rng(5)
     flat = rng.integers(97, 99, 4000).astype(np.uint8)

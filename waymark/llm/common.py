@@ -112,7 +112,7 @@ def blocks(col: pa.Array, most: int = 1 << 20):
     lengths = pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     total, first = 0, 0
     for i, n in enumerate(lengths):
-        if total and total + n > most:
+        if i > first and total + n > most:  # also after rows without bytes: a long row is alone
             yield first, i
             first, total = i, 0
         total += int(n)
