@@ -163,6 +163,26 @@ def test_decontamination(spark):
         (i, t) for (i, t), (_, _, hit, _) in zip(rows, _contamination(rows, items), strict=True) if not hit)
 
 
+@pytest.mark.parametrize("shards", [1, 3])
+def test_edited_passages_are_near(spark, shards):
+    """A passage with one word changed is a proximity match, wherever that word stands and however shards are cut."""
+    item = "the amber of zircon river and quartz stone topaz kettle"
+    rows = [(1, item), (2, item.replace("kettle", "lamp")), (3, item.replace("kettle", "x") + " of"),
+            (4, "zircon quartz"), (5, "topaz quartz and the zircon"), (6, "zircon " + "and " * 20 + "quartz topaz"),
+            (7, "kettle"), (8, "the amber of river and stone kettle " * 30), (9, None), (10, item.replace("stone", "x"))]
+    bench = [(1, item), (2, "beryl " + item.replace("kettle", "")), (3, "beryl"), (4, "beryl onyx amber the agate opal")]
+    bench = spark.createDataFrame(bench, "item_id long, text string")
+    parts = [spark.createDataFrame(rows[k::shards], "doc_id long, text string").coalesce(1) for k in range(shards)]
+    docs = parts[0]
+    for part in parts[1:]:
+        docs = docs.union(part)
+    out = {r.doc_id: r for r in decontaminate.scan_contamination(docs, bench).collect()}
+    # item 2 has a word that no document has, items 3 and 4 too few words that any document has
+    assert {i for i, r in out.items() if r.near_items} == {1, 2, 3, 5, 10}
+    assert all(r.near_items in ([], ["1", "2"]) for r in out.values())
+    assert {i for i, r in out.items() if r.n_hit} == {1} and out[1]["items"] == ["1"]
+
+
 @pytest.mark.parametrize("empty", ["documents", "benchmark", "both"])
 def test_decontamination_of_nothing(spark, empty):
     docs, bench = documents(spark), spark.createDataFrame([(1, "the of")], "item_id long, text string")

@@ -6,7 +6,8 @@ benchmark item's windows of ``width`` words are looked up rarest term first: the
 term of a window, by its postings over the whole corpus, says which shards the window is sent to.
 There the lists are intersected, each shifted by its term's offset, from the rarest term
 on; a start that survives all of them is an exact phrase. The few rarest terms of a
-window that stand close together in any order are a proximity match.
+window, by the whole corpus and of those it has, that stand close to the rarest in any order
+are a proximity match, whatever became of the window's other words. Shards do not matter to either.
 
 Nothing is broadcast by hand: terms, windows and postings meet in joins, and a shard's
 postings of benchmark terms meet its windows in one task of bounded size.
@@ -140,11 +141,8 @@ class Shard:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return self.keys[at] == key
 
-    def starts(self, numbers: np.ndarray, lengths: np.ndarray):
-        """``(window, position)`` of the postings of each window's rarest term, in bounded chunks, and the order of rarity."""
-        sizes = np.where(numbers >= 0, self.sizes[numbers], np.iinfo(np.int64).max)
-        rarity = np.argsort(sizes, axis=1, kind="stable")
-        rarest = numbers[np.arange(len(numbers)), rarity[:, 0]]
+    def starts(self, rarest: np.ndarray):
+        """``(window, position)`` of the postings of each window's term in ``rarest``, in bounded chunks."""
         total = np.cumsum(self.sizes[rarest])
         at = 0
         while at < len(rarest):
@@ -153,13 +151,15 @@ class Shard:
             window = np.repeat(np.arange(at, end), self.sizes[rarest[at:end]])
             inside = np.arange(len(window)) - np.repeat(total[at:end] - self.sizes[rarest[at:end]] - done,
                                                         self.sizes[rarest[at:end]])
-            yield window, self.positions[self.heads[rarest[window]] + inside], rarity
+            yield window, self.positions[self.heads[rarest[window]] + inside]
             at = end
 
     def phrases(self, numbers: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``(window, start)`` of every exact occurrence within one document."""
         found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-        for window, position, rarity in self.starts(numbers, lengths):
+        sizes = np.where(numbers >= 0, self.sizes[numbers], np.iinfo(np.int64).max)
+        rarity = np.argsort(sizes, axis=1, kind="stable")
+        for window, position in self.starts(numbers[np.arange(len(numbers)), rarity[:, 0]]):
             start = position - rarity[window, 0]
             end = start + lengths[window]
             doc_end = self.ends[np.minimum(np.searchsorted(self.ends, position, "right"), len(self.ends) - 1)]
@@ -175,18 +175,17 @@ class Shard:
             found.append((window, start))
         return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
-    def near(self, numbers: np.ndarray, lengths: np.ndarray, terms: int, slop: int) -> tuple[np.ndarray, np.ndarray]:
-        """``(window, position)`` where the window's ``terms`` rarest words stand within ``slop`` words in a document."""
+    def near(self, numbers: np.ndarray, lengths: np.ndarray, slop: int) -> tuple[np.ndarray, np.ndarray]:
+        """``(window, position)`` of the first word where all words stand within ``slop`` words of it in a document."""
         found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-        for window, position, rarity in self.starts(numbers, lengths):
-            for j in range(1, min(terms, numbers.shape[1])):
-                place = rarity[window, j]
-                number = numbers[window, np.minimum(place, lengths[window] - 1)]
+        for window, position in self.starts(numbers[:, 0]):
+            for j in range(1, numbers.shape[1]):
+                number = numbers[window, np.minimum(j, lengths[window] - 1)]
                 doc = np.searchsorted(self.ends, position, "right")
                 low = np.maximum(position - slop, np.where(doc > 0, self.ends[doc - 1], 0))
                 high = np.minimum(position + slop, self.ends[doc] - 1)
                 key = number.astype(np.uint64) << _AT
-                ok = (place >= lengths[window]) | (
+                ok = (j >= lengths[window]) | (
                     np.searchsorted(self.keys, key | low.astype(np.uint64))
                     < np.searchsorted(self.keys, key | high.astype(np.uint64), "right"))
                 window, position = window[ok], position[ok]
@@ -209,7 +208,9 @@ def find_items(index: DataFrame, benchmark: DataFrame, item_col: str = "item_id"
     """``(id, n_words, n_hit, spans, items, near_items)``, one row per indexed document.
 
     ``spans``: word ranges under exact windows; ``items``: items with such a window; ``near_items``:
-    items with a window whose ``near_terms`` rarest words stand within ``slop`` words.
+    items with a window whose ``near_terms`` rarest words stand within ``slop`` words of the rarest. They
+    are the rarest of the window's distinct words that the corpus has; a window with fewer of them than
+    ``near_terms`` matches only if these are all its words.
     """
     ship(index.sparkSession)
     windows = item_windows(benchmark, item_col, text_col, width)
@@ -217,12 +218,16 @@ def find_items(index: DataFrame, benchmark: DataFrame, item_col: str = "item_id"
     hits = land(index.filter(F.col("term").isNotNull()).join(terms, "term").select("shard", "term", "n", "postings"),
                 "benchmark_postings")
     counts = land(hits.groupBy("term").agg(F.sum("n").alias("count")), "term_counts")
-    # a window with a word that no document has is nowhere
-    routed = (windows.select("item", "nr", "terms", F.explode("terms").alias("term")).join(counts, "term")
-              .groupBy("item", "nr", "terms").agg(F.count(F.lit(1)).alias("met"), F.min(F.struct("count", "term"))
-                                                  .alias("rarest"))
-              .filter(F.col("met") == F.size("terms")).select("item", "terms", F.col("rarest.term").alias("term")))
-    sent = hits.select("shard", "term").join(routed, "term").select(F.col("shard").alias("to"), "item", "terms")
+    # the words of a window that some document has, rarest first: at most ``width``
+    distinct = F.size(F.array_distinct("terms"))
+    routed = (windows.select("item", "nr", "terms", F.explode(F.array_distinct("terms")).alias("term"))
+              .join(counts, "term").groupBy("item", "nr", "terms")
+              .agg(F.sort_array(F.collect_list(F.struct("count", "term")))["term"].alias("known"))
+              .filter(F.size("known") >= F.least(F.lit(near_terms), distinct))
+              # a window with a word that no document has is nowhere as a phrase
+              .select("item", F.when(F.size("known") == distinct, F.col("terms")).alias("terms"),
+                      F.slice("known", 1, near_terms).alias("rare"), F.col("known")[0].alias("term")))
+    sent = hits.select("shard", "term").join(routed, "term").select(F.col("shard").alias("to"), "item", "terms", "rare")
     shards = hits.select("shard", "term", "postings").unionByName(
         index.filter(F.col("term").isNull()).select("shard", "term", "postings"))
     ids = index.filter(F.col("term").isNull()).select("shard", "ids")
@@ -238,17 +243,23 @@ def find_items(index: DataFrame, benchmark: DataFrame, item_col: str = "item_id"
         own = np.flatnonzero(~is_docs)
         shard = Shard(term.fill_null(0).to_numpy()[own], [steps[i] for i in own], words)
         n, total = len(words), int(words.sum())
-        wanted, names = right.column("terms").to_pylist(), np.array(right.column("item").to_pylist(), object)
-        lengths = np.array([len(w) for w in wanted], np.int64)
-        table = np.zeros((len(wanted), max([width, *lengths])), np.int64)
-        for i, w in enumerate(wanted):
-            table[i, :len(w)] = w
-        numbers = np.where(np.arange(table.shape[1]) < lengths[:, None], shard.numbers(table), -1)
-        here = (numbers >= 0).sum(axis=1) == lengths
-        numbers, lengths, names = numbers[here], lengths[here], names[here]
+        every = np.array(right.column("item").to_pylist(), object)
+
+        def held(column: str):
+            """Term numbers, lengths and items of the windows all of whose words the shard has."""
+            wanted = right.column(column).to_pylist()
+            lengths = np.array([len(w or ()) for w in wanted], np.int64)
+            table = np.zeros((len(wanted), max([1, *lengths])), np.int64)
+            for i, w in enumerate(wanted):
+                table[i, :lengths[i]] = w or ()
+            numbers = np.where(np.arange(table.shape[1]) < lengths[:, None], shard.numbers(table), -1)
+            here = (lengths > 0) & ((numbers >= 0).sum(axis=1) == lengths)
+            return numbers[here], lengths[here], every[here]
+
         spans: list[list] = [[] for _ in range(n)]
         hit_words = np.zeros(n, np.int64)
         items = near = spans
+        numbers, lengths, names = held("terms")
         if len(names):
             window, start = shard.phrases(numbers, lengths)
             change = np.zeros(total + 1, np.int64)
@@ -265,7 +276,9 @@ def find_items(index: DataFrame, benchmark: DataFrame, item_col: str = "item_id"
             for d, a, b in zip(doc.tolist(), (first - begins[doc]).tolist(), (last - begins[doc]).tolist(), strict=True):
                 spans[d].append({"start": a, "end": b})
             items = _per_doc(shard.ends, start, names[window], n)
-            window, position = shard.near(numbers, lengths, near_terms, slop)
+        numbers, lengths, names = held("rare")
+        if len(names):
+            window, position = shard.near(numbers, lengths, slop)
             near = _per_doc(shard.ends, position, names[window], n)
         return pa.table({"shard": pa.array(np.full(n, left.column("shard")[0].as_py()), pa.int64()),
                          "doc": pa.array(np.arange(n), pa.int32()), "n_words": pa.array(words),
