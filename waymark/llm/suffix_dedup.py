@@ -8,8 +8,9 @@ anchors, which depend on content alone:
    windows have equal anchors at equal offsets, so a repeated window's anchor is repeated
    too. One anchor serves a run of windows, a *segment* of at most ``2 * width - gram`` bytes. A
    row per segment (hash of the anchor, hash of the segment) is all that is shuffled.
-2. Anchors that occur once go. Equal segments (128 bits of hash, equal layout) are a class,
-   and all windows of a class of two or more are repeated.
+2. Anchors that occur once go. Equal segments (64 bits of anchor hash, which all segments of the
+   anchor share, and 64 of segment hash over bytes and layout) are a class, and all windows of a
+   class of two or more are repeated; its bytes are not compared.
 3. Classes of one member whose anchor others share are compared byte-wise: their bytes are
    fetched, and the suffixes at their window starts are sorted. The sort is a merge sort in
    whole-array steps within each (anchor, offset); two suffixes are compared by their longest
