@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm import bin_packing, decontaminate, embed_dedup, jaccard_join, license_scan, line_dedup, secret_scan, suffix_dedup, tool_calls, toxicity
+from waymark.llm import (
+    bin_packing, centroid_clusters, decontaminate, embed_dedup, jaccard_join, license_scan, line_dedup, secret_scan,
+    suffix_dedup, token_alignment, token_counts, tool_calls, toxicity,
+)
 from waymark.llm.common import read_table
 
 
@@ -90,6 +94,24 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of a byte-level and a sentence-piece vocabulary over every document, grouped and linked by their bytes."""
+    return token_alignment.align_tokens(
+        read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"), ranks_path=public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        pattern=public_tokenizers.PATTERN)
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors around 16 centroids after three rounds, in exact integers."""
+    return centroid_clusters.describe_clusters(*centroid_clusters.cluster_vectors(read_table(spark, sf_dir, "embeddings")))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of tokens of every document, by merges alone."""
+    return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -101,8 +123,48 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_license_scan": op9_license_scan,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_centroid_clustering": op12_centroid_clustering,
+    "op13_token_counts": op13_token_counts,
 }
 
+
+def _centroid_rounds(k: int = 16, size: int = 64, scale: int = 64, rounds: int = 3) -> str:
+    """Clustering as a chain of common tables: centroids ``c0``, nearest ones ``a0``, the means ``c1``, ..."""
+    steps = [f"""v AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, vec_id,
+                   list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE len(embedding) = {size} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {size}
+        ), c0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS k, v AS c FROM v
+            QUALIFY k < {k}
+        )"""]
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+            SELECT r, min(struct_pack(d := d, k := k)) AS near
+            FROM (SELECT r, k, CAST(list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))
+                                    AS BIGINT) AS d FROM v, c{r})
+            GROUP BY r
+        )""")
+        if r < rounds:
+            steps.append(f"""s{r} AS (
+            SELECT near.k AS k, j, CAST(sum(x) AS BIGINT) AS s, count(*) AS n
+            FROM (SELECT near, unnest(v) AS x, unnest(range({size})) AS j FROM a{r} JOIN v USING (r)) GROUP BY near.k, j
+        ), c{r + 1} AS MATERIALIZED (
+            SELECT c.k, coalesce(m.c, c.c) AS c
+            FROM c{r} c LEFT JOIN (
+                SELECT k, list((s - (s % n + n) % n) // n ORDER BY j) AS c FROM s{r} GROUP BY k) m ON m.k = c.k
+        )""")
+    return f"""
+        WITH {", ".join(steps)}
+        SELECT v.vec_id, CAST(a.near.k AS INTEGER) AS cluster, a.near.d AS distance,
+               CAST(sum(a.near.d) OVER (PARTITION BY a.near.k) AS BIGINT) AS cluster_inertia,
+               CAST(sum(a.near.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.c, ',')) AS centroid_sha256
+        FROM a{rounds} a JOIN v USING (r) JOIN c{rounds} c ON c.k = a.near.k
+    """
+
+
 ORACLE_SQL: dict[str, str] = {
     "op4_decontamination": r"""
         WITH doc_words AS (
@@ -230,4 +292,5 @@ ORACLE_SQL: dict[str, str] = {
         FROM keyed x LEFT JOIN repeated r ON x.k = r.k
         GROUP BY x.doc_id
     """,
+    "op12_centroid_clustering": _centroid_rounds(),
 }
