@@ -165,3 +165,23 @@ def test_bad_records_are_set_aside(spark):
     good, bad = split_flights(_records(spark, [fl, fl | {"date": None}, "{"]))
     assert [(r.arrival_time, r.arrival_ts) for r in good.collect()] == [(None, None)]
     assert sorted(r.reject_reason for r in bad.collect()) == ["missing date", "undecodable"]
+
+
+def test_later_import_of_another_currency_hides_nothing(spark):
+    """The newest import is the newest with a published offer."""
+    rows = [_hotel("a", 10, 9, 8), _hotel("b", 20, 5, 8), _hotel("dollar", 5, 9, 9, currencycode="USD")]
+    assert sorted(r.name for r in trips.best_of_latest(_records(spark, rows)).collect()) == ["a", "b"]
+    rows.append(_hotel("late", 30, 5, 9))
+    assert sorted(r.name for r in trips.best_of_latest(_records(spark, rows)).collect()) == ["late"]
+
+
+def test_records_are_parsed_once_per_branch(spark):
+    """Neither the reject test nor the columns read from a record parse its text again."""
+    from waymark.sources.topics import decode_records
+    from waymark.streaming.pipeline import split_flights, split_hotels
+    records = _records(spark, [_hotel("a", 10, 9, 8)])
+    for split in (split_hotels, split_flights):
+        for branch in split(records):
+            assert branch._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+    late = decode_records(records, schemas.HOTEL_OFFER).filter("hotel_name = 'a' AND min_total_price > 1")
+    assert late._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1 and late.count() == 1

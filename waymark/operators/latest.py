@@ -9,9 +9,12 @@ key's rows hash across many partitions when the aggregate is too large to
 broadcast; under the size bound the aggregate is broadcast and nothing but the
 aggregate shuffles.
 
-Window form: ``rank() = 1`` by import time, limited before its exchange, so only each
-input partition's latest rows shuffle. It reads its input once: the form for inputs that
-are more than a bare table scan.
+Landed form: the input is written once under the checkpoint root and the join form runs on that
+copy, so an input that is more than a bare table scan is computed once, and both of its uses
+see the same rows.
+
+Window form: ``rank() = 1`` by import time, limited before its exchange. All rows of a key's
+newest import meet in one task, so it suits keys whose imports are small.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.functions.timefn import date_bounds
-from waymark.plans.strategy import bounded_broadcast
+from waymark.plans.strategy import bounded_broadcast, materialize
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], ts: str = "import_date",
@@ -35,7 +38,9 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], ts: str = "import_date",
     if method == "window":
         newest = F.rank().over(Window.partitionBy(*keys).orderBy(F.col(ts).desc()))
         return clean.withColumn("_newest", newest).filter(F.col("_newest") == 1).drop("_newest")
-    if method != "join":
+    if method == "landed":
+        clean, _ = materialize(clean, "latest-input")
+    elif method != "join":
         raise ValueError(f"unknown method {method!r}")
     last = clean.groupBy(*keys).agg(F.max(ts).alias(ts))
     side, _ = bounded_broadcast(last, broadcast_max_bytes)

@@ -14,7 +14,7 @@ Every query reads whole tables; nothing is sampled or capped.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -369,7 +369,7 @@ def q_price_board(spark: SparkSession, base: str) -> DataFrame:
         timefn.clock_of_ts("ts").alias("time"),
         F.pmod("user_id", F.lit(3)).cast("int").alias("n_connections"),
         F.col("value").alias("price"), F.col("ts").alias("import_date"))
-    newest = latest.latest_per_key(board, ["date", "user_id", "destination"], method="window")
+    newest = latest.latest_per_key(board, ["date", "user_id", "destination"], method="landed")
     return reports.price_flags(newest.drop("import_date"), "price", group=["destination"], rounded=True)
 
 
@@ -544,6 +544,7 @@ def _travel_inputs(spark: SparkSession, base: str, start: str = TRIP_START,
 def q_trip_days(spark: SparkSession, base: str) -> DataFrame:
     """The travel assembly: per country and day, flight, hotel slots and monuments."""
     capitals, monuments, hotelday, flight = _travel_inputs(spark, base)
+    hotelday, flight = materialize(hotelday, "hotelday")[0], materialize(flight, "flight")[0]
     return trips.trip_report_table(capitals, monuments, hotelday, flight, TRIP_START,
                                    n_days=TRIP_DAYS, home_country=HOME_NATION)
 
@@ -566,27 +567,32 @@ E2E_START = "1996-03-01"
 E2E_DAYS = 62
 
 
+def _season_day(number: str) -> Column:
+    """One of the ``E2E_DAYS`` days from ``E2E_START`` on, by a number."""
+    return F.date_add(F.to_date(F.lit(E2E_START)), F.pmod(number, F.lit(E2E_DAYS)).cast("int"))
+
+
 def hotel_records(spark: SparkSession, base: str) -> DataFrame:
-    """Hotel topic records: a line item is an offer of its supplier's nation for the first of its ship
-    month, imported at 08:00 or 09:00 that day by its line number; returned ones are priced in EUR."""
+    """Hotel topic records: a line item is an offer of its supplier's nation for one of the season's days, by its
+    part, imported at 08:00 or 09:00 that day by its line number; returned ones are priced in EUR."""
     li, supplier = read_table(spark, base, "lineitem"), read_table(spark, base, "supplier")
-    month = F.trunc(F.to_date("l_shipdate"), "month")
+    day = _season_day("l_partkey")
     offers = li.join(supplier, li.l_suppkey == supplier.s_suppkey).select(
         F.col("s_nationkey").cast("string").alias("city_trans"), F.col("l_partkey").cast("string").alias("hotel_name"),
         F.col("l_extendedprice").alias("min_total_price"),
         F.when(F.col("l_returnflag") == "R", CURRENCY).otherwise("USD").alias("currencycode"),
         F.col("l_discount").alias("longitude"), F.col("l_tax").alias("latitude"),
-        F.col("l_quantity").cast("double").alias("review_score"), month.alias("checkin_date"),
+        F.col("l_quantity").cast("double").alias("review_score"), day.alias("checkin_date"),
         F.timestamp_add("HOUR", (F.lit(8) + F.pmod("l_linenumber", F.lit(2))).cast("int"),
-                        month.cast("timestamp")).alias("import_date"))
+                        day.cast("timestamp")).alias("import_date"))
     return topics.encode_records(offers)
 
 
 def flight_records(spark: SparkSession, base: str, monthly: bool = False) -> DataFrame:
-    """Flight topic records: an order flies from the origin to its customer's nation on its order date
+    """Flight topic records: an order flies from the origin to its customer's nation on one of the season's days
     (``monthly``: on the first of its month), imported at one of five hours."""
     orders, customer = read_table(spark, base, "orders"), read_table(spark, base, "customer")
-    day = F.trunc(F.to_date("o_orderdate"), "month") if monthly else F.to_date("o_orderdate")
+    day = F.trunc(F.to_date("o_orderdate"), "month") if monthly else _season_day("o_orderkey")
     rows = orders.join(customer, orders.o_custkey == customer.c_custkey).select(
         F.format_string("%02d:%02d:00", F.pmod("o_orderkey", F.lit(24)), F.pmod("o_custkey", F.lit(60))).alias("time"),
         (F.lit(60) + F.pmod("o_orderkey", F.lit(300))).cast("int").alias("duration"),

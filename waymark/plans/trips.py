@@ -20,7 +20,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymark.constants import DAYS_AHEAD, HOME_COUNTRY, STAY_NIGHTS, TOP_K
+from waymark.constants import CURRENCY, DAYS_AHEAD, HOME_COUNTRY, STAY_NIGHTS, TOP_K
 from waymark import schemas
 from waymark.operators import catalog, flights, hotels, latest, reports
 from waymark.plans.strategy import materialize
@@ -32,8 +32,9 @@ def hotels_from_records(records: DataFrame, nights: int = STAY_NIGHTS, k: int =
     """Hotel topic records → scored top-k → the ``hotelday`` table's rows.
 
     Offers compete within one import of a city and day, so an older import never crowds out a newer one.
+    The decoded offers are landed once: the ranges and the scores read the same records, and each is parsed once.
     """
-    offers = decode_hotels(records, nights)
+    offers, _ = materialize(decode_hotels(records, nights), "offers")
     return hotels.hotelday_publish(hotels.hotel_top3(offers, k=k, per_import="import_date" if per_import else None))
 
 
@@ -41,10 +42,12 @@ def best_of_latest(records: DataFrame, nights: int = STAY_NIGHTS, k: int = TOP_K
     """Hotel topic records → landed offers → latest import per city and day → scored top-k as ``hotelday``.
 
     The decoded offers are landed once, so every later step sees the same records whatever
-    arrives in the topic meanwhile.
+    arrives in the topic meanwhile. Only offers in the scored currency are published, so the newest
+    import is the newest that has one: a later import of other currencies alone hides nothing.
     """
-    offers, _ = materialize(decode_hotels(records, nights), "offers")
-    newest = latest.latest_per_key(offers, ["checkin_date", "city_trans"], ts="import_date", method="window")
+    scored = decode_hotels(records, nights).filter(F.col("currencycode") == CURRENCY)
+    offers, _ = materialize(scored, "offers")
+    newest = latest.latest_per_key(offers, ["checkin_date", "city_trans"], ts="import_date")
     return hotels.hotelday_publish(hotels.hotel_top3(newest, k=k))
 
 
@@ -55,16 +58,19 @@ def flights_from_records(records: DataFrame) -> DataFrame:
 
 def current_flights(flight_history: DataFrame, start: str | _dt.date | Column,
                     days: int = DAYS_AHEAD) -> DataFrame:
-    """Latest import per (date, origin, destination) for travel dates in the window."""
+    """Latest import per (date, origin, destination) for travel dates in the window.
+
+    The history is a stored table: it is scanned twice, each time only the window's partitions.
+    """
     window = latest.date_window(flight_history, "date", start, days)
-    return latest.latest_per_key(window, ["date", "origin", "destination"], ts="import_date", method="window")
+    return latest.latest_per_key(window, ["date", "origin", "destination"], ts="import_date")
 
 
 def current_hotels(hotel_history: DataFrame, start: str | _dt.date | Column,
                    days: int = DAYS_AHEAD) -> DataFrame:
     """Latest import per (check-in, city) for check-in dates in the window."""
     window = latest.date_window(hotel_history, "checkin_date", start, days)
-    return latest.latest_per_key(window, ["checkin_date", "city"], ts="import_date", method="window")
+    return latest.latest_per_key(window, ["checkin_date", "city"], ts="import_date")
 
 
 def _flight_text() -> Column:

@@ -49,10 +49,19 @@ def decode_records(records: DataFrame, schema: T.StructType | str, value: str =
               if isinstance(schema, str) else schema.fieldNames())
     # the record time is the import time only when the payload does not carry one
     stamp = [F.col(timestamp).alias(import_col)] if timestamp and import_col not in fields else []
-    out = records.select(*keep, parsed.alias("_v"), *stamp)
+    out = records.select(*keep, *stamp, _once(parsed, "_v"))
     return out.select(*keep, "_v.*", *([import_col] if stamp else []))
 
 
+def _once(value: Column, name: str) -> Column:
+    """``value`` as a generated column: filters and projections above it do not evaluate it again.
+
+    The optimizer copies a projected expression into every filter and field access over it, which parses
+    one text many times; it does not look through a generator.
+    """
+    return F.inline(F.array(F.struct(value.alias(name))))
+
+
 CORRUPT = "_corrupt_record"
 
 
@@ -66,7 +75,7 @@ def _probed(records: DataFrame, schema: T.StructType | str, value: str, required
     probe = T.StructType(struct.fields + [T.StructField(CORRUPT, T.StringType())])
     opts = dict(JSON_READ_OPTIONS, columnNameOfCorruptRecord=CORRUPT)
     text = F.col(value).cast("string")
-    out = records.withColumn("_v", F.from_json(text, probe, opts))
+    out = records.select("*", _once(F.from_json(text, probe, opts), "_v"))
     reason = (F.when(text.isNull(), F.lit("no value"))
               .when(F.col("_v").isNull() | F.col(f"_v.{CORRUPT}").isNotNull(), F.lit("undecodable")))
     for name in required or []:
