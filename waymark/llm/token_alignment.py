@@ -130,25 +130,6 @@ def sides(a_path: str, b_path: str, ranks_path: str | None = None,
     return _sides[key]
 
 
-def _run(a: list[int], b: list[int], i: int, j: int) -> int:
-    """How many offsets from ``i`` and ``j`` on are the same, the first being so."""
-    run, step, most = 1, 1, min(len(a) - i, len(b) - j)
-    while run < most:
-        step = min(2 * step, most - run)
-        if a[i + run:i + run + step] == b[j + run:j + run + step]:
-            run += step
-            continue
-        while step > 1:  # the end of the run is in this stretch
-            half = step >> 1
-            if a[i + run:i + run + half] == b[j + run:j + run + half]:
-                run += half
-                step -= half
-            else:
-                step = half
-        break
-    return run
-
-
 def align(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Groups and links of two arrays of end offsets whose last one is the same.
 
@@ -158,14 +139,23 @@ def align(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndar
     run_a, run_b, sizes = [], [], []
     a_ends, b_ends, link_a, link_b = [], [], [], []  # of irregular groups
     i = j = 0
-    while i < len(a):
+    n = len(a)
+    while i < n:
         x, y = a[i], b[j]
         if x == y:
-            n = _run(a, b, i, j)
+            shift, end, step = j - i, i + 1, 2
+            while end < n and a[end:end + step] == b[end + shift:end + shift + step]:
+                end += step  # the stretch matches: probe one of twice the length
+                step *= 2
+            end = min(end, n)
+            while step > 1 and end < n:  # the run ends in this stretch: halve it
+                step >>= 1
+                if a[end:end + step] == b[end + shift:end + shift + step]:
+                    end += step
             run_a.append(i)
             run_b.append(j)
-            sizes.append(n)
-            i, j = i + n, j + n  # the shift stays
+            sizes.append(end - i)
+            i, j = end, end + shift
             continue
         while x != y:  # one group, up to the next common end
             link_a.append(i)
