@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from waymark.functions.timefn import date_bounds
 from waymark.plans.strategy import bounded_broadcast, materialize
+from waymark.sources.versions import VersionedTable
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], ts: str = "import_date",
@@ -47,6 +48,27 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], ts: str = "import_date",
     return clean.join(side, [*keys, ts], "left_semi").select(*df.columns)
 
 
+def merge_latest(table: VersionedTable, batch: DataFrame, keys: Sequence[str], ts: str = "import_date",
+                 batch_id: str | None = None) -> int:
+    """Keep ``table`` at each key's newest import as ``batch`` after ``batch`` arrives; returns its version.
+
+    The table holds what ``latest_per_key`` of all batches so far gives. Only the batch's partitions are
+    read and written again: no history is scanned. Partition columns must be among the keys. A
+    batch whose ``batch_id`` has been merged changes nothing, so it may be delivered twice.
+    """
+    outside = [c for c in table.partition_by if c not in keys]
+    if outside:
+        raise ValueError(f"partition columns must be part of the key: {outside}")
+    merged = table.note("batches") or []
+    if batch_id is not None and batch_id in merged:
+        return table.current()
+    notes = {"batches": merged + ([batch_id] if batch_id is not None else [])}
+    newest = latest_per_key(batch, keys, ts, method="landed")
+    if not table.current():
+        return table.replace(newest, **notes)
+    return table.rewrite(newest, lambda old, new: latest_per_key(old.unionByName(new), keys, ts), **notes)
+
+
 def date_window(df: DataFrame, column: str, start: str | _dt.date | Column,
                 days: int) -> DataFrame:
     """Rows with ``start <= column < start + days`` (whole days; pushed to the scan)."""

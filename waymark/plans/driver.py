@@ -681,3 +681,208 @@ QUERIES.update({
     "record_rejects": q_record_rejects,
     "typed_table": q_typed_table,
 })
+
+
+# --- stored tables that are replaced, updated and kept current -------------------------------
+
+from waymark.plans import histories  # noqa: E402
+from waymark.sources import audit  # noqa: E402
+from waymark.sources.versions import VersionedTable, upsert  # noqa: E402
+from waymark.streaming import ledger  # noqa: E402
+
+
+def q_table_replace(spark: SparkSession, base: str) -> DataFrame:
+    """A stored table rewritten twice from itself, each time as a version swapped in whole (K2)."""
+    table = VersionedTable(spark, scratch_path(spark, "orders-versions"))
+    table.replace(read_table(spark, base, "orders"))
+    table.replace(table.read().withColumn("o_orderstatus", F.lower("o_orderstatus")))
+    table.replace(table.read().withColumn("o_totalprice", F.when(
+        F.col("o_orderstatus") == "f", F.col("o_totalprice") * 2).otherwise(F.col("o_totalprice"))))
+    return table.read()
+
+
+def q_table_upsert(spark: SparkSession, base: str) -> DataFrame:
+    """Two batches enter a table with a primary key (K4): orders by (order, month), stored by month.
+
+    The first brings the orders of 1995 again, each twice: the later import counts. The second brings new orders of
+    three months, each row twice, of which those of every tenth customer have no key and stay out.
+    """
+    orders = read_table(spark, base, "orders").select(
+        "o_orderkey", F.date_format("o_orderdate", "yyyy-MM").alias("o_month"), "o_totalprice", "o_orderstatus",
+        F.lit(0).cast("long").alias("imported"), "o_custkey")
+    table = VersionedTable(spark, scratch_path(spark, "orders-keyed"), ["o_month"])
+    table.replace(orders.drop("o_custkey").repartition("o_month"))
+    again = orders.filter(F.col("o_month").startswith("1995")).drop("o_custkey").withColumn(
+        "imported", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(2).cast("long"))))
+    again = again.withColumn("o_totalprice", F.col("o_totalprice") * F.col("imported") * 2)
+    upsert(table, again, ["o_orderkey", "o_month"], ["imported"])
+    new = orders.filter(F.col("o_month").between("1996-01", "1996-03")).select(
+        F.when(F.pmod("o_custkey", F.lit(10)) != 0, F.col("o_orderkey") + 1_000_000_000).alias("o_orderkey"),
+        "o_month", "o_totalprice", F.lit("N").alias("o_orderstatus"), F.lit(1).cast("long").alias("imported"))
+    upsert(table, new.unionByName(new), ["o_orderkey", "o_month"], ["imported"])
+    return table.read()
+
+
+def q_latest_incremental(spark: SparkSession, base: str) -> DataFrame:
+    """Each key's newest import, kept while three batches of events arrive, some rows late and one batch
+    twice (J2 J3): every batch reads its own days only."""
+    ev = _events(spark, base).select(*EVENT_COLUMNS).withColumn("day", F.to_date("ts"))
+    third = F.least(F.lit(2), (F.dayofmonth("ts") - 1) / 10).cast("int")
+    late = F.when(F.pmod("event_id", F.lit(7)) == 0, 1).otherwise(0)
+    ev = materialize(ev.withColumn("arrival", F.least(F.lit(2), third + late)), "arrivals")[0]
+    table = VersionedTable(spark, scratch_path(spark, "latest-events"), ["day"])
+    for n in (0, 1, 1, 2):
+        latest.merge_latest(table, ev.filter(F.col("arrival") == n).drop("arrival"),
+                            ["day", "user_id", "event_type"], "ts", batch_id=str(n))
+    return table.read()
+
+
+def q_drifting_topic(spark: SparkSession, base: str) -> DataFrame:
+    """Event records of three shapes, decoded into the union of their fields."""
+    code = F.when(F.pmod("event_id", F.lit(2)) == 0, F.to_json(F.struct(F.col("user_id").alias("code"))))
+    shapes = (F.when(F.col("event_type") == "click", F.to_json(F.struct(
+                  F.col("event_id").alias("id"), F.col("value").alias("x"), F.lit(True).alias("seen"))))
+              .when(F.col("event_type") == "view", F.coalesce(
+                  F.regexp_replace(code, r"^\{", F.concat(F.lit('{"id":'), F.col("event_id").cast("string"), F.lit(","))),
+                  F.to_json(F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("code")))))
+              .otherwise(F.to_json(F.struct(F.col("event_id").alias("id"), F.col("user_id").alias("x")))))
+    records = _events(spark, base).select(shapes.alias("value"))
+    return topics.drifting_records(records)[0]
+
+
+QUERIES.update({
+    "table_replace": q_table_replace,
+    "table_upsert": q_table_upsert,
+    "latest_incremental": q_latest_incremental,
+    "drifting_topic": q_drifting_topic,
+})
+
+
+# --- streams that run again and again ----------------------------------------------------------
+
+
+def lose_last_commit(spark: SparkSession, checkpoint: str) -> None:
+    """Take back a stream's note that its last batch is done, as a crash right before that note would leave it."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    done = [int(f.getPath().getName()) for f in fs.listStatus(folder) if f.getPath().getName().isdigit()]
+    if done:
+        fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, str(max(done))), False)
+
+
+def _event_arrivals(spark: SparkSession, base: str) -> DataFrame:
+    """Events with real timestamps (streams need them) and ``arrival``: 0, 1 or 2 by the day of the month."""
+    ev = history.ntz_to_timestamp(_events(spark, base).select(*EVENT_COLUMNS), ["ts"])
+    return materialize(ev.withColumn("arrival", F.least(F.lit(2), F.floor((F.dayofmonth("ts") - 1) / 10)).cast("int")),
+                       "arrivals")[0]
+
+
+def q_stream_restart(spark: SparkSession, base: str) -> DataFrame:
+    """A stream run three times on one checkpoint (R1): more arrives between the runs, and the second run's last
+    batch is delivered again. The history has every row once."""
+    ev = _event_arrivals(spark, base)
+    source, sink, ckpt = (scratch_path(spark, f"restart-{x}") for x in ("source", "history", "ckpt"))
+    stored = ev.drop("arrival").schema
+    for n in (0, 1, None, 2):
+        if n is None:
+            lose_last_commit(spark, ckpt)
+        else:
+            ev.filter(F.col("arrival") == n).drop("arrival").write.mode("append").parquet(source)
+        history.start_history(history.file_stream(spark, source, stored), sink, ckpt).awaitTermination()
+    return spark.read.parquet(sink).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+def q_stream_state(spark: SparkSession, base: str) -> DataFrame:
+    """The latest event per day, user and type kept as stream state over three runs (R4): a day's rows come out
+    once it is closed, and its state goes."""
+    ev = _event_arrivals(spark, base)
+    source, sink, ckpt = (scratch_path(spark, f"state-{x}") for x in ("source", "days", "ckpt"))
+    stored = ev.drop("arrival").schema
+    for n in range(3):
+        ev.filter(F.col("arrival") == n).drop("arrival").write.mode("append").parquet(source)
+        days = history.latest_per_day_state(history.file_stream(spark, source, stored), ["user_id", "event_type"], "ts")
+        history.start_history(days, sink, ckpt).awaitTermination()
+    return spark.read.parquet(sink).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+def q_import_ledger(spark: SparkSession, base: str) -> DataFrame:
+    """Hotel records land as a stream in two runs; after each, the imports that the ledger lacks are scored
+    (R2 R3). Some imports get more offers in the second run and are scored again; a third step finds nothing open."""
+    records = materialize(hotel_records(spark, base), "hotel-records")[0]
+    source, raw, scored, ckpt = (scratch_path(spark, f"ledger-{x}") for x in ("records", "offers", "hotelday", "ckpt"))
+    done = VersionedTable(spark, scratch_path(spark, "ledger-imports"))
+    first = F.pmod(F.xxhash64("value"), F.lit(8)) < 4
+    for part in (records.filter(first), records.filter(~first), None):
+        if part is not None:
+            part.write.mode("append").parquet(source)
+        ledger.start_offer_landing(history.file_stream(spark, source, "value string"), raw, ckpt).awaitTermination()
+        ledger.score_open_imports(spark, raw, scored, done)
+    return spark.read.parquet(scored).select(
+        "checkin_date", "city", "name", "price", "rating", F.col("import_date").cast("timestamp_ntz").alias("import_date"),
+        "rank")
+
+
+def q_load_audit(spark: SparkSession, base: str) -> DataFrame:
+    """Records in, rows out and rejects, counted while they are written: a batch run and a stream run."""
+    records = materialize(_mixed_records(spark, base), "mixed-records")[0]
+    table = VersionedTable(spark, scratch_path(spark, "load-audit"))
+    audit.audited_split(records, schemas.FLIGHT_OFFER, "batch", "flights", table, required=FLIGHT_REQUIRED)
+    source, sink, ckpt = (scratch_path(spark, f"audit-{x}") for x in ("records", "outcomes", "ckpt"))
+    records.write.parquet(source)
+    outcomes = topics.record_outcomes(history.file_stream(spark, source, records.schema), schemas.FLIGHT_OFFER,
+                                      required=FLIGHT_REQUIRED)
+    query = history.start_history(audit.observed(outcomes), sink, ckpt)
+    query.awaitTermination()
+    audit.append_audit(spark, table, audit.stream_audit(query, "stream", "flights"))
+    return table.read()
+
+
+QUERIES.update({
+    "stream_restart": q_stream_restart,
+    "stream_state": q_stream_state,
+    "import_ledger": q_import_ledger,
+    "load_audit": q_load_audit,
+})
+
+
+# --- histories laid out for their joins --------------------------------------------------------
+
+HISTORY_BUCKETS = 16
+
+
+def q_window_of_plan(spark: SparkSession, base: str) -> DataFrame:
+    """A date-partitioned history read only on the days that a request plan asks for."""
+    path = scratch_path(spark, "events-by-day")
+    ev = _events(spark, base).select(*EVENT_COLUMNS).withColumn("day", F.to_date("ts"))
+    ev.repartition("day").write.partitionBy("day").parquet(path)
+    nation = read_table(spark, base, "nation").select(F.col("n_name").alias("country"))
+    plan = catalog.request_plan(nation, REF_DATE, 3, offset=1)
+    return histories.window_of_plan(spark.read.parquet(path), plan, "day").select(*EVENT_COLUMNS, "day")
+
+
+def _stored_offers(spark: SparkSession, base: str) -> tuple[DataFrame, bool]:
+    return histories.store_history(lineitem_offers(spark, base), scratch_path(spark, "offers-by-city"),
+                                   OFFER_KEYS, HISTORY_BUCKETS)
+
+
+def q_score_in_place(spark: SparkSession, base: str) -> DataFrame:
+    """Offers stored by (city, day) and scored where they lie: no exchange of the history."""
+    offers, bucketed = _stored_offers(spark, base)
+    args = {k: v for k, v in OFFER_ARGS.items() if k != "keys"}
+    score = histories.score_in_place if bucketed else hotels.hotel_score
+    return score(offers, OFFER_KEYS, **args).select(*SCORED_COLUMNS)
+
+
+def q_latest_in_place(spark: SparkSession, base: str) -> DataFrame:
+    """The latest import of every (city, day) of a history stored that way: no exchange of the history."""
+    offers, bucketed = _stored_offers(spark, base)
+    if bucketed:
+        return histories.latest_in_place(offers, OFFER_KEYS, "l_shipdate")
+    return latest.latest_per_key(offers, OFFER_KEYS, ts="l_shipdate")
+
+
+QUERIES.update({
+    "window_of_plan": q_window_of_plan,
+    "score_in_place": q_score_in_place,
+    "latest_in_place": q_latest_in_place,
+})

@@ -98,6 +98,20 @@ def split_records(records: DataFrame, schema: T.StructType | str, value: str = "
     return good, bad
 
 
+def record_outcomes(records: DataFrame, schema: T.StructType | str, value: str = "value",
+                    required: list[str] | None = None) -> DataFrame:
+    """``(row, record, reject_reason)``, one per record: the decoded columns of a good one, or a bad one whole.
+
+    One plan for both outputs of ``split_records``, for a writer that lands or streams them together.
+    """
+    struct = _struct(records, schema)
+    probed = _probed(records, struct, value, required)
+    good, names = F.col("reject_reason").isNull(), struct.fieldNames()
+    row = F.struct(*[F.col(f"_v.`{f}`").alias(f) for f in names])
+    whole = F.struct(*[F.col(f"`{c}`") for c in records.columns])
+    return probed.select(F.when(good, row).alias("row"), F.when(~good, whole).alias("record"), "reject_reason")
+
+
 def undecodable_records(records: DataFrame, schema: T.StructType | str,
                         value: str = "value") -> DataFrame:
     """Records whose value is there but is not JSON or does not fit the schema (kept whole)."""
@@ -105,6 +119,65 @@ def undecodable_records(records: DataFrame, schema: T.StructType | str,
             .select(*records.columns))
 
 
+def _variant(records: DataFrame, value: str, keep: list[str]) -> DataFrame:
+    """``keep`` and ``_v``, the record as a variant: NULL where the value is no JSON object."""
+    parsed = records.select(*keep, _once(F.try_parse_json(F.col(value).cast("string")), "_p"))
+    return parsed.select(*keep, F.when(F.startswith(F.schema_of_variant("_p"), F.lit("OBJECT")), F.col("_p")).alias("_v"))
+
+
+def _column_type(seen: str) -> str:
+    """The column type for what ``schema_of_variant_agg`` says of a field's values."""
+    if seen in ("BIGINT", "BOOLEAN", "DOUBLE"):
+        return seen.lower()
+    if seen.startswith(("DECIMAL", "FLOAT")):
+        return "double"
+    return "string"  # text, values of several kinds, and nested ones as their JSON
+
+
+def drifting_fields(records: DataFrame, value: str = "value", max_fields: int = 10_000) -> dict[str, str]:
+    """The fields that any record of the topic has, by name, with a type that fits all their values.
+
+    Nothing is declared: fields are the union over all records (S4, U1). One row per field name comes to the
+    driver; more than ``max_fields`` names are an error (names that are really values, not a drifting schema).
+    """
+    fields = _variant(records, value, []).lateralJoin(
+        records.sparkSession.tvf.variant_explode(F.col("_v").outer()))
+    seen = (fields.filter(F.col("key").isNotNull()).groupBy("key")
+            .agg(F.schema_of_variant_agg("value").alias("kind")).limit(max_fields + 1).collect())
+    if len(seen) > max_fields:
+        raise ValueError(f"more than {max_fields} field names")
+    return {r["key"]: _column_type(r["kind"]) for r in sorted(seen, key=lambda r: r["key"])}
+
+
+def drifting_records(records: DataFrame, value: str = "value", keep: list[str] | None = None,
+                     fields: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(rows, rejects)`` of a topic whose records have different fields.
+
+    Rows have a column for every field of ``fields`` (by default of ``drifting_fields``), NULL where a record lacks it or
+    holds another kind of value. Rejects are whole records whose value is no JSON object. Each text is parsed once
+    to find the fields and once per output.
+    """
+    fields = drifting_fields(records, value) if fields is None else fields
+    keep = [c for c in (keep or []) if c in records.columns]
+    taken = {c.lower() for c in keep}
+
+    def get(name: str, kind: str) -> Column:
+        """The field as a column; names that differ in case alone, which columns may not, are numbered."""
+        label, n = name, 1
+        while label.lower() in taken:
+            n += 1
+            label = f"{name}_{n}"
+        taken.add(label.lower())
+        if "'" in name and '"' in name:  # no path can quote it
+            return F.from_json(F.to_json("_v"), "map<string,string>")[name].try_cast(kind).alias(label)
+        quote = '"' if "'" in name else "'"
+        return F.try_variant_get("_v", f"$[{quote}{name}{quote}]", kind).alias(label)
+
+    rows = _variant(records, value, keep).filter(F.col("_v").isNotNull()).select(*keep, *[get(*f) for f in fields.items()])
+    whole = _variant(records, value, records.columns)
+    return rows, whole.filter(F.col("_v").isNull()).select(*records.columns)
+
+
 def record_counts(df: DataFrame, topic: str = "topic") -> DataFrame:
     """Rows per topic (A7) — a partial + final count."""
     return df.groupBy(topic).agg(F.count(F.lit(1)).alias("n_rows"))

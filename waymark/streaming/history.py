@@ -56,16 +56,16 @@ def start_history(stream: DataFrame, sink_path: str, checkpoint_path: str,
 def latest_state(stream: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
     """Latest row per key as a stateful aggregate (R4); run it in ``update`` mode.
 
-    Ties on the import time keep one row (the batch operator keeps all); rows
-    with a NULL key or time are ignored.
+    Ties on the import time keep the row whose other columns are largest, in their order (the
+    batch operator keeps all); rows with a NULL key or time are ignored.
     """
     keys = list(keys)
-    rest = [c for c in stream.columns if c not in keys]
+    rest = [ts, *[c for c in stream.columns if c not in keys and c != ts]]
     clean = stream
     for c in [*keys, ts]:
         clean = clean.filter(F.col(c).isNotNull())
     return (clean.groupBy(*keys)
-                 .agg(F.max_by(F.struct(*[F.col(c) for c in rest]), F.col(ts)).alias("_row"))
+                 .agg(F.max(F.struct(*rest)).alias("_row"))
                  .select(*keys, "_row.*"))
 
 
@@ -79,13 +79,13 @@ def latest_per_day_state(stream: DataFrame, keys: Sequence[str], ts: str,
     the watermark are ignored, as Structured Streaming does for late data.
     """
     keys = list(keys)
-    rest = [c for c in stream.columns if c not in keys]
+    rest = [ts, *[c for c in stream.columns if c not in keys and c != ts]]
     clean = stream
     for c in [*keys, ts]:
         clean = clean.filter(F.col(c).isNotNull())
     return (clean.withWatermark(ts, delay)
                  .groupBy(F.window(ts, "1 day").alias("_w"), *keys)
-                 .agg(F.max_by(F.struct(*[F.col(c) for c in rest]), F.col(ts)).alias("_row"))
+                 .agg(F.max(F.struct(*rest)).alias("_row"))
                  .select(F.to_date(F.col("_w.start")).alias(day_col), *keys, "_row.*"))
 
 
