@@ -64,6 +64,9 @@ def test_views_and_sql_text(spark):
     register_views(spark, "/root/testdata/sf0.001", ["region", "nation"])
     got = sql_table(spark, "SELECT count(*) AS n FROM nation JOIN region ON n_regionkey = r_regionkey")
     assert got.first().n == 25
+    marked = sql_table(spark, "SELECT count(*) AS n FROM nation WHERE n_name = :name OR n_regionkey = :region",
+                       name="x' OR 'a' = 'a", region=1)
+    assert marked.first().n == 5
 
 
 def test_hot_key_semi_join_is_split_by_aqe(spark):

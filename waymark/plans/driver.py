@@ -119,8 +119,8 @@ SELECT event_id, user_id, event_type, day, ts, value
 FROM (SELECT event_id, user_id, event_type, to_date(ts) AS day, ts, value,
              rank() OVER (PARTITION BY to_date(ts), user_id, event_type ORDER BY ts DESC) AS age
       FROM events
-      WHERE ts >= TIMESTAMP_NTZ'{ref} 00:00:00'
-        AND ts < TIMESTAMP_NTZ'{ref} 00:00:00' + INTERVAL {days} DAYS)
+      WHERE ts >= CAST(:ref AS TIMESTAMP_NTZ)
+        AND ts < timestampadd(DAY, :days, CAST(:ref AS TIMESTAMP_NTZ)))
 WHERE age = 1
 """
 
@@ -128,7 +128,7 @@ WHERE age = 1
 def q_latest_flights_sql(spark: SparkSession, base: str) -> DataFrame:
     """The same as SQL text over a view, for the four days from the reference date."""
     register_views(spark, base, ["events"])
-    return sql_table(spark, LATEST_FLIGHTS_SQL.format(ref=REF_DATE, days=4))
+    return sql_table(spark, LATEST_FLIGHTS_SQL, ref=REF_DATE, days=4)
 
 
 def q_latest_hotels(spark: SparkSession, base: str) -> DataFrame:

@@ -31,9 +31,12 @@ def scan_columns(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*columns)
 
 
-def sql_table(spark: SparkSession, text: str) -> DataFrame:
-    """Result of SQL text over registered views, as a DataFrame."""
-    return spark.sql(text)
+def sql_table(spark: SparkSession, text: str, **values) -> DataFrame:
+    """Result of SQL text over registered views, as a DataFrame.
+
+    ``values`` fill the text's named markers (``:name``) as literals; they are never put into the text itself.
+    """
+    return spark.sql(text, args=values)
 
 
 def jdbc_options(url: str, table: str, *, user: str | None = None, password: str | None = None,
