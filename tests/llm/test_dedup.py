@@ -9,9 +9,12 @@ import pytest
 from cases import LOWER, counted, documents, roots, texts
 
 from waymark.llm import embed_dedup, jaccard_join, line_dedup, suffix_dedup
+from waymark.llm.bytehash import draw_bases
 from waymark.llm.common import blocks
 from waymark.llm.components import connected_components
 
+BASES = draw_bases()
+
 
 # -- suffix-array dedup ----------------------------------------------------------------
 
@@ -53,12 +56,33 @@ def test_long_text_in_pieces(spark, monkeypatch):
     import pyarrow as pa
     cut = list(suffix_dedup._pieces(pa.array([rows[0][1]]), 400))
     starts = sorted(p + before for _, before, f, off in cut
-                    for lo, n in zip(*suffix_dedup.segments(f, off, 400, 128)[1:4:2], strict=True) for p in range(lo, lo + n))
+                    for _, lo, _, n, reps, _ in zip(*suffix_dedup.segments(f, off, 400, 128, BASES), strict=True)
+                    for p in range(lo, lo + n * reps))
     assert starts == list(range(len(flat) - 399))  # every window once
     out = suffix_dedup.dedup_substrings(documents(spark, rows)).collect()
     assert _removed(out) == counted(_substrings(rows))
 
 
+@pytest.mark.parametrize("period", ["a", "ab = ", "0123456789abcdefghijklmnopqrstuvwxyz" * 30])
+def test_periodic_text_is_a_few_rows(spark, period):
+    """A megabyte of one letter or of a short period makes a few segments, not one per byte."""
+    rng = random.Random(8)
+    prose = "".join(rng.choice("jklmnop ") for _ in range(3000))
+    flat = np.frombuffer((prose + period * (1_000_000 // len(period))).encode(), np.uint8)
+    out = suffix_dedup.segments(flat, np.array([0, len(flat)]), 400, 128, BASES)
+    assert len(out[0]) < 200 and int((out[3] * out[4]).sum()) == len(flat) - 399
+    rows = [(1, prose[:900] + period * (4_000 // len(period) + 1)), (2, period * (2_000 // len(period) + 1) + prose), (3, period * 3)]
+    got = suffix_dedup.dedup_substrings(documents(spark, rows)).collect()
+    assert _removed(got) == counted(_substrings(rows))
+
+
+def test_megabyte_of_one_letter(spark):
+    docs = spark.createDataFrame([(1, "x" * 1_500_000), (2, "y" * 399), (3, "y" * 400)], "doc_id long, text string")
+    out = {r.doc_id: r for r in suffix_dedup.dedup_substrings(docs).collect()}
+    assert [(s.start, s.end) for s in out[1].spans] == [(0, 1_500_000)]
+    assert out[2].spans == out[3].spans == []  # each of its strings stands once
+
+
 def test_long_text_after_empty_rows(spark):
     """An empty text directly before one that comes in pieces keeps its own row."""
     import pyarrow as pa
@@ -83,7 +107,7 @@ def test_suffix_sorter_orders_like_bytes():
     flat = rng.integers(97, 99, 4000).astype(np.uint8)
     flat[1000:1500] = flat[:500]
     flat[2000:2600] = 97
-    sorter = suffix_dedup.SuffixSorter(flat, 40)
+    sorter = suffix_dedup.SuffixSorter(flat, 40, BASES)
     pos = rng.permutation(np.arange(0, 3900))[:1200]
     sizes = np.array([1, 2, 500, 697])
     start = np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -102,7 +126,7 @@ def test_colliding_hashes_are_verified(monkeypatch):
     flat = np.concatenate([one, two, one])
     monkeypatch.setattr(suffix_dedup.PrefixHash, "of", lambda self, a, b: np.zeros(np.shape(a), np.uint64))
     seg, window = suffix_dedup.repeated_windows(flat, np.array([0, 500, 1000, 1500]), np.array([50, 50, 50]),
-                                                np.array([101, 101, 101]), np.array([9, 9, 9]), 400)
+                                                np.array([101, 101, 101]), np.array([9, 9, 9]), 400, BASES)
     assert sorted(zip(seg.tolist(), window.tolist(), strict=True)) == [(s, w) for s in (0, 2) for w in range(101)]
 
 

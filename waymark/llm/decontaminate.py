@@ -16,8 +16,9 @@ Defined results: null, empty or wordless text has no words and no hits; items wi
 have no windows, and items of fewer than ``width`` words are one window; items with a null
 id mark words but are not listed; repeated items are listed once; repeated rows each get
 their row; very long texts are a shard of their own; empty tables give no rows (documents)
-or no hits (benchmark); only the id and text columns of both are read. Words are compared
-by 64-bit hashes.
+or no hits (benchmark); only the id and text columns of both are read. Words are told apart
+by 62 bits of a hash whose bases are drawn for each run: two words of 200 bytes agree with a
+probability below 1e-14, and texts cannot be written to collide.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from waymark.llm.bytehash import Bases, draw_bases
 from waymark.llm.common import doc_key, land, ship
 from waymark.llm.words import column_words
 
@@ -45,11 +47,11 @@ def _deltas(positions: np.ndarray, heads: np.ndarray) -> np.ndarray:
     return out.astype(np.int32)
 
 
-def _shards(col: pa.Array):
+def _shards(col: pa.Array, bases: Bases):
     """``(first row, end row, word hashes, words per row)`` of runs of rows with ``SHARD_WORDS`` words or more."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
     start = end = 0
-    for _, end, words, counts in column_words(col, _SEPARATES):
+    for _, end, words, counts in column_words(col, _SEPARATES, bases):
         held.append((words, counts))
         if sum(len(w) for w, _ in held) >= SHARD_WORDS:
             yield start, end, *map(np.concatenate, zip(*held, strict=True))
@@ -58,10 +60,10 @@ def _shards(col: pa.Array):
         yield start, end, *map(np.concatenate, zip(*held, strict=True))
 
 
-def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def build_index(docs: DataFrame, bases: Bases, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Landed ``(shard, term, n, postings, ids)``.
 
-    ``postings``: little-endian 32-bit steps between positions. The row with a null term has a
+    ``bases``: what words are hashed with, here and in ``find_items``. ``postings``: little-endian 32-bit steps between positions. The row with a null term has a
     shard's documents: ``ids`` in order, and their numbers of words as ``postings``.
     """
     ship(docs.sparkSession)
@@ -71,7 +73,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     def index(batches):
         shard = TaskContext.get().partitionId() << 32  # the same in every attempt
         for batch in batches:
-            for first, end, words, counts in _shards(batch.column(1)):
+            for first, end, words, counts in _shards(batch.column(1), bases):
                 by = np.argsort(words, kind="stable")
                 terms = words[by]
                 heads = np.flatnonzero(np.concatenate([[True], terms[1:] != terms[:-1]])) if len(terms) else by
@@ -92,13 +94,13 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 "positional_index")
 
 
-def item_windows(benchmark: DataFrame, item_col: str, text_col: str, width: int) -> DataFrame:
+def item_windows(benchmark: DataFrame, item_col: str, text_col: str, width: int, bases: Bases) -> DataFrame:
     """Landed ``(item, nr, terms)``: the windows of every item, in order."""
     rows = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text"))
 
     def cut(batches):
         for batch in batches:
-            for first, end, words, counts in column_words(batch.column(1), _SEPARATES):
+            for first, end, words, counts in column_words(batch.column(1), _SEPARATES, bases):
                 at = np.concatenate([[0], np.cumsum(counts)])
                 item, nr, terms = [], [], []
                 for i in range(end - first):
@@ -203,7 +205,7 @@ def _per_doc(ends: np.ndarray, position: np.ndarray, names: np.ndarray, n_docs:
     return out
 
 
-def find_items(index: DataFrame, benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", *,
+def find_items(index: DataFrame, benchmark: DataFrame, bases: Bases, item_col: str = "item_id", text_col: str = "text", *,
                width: int = 10, near_terms: int = 3, slop: int = 15) -> DataFrame:
     """``(id, n_words, n_hit, spans, items, near_items)``, one row per indexed document.
 
@@ -213,7 +215,7 @@ def find_items(index: DataFrame, benchmark: DataFrame, item_col: str = "item_id"
     ``near_terms`` matches only if these are all its words.
     """
     ship(index.sparkSession)
-    windows = item_windows(benchmark, item_col, text_col, width)
+    windows = item_windows(benchmark, item_col, text_col, width, bases)
     terms = windows.select(F.explode("terms").alias("term")).distinct()
     hits = land(index.filter(F.col("term").isNotNull()).join(terms, "term").select("shard", "term", "n", "postings"),
                 "benchmark_postings")
@@ -295,7 +297,8 @@ def find_items(index: DataFrame, benchmark: DataFrame, item_col: str = "item_id"
 def scan_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        item_col: str = "item_id", item_text_col: str = "text", **options) -> DataFrame:
     """Index built and searched: one row per row of ``docs``."""
-    return find_items(build_index(docs, id_col, text_col), benchmark, item_col, item_text_col,
+    bases = draw_bases()
+    return find_items(build_index(docs, bases, id_col, text_col), benchmark, bases, item_col, item_text_col,
                       **options).withColumnRenamed("id", id_col)
 
 

@@ -15,6 +15,9 @@
 Only texts of classes that share a band travel. No pair of a group is emitted: a task
 returns at most one edge per class it was given.
 
+Words are told apart by a hash whose bases are drawn for each run, and those of one task, which is
+where sets are compared, by their bytes: should two words of a task share a hash, the job stops.
+
 ``miss``: two sets at similarity 0.85 agree in a band of 5 min-hashes with probability
 0.85**5 and so share none of 45 bands with probability below 4e-12; links are exact.
 
@@ -34,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.bytehash import mix
+from waymark.llm.bytehash import Bases, draw_bases, mix
 from waymark.llm.common import doc_key, land, land_with, parts_for, ship, text_hash
 from waymark.llm.components import connected_components
 from waymark.llm.groups import grouped
@@ -57,9 +60,12 @@ def _row_shingles(words: np.ndarray, width: int) -> np.ndarray:
     return np.unique(mix(acc))
 
 
-def shingle_sets(col: pa.Array, width: int) -> Iterator[np.ndarray]:
-    """Sorted distinct shingle hashes of each text of a column, in row order."""
-    for _, _, hashes, counts in column_words(col, _SPACE):
+def shingle_sets(col: pa.Array, width: int, bases: Bases, compare: bool = False) -> Iterator[np.ndarray]:
+    """Sorted distinct shingle hashes of each text of a column, in row order.
+
+    ``compare``: words of one hash are compared by their bytes, over the whole column.
+    """
+    for _, _, hashes, counts in column_words(col, _SPACE, bases, {} if compare else None):
         at = np.concatenate([[0], np.cumsum(counts)])
         for i in range(len(counts)):
             yield _row_shingles(hashes[at[i]:at[i + 1]], width)
@@ -75,18 +81,18 @@ def _min_hashes(tokens: np.ndarray, factors: np.ndarray, shifts: np.ndarray) ->
     return low
 
 
-def _signatures(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
+def _signatures(docs: DataFrame, width: int, bands: int, rows: int, bases: Bases) -> DataFrame:
     """``(id, th, n_shingles, cls, sigs)``: size and class of each set and its band signatures."""
 
     def sign(batches):
-        rng = np.random.default_rng(7)
+        rng = np.random.default_rng([7, *bases])
         factors = rng.integers(0, 1 << 31, bands * rows, np.uint32) * np.uint32(2) + np.uint32(1)
         shifts = rng.integers(0, 1 << 32, bands * rows, np.uint32)
         weights = rng.integers(0, 1 << 62, rows, np.uint64) * np.uint64(2) + np.uint64(1)
         salt = mix(np.arange(1, bands + 1, dtype=np.uint64))
         for batch in batches:
             sizes, classes, sigs = [], [], []
-            for tokens in shingle_sets(batch.column(2), width):
+            for tokens in shingle_sets(batch.column(2), width, bases):
                 sizes.append(len(tokens))
                 classes.append(xxhash.xxh3_128_digest(tokens.tobytes()) if len(tokens) else None)
                 if len(tokens):
@@ -156,13 +162,13 @@ class TokenGroups:
             yield from ((x, first) for x, _ in group if x != first)
 
 
-def _open_groups(delivered: DataFrame, percent: int, width: int, n_parts: int) -> DataFrame:
+def _open_groups(delivered: DataFrame, percent: int, width: int, n_parts: int, bases: Bases) -> DataFrame:
     """Edges ``(a, b)`` found within each group of ``(grp, cls, comp, text)``."""
 
     def open_all(batches):
         for table in grouped(batches, "grp"):
             names, comps = table.column("cls").to_pylist(), table.column("comp").to_pylist()
-            sets = list(shingle_sets(table.column("text").combine_chunks(), width))
+            sets = list(shingle_sets(table.column("text").combine_chunks(), width, bases, compare=True))
             matrix, seen = TokenGroups(percent), set()
             for i in sorted(range(len(names)), key=lambda i: (comps[i] or b"", len(sets[i]), names[i])):
                 if names[i] not in seen:
@@ -195,7 +201,8 @@ def _components(docs: DataFrame, id_col: str, text_col: str, percent: int, width
     plain = docs.select(F.col(id_col).alias("id"), text_hash(F.col(text_col)).alias("th"),
                         F.col(text_col).alias("text"))
     texts = docs.select(key, F.col(text_col).alias("text"))
-    sets = land(_signatures(plain, width, bands, rows), "shingle_sets")
+    bases = draw_bases()
+    sets = land(_signatures(plain, width, bands, rows, bases), "shingle_sets")
     classes = land(sets.filter(F.col("cls").isNotNull()).groupBy("cls")
                    .agg(F.min(F.struct("id", "th")).alias("pick"), F.first("sigs").alias("sigs")), "classes")
     in_band = classes.select("cls", F.explode("sigs").alias("sig"))
@@ -217,7 +224,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str, percent: int, width
            .select("cls", F.xxhash64("cls", F.col("sub").cast("long")).alias("grp")))
     n_parts = parts_for(seen["n"], 2048, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     members = homes.select("grp", "cls").unionByName(own).distinct().withColumn("comp", F.lit(None).cast("binary"))
-    edges = land(_open_groups(_with_text(members, classes, texts), percent, width, n_parts), "links")
+    edges = land(_open_groups(_with_text(members, classes, texts), percent, width, n_parts, bases), "links")
     found = land(connected_components(edges), "components")
 
     # bands that join components which no task has compared
@@ -237,7 +244,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str, percent: int, width
                  .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
                  .select("cls", "comp", F.xxhash64("leader", F.least(mine, other), F.greatest(mine, other))
                          .alias("grp")).distinct())
-        more = land(_open_groups(_with_text(dealt, classes, texts), percent, width, n_parts), "links")
+        more = land(_open_groups(_with_text(dealt, classes, texts), percent, width, n_parts, bases), "links")
         found = land(connected_components(edges.unionByName(more)), "components")
 
     named = sets.select("id", "th", "n_shingles", "cls").join(found.withColumnRenamed("node", "cls"), "cls", "left")

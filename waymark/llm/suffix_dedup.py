@@ -7,17 +7,20 @@ anchors, which depend on content alone:
 1. Every ``width``-byte window has an anchor: its ``gram``-byte substring of the smallest hash. Equal
    windows have equal anchors at equal offsets, so a repeated window's anchor is repeated
    too. One anchor serves a run of windows, a *segment* of at most ``2 * width - gram`` bytes. A
-   row per segment (hash of the anchor, hash of the segment) is all that is shuffled.
-2. Anchors that occur once go. Equal segments (64 bits of anchor hash, which all segments of the
-   anchor share, and 64 of segment hash over bytes and layout) are a class, and all windows of a
-   class of two or more are repeated; its bytes are not compared.
+   row per segment (hash of the anchor, digest of the segment) is all that is shuffled. Equal segments
+   that follow each other, as in rules, padding and other periodic text, are compared by their bytes
+   and are one row with a count.
+2. Anchors that occur once go. Segments of one anchor with the same digest are a class, and all windows
+   of a class of two or more are repeated. The digest is 128 bits of BLAKE2b under a key drawn for
+   the run: equality of bytes, short of breaking the cipher. The anchors' hashes are drawn for the
+   run, too (``bytehash``).
 3. Classes of one member whose anchor others share are compared byte-wise: their bytes are
    fetched, and the suffixes at their window starts are sorted. The sort is a merge sort in
    whole-array steps within each (anchor, offset); two suffixes are compared by their longest
    common extension, found by binary search over prefix polynomial hashes. Neighbours that
    agree on ``width`` bytes are verified byte by byte and marked.
 4. An anchor with more than ``max_group`` different segments is not sorted in one task; its
-   windows are counted by a 128-bit content hash instead, which is pre-aggregated.
+   windows are counted by their digests instead, which are pre-aggregated.
 
 Defined results: null or empty text has no bytes and loses none; matches never cross
 documents; very long texts are cut into overlapping pieces, which changes no result;
@@ -27,15 +30,16 @@ an empty table gives an empty result; only the id and text columns are read.
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.bytehash import BASES, PrefixHash, mix
+from waymark.llm.bytehash import Bases, PrefixHash, draw_bases, mix
 from waymark.llm.common import blocks, doc_key, land, land_with, parts_for, ship, text_hash, utf8
 from waymark.llm.groups import whole_groups
 
@@ -66,12 +70,15 @@ def _sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[w - 1:w - 1 + n])
 
 
-def segments(flat: np.ndarray, off: np.ndarray, width: int, gram: int):
-    """``(row, lo, at, n, key, print)`` of every segment: windows ``lo .. lo + n - 1`` whose anchor is ``lo + at``."""
+def segments(flat: np.ndarray, off: np.ndarray, width: int, gram: int, bases: Bases):
+    """``(row, lo, at, n, reps, key)`` of the segments: windows ``lo .. lo + n - 1`` whose anchor is ``lo + at``.
+
+    ``reps``: how many segments with the same bytes stand here, each ``n`` bytes after the one before it.
+    """
     none = np.zeros(0, np.int64)
     if len(flat) < width:
         return none, none, none, none, none, none
-    sums = PrefixHash(flat)
+    sums = PrefixHash(flat, bases)
     keys = mix(sums.windows(gram))
     low = _sliding_min((keys & ~_POS) | np.arange(len(keys), dtype=np.uint64), width - gram + 1)
     anchor = (low & _POS).astype(np.int64)
@@ -87,17 +94,28 @@ def segments(flat: np.ndarray, off: np.ndarray, width: int, gram: int):
     lo, n = cuts[:-1], np.diff(cuts)
     lo, n = lo[valid[lo]], n[valid[lo]]
     at = anchor[lo] - lo
-    whole = PrefixHash(flat, BASES[1]).of(lo, lo + n - 1 + width)
-    prints = mix(whole + mix((n * width + at).astype(np.uint64)))
     row = np.searchsorted(off, lo, "right") - 1
-    return row, lo - off[row], at, n, keys[lo + at].view(np.int64), prints.view(np.int64)
+    key = keys[lo + at]
+    whole = sums.of(lo, lo + n - 1 + width)
+    more = np.zeros(len(lo), bool)  # the segment before it over again
+    more[1:] = ((row[1:] == row[:-1]) & (lo[1:] == lo[:-1] + n[:-1]) & (n[1:] == n[:-1]) & (at[1:] == at[:-1])
+                & (key[1:] == key[:-1]) & (whole[1:] == whole[:-1]))
+    heads = np.flatnonzero(~more)
+    reps = np.diff(np.append(heads, len(lo)))
+    for h, r in zip(heads[reps > 1].tolist(), reps[reps > 1].tolist(), strict=True):
+        start, step, end = lo[h], n[h], lo[h] + r * n[h] - 1 + width
+        if not np.array_equal(flat[start:end - step], flat[start + step:end]):  # hashes collided: as they are
+            more[h:h + r] = False
+    heads = np.flatnonzero(~more)
+    reps = np.diff(np.append(heads, len(lo)))
+    return row[heads], (lo - off[row])[heads], at[heads], n[heads], reps, key[heads].view(np.int64)
 
 
 class SuffixSorter:
     """Sorts suffixes of one byte array, compared on ``width`` bytes by prefix hashes."""
 
-    def __init__(self, flat: np.ndarray, width: int):
-        self.flat, self.width, self.sums = flat, width, PrefixHash(flat)
+    def __init__(self, flat: np.ndarray, width: int, bases: Bases):
+        self.flat, self.width, self.sums = flat, width, PrefixHash(flat, bases)
 
     def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Length of the common extension of the suffixes at ``a`` and ``b``, up to ``width``."""
@@ -165,7 +183,7 @@ class SuffixSorter:
 
 
 def repeated_windows(flat: np.ndarray, off: np.ndarray, at: np.ndarray, n: np.ndarray, key: np.ndarray,
-                     width: int) -> tuple[np.ndarray, np.ndarray]:
+                     width: int, bases: Bases) -> tuple[np.ndarray, np.ndarray]:
     """``(segment, window)`` of each window that stands in another segment of its key too."""
     seg = np.repeat(np.arange(len(n)), n)
     window = np.arange(len(seg)) - np.repeat(np.cumsum(n) - n, n)
@@ -181,7 +199,7 @@ def repeated_windows(flat: np.ndarray, off: np.ndarray, at: np.ndarray, n: np.nd
     pos, bucket = pos[many], bucket[many]
     sizes = sizes[sizes > 1]
     heads = np.cumsum(sizes) - sizes
-    sorter = SuffixSorter(flat, width)
+    sorter = SuffixSorter(flat, width, bases)
     pos = sorter.sort(pos, np.repeat(heads, sizes), np.repeat(sizes, sizes))
     near = np.flatnonzero(bucket[1:] == bucket[:-1])
     near = near[sorter.common(pos[near], pos[near + 1]) == width]
@@ -216,28 +234,35 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     plain = docs.select(F.col(id_col).alias("id"), text_hash(F.col(text_col)).alias("th"),
                         F.col(text_col).alias("text"))
     id_type = plain.schema["id"].dataType.simpleString()
+    bases, secret = draw_bases(), secrets.token_bytes(32)
 
     def anchor(batches):
         for batch in batches:
             for first, before, flat, off in _pieces(batch.column(2), width):
-                row, lo, at, n, key, prints = segments(flat, off, width, gram)
+                row, lo, at, n, reps, key = segments(flat, off, width, gram, bases)
                 if len(row):
-                    rows = pa.array(row + first)
+                    begin, view = off[row] + lo, memoryview(flat)
+                    digests = b"".join([blake2b(view[a:b], digest_size=16, key=secret).digest()
+                                        for a, b in zip(begin.tolist(), (begin + n - 1 + width).tolist(), strict=True)])
+                    prints, rows = np.frombuffer(digests, np.int64), pa.array(row + first)
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(key), pa.array(prints),
-                         pa.array((lo + before).astype(np.int32)), pa.array(at.astype(np.int32)),
-                         pa.array(n.astype(np.int32))], names=["id", "th", "key", "print", "lo", "at", "n"])
+                        [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(key), pa.array(prints[::2]),
+                         pa.array(prints[1::2]), *[pa.array(x.astype(np.int32)) for x in (lo + before, at, n, reps)]],
+                        names=["id", "th", "key", "p1", "p2", "lo", "at", "n", "reps"])
 
     layout = "lo int, at int, n int"
-    anchors = land(plain.mapInArrow(anchor, f"id {id_type}, th long, key long, print long, {layout}"), "anchors")
-    keys = land(anchors.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > 1).select("key"), "keys")
+    anchors = land(plain.mapInArrow(anchor, f"id {id_type}, th long, key long, p1 long, p2 long, {layout}, reps int"),
+                   "anchors")
+    copies = F.sum("reps").alias("copies")
+    keys = land(anchors.groupBy("key").agg(copies).filter(F.col("copies") > 1).select("key"), "keys")
     repeated = land(anchors.join(keys, "key")
-                    .select(F.struct("id", "th").alias("doc"), "key", "print", "lo", "at", "n"), "repeated_anchors")
-    classes = land(repeated.groupBy("key", "print").agg(F.count(F.lit(1)).alias("copies"),
-                                                        F.first(F.struct("doc", "lo", "at", "n")).alias("pick")),
+                    .select(F.struct("id", "th").alias("doc"), "key", "p1", "p2", "lo", "at", "n", "reps"),
+                    "repeated_anchors")
+    classes = land(repeated.groupBy("key", "p1", "p2").agg(copies, F.first(F.struct("doc", "lo", "at", "n")).alias("pick")),
                    "segment_classes")
-    whole = (repeated.join(classes.filter(F.col("copies") > 1).select("key", "print"), ["key", "print"])
-             .select("doc", F.col("lo").alias("start"), (F.col("lo") + F.col("n") - 1 + width).alias("end")))
+    whole = (repeated.join(classes.filter(F.col("copies") > 1).select("key", "p1", "p2"), ["key", "p1", "p2"])
+             .select("doc", F.col("lo").alias("start"),
+                     (F.col("lo") + F.col("reps") * F.col("n") - 1 + width).alias("end")))
 
     mixed = land(classes.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.sum(F.when(F.col("copies") == 1, 1))
                                             .alias("single"))
@@ -276,7 +301,7 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         for table in whole_groups(batches, "key", 2048):
             flat, off = utf8(table.column("seg"))
             at, n, lo = (table.column(c).to_numpy().astype(np.int64) for c in ("at", "n", "lo"))
-            seg, window = repeated_windows(flat, off, at, n, table.column("key").to_numpy(), width)
+            seg, window = repeated_windows(flat, off, at, n, table.column("key").to_numpy(), width, bases)
             single = table.column("single").to_numpy(zero_copy_only=False)
             keep = single[seg]  # the others are whole classes already
             start = np.unique(seg[keep] * (4 * width) + window[keep])
@@ -302,7 +327,7 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             for batch in batches:
                 for i in range(batch.num_rows):
                     seg, n = memoryview(batch.column(8)[i].as_py()), batch.column(5)[i].as_py()
-                    digests = [xxhash.xxh3_128_digest(seg[j:j + width]) for j in range(n)]
+                    digests = [blake2b(seg[j:j + width], digest_size=16, key=secret).digest() for j in range(n)]
                     rows = pa.array(np.full(n, i))
                     start = np.arange(n, dtype=np.int32) + np.int32(batch.column(3)[i].as_py())
                     yield pa.RecordBatch.from_arrays(

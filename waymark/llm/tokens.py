@@ -1,8 +1,8 @@
 """Token ids of text columns under a word-level BPE file, each distinct word encoded once.
 
 The vocabulary's pre-tokenizer splits a normalised text into pieces that are encoded one by
-one, so a piece's ids do not depend on its neighbours. Pieces are found and hashed in
-whole-array steps; only pieces not seen before go to the tokenizer. Texts with characters
+one, so a piece's ids do not depend on its neighbours. Pieces are found, hashed and compared in
+whole-array steps and remembered by their text; only pieces not seen before go to the tokenizer. Texts with characters
 outside the plain alphabet below go to it whole, so the ids are the tokenizer's in every case.
 """
 
@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from waymark.llm.bytehash import PrefixHash, mix
+from waymark.llm.bytehash import PrefixHash, draw_bases, mix, same_slices
 from waymark.llm.common import blocks, utf8
 
 _SPACE, _LETTER, _NUMBER, _OTHER, _FOREIGN = range(5)
@@ -62,13 +62,14 @@ class ColumnTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.bases = draw_bases()
         self._forget()
 
     def _forget(self) -> None:
-        self.slot: dict[int, int] = {}
+        self.slot: dict[str, int] = {}
         self.starts, self.ids, self.used = np.zeros(1 << 16, np.int64), np.zeros(1 << 18, np.uint32), 0
 
-    def _learn(self, hashes: list[int], pieces: list[str]) -> None:
+    def _learn(self, pieces: list[str]) -> None:
         """Encode new pieces, many in one text: a space between two changes neither."""
         for at in range(0, len(pieces), 20_000):
             part = pieces[at:at + 20_000]
@@ -84,7 +85,7 @@ class ColumnTokenizer:
             self.starts[first + 1:first + 1 + len(part)] = self.used + np.cumsum(sizes)
             self.ids[self.used:self.used + len(ids)] = ids
             self.used += len(ids)
-            self.slot.update(zip(hashes[at:at + 20_000], range(first, first + len(part)), strict=True))
+            self.slot.update(zip(part, range(first, first + len(part)), strict=True))
 
     def _plain(self, text: str, points: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of plain texts laid end to end, and the number of ids of each."""
@@ -97,16 +98,15 @@ class ColumnTokenizer:
         cuts = np.flatnonzero(edge)
         solid = kind[cuts[:-1]] != _SPACE
         start, end = cuts[:-1][solid], cuts[1:][solid]
-        hashes = mix(PrefixHash(lower).of(start, end) + (end - start).astype(np.uint64))
-        distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        names = distinct.tolist()
+        first, which = self._alike(lower, start, end)
+        folded = text.lower()  # of these characters each has one lower-case form
+        names = [folded[a:b] for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)]
         if len(self.slot) > _CACHE:
             self._forget()
         slots = list(map(self.slot.get, names))
         new = [i for i, s in enumerate(slots) if s is None]
         if new:
-            at, to = start[first[new]].tolist(), end[first[new]].tolist()
-            self._learn([names[i] for i in new], [text[a:b] for a, b in zip(at, to, strict=True)])
+            self._learn([names[i] for i in new])
             for i in new:
                 slots[i] = self.slot[names[i]]
         slots = np.array(slots, np.int64)
@@ -116,6 +116,17 @@ class ColumnTokenizer:
         ids = self.ids[np.arange(total[-1]) + np.repeat(begin - total[:-1], size)]
         return ids, np.diff(total[np.searchsorted(start, off)])
 
+    def _alike(self, lower: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First place of each distinct piece, and which of them each piece is: by hash, then by its characters."""
+        sizes = end - start
+        hashes = mix(PrefixHash(lower, self.bases).of(start, end) + sizes.astype(np.uint64))
+        _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        if (sizes == sizes[first][which]).all() and same_slices(lower, start, start[first][which], sizes).all():
+            return first, which
+        seen: dict[bytes, int] = {}  # two pieces share a hash: these by their characters alone
+        which = np.array([seen.setdefault(lower[a:b].tobytes(), len(seen)) for a, b in zip(start, end, strict=True)], np.int64)
+        return np.unique(which, return_index=True)[1], which
+
     @staticmethod
     def _contractions(lower: np.ndarray, kind: np.ndarray, edge: np.ndarray, off: np.ndarray) -> None:
         """An apostrophe on its own takes the s, t, m, d, re, ve or ll after it in its text."""
