@@ -92,6 +92,53 @@ def test_validation_and_canonical_json(spark):
     assert by[3, 2].errors == [] and len(by[3, 2].canonical) > 200_000
 
 
+def test_references_at_any_depth(spark):
+    calls = [(1, 0, "a", "t", "{}"), (1, 1, "b", "t", "{}"),
+             (1, 2, "c", "t", '{"list": ["$a"], "q": {"x": "$b", "y": [[{"z": "$a"}]]}}'),
+             (1, 3, "d", "t", '{"q": [["say \\"$a\\"", "$a b", "x$a", "$"], {"$b": 1}], "n": ["$gone"]}'), (1, 4, "e", "t", '{"deep": [[["$c"]]]}')]
+    out = tool_calls.link_tool_calls(
+        spark.createDataFrame(calls, "conv_id long, turn long, call_id string, name string, arguments string"),
+        spark.createDataFrame([], "conv_id long, turn long, call_id string, content string"), {"t": {}}).collect()
+    by = {r.call_id: (r.refs, r.dangling, r.level) for r in out}
+    assert by == {"a": (0, 0, 0), "b": (0, 0, 0), "c": (2, 0, 1), "d": (1, 1, 0), "e": (1, 0, 2)}
+
+
+RULES = {"t": {"s": {"type": "string", "min_length": 2, "max_length": 4, "pattern": "^[a-z]+$", "enum": ["ab", "abc", "AB", "x"]},
+               "n": {"type": "integer", "minimum": 1, "maximum": 9, "enum": [1, 5, 12]},
+               "r": {"type": "number", "required": True, "maximum": 2.5},
+               "o": {"type": "object", "properties": {"k": {"type": "string", "required": True},
+                                                      "l": {"type": "array", "items": {"type": "integer", "minimum": 0}}}},
+               "it's": {"type": "array", "items": {"type": "object", "properties": {"b": {"type": "boolean"}}}}}}
+
+
+def test_rules(spark):
+    cases = {
+        '{"s": "ab", "n": 5, "r": 2}': [], '{"s": "abc", "n": 1.0, "r": 1.5}': [], '{"s": "AB", "r": 0}': ["pattern:s"],
+        '{"s": "x", "n": 12, "r": 3}': ["large:n", "large:r", "short:s"], '{"s": "abcde", "n": 0, "r": 0}': ["enum:n", "enum:s", "long:s", "small:n"],
+        '{"s": null, "n": null, "r": null, "o": null}': ["missing:r"], '{"n": 5.5, "r": "1"}': ["type:n", "type:r"],
+        '{"r": 1, "o": {"l": [1, -2, "x", -3]}}': ["missing:o.k", "small:o.l[]", "type:o.l[]"],
+        '{"r": 1, "o": {"k": "y", "l": 4}}': ["type:o.l"], '{"r": 1, "o": {"k": "y", "l": [], "m": 1}}': [],
+        '{"r": 1, "it\'s": [{"b": 1}, {"b": true}, {}, 3]}': ["type:it's[]", "type:it's[].b"], '{"r": 1, "o": [1]}': ["type:o"],
+    }
+    calls = [(1, i, f"c{i}", "t", a) for i, a in enumerate(cases)]
+    out = tool_calls.link_tool_calls(
+        spark.createDataFrame(calls, "conv_id long, turn long, call_id string, name string, arguments string"),
+        spark.createDataFrame([], "conv_id long, turn long, call_id string, content string"), RULES).collect()
+    assert {list(cases)[r.turn]: r.errors for r in out} == cases
+
+
+def test_repeated_identifier_goes_round_the_join(spark):
+    """The outer join sees each identifier once: rows that repeat one, or have none, are added beside it."""
+    calls = [(1, k, "same", "t", "{}") for k in range(300)] + [(1, k, None, "t", "{}") for k in range(300, 400)]
+    results = [(1, k, "same", f"r{k}") for k in range(50)] + [(None, 1, "same", "x")]
+    out = tool_calls.link_tool_calls(
+        spark.createDataFrame(calls, "conv_id long, turn long, call_id string, name string, arguments string"),
+        spark.createDataFrame(results, "conv_id long, turn long, call_id string, content string"), {"t": {}})
+    status = [r.status for r in out.collect()]
+    assert {x: status.count(x) for x in set(status)} == {
+        "linked": 1, "duplicate_call": 299, "no_id": 100, "duplicate_result": 49, "no_call": 1}
+
+
 def test_linking_nothing(spark):
     assert _link(spark, [], []) == []
     assert [r.status for r in _link(spark, CALLS[:1], [])] == ["no_result"]

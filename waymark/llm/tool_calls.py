@@ -1,7 +1,8 @@
 """Tool-call linking with DataFrame operations alone.
 
 Calls and results are hash-joined by conversation and identifier. A call may refer to
-the result of another call of its conversation by a top-level argument ``"$<call id>"``; calls are ordered so that every call comes after those it refers to.
+the result of another call of its conversation by a string ``"$<call id>"`` anywhere in its arguments; calls are
+ordered so that every call comes after those it refers to.
 Arguments are parsed once into a VARIANT, checked against the tool's declared
 parameters, and written back as canonical JSON (compact, keys sorted).
 
@@ -16,7 +17,9 @@ level. Equal rows are one row, which says how many copies it had. Empty tables g
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,59 +29,144 @@ from waymark.llm.common import land, land_with
 REFERENCE = r"^\$[A-Za-z0-9_-]+$"
 CALL_COLS = ("conv_id", "turn", "call_id", "name", "arguments")
 RESULT_COLS = ("conv_id", "turn", "call_id", "content")
-JSON_TYPES = {"string": "STRING", "integer": "BIGINT", "boolean": "BOOLEAN"}  # fixed: schema_of_variant's names
+JSON_TYPES = {"string": "STRING", "boolean": "BOOLEAN"}  # fixed: schema_of_variant's names
 
 
 def _earliest(rows: DataFrame, cols: tuple[str, ...]) -> DataFrame:
     """The given columns, equal rows once, and whether the row is the earliest of its identifier.
 
     The earliest is found with ``min`` and a join, so the rows of a repeated identifier are
-    pre-aggregated and never gathered.
+    pre-aggregated and never gathered. Rows without an identifier go round that join.
     """
     rows = rows.select(*cols).groupBy(*cols).agg(F.count(F.lit(1)).alias("copies"))
     rest = [c for c in cols if c not in ("conv_id", "call_id")]
-    first = (rows.filter(F.col("call_id").isNotNull() & F.col("conv_id").isNotNull())
-             .groupBy("conv_id", "call_id").agg(F.min(F.struct(*rest)).alias("first")))
-    out = rows.join(first, ["conv_id", "call_id"], "left")
-    return out.withColumn("is_first", F.struct(*rest).eqNullSafe(F.col("first"))).drop("first")
+    has_id = F.col("call_id").isNotNull() & F.col("conv_id").isNotNull()
+    first = rows.filter(has_id).groupBy("conv_id", "call_id").agg(F.min(F.struct(*rest)).alias("first"))
+    out = (rows.filter(has_id).join(first, ["conv_id", "call_id"])
+           .withColumn("is_first", F.struct(*rest).eqNullSafe(F.col("first"))).drop("first"))
+    return out.unionByName(rows.filter(~has_id).withColumn("is_first", F.lit(False)))
+
+
+def _field(value: Column | str, name: str) -> Column:
+    """A field of an object as a VARIANT (NULL if it has none)."""
+    quote = '"' if "'" in name else "'"
+    return F.try_variant_get(value, f"$[{quote}{name}{quote}]", "variant")
 
 
 def _type_fits(found: Column, kind: str) -> Column:
-    """Whether a VARIANT's type name is of the declared JSON type."""
-    return {"number": found.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$"), "array": found.startswith("ARRAY"),
+    """Whether a VARIANT's type name is of the declared JSON type; a number written 5.0 is an integer."""
+    return {"number": found.rlike(r"^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$"), "array": found.startswith("ARRAY"),
+            "integer": found.rlike(r"^(BIGINT|DECIMAL\(\d+,0\))$"),
             "object": found.startswith("OBJECT")}.get(kind, found == JSON_TYPES.get(kind, ""))
 
 
+def _breaches(value: Column, kind: Column, rule: Mapping, label: str) -> list[Column]:
+    """What is wrong with a value, as strings (NULL: nothing): one per rule, arrays of them for nested values.
+
+    ``kind``: the value's type name. A value that is missing or ``null`` breaks no rule but ``required``.
+    """
+    given = kind.isNotNull() & (kind != "VOID")
+    fits = given & _type_fits(kind, rule["type"])
+    out = [F.when(F.lit(bool(rule.get("required"))) & ~F.coalesce(given, F.lit(False)), F.lit(f"missing:{label}")),
+           F.when(given & ~fits, F.lit(f"type:{label}"))]
+    if rule["type"] == "string":
+        text = F.try_variant_get(value, "$", "string")
+        if rule.get("min_length"):
+            out.append(F.when(fits & (F.length(text) < rule["min_length"]), F.lit(f"short:{label}")))
+        if rule.get("max_length") is not None:
+            out.append(F.when(fits & (F.length(text) > rule["max_length"]), F.lit(f"long:{label}")))
+        if rule.get("pattern"):
+            out.append(F.when(fits & ~text.rlike(rule["pattern"]), F.lit(f"pattern:{label}")))
+    if rule["type"] in ("number", "integer"):
+        number = F.try_variant_get(value, "$", "double")
+        if rule.get("minimum") is not None:
+            out.append(F.when(fits & (number < rule["minimum"]), F.lit(f"small:{label}")))
+        if rule.get("maximum") is not None:
+            out.append(F.when(fits & (number > rule["maximum"]), F.lit(f"large:{label}")))
+    if rule.get("enum"):
+        allowed = [F.to_json(F.parse_json(F.lit(json.dumps(v)))) for v in rule["enum"]]
+        out.append(F.when(fits & ~F.to_json(value).isin(*allowed), F.lit(f"enum:{label}")))
+    return out
+
+
+def _nested(value: Column, kind: Column, rule: Mapping, label: str) -> list[Column]:
+    """Arrays of breaches inside an object or an array."""
+    out = []
+    none = F.array().cast("array<string>")
+    if rule["type"] == "object" and rule.get("properties"):
+        inside = F.concat(*[_all_breaches(_field(value, name), own, f"{label}.{name}") for name, own in rule["properties"].items()])
+        out.append(F.when(kind.startswith("OBJECT"), inside).otherwise(none))
+    if rule["type"] == "array" and rule.get("items"):
+        each = F.transform(F.try_variant_get(value, "$", "array<variant>"),
+                           lambda v: _all_breaches(v, rule["items"], f"{label}[]"))
+        out.append(F.when(kind.startswith("ARRAY"), F.flatten(each)).otherwise(none))
+    return out
+
+
+def _all_breaches(value: Column, rule: Mapping, label: str) -> Column:
+    """Everything that is wrong with a value and inside it, as one array of strings."""
+    kind = F.schema_of_variant(value)
+    own = F.array_compact(F.array(*_breaches(value, kind, rule, label)))
+    return F.concat(own, *_nested(value, kind, rule, label))
+
+
 def with_errors(calls: DataFrame, schemas: Mapping[str, Mapping[str, Mapping]]) -> DataFrame:
-    """``calls`` (with ``args``, the parsed arguments) plus ``errors``: what is wrong, sorted (empty: valid).
+    """``calls`` (with ``args``, the parsed arguments) plus ``errors``: what is wrong, sorted, each once (empty: valid).
 
-    ``schemas``: tool → parameter → ``{"type": ..., "required": bool, "min_length": int}``.
+    ``schemas``: tool → parameter → rule. A rule has a ``type`` (string, integer, number, boolean, object, array) and may have
+    ``required``, ``enum``, ``min_length``, ``max_length``, ``pattern`` (found anywhere), ``minimum``, ``maximum``, ``properties``
+    (name → rule, of an object) and ``items`` (the rule of every element of an array). A parameter that is ``null`` is as one
+    not given; 5.0 is an integer.
     """
     params = sorted({p for rules in schemas.values() for p in rules})
-    # each parameter is looked up once; the checks below read its type's name and its length
-    looked = {f"_type{k}": F.schema_of_variant(F.try_variant_get("args", f"$.{p}", "variant"))
-              for k, p in enumerate(params)}
-    looked |= {f"_length{k}": F.length(F.try_variant_get("args", f"$.{p}", "string")) for k, p in enumerate(params)
-               if any(rules.get(p, {}).get("min_length") for rules in schemas.values())}
+    # each parameter is looked up once; the checks below read it and its type's name
+    looked = {f"_value{k}": _field("args", p) for k, p in enumerate(params)}
+    kinds = {f"_type{k}": F.schema_of_variant(f"_value{k}") for k in range(len(params))}
     looked |= {"_object": F.coalesce(F.schema_of_variant("args").startswith("OBJECT"), F.lit(False)),
                "_names": F.json_object_keys("arguments")}
     is_object = F.col("_object")
+    none = F.array().cast("array<string>")
     found = [F.when(~is_object, F.lit("bad_json")),
              F.when(~F.coalesce(F.col("name").isin(*schemas), F.lit(False)), F.lit("unknown_tool"))]
+    deep = []
     for tool, rules in schemas.items():
         mine = is_object & (F.col("name") == tool)
         for param, rule in rules.items():
             k = params.index(param)
-            kind = F.col(f"_type{k}")
-            if rule.get("required"):
-                found.append(F.when(mine & kind.isNull(), F.lit(f"missing:{param}")))
-            found.append(F.when(mine & kind.isNotNull() & ~_type_fits(kind, rule["type"]), F.lit(f"type:{param}")))
-            if rule.get("min_length"):
-                found.append(F.when(mine & (F.col(f"_length{k}") < rule["min_length"]), F.lit(f"short:{param}")))
-        known = F.array(*[F.lit(p) for p in rules]) if rules else F.array().cast("array<string>")
+            value, kind = F.col(f"_value{k}"), F.col(f"_type{k}")
+            found += [F.when(mine, e) for e in _breaches(value, kind, rule, param)]
+            deep += [F.when(mine, e).otherwise(none) for e in _nested(value, kind, rule, param)]
+        known = F.array(*[F.lit(p) for p in rules]) if rules else none
         found.append(F.when(mine & (F.size(F.array_except("_names", known)) > 0), F.lit("unknown_parameter")))
-    return (calls.withColumns(looked).withColumn("errors", F.array_sort(F.array_compact(F.array(*found))))
-            .drop(*looked))
+    errors = F.array_compact(F.array(*found))
+    if deep:
+        errors = F.array_distinct(F.concat(errors, *[F.coalesce(d, none) for d in deep]))
+    return (calls.withColumns(looked).withColumns(kinds).withColumn("errors", F.array_sort(errors))
+            .drop(*looked, *kinds))
+
+
+def references(calls: DataFrame) -> DataFrame:
+    """``(conv_id, call_id, needs)``: the identifiers that a call's arguments refer to, each once.
+
+    A reference is a string, at any depth, that is ``$`` and an identifier and nothing else. Objects and arrays are opened
+    level by level; a level's containers are written as rows, and only those that hold such a text go on.
+    """
+    found, level = [], calls.select("conv_id", "call_id", F.col("arguments").alias("json"))
+    while True:
+        inside = (level.filter(F.col("json").contains('"$'))
+                  .select("conv_id", "call_id", F.inline(F.array(F.struct(F.try_parse_json("json").alias("v")))))
+                  .lateralJoin(calls.sparkSession.tvf.variant_explode(F.col("v").outer()))
+                  .select("conv_id", "call_id", F.schema_of_variant("value").alias("kind"), "value"))
+        text = F.when(F.col("kind") == "STRING", F.try_variant_get("value", "$", "string"))
+        open_ = F.col("kind").startswith("OBJECT") | F.col("kind").startswith("ARRAY")
+        values, seen = land_with(
+            inside.select("conv_id", "call_id", text.alias("text"), F.when(open_, F.to_json("value")).alias("json"))
+            .filter(F.col("text").rlike(REFERENCE) | F.col("json").contains('"$')), "argument_values", more=F.count("json"))
+        found.append(values.filter(F.col("text").isNotNull())
+                     .select("conv_id", "call_id", F.expr("substring(text, 2)").alias("needs")))
+        if not seen["more"]:
+            return reduce(DataFrame.unionByName, found).distinct()
+        level = values.filter(F.col("json").isNotNull()).select("conv_id", "call_id", "json")
 
 
 def _chains(singles: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -144,11 +232,7 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: Mapping[str,
     parsed = _earliest(calls, CALL_COLS).withColumn("args", F.try_parse_json("arguments"))
     c = land(with_errors(parsed, schemas).withColumn("canonical", F.to_json("args")).drop("args"), "calls")
     linkable = c.filter("is_first").select("conv_id", "call_id")
-    values = F.map_values(F.from_json("arguments", "map<string,string>"))
-    refs = (c.filter("is_first")
-            .select("conv_id", "call_id", F.explode(F.array_distinct(F.filter(values, lambda v: v.rlike(REFERENCE))))
-                    .alias("needs"))
-            .withColumn("needs", F.expr("substring(needs, 2)")))
+    refs = land(references(c.filter(F.col("is_first") & ~F.array_contains("errors", "bad_json"))), "references")
     known = refs.join(linkable.select("conv_id", F.col("call_id").alias("needs")), ["conv_id", "needs"], "left_semi")
     levels = topological_levels(linkable, known.select("conv_id", "call_id", "needs"))
     per_call = (refs.join(known.withColumn("found", F.lit(1)), ["conv_id", "call_id", "needs"], "left")
@@ -163,15 +247,17 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: Mapping[str,
     right = _earliest(results, RESULT_COLS).select(
         F.col("conv_id").alias("r_conv"), F.col("call_id").alias("r_call"), F.col("turn").alias("result_turn"),
         "content", F.col("copies").alias("result_copies"), F.col("is_first").alias("r_first"))
-    on = ((F.col("conv_id") == F.col("r_conv")) & (F.col("call_id") == F.col("r_call"))
-          & F.col("is_first") & F.col("r_first"))
+    # both sides have an identifier once, so no task of the join gets more than its share; all other rows go round it
+    on = (F.col("conv_id") == F.col("r_conv")) & (F.col("call_id") == F.col("r_call"))
+    met = left.filter("is_first").join(right.filter("r_first"), on, "full_outer")
+    alone = left.filter(~F.col("is_first")).unionByName(right.filter(~F.col("r_first")), allowMissingColumns=True)
     status = (F.when(F.col("copies").isNull(),
                      F.when(F.col("r_first") | F.col("r_call").isNull() | F.col("r_conv").isNull(), "no_call")
                      .otherwise("duplicate_result"))
               .when(F.col("conv_id").isNull() | F.col("call_id").isNull(), "no_id")
               .when(~F.col("is_first"), "duplicate_call")
               .when(F.col("result_copies").isNull(), "no_result").otherwise("linked"))
-    return (left.join(right, on, "full_outer")
+    return (met.unionByName(alone)
             .select(F.coalesce("conv_id", "r_conv").alias("conv_id"), F.coalesce("call_id", "r_call").alias("call_id"),
                     "turn", "name", "canonical", "errors", "level", "refs", "dangling", "copies",
                     "result_turn", "content", "result_copies", status.alias("status")))
