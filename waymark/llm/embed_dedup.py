@@ -38,13 +38,26 @@ def tables_for(n: int, threshold: float, recall: float, bucket: int) -> tuple[in
     return bits, math.ceil(math.log(1 - recall) / math.log(1 - together))
 
 
-def _signs(x: np.ndarray, bits: int, tables: int, seed: int) -> np.ndarray:
-    """Signature of each row of ``x`` in each table."""
-    planes = np.random.default_rng([seed, x.shape[1]]).standard_normal((x.shape[1], bits * tables))
-    out = np.empty((len(x), tables), np.int64)
+_planes: dict[tuple[int, ...], np.ndarray] = {}
+
+
+def _hyperplanes(size: int, n: int, seed: int) -> np.ndarray:
+    """The worker's hyperplanes for vectors of ``size`` components: the same in every task."""
+    key = (size, n, seed)
+    if key not in _planes:
+        _planes.clear()  # of other runs
+        _planes[key] = np.random.default_rng([seed, size]).standard_normal((size, n))
+    return _planes[key]
+
+
+def _signs(x: np.ndarray, bits: int, tables: int, seed: int, first: int | None = None) -> np.ndarray:
+    """Signature of each row of ``x`` in each table, or in the ``first`` ones."""
+    first = tables if first is None else first
+    planes = _hyperplanes(x.shape[1], bits * tables, seed)[:, :bits * first]
+    out = np.empty((len(x), first), np.int64)
     weights = np.int64(1) << np.arange(bits, dtype=np.int64)
     for at in range(0, len(x), 4096):
-        signs = (x[at:at + 4096] @ planes > 0).reshape(-1, tables, bits)
+        signs = (x[at:at + 4096] @ planes > 0).reshape(-1, first, bits)
         out[at:at + 4096] = signs @ weights
     return out
 
@@ -106,8 +119,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
                 signs = _signs(_unit([raw[i] for i in mine], kind), bits, tables, seed).view(np.uint64)
                 for i, k in zip(mine, mix(mix(signs + np.uint64(size)) + salt).view(np.int64), strict=True):
                     keys[i] = k
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.list_(pa.int64()))],
-                                             names=["cls", "vec", "copies", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.list_(pa.int64()))], names=["cls", "keys"])
 
     def check(batches):
         for group in grouped(batches, "grp"):
@@ -116,7 +128,6 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
             copies = group.column("copies").to_numpy()
             raw, names = group.column("vec").to_pylist(), group.column("cls").to_pylist()
             x = _unit(raw, kind)
-            signs = _signs(x, bits, tables, seed)
             across = not left.all()
             a_side = np.flatnonzero(left)
             b_side = np.flatnonzero(~left) if across else a_side
@@ -124,10 +135,12 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
             a, b = a_side[a], b_side[b]
             if not across:
                 a, b = a[a < b], b[a < b]
-            if len(a):
-                now = signs[a, t] == signs[b, t]  # by the signs themselves, not their hash
+            if len(a):  # signs of the rows that have a partner, and of no table after this one
+                met, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+                signs, i, j = _signs(x[met], bits, tables, seed, t + 1), place[:len(a)], place[len(a):]
+                now = signs[i, t] == signs[j, t]  # by the signs themselves, not their hash
                 for earlier in range(t):
-                    now &= signs[a, earlier] != signs[b, earlier]
+                    now &= signs[i, earlier] != signs[j, earlier]
                 a, b = a[now], b[now]
             if len(a):
                 links = np.bincount(a, copies[b], len(x)) + np.bincount(b, copies[a], len(x))
@@ -137,13 +150,15 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
                     [pa.array([names[i] for i in met], pa.binary()), pa.array(links[met].astype(np.int64)),
                      pa.array([names[i] for i in roots[met]], pa.binary())], names=["cls", "links", "root"])
 
-    placed = land(classes.mapInArrow(sign, "cls binary, vec binary, copies long, keys array<long>")
-                  .select("cls", "vec", "copies", F.posexplode("keys").alias("t", "key")), "buckets")
+    # buckets without vectors: these join the rows that are not alone in theirs
+    placed = land(classes.mapInArrow(sign, "cls binary, keys array<long>")
+                  .select("cls", F.posexplode("keys").alias("t", "key")), "buckets")
     sizes = land(placed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1), "bucket_sizes")
     k = F.when(F.col("n") > block, F.ceil(F.col("n") / block)).otherwise(1).cast("int")
     mine = F.pmod(F.xxhash64(F.lit(5), "cls"), F.col("k")).cast("int")
     low, high = F.least("mine", "other"), F.greatest("mine", "other")
-    dealt = (placed.join(sizes, "key").withColumn("k", k).withColumn("mine", mine)
+    shared = land(placed.join(sizes, "key"), "shared_buckets")
+    dealt = (shared.join(classes, "cls").withColumn("k", k).withColumn("mine", mine)
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
              .select(F.xxhash64("key", low, high).alias("grp"), "t", "cls", "vec", "copies",
                      (F.col("mine") == low).alias("left")))
