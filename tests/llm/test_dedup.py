@@ -249,6 +249,19 @@ def test_token_groups_lose_no_link():
     assert got == roots(len(sets), links)
 
 
+def test_first_occurrences_stream_from_sorted_ranges(spark):
+    """The plan range-partitions once and sorts each range by hash, document and position."""
+    rows = [(h, 7, i, p) for h in range(5) for i in (None, *range(40)) for p in (9, 2, 5)] * 2
+    lines = spark.createDataFrame(rows, "h1 long, h2 long, id long, pos int")
+    out = line_dedup.first_occurrences(lines)
+    assert sorted((r.h1, r.id if r.id is not None else -1, r.pos) for r in out.collect()) == sorted(
+        (h, i, 2) for h in range(5) for i in range(-1, 40))
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange ") == 1 and "rangepartitioning(h1" in plan
+    assert re.search(r"Sort \[h1#\d+L? ASC NULLS FIRST, h2#\d+L? ASC NULLS FIRST, id#\d+L? ASC NULLS FIRST, pos#\d+ ASC", plan)
+    assert "Window [row_number()" in plan
+
+
 # -- embeddings ------------------------------------------------------------------------
 
 def _vectors(seed=0, n=300, dims=16):

@@ -3,8 +3,8 @@
 Every line long enough gets a 128-bit hash of its key. Only hashes travel:
 range-partitioned by (hash, document) with the position as secondary sort, so a line that a third of
 all documents hold is spread over as many ranges as its rows need. Each range streams
-its sorted rows to one row per (hash, document), counts the documents and keeps the
-largest id; a line's partial rows, one per range, then meet. The result is a bitmap
+its sorted rows and lets the first line of each (hash, document) pass; documents are counted and the
+largest id is kept per range, and a line's partial rows, one per range, then meet. The result is a bitmap
 per document (64 lines per word, bit 1 = keep) instead of text; documents that lose
 nothing have none.
 
@@ -17,7 +17,7 @@ only the id and text columns are read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.llm.common import ascii_lower, doc_key, land, text_hash
@@ -39,6 +39,18 @@ def line_hashes(docs: DataFrame, id_col: str, text_col: str, min_chars: int) ->
                     F.xxhash64(F.lit(1), "key").alias("h2")))  # the second hash has another seed
 
 
+def first_occurrences(lines: DataFrame) -> DataFrame:
+    """``(h1, h2, id, pos)``: the first line of each hash in each document.
+
+    The rows are range-partitioned by (hash, document); that is also how the numbering wants them, so it only sorts
+    each range by position within them and streams the rows that come first.
+    """
+    n = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = Window.partitionBy("h1", "h2", "id").orderBy("pos")
+    return (lines.select("h1", "h2", "id", "pos").repartitionByRange(n, "h1", "h2", "id")
+            .withColumn("nth", F.row_number().over(order)).filter(F.col("nth") == 1).drop("nth"))
+
+
 def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, min_chars: int = 20,
                  min_docs: int = 3) -> DataFrame:
     """``(id, th, keep)`` of every document that loses a line: ``keep[i div 64]`` has bit ``i % 64`` for line ``i``.
@@ -46,10 +58,7 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     A line whose key ``min_docs`` documents hold stays in the largest id alone.
     """
     lines = land(line_hashes(docs, id_col, text_col, min_chars), "lines")
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (lines.repartitionByRange(n, "h1", "h2", "id")
-              .sortWithinPartitions("h1", "h2", "id", "pos"))
-    firsts = ranged.groupBy("h1", "h2", "id").agg(F.count(F.lit(1)).alias("n"))  # streams the sorted ranges
+    firsts = first_occurrences(lines)
     # landed, so that the join's two sides are plain shuffles and a hot line can be split in it
     repeated = land(firsts.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("docs"), F.max("id").alias("keeper"))
                     .filter(F.col("docs") >= min_docs).select("h1", "h2", "keeper"), "repeated_lines")
