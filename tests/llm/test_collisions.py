@@ -62,6 +62,24 @@ def test_many_symbols_do_not_overflow():
     assert len(set(sums.of(a, a + 500).tolist())) == 1
 
 
+@pytest.mark.parametrize("bits", [0, 3, 8])
+def test_suffixes_whose_hashes_agree(monkeypatch, bits):
+    """However badly prefixes collide, repeated windows are those whose bytes are repeated."""
+    plain = suffix_dedup.QuickHash.of
+    monkeypatch.setattr(suffix_dedup.QuickHash, "of", lambda self, a, b: plain(self, a, b) & np.uint64((1 << bits) - 1))
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(97, 99, 30).astype(np.uint8) for _ in range(6)]
+    texts = [texts[i] for i in rng.integers(0, 6, 40)]
+    flat, off = np.concatenate(texts), np.arange(41) * 30
+    n, at = np.full(40, 15), np.full(40, 14)
+    seg, window = suffix_dedup.repeated_windows(flat, off, at, n, np.zeros(40, np.int64), 16, 3)
+    where = {}
+    for s in range(40):
+        for w in range(15):
+            where.setdefault((w, flat[s * 30 + w:s * 30 + w + 16].tobytes()), []).append((s, w))
+    assert sorted(zip(seg.tolist(), window.tolist(), strict=True)) == sorted(x for xs in where.values() if len(xs) > 1 for x in xs)
+
+
 def test_suffix_dedup(spark):
     docs = spark.createDataFrame([(1, ONE), (2, TWO)], "doc_id long, text string")
     out = suffix_dedup.dedup_substrings(docs).collect()
@@ -76,7 +94,7 @@ def test_tokens():
 
 def test_tokens_whose_hashes_agree(monkeypatch):
     """Even if the hash says that two words are one, each gets its own ids."""
-    monkeypatch.setattr(tokens.PrefixHash, "of", lambda self, a, b: np.zeros(np.shape(a), np.uint64))
+    monkeypatch.setattr(tokens.QuickHash, "of", lambda self, a, b: np.zeros(np.shape(a), np.uint64))
     plain = Tokenizer.from_file(VOCAB)
     rows = ["one two six ten", "two one", "éa ab", None, "six", ONE]
     expected = [plain.encode(t or "", add_special_tokens=False).ids for t in rows]

@@ -9,11 +9,11 @@ import pytest
 from cases import LOWER, counted, documents, roots, texts
 
 from waymark.llm import embed_dedup, jaccard_join, line_dedup, suffix_dedup
-from waymark.llm.bytehash import draw_bases
+from waymark.llm.bytehash import draw_odd
 from waymark.llm.common import blocks
 from waymark.llm.components import connected_components
 
-BASES = draw_bases()
+BASE = draw_odd()
 
 
 # -- suffix-array dedup ----------------------------------------------------------------
@@ -40,7 +40,7 @@ def _removed(out):
                    for r in out)
 
 
-@pytest.mark.parametrize("options", [{}, {"max_group": 1}, {"width": 60, "gram": 20}], ids=["", "hot", "short"])
+@pytest.mark.parametrize("options", [{}, {"max_windows": 1}, {"width": 60, "gram": 20}], ids=["", "hot", "short"])
 def test_substrings(spark, options):
     rows = texts()
     out = suffix_dedup.dedup_substrings(documents(spark, rows), **options).collect()
@@ -56,7 +56,7 @@ def test_long_text_in_pieces(spark, monkeypatch):
     import pyarrow as pa
     cut = list(suffix_dedup._pieces(pa.array([rows[0][1]]), 400))
     starts = sorted(p + before for _, before, f, off in cut
-                    for _, lo, _, n, reps, _ in zip(*suffix_dedup.segments(f, off, 400, 128, BASES), strict=True)
+                    for _, lo, _, n, reps, _ in zip(*suffix_dedup.segments(f, off, 400, 128, BASE), strict=True)
                     for p in range(lo, lo + n * reps))
     assert starts == list(range(len(flat) - 399))  # every window once
     out = suffix_dedup.dedup_substrings(documents(spark, rows)).collect()
@@ -69,7 +69,7 @@ def test_periodic_text_is_a_few_rows(spark, period):
     rng = random.Random(8)
     prose = "".join(rng.choice("jklmnop ") for _ in range(3000))
     flat = np.frombuffer((prose + period * (1_000_000 // len(period))).encode(), np.uint8)
-    out = suffix_dedup.segments(flat, np.array([0, len(flat)]), 400, 128, BASES)
+    out = suffix_dedup.segments(flat, np.array([0, len(flat)]), 400, 128, BASE)
     assert len(out[0]) < 200 and int((out[3] * out[4]).sum()) == len(flat) - 399
     rows = [(1, prose[:900] + period * (4_000 // len(period) + 1)), (2, period * (2_000 // len(period) + 1) + prose), (3, period * 3)]
     got = suffix_dedup.dedup_substrings(documents(spark, rows)).collect()
@@ -107,7 +107,7 @@ def test_suffix_sorter_orders_like_bytes():
     flat = rng.integers(97, 99, 4000).astype(np.uint8)
     flat[1000:1500] = flat[:500]
     flat[2000:2600] = 97
-    sorter = suffix_dedup.SuffixSorter(flat, 40, BASES)
+    sorter = suffix_dedup.SuffixSorter(flat, 40, BASE)
     pos = rng.permutation(np.arange(0, 3900))[:1200]
     sizes = np.array([1, 2, 500, 697])
     start = np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -124,9 +124,9 @@ def test_colliding_hashes_are_verified(monkeypatch):
     rng = np.random.default_rng(6)
     one, two = rng.integers(97, 123, 500).astype(np.uint8), rng.integers(97, 123, 500).astype(np.uint8)
     flat = np.concatenate([one, two, one])
-    monkeypatch.setattr(suffix_dedup.PrefixHash, "of", lambda self, a, b: np.zeros(np.shape(a), np.uint64))
+    monkeypatch.setattr(suffix_dedup.QuickHash, "of", lambda self, a, b: np.zeros(np.shape(a), np.uint64))
     seg, window = suffix_dedup.repeated_windows(flat, np.array([0, 500, 1000, 1500]), np.array([50, 50, 50]),
-                                                np.array([101, 101, 101]), np.array([9, 9, 9]), 400, BASES)
+                                                np.array([101, 101, 101]), np.array([9, 9, 9]), 400, BASE)
     assert sorted(zip(seg.tolist(), window.tolist(), strict=True)) == [(s, w) for s in (0, 2) for w in range(101)]
 
 

@@ -5,6 +5,10 @@ is ``(S[end] - S[start]) * B**-start`` and equal slices have equal hashes wherev
 different slices of n symbols agree at a random base with probability below ``n / P``, at both below its
 square. The bases are drawn anew for every run (``draw_bases``), so nobody can write texts that
 collide; what a result rests on is compared by content beside that.
+
+``QuickHash`` is the same modulo 2**64 at one base, at a quarter of the cost. Texts can be written to collide
+under it, so it serves only where every outcome is compared by content, or where equal contents
+must agree and others may.
 """
 
 from __future__ import annotations
@@ -102,6 +106,45 @@ class PrefixHash:
                 | _mod(_mod(b[width:] - b[:n]) * down_b[:n]))
 
 
+def draw_odd() -> int:
+    """A base of ``QuickHash`` for one run."""
+    return secrets.randbits(64) | 1
+
+
+_odd_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+class QuickHash:
+    """Slice hashes of one array, modulo 2**64."""
+
+    def __init__(self, symbols: np.ndarray, base: int):
+        n = len(symbols)
+        have = _odd_powers.get(base)
+        if have is None or len(have[0]) < n + 1:
+            if have is None and len(_odd_powers) >= 2:
+                _odd_powers.clear()  # of runs that are over
+            size = max(n + 1, 1 << 16)
+            steps = [np.full(size, b, np.uint64) for b in (base, pow(base, -1, 1 << 64))]
+            for x in steps:
+                x[0] = 1
+            have = _odd_powers[base] = tuple(np.multiply.accumulate(x) for x in steps)
+        self.up, self.down = have
+        self.sums = np.zeros(n + 1, np.uint64)
+        terms = symbols.astype(np.uint64)
+        terms += np.uint64(1)
+        terms *= self.up[:n]
+        np.cumsum(terms, out=self.sums[1:])
+
+    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hashes of ``symbols[start:end]``, elementwise."""
+        return (self.sums[end] - self.sums[start]) * self.down[start]
+
+    def windows(self, width: int) -> np.ndarray:
+        """Hash of every slice of ``width`` symbols."""
+        n = len(self.sums) - width
+        return (self.sums[width:] - self.sums[:n]) * self.down[:n]
+
+
 def same_slices(flat: np.ndarray, start: np.ndarray, other: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Whether ``flat[start:start + size]`` and ``flat[other:other + size]`` are the same, elementwise."""
     differ = np.zeros(len(size), bool)

@@ -12,15 +12,16 @@ anchors, which depend on content alone:
    and are one row with a count.
 2. Anchors that occur once go. Segments of one anchor with the same digest are a class, and all windows
    of a class of two or more are repeated. The digest is 128 bits of BLAKE2b under a key drawn for
-   the run: equality of bytes, short of breaking the cipher. The anchors' hashes are drawn for the
-   run, too (``bytehash``).
+   the run: equality of bytes, short of breaking the cipher.
 3. Classes of one member whose anchor others share are compared byte-wise: their bytes are
    fetched, and the suffixes at their window starts are sorted. The sort is a merge sort in
    whole-array steps within each (anchor, offset); two suffixes are compared by their longest
-   common extension, found by binary search over prefix polynomial hashes. Neighbours that
-   agree on ``width`` bytes are verified byte by byte and marked.
-4. An anchor with more than ``max_group`` different segments is not sorted in one task; its
-   windows are counted by their digests instead, which are pre-aggregated.
+   common extension, found by binary search over prefix polynomial hashes. The order of all
+   neighbours is then verified byte by byte, so the sort is right whatever the hashes did (a
+   bucket that is not sorted is counted by its bytes), and neighbours that agree on ``width``
+   bytes are marked.
+4. An anchor whose different segments hold more than ``max_windows`` windows or ``max_bytes`` is too
+   large for one task; its windows are counted by their digests instead, which are pre-aggregated.
 
 Defined results: null or empty text has no bytes and loses none; matches never cross
 documents; very long texts are cut into overlapping pieces, which changes no result;
@@ -39,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.bytehash import Bases, PrefixHash, draw_bases, mix
+from waymark.llm.bytehash import QuickHash, draw_odd, mix
 from waymark.llm.common import blocks, doc_key, land, land_with, parts_for, ship, text_hash, utf8
 from waymark.llm.groups import whole_groups
 
@@ -70,7 +71,7 @@ def _sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[w - 1:w - 1 + n])
 
 
-def segments(flat: np.ndarray, off: np.ndarray, width: int, gram: int, bases: Bases):
+def segments(flat: np.ndarray, off: np.ndarray, width: int, gram: int, base: int):
     """``(row, lo, at, n, reps, key)`` of the segments: windows ``lo .. lo + n - 1`` whose anchor is ``lo + at``.
 
     ``reps``: how many segments with the same bytes stand here, each ``n`` bytes after the one before it.
@@ -78,7 +79,7 @@ def segments(flat: np.ndarray, off: np.ndarray, width: int, gram: int, bases: Ba
     none = np.zeros(0, np.int64)
     if len(flat) < width:
         return none, none, none, none, none, none
-    sums = PrefixHash(flat, bases)
+    sums = QuickHash(flat, base)
     keys = mix(sums.windows(gram))
     low = _sliding_min((keys & ~_POS) | np.arange(len(keys), dtype=np.uint64), width - gram + 1)
     anchor = (low & _POS).astype(np.int64)
@@ -114,8 +115,8 @@ def segments(flat: np.ndarray, off: np.ndarray, width: int, gram: int, bases: Ba
 class SuffixSorter:
     """Sorts suffixes of one byte array, compared on ``width`` bytes by prefix hashes."""
 
-    def __init__(self, flat: np.ndarray, width: int, bases: Bases):
-        self.flat, self.width, self.sums = flat, width, PrefixHash(flat, bases)
+    def __init__(self, flat: np.ndarray, width: int, base: int):
+        self.flat, self.width, self.sums = flat, width, QuickHash(flat, base)
 
     def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Length of the common extension of the suffixes at ``a`` and ``b``, up to ``width``."""
@@ -173,17 +174,23 @@ class SuffixSorter:
             pos, run = out, run * 2
         return pos
 
-    def verified(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Whether the ``width`` bytes at ``a`` and ``b`` are the same, byte by byte."""
+    def verified(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """By the bytes themselves: whether the suffixes at ``a`` and ``b`` agree on ``width`` bytes, and whether ``a``'s
+        does not come after ``b``'s."""
         view = np.lib.stride_tricks.sliding_window_view(self.flat, self.width)
-        out = np.empty(len(a), bool)
-        for at in range(0, len(a), 4096):
-            out[at:at + 4096] = (view[a[at:at + 4096]] == view[b[at:at + 4096]]).all(axis=1)
-        return out
+        same, in_order = np.empty(len(a), bool), np.empty(len(a), bool)
+        for at in range(0, len(a), 2048):
+            x, y = view[a[at:at + 2048]], view[b[at:at + 2048]]
+            differ = x != y
+            first = differ.argmax(axis=1)
+            row = np.arange(len(x))
+            same[at:at + 2048] = ~differ[row, first]
+            in_order[at:at + 2048] = x[row, first] <= y[row, first]
+        return same, in_order
 
 
 def repeated_windows(flat: np.ndarray, off: np.ndarray, at: np.ndarray, n: np.ndarray, key: np.ndarray,
-                     width: int, bases: Bases) -> tuple[np.ndarray, np.ndarray]:
+                     width: int, base: int) -> tuple[np.ndarray, np.ndarray]:
     """``(segment, window)`` of each window that stands in another segment of its key too."""
     seg = np.repeat(np.arange(len(n)), n)
     window = np.arange(len(seg)) - np.repeat(np.cumsum(n) - n, n)
@@ -199,14 +206,18 @@ def repeated_windows(flat: np.ndarray, off: np.ndarray, at: np.ndarray, n: np.nd
     pos, bucket = pos[many], bucket[many]
     sizes = sizes[sizes > 1]
     heads = np.cumsum(sizes) - sizes
-    sorter = SuffixSorter(flat, width, bases)
-    pos = sorter.sort(pos, np.repeat(heads, sizes), np.repeat(sizes, sizes))
+    sorter = SuffixSorter(flat, width, base)
+    unsorted, pos = pos, sorter.sort(pos, np.repeat(heads, sizes), np.repeat(sizes, sizes))
+    there = np.zeros(len(flat), bool)
+    there[pos] = True
+    lost = np.isin(bucket, bucket[~there[unsorted]])  # colliding hashes can make an order in which a merge loses places
+    pos[lost] = unsorted[lost]
     near = np.flatnonzero(bucket[1:] == bucket[:-1])
-    near = near[sorter.common(pos[near], pos[near + 1]) == width]
-    true = sorter.verified(pos[near], pos[near + 1])
+    same, in_order = sorter.verified(pos[near], pos[near + 1])
     marked = np.zeros(len(pos), bool)
-    marked[near[true]] = marked[near[true] + 1] = True
-    for b in np.unique(bucket[near[~true]]).tolist():  # hashes collided: that bucket by its bytes
+    marked[near[same]] = marked[near[same] + 1] = True
+    wrong = np.concatenate([bucket[near[~in_order]], bucket[lost]])
+    for b in np.unique(wrong).tolist():  # not sorted, as hashes collided: that bucket by its bytes
         mine = np.flatnonzero(bucket == b)
         texts = [flat[p:p + width].tobytes() for p in pos[mine].tolist()]
         counts: dict[bytes, int] = {}
@@ -227,19 +238,22 @@ def _merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, width: int = 400,
-                    gram: int = 128, max_group: int = 2048) -> DataFrame:
-    """``(doc, start, end)``: byte ranges that cover the repeated ``width``-byte strings of each document."""
+                    gram: int = 128, max_windows: int = 1 << 20, max_bytes: int = 8 << 20) -> DataFrame:
+    """``(doc, start, end)``: byte ranges that cover the repeated ``width``-byte strings of each document.
+
+    ``max_windows`` and ``max_bytes``: what the different segments of one anchor may hold to be sorted in one task.
+    """
     spark = docs.sparkSession
     ship(spark)
     plain = docs.select(F.col(id_col).alias("id"), text_hash(F.col(text_col)).alias("th"),
                         F.col(text_col).alias("text"))
     id_type = plain.schema["id"].dataType.simpleString()
-    bases, secret = draw_bases(), secrets.token_bytes(32)
+    base, secret = draw_odd(), secrets.token_bytes(32)
 
     def anchor(batches):
         for batch in batches:
             for first, before, flat, off in _pieces(batch.column(2), width):
-                row, lo, at, n, reps, key = segments(flat, off, width, gram, bases)
+                row, lo, at, n, reps, key = segments(flat, off, width, gram, base)
                 if len(row):
                     begin, view = off[row] + lo, memoryview(flat)
                     digests = b"".join([blake2b(view[a:b], digest_size=16, key=secret).digest()
@@ -265,13 +279,14 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                      (F.col("lo") + F.col("reps") * F.col("n") - 1 + width).alias("end")))
 
     mixed = land(classes.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.sum(F.when(F.col("copies") == 1, 1))
-                                            .alias("single"))
-                 .filter((F.col("m") > 1) & F.col("single").isNotNull()), "mixed_keys")
+                                            .alias("single"), F.sum("pick.n").alias("windows"))
+                 .filter((F.col("m") > 1) & F.col("single").isNotNull())
+                 .select("key", ((F.col("windows") > max_windows) | (F.col("windows") + F.col("m") * width > max_bytes))
+                         .alias("hot")), "mixed_keys")
     wanted = (classes.join(mixed, "key")
               .select(F.col("pick.doc").alias("doc"),
                       F.struct("key", F.col("pick.lo").alias("lo"), F.col("pick.at").alias("at"),
-                               F.col("pick.n").alias("n"), (F.col("copies") == 1).alias("single"),
-                               (F.col("m") > max_group).alias("hot")).alias("seg"))
+                               F.col("pick.n").alias("n"), (F.col("copies") == 1).alias("single"), "hot").alias("seg"))
               .groupBy("doc").agg(F.collect_list("seg").alias("segs")))  # bounded by the document's length
     texts = docs.select(doc_key(id_col, text_col), F.col(text_col).alias("text"))
 
@@ -301,7 +316,7 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         for table in whole_groups(batches, "key", 2048):
             flat, off = utf8(table.column("seg"))
             at, n, lo = (table.column(c).to_numpy().astype(np.int64) for c in ("at", "n", "lo"))
-            seg, window = repeated_windows(flat, off, at, n, table.column("key").to_numpy(), width, bases)
+            seg, window = repeated_windows(flat, off, at, n, table.column("key").to_numpy(), width, base)
             single = table.column("single").to_numpy(zero_copy_only=False)
             keep = single[seg]  # the others are whole classes already
             start = np.unique(seg[keep] * (4 * width) + window[keep])

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from waymark.llm.bytehash import PrefixHash, draw_bases, mix, same_slices
+from waymark.llm.bytehash import QuickHash, draw_odd, mix, same_slices
 from waymark.llm.common import blocks, utf8
 
 _SPACE, _LETTER, _NUMBER, _OTHER, _FOREIGN = range(5)
@@ -62,7 +62,7 @@ class ColumnTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.bases = draw_bases()
+        self.base = draw_odd()
         self._forget()
 
     def _forget(self) -> None:
@@ -119,7 +119,7 @@ class ColumnTokenizer:
     def _alike(self, lower: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First place of each distinct piece, and which of them each piece is: by hash, then by its characters."""
         sizes = end - start
-        hashes = mix(PrefixHash(lower, self.bases).of(start, end) + sizes.astype(np.uint64))
+        hashes = mix(QuickHash(lower, self.base).of(start, end) + sizes.astype(np.uint64))
         _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
         if (sizes == sizes[first][which]).all() and same_slices(lower, start, start[first][which], sizes).all():
             return first, which
