@@ -9,8 +9,9 @@ on; a start that survives all of them is an exact phrase. The few rarest terms o
 window, by the whole corpus and of those it has, that stand close to the rarest in any order
 are a proximity match, whatever became of the window's other words. Shards do not matter to either.
 
-Nothing is broadcast by hand: terms, windows and postings meet in joins, and a shard's
-postings of benchmark terms meet its windows in one task of bounded size.
+Nothing is broadcast by hand: terms, windows and postings meet in joins. A shard's postings of
+benchmark terms meet its windows in one task: half a million words or one text of documents, and at
+most the benchmark's windows, ten numbers each.
 
 Defined results: null, empty or wordless text has no words and no hits; items without words
 have no windows, and items of fewer than ``width`` words are one window; items with a null
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -211,7 +213,7 @@ def find_items(index: DataFrame, benchmark: DataFrame, bases: Bases, item_col: s
 
     ``spans``: word ranges under exact windows; ``items``: items with such a window; ``near_items``:
     items with a window whose ``near_terms`` rarest words stand within ``slop`` words of the rarest. They
-    are the rarest of the window's distinct words that the corpus has; a window with fewer of them than
+    are the rarest of the window's distinct words that the corpus has (of equally rare ones the first); a window with fewer of them than
     ``near_terms`` matches only if these are all its words.
     """
     ship(index.sparkSession)
@@ -220,11 +222,11 @@ def find_items(index: DataFrame, benchmark: DataFrame, bases: Bases, item_col: s
     hits = land(index.filter(F.col("term").isNotNull()).join(terms, "term").select("shard", "term", "n", "postings"),
                 "benchmark_postings")
     counts = land(hits.groupBy("term").agg(F.sum("n").alias("count")), "term_counts")
-    # the words of a window that some document has, rarest first: at most ``width``
+    # the words of a window that some document has, rarest first, the first of equally rare ones: at most ``width``
     distinct = F.size(F.array_distinct("terms"))
-    routed = (windows.select("item", "nr", "terms", F.explode(F.array_distinct("terms")).alias("term"))
+    routed = (windows.select("item", "nr", "terms", F.posexplode(F.array_distinct("terms")).alias("place", "term"))
               .join(counts, "term").groupBy("item", "nr", "terms")
-              .agg(F.sort_array(F.collect_list(F.struct("count", "term")))["term"].alias("known"))
+              .agg(F.sort_array(F.collect_list(F.struct("count", "place", "term")))["term"].alias("known"))
               .filter(F.size("known") >= F.least(F.lit(near_terms), distinct))
               # a window with a word that no document has is nowhere as a phrase
               .select("item", F.when(F.size("known") == distinct, F.col("terms")).alias("terms"),
@@ -249,11 +251,10 @@ def find_items(index: DataFrame, benchmark: DataFrame, bases: Bases, item_col: s
 
         def held(column: str):
             """Term numbers, lengths and items of the windows all of whose words the shard has."""
-            wanted = right.column(column).to_pylist()
-            lengths = np.array([len(w or ()) for w in wanted], np.int64)
-            table = np.zeros((len(wanted), max([1, *lengths])), np.int64)
-            for i, w in enumerate(wanted):
-                table[i, :lengths[i]] = w or ()
+            lists = right.column(column).combine_chunks()
+            lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            table = np.zeros((len(lengths), max(1, lengths.max(initial=0))), np.int64)
+            table[np.arange(table.shape[1]) < lengths[:, None]] = pc.list_flatten(lists).to_numpy(zero_copy_only=False)
             numbers = np.where(np.arange(table.shape[1]) < lengths[:, None], shard.numbers(table), -1)
             here = (lengths > 0) & ((numbers >= 0).sum(axis=1) == lengths)
             return numbers[here], lengths[here], every[here]

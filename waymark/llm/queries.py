@@ -35,12 +35,13 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words of every document under ten-word passages of ``benchmark``."""
+    """Words of every document under ten-word passages of ``benchmark``, and items whose rarest words stand together."""
     out = decontaminate.scan_contamination(read_table(spark, sf_dir, "documents"),
                                            read_table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-                      (F.col("n_hit") > 0).alias("contaminated"))
+                      (F.col("n_hit") > 0).alias("contaminated"), F.size("near_items").cast("long").alias("n_near"),
+                      F.array_join("near_items", ",").alias("near_items"))
 
 
 #: The label columns in chain order; the last one flags.
@@ -178,9 +179,32 @@ ORACLE_SQL: dict[str, str] = {
                        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS ws
             FROM benchmark
         ), windows AS (
-            SELECT DISTINCT item_id, least(len(ws), 10) AS n, array_to_string(ws[i:i + 9], ' ') AS w
+            SELECT DISTINCT item_id, least(len(ws), 10) AS n, array_to_string(ws[i:i + 9], ' ') AS w, ws[i:i + 9] AS terms
             FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 8, 2))) AS i
                   FROM item_words WHERE len(ws) > 0)
+        ), places AS MATERIALIZED (
+            SELECT doc_id, pos, ws[pos] AS w FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS pos FROM doc_words)
+            WHERE ws[pos] IN (SELECT unnest(terms) FROM windows)
+        ), counts AS (
+            SELECT w, count(*) AS c FROM places GROUP BY w
+        ), known AS (
+            SELECT item_id, x.w, n_terms, c.w AS t, count(*) OVER each AS n_known,
+                   row_number() OVER (each ORDER BY c.c, place) AS rank
+            FROM (SELECT item_id, w, len(list_distinct(terms)) AS n_terms, unnest(list_distinct(terms)) AS t, terms FROM windows) x
+            JOIN counts c ON c.w = x.t, LATERAL (SELECT list_position(x.terms, x.t) AS place)
+            WINDOW each AS (PARTITION BY item_id, x.w)
+        ), rare AS (
+            SELECT item_id, w, t, rank, least(n_known, 3) AS n_rare FROM known WHERE rank <= 3 AND n_known >= least(3, n_terms)
+        ), near AS (
+            SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM (
+                SELECT a.item_id, a.w, p.doc_id, p.pos, any_value(a.n_rare) AS n_rare, count(DISTINCT b.rank) AS met
+                FROM rare a JOIN places p ON p.w = a.t
+                JOIN rare b ON b.item_id = a.item_id AND b.w = a.w
+                JOIN places q ON q.w = b.t AND q.doc_id = p.doc_id AND q.pos BETWEEN p.pos - 15 AND p.pos + 15
+                WHERE a.rank = 1 GROUP BY a.item_id, a.w, p.doc_id, p.pos)
+            WHERE met = n_rare
+        ), near_items AS (
+            SELECT doc_id, count(*) AS n_near, string_agg(item_id, ',' ORDER BY item_id) AS s FROM near GROUP BY doc_id
         ), grams AS (
             SELECT doc_id, i, n, array_to_string(ws[i:i + n - 1], ' ') AS w
             FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i
@@ -195,9 +219,10 @@ ORACLE_SQL: dict[str, str] = {
             FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM found) GROUP BY doc_id
         )
         SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
-               coalesce(n_items, 0) AS n_items, sha256(coalesce(s, '')) AS items_sha256,
-               coalesce(n_hit, 0) > 0 AS contaminated
+               coalesce(n_items, 0) AS n_items, sha256(coalesce(i.s, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0) AS n_near, coalesce(r.s, '') AS near_items
         FROM doc_words d LEFT JOIN hits h ON h.doc_id = d.doc_id LEFT JOIN items i ON i.doc_id = d.doc_id
+        LEFT JOIN near_items r ON r.doc_id = d.doc_id
     """,
     "op8_embedding_dedup": r"""
         WITH RECURSIVE links AS MATERIALIZED (
