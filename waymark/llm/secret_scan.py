@@ -1,10 +1,12 @@
 """Secret scan by token efficiency.
 
 A trained vocabulary covers natural text with few, long tokens; a random key has no
-such tokens and needs one for every one or two characters. So a long run of key
-characters whose characters-per-token ratio under a public byte-level vocabulary is
-low is reported, unless it is a digest of a known length or an identifier (UUID,
-number, words joined by case or punctuation that the vocabulary covers with few tokens
+such tokens and needs one for every one or two characters. In a long run of key
+characters every token scores by how far it falls short of the ratio's limit; the stretches of
+the largest score, taken to whole parts between separators, are where a key stands, however
+many words are joined to it by ``/``, ``=``, ``_`` or ``-``. A stretch of low
+characters-per-token ratio is reported, unless it is a digest of a known length or an identifier
+(UUID, number, words joined by case or punctuation that the vocabulary covers with few tokens
 word by word). Three fixed patterns (assignments,
 access keys, hex runs) are reported beside it.
 
@@ -44,6 +46,9 @@ DIGEST_LENGTHS = (32, 40, 48, 56, 64, 96, 128)
 _UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\Z")
 _HEX_ONLY = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)\Z")
 _LETTER = re.compile(r"[A-Za-z]")
+_SEPARATOR = re.compile(r"[/+_=-]")
+_PART_OF_RUN = re.compile(r"[A-Za-z0-9]+")
+_PADDING = re.compile(r"={0,2}")
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
@@ -72,6 +77,48 @@ def is_joined_words(text: str, tokens: Callable[[str], int], word: float = 2.5)
         min(tokens(p), tokens(p.lower())) if p[0].isupper() else tokens(p) for p in parts)
 
 
+def scoring_stretches(scores: list[float]) -> list[tuple[int, int]]:
+    """All maximal scoring stretches ``(start, end)``: none can gain by growing or by being cut."""
+    found: list[tuple[float, float, int, int]] = []  # score before it, score after it, start, end
+    total = 0.0
+    for i, score in enumerate(scores):
+        if score > 0:
+            new = (total, total + score, i, i + 1)
+            while True:
+                k = len(found) - 1
+                while k >= 0 and found[k][0] >= new[0]:
+                    k -= 1
+                if k < 0 or found[k][1] >= new[1]:
+                    found.append(new)
+                    break
+                new = (found[k][0], new[1], found[k][2], new[3])
+                del found[k:]
+        total += score
+    return [(a, b) for _, _, a, b in found]
+
+
+def random_stretches(run: str, sizes: list[int], max_ratio: float, min_chars: int) -> list[tuple[int, int]]:
+    """Where keys may stand in a run whose tokens have the given ``sizes``: whole parts between separators that a
+    scoring stretch covers by half or more, and the padding after them; else the whole run if its ratio is low."""
+    whole = [(0, len(run))] if len(run) < max_ratio * len(sizes) else []
+    if not _SEPARATOR.search(run):
+        return whole
+    ends = [0]
+    for n in sizes:
+        ends.append(ends[-1] + n)
+    out: list[tuple[int, int]] = []
+    parts = [m.span() for m in _PART_OF_RUN.finditer(run)]
+    for a, b in scoring_stretches([max_ratio - n for n in sizes]):
+        a, b = ends[a], ends[b]
+        inside = [(s, e) for s, e in parts if 2 * (min(b, e) - max(a, s)) >= e - s]
+        if inside:
+            start, end = inside[0][0], inside[-1][1]
+            end += len(_PADDING.match(run, end).group())
+            if end - start >= min_chars and (not out or start >= out[-1][1]):
+                out.append((start, end))
+    return out or whole
+
+
 def _runs(mask: np.ndarray, off: np.ndarray, least: int) -> np.ndarray:
     """Rows that hold a run of ``least`` set bytes or more (runs end at row ends)."""
     if not len(mask):
@@ -123,7 +170,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  pattern: str | None = None, min_chars: int = 20, max_ratio: float = 2.0) -> DataFrame:
     """``(id, spans)``: for each row the sorted spans of all kinds, code points, end exclusive.
 
-    A ``random`` span is a run of at least ``min_chars`` key characters that takes more
+    A ``random`` span is a stretch of at least ``min_chars`` key characters that takes more
     than one token for every ``max_ratio`` characters; ``ratio`` is null for other kinds.
     """
     import public_tokenizers
@@ -139,6 +186,10 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         def tokens(run: str) -> int:
             return len(_encoder(vocab_path, pattern).encode_ordinary(run))
 
+        def sizes(run: str) -> list[int]:
+            encoder = _encoder(vocab_path, pattern)
+            return list(map(len, encoder.decode_tokens_bytes(encoder.encode_ordinary(run))))
+
         for batch in batches:
             texts = batch.column(1)
             flat, off = utf8(texts)
@@ -151,10 +202,13 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 text = data[off[row]:off[row + 1]].decode()
                 spans = [(k, s, e, None) for k, s, e in base_spans(text)]
                 for m in runs.finditer(text):
-                    if not is_digest_or_number(m.group()):
-                        ratio = len(m.group()) / tokens(m.group())
-                        if ratio < max_ratio and not is_joined_words(m.group(), tokens):
-                            spans.append(("random", m.start(), m.end(), ratio))
+                    if is_digest_or_number(m.group()):
+                        continue
+                    for a, b in random_stretches(m.group(), sizes(m.group()), max_ratio, min_chars):
+                        key = m.group()[a:b]
+                        ratio = len(key) / tokens(key)
+                        if ratio < max_ratio and not is_digest_or_number(key) and not is_joined_words(key, tokens):
+                            spans.append(("random", m.start() + a, m.start() + b, ratio))
                 found[row] = sorted(spans, key=lambda x: (x[1], KINDS.index(x[0])))
             spans = [[dict(zip(("kind", "start", "end", "ratio"), x, strict=True)) for x in found.get(i, ())]
                      for i in range(batch.num_rows)]
