@@ -193,13 +193,78 @@ def test_license_scan(spark):
     assert all(0 <= r.score <= 1 and set(r.base_labels) <= set(r.labels) for r in out)
 
 
+def _labels(rows, index_words=6, min_share=0.5):
+    """Labels and best share of each row: every notice tried at every place."""
+    import math
+    entries = license_scan.notices()
+    vocab = {w for _, notice, _ in entries for w in notice.split()} - license_scan.COMMON
+    split = [words(t) for _, t in rows]
+    df = {v: sum(v in w for w in map(set, split)) for v in vocab}
+    idf = {v: math.log((len(rows) + 1) / (n + 1)) + 1e-6 for v, n in df.items()}
+    out = []
+    for w in split:
+        labels, best = set(), 0.0
+        for label, notice, keys in entries:
+            parts = notice.split()
+            index = sorted(((-idf[x], i, x) for i, x in enumerate(parts) if x in idf))[:index_words]
+            of = sum(-x for x, _, _ in index)
+            for start in range(-len(parts), len(w)):
+                share = sum(-x for x, i, v in index if 0 <= start + i < len(w) and w[start + i] == v) / of
+                if share >= min_share:
+                    at = [next(i for i in range(len(parts)) if parts[i:i + len(k.split())] == k.split()) for k in keys]
+                    if all(start + i >= 0 and w[start + i:start + i + len(k.split())] == k.split() for i, k in zip(at, keys, strict=True)):
+                        labels.add(label)
+                        best = max(best, share)
+        out.append((labels, best))
+    return out
+
+
+HEADERS = {
+    "SPDX-License-Identifier: MIT": ["mit"], "// SPDX-License-Identifier: Apache-2.0\n": ["apache-2.0"],
+    "Mozilla Public License Version 2.0": ["mpl-2.0"], "BSD 3-Clause License": ["bsd-3-clause"],
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED': ["as-is"],
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+    "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.": ["gpl", "gpl-3.0"],
+    "Creative Commons Attribution-ShareAlike 4.0 International": ["cc-by-sa", "creative-commons"],
+    "Creative Commons Attribution 4.0 International": ["cc-by", "creative-commons"],
+    "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. "
+    "You may obtain a copy of the License at\n\n http://www.apache.org/licenses/LICENSE-2.0": ["apache-2.0"],
+    "the license of the software is not provided here": [],
+}
+
+
+def test_labels_by_brute_force(spark):
+    rng = random.Random(5)
+    entries = license_scan.notices()
+    rows = texts()[:20] + LICENSES + [(300 + k, t) for k, t in enumerate(HEADERS)]
+    for k in range(60):  # notices that are whole, cut and changed, in prose
+        w = rng.choice(entries)[1].split()
+        for _ in range(rng.randrange(4)):
+            i = rng.randrange(len(w))
+            w[i:i + 1] = rng.choice([[], ["other"], [w[i], "extra"]]) or ["x"]
+        rows.append((400 + k, f"{sentence(rng, 30)} {' '.join(w)} {sentence(rng, 30)}"))
+    out = license_scan.scan_licenses(documents(spark, rows)).collect()
+    expected = [(i, sorted(labels | set(_base_labels(t))), 1.0 if _base_labels(t) else best)
+                for (i, t), (labels, best) in zip(rows, _labels(rows), strict=True)]
+    key = lambda x: (str(x[0]), x[1], x[2])
+    for got, want in zip(sorted(((r.doc_id, list(r.labels), r.score) for r in out), key=key), sorted(expected, key=key), strict=True):
+        assert got[:2] == want[:2] and abs(got[2] - min(1.0, want[2])) < 1e-9, (got, want)
+    found = {r.doc_id: list(r.labels) for r in out}
+    assert {t: found[300 + k] for k, t in enumerate(HEADERS)} == HEADERS
+
+
+def _base_labels(text):
+    w = " " + " ".join(words(text)) + " "
+    return sorted(label for p, label in license_scan.BASE_PHRASES.items() if f" {p} " in w)
+
+
 def test_every_notice_of_one_document(spark):
     """A document that holds all notices has all labels, whichever of them other documents make common."""
-    whole = "\n\n".join(notice for notice, _ in license_scan.TEMPLATES.values())
-    rows = texts() + [(210, whole)] + [(220 + k, notice) for k, (notice, _) in enumerate(license_scan.TEMPLATES.values())
-                                       for _ in range(k % 3)]
+    every = license_scan.notices()
+    whole = "\n\n".join(notice for _, notice, _ in every)
+    rows = texts() + [(210, whole)] + [(220 + k, notice) for k, (_, notice, _) in enumerate(every) for _ in range(k % 3)]
     out = {r.doc_id: r for r in license_scan.scan_licenses(documents(spark, rows)).collect()}
-    assert set(license_scan.TEMPLATES) <= set(out[210].labels) and out[210].score == 1
+    assert {label for label, _, _ in every} <= set(out[210].labels) and out[210].score == 1
 
 
 def test_license_scan_of_nothing(spark):
