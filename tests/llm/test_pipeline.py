@@ -7,7 +7,7 @@ import sys
 from pathlib import Path
 
 import pytest
-from cases import counted, sentence, texts, words
+from cases import counted, documents, sentence, texts, words
 from test_dedup import _lines, _similar
 from test_packing import _check_packed, _pieces
 from test_scans import _contamination
@@ -86,6 +86,45 @@ def test_stages_in_order(spark, tables):
     _check_packed(out, 2048)
 
 
+def test_null_ids_and_clashing_columns(spark, tables):
+    """Every stage takes rows without an id and columns named like its own, and hands them on unchanged."""
+    where, passage = tables
+    rows = texts() + [(None, "x " + passage), (None, sentence(random.Random(2), 40) + " grunkle snozz")]
+    rows += [(r.doc_id, r.text) for r in spark.read.parquet(f"{where}/documents.parquet").filter("doc_id >= 1000").collect()]
+    docs = documents(spark, rows)
+    names = docs.columns
+
+    def extras(df):
+        return counted(tuple(r[2:]) for r in df.collect())
+
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        out = corpus_pipeline.land(stage(spark, docs, where), f"odd_{name}")
+        before, kept = _rows(docs), _rows(out)
+        assert out.columns == names
+        have, were = extras(out), extras(docs)
+        assert all(were.get(x, 0) >= n for x, n in have.items())  # whole rows, as they were
+        if k == 0:
+            assert counted(kept) == counted((i, t) for i, t in before if "grunkle" not in words(t))
+        elif k == 1:
+            assert counted(kept) == counted(
+                (i, new if gone else t) for (i, t), (_, _, gone, new) in zip(before, _lines(before), strict=True))
+        elif k == 2:
+            _, root, sets = _similar(before)
+            groups = {}
+            for row, r, s in zip(before, root, sets, strict=True):
+                if s:
+                    groups.setdefault(r, set()).add((row[0] is None, row[0] or 0))
+            alone = [row[0] for row, s in zip(before, sets, strict=True) if not s]
+            firsts = [None if none else i for none, i in map(min, groups.values())]
+            assert counted(i for i, _ in kept) == counted([*firsts, *alone])
+        else:
+            assert counted(kept) == counted((i, t) for (i, t), (_, _, hit, _) in zip(
+                before, _contamination(before, [(1, passage)]), strict=True) if not hit)
+        docs = out
+    packed = corpus_pipeline.pack(spark, docs, where).collect()
+    assert counted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in packed) == counted(_pieces(_rows(docs), 2048))
+
+
 def test_near_copies_by_five_words(spark):
     """Of pairs at 0.8 or more of their five-word shingles one stays, also below 0.85 of four words."""
     rng = random.Random(12)
