@@ -1,11 +1,12 @@
 """Tool-call linking and the toxicity chain."""
 
 import json
+import math
 import random
 
 import numpy as np
 import pytest
-from cases import documents, sentence, texts
+from cases import documents, sentence, texts, words
 from pyspark.sql import functions as F
 
 from waymark.llm import tool_calls, toxicity
@@ -193,6 +194,65 @@ def test_held_out_accuracy(spark):
     assert np.mean([(r.p_spam > 0.5) == bool(x[1]) for r, x in held]) > 0.95
 
 
+def _counts(text, vocabulary):
+    """A text's features, by hand: its distinct words, how many of them begin alike, and how many there are."""
+    own = sorted(set(words(text)))
+    tokens = own + [w[:k] + "*" for k in toxicity.PREFIXES for w in own if len(w) > k]
+    return [tokens.count(v) for v in vocabulary] + [math.log1p(len(own))]
+
+
+def _regression(x, y, reg):
+    """Logistic regression with a squared penalty on all but the intercept, by Newton's method."""
+    x1, w = np.column_stack([x, np.ones(len(x))]), np.zeros(x.shape[1] + 1)
+    ridge = reg * np.diag([1.0] * x.shape[1] + [0.0])
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-x1 @ w))
+        step = np.linalg.solve((x1 * (p * (1 - p))[:, None]).T @ x1 / len(y) + ridge + 1e-12 * np.eye(len(w)),
+                               x1.T @ (p - y) / len(y) + ridge @ w)
+        w -= step
+        if np.abs(step).max() < 1e-10:
+            break
+    return lambda z: 1 / (1 + np.exp(-np.column_stack([z, np.ones(len(z))]) @ w))
+
+
+def test_chain_by_brute_force(spark):
+    """The whole chain in plain arrays: telling words, out-of-fold probabilities, both regressions, all scores."""
+    docs, labels = _corpus(240)
+    text = dict(docs)
+    chain = toxicity.fit_chain(documents(spark, docs), _labels(spark, labels), ("spam", "rude"), reg=0.01)
+    vocabulary = list(chain.words.vocabulary)
+    every = {}
+    for i, _, _ in labels:
+        own = set(words(text[i]))
+        for t in own | {w[:k] + "*" for k in toxicity.PREFIXES for w in own if len(w) > k}:
+            every.setdefault(t, []).append(i)
+    z = {}
+    for t, ids in every.items():
+        if len(ids) >= 3:
+            for c in (1, 2):
+                rate = sum(r[c] for r in labels) / len(labels)
+                ones = sum(r[c] for r in labels if r[0] in set(ids))
+                z[t] = max(z.get(t, 0), abs(ones - len(ids) * rate) / math.sqrt(len(ids) * rate * (1 - rate)))
+    assert set(vocabulary) == {t for t, v in z.items() if v >= 5.0}
+    folds = {r.id: r.fold for r in spark.createDataFrame([(i,) for i, _ in docs], "id long").select(
+        "id", F.pmod(F.xxhash64(F.lit(13), "id"), F.lit(3)).alias("fold")).collect()}
+    ids = [r[0] for r in labels]
+    x = np.array([_counts(text[i], vocabulary) for i in ids], float)
+    spam, rude = (np.array([r[c] for r in labels], float) for c in (1, 2))
+    fold = np.array([folds[i] for i in ids])
+    out_of_fold = np.zeros(len(ids))
+    for f in range(3):
+        out_of_fold[fold == f] = _regression(x[fold != f], spam[fold != f], 0.01)(x[fold == f])
+    first = _regression(x, spam, 0.01)
+    second = _regression(np.column_stack([x, out_of_fold]), rude, 0.01)
+    wide = np.array([_counts(t, vocabulary) for _, t in docs], float)
+    p0 = first(wide)
+    p1 = second(np.column_stack([wide, p0]))
+    got = {r.row.doc_id: r.p for r in chain.transform(documents(spark, docs)).collect()}
+    for k, (i, _) in enumerate(docs):
+        assert abs(got[i][0] - p0[k]) < 0.02 and abs(got[i][1] - p1[k]) < 0.02, (i, got[i], p0[k], p1[k])
+
+
 def test_chain_feeds_probabilities_on(spark):
     docs, labels = _corpus()
     # the second category is the first one: only the probability tells it in texts whose words say nothing
